@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column
@@ -56,34 +57,30 @@ def _required_literal(alternative: str) -> str:
     return literal[:-1] if follows and follows in "?*+{" else literal
 
 
-def sql_text(value: str) -> str:
-    """A SQL string literal that keeps backslashes as they are."""
-    return "r'" + value.replace("'", "\\'") + "'"
+def _tests(named: list[tuple[str, str]]) -> Column:
+    """Constant array of (name, guard, regex): a text passes an entry if it holds
+    the guard and, where a regex is left to test, matches it."""
+    entries = [
+        {"name": name, "guard": part, "regex": None} if _PLAIN.fullmatch(part)
+        else {"name": name, "guard": _required_literal(part), "regex": part}
+        for name, pattern in named for part in alternatives(pattern)
+    ]
+    return constant(entries, "array<struct<name:string,guard:string,regex:string>>")
 
 
-def matches_sql(text: str, pattern: str) -> str:
-    """SQL of ``text rlike pattern``, skipping the regex engine where it cannot match.
+def constant(value, ddl: str) -> Column:
+    """A nested constant as one expression; Spark folds it before execution."""
+    return F.from_json(F.lit(json.dumps(value)), ddl)
 
-    Substring search on UTF-8 bytes costs a fraction of a regex search, and most
-    rows match very few patterns. So plain words are tested with ``contains``
-    alone, and a real regex runs only after the literal it must start with was
-    found. The result is the same as ``rlike`` for every input.
+
+def matching(text: str, named: list[tuple[str, str]]) -> Column:
+    """Names of all patterns that the text matches (``rlike``), in list order.
+
+    Substring search costs a fraction of a regex search, and a text matches very
+    few of the patterns. So plain words are tested with ``contains`` alone, and a
+    regex runs only after the literal it has to start with was found. Patterns
+    are data, not expressions, so hundreds of them still plan like one.
     """
-    parts = alternatives(pattern)
-    plain = [p for p in parts if _PLAIN.fullmatch(p)]
-    regexes = [p for p in parts if p not in plain]
-    tests = [f"contains({text}, {sql_text(p)})" for p in plain]
-    if regexes:
-        regex = f"{text} rlike {sql_text('|'.join(regexes))}"
-        guards = sorted({_required_literal(p) for p in regexes})
-        if "" not in guards:
-            found = " or ".join(f"contains({text}, {sql_text(g)})" for g in guards)
-            regex = f"(({found}) and {regex})"
-        tests.append(regex)
-    return "(" + " or ".join(tests) + ")"
-
-
-def matches(text: str, pattern: str) -> Column:
-    """``matches_sql`` as a column; one expression string plans much faster than
-    hundreds of column objects."""
-    return F.expr(matches_sql(text, pattern))
+    passed = F.filter(_tests(named), lambda test: F.contains(F.col(text), test["guard"]) & (
+        test["regex"].isNull() | F.rlike(F.col(text), test["regex"])))
+    return F.array_distinct(F.transform(passed, lambda test: test["name"]))

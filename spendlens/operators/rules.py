@@ -10,11 +10,11 @@ otherwise splits hot texts of the shuffle join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions import any_of, flag, label_by, matches, matches_sql
+from ..functions import any_of, constant, flag, label_by, matching
 from ..sources import dimension
 
 RULE_DDL = (
@@ -46,26 +46,21 @@ def hierarchy_frame(spark: SparkSession) -> DataFrame:
     return dimension(spark, fv.hierarchy(), "ref_l1 string, ref_l2 string, ref_l3 string")
 
 
-def rule_hits(text: str, rules: list[tuple]) -> Column:
-    """Positions (from 0) of all matching rules, in rule order."""
-    tests = [f"case when {matches_sql(text, rule[2])} then {place} end" for place, rule in enumerate(rules)]
-    return F.expr(f"array_compact(array({', '.join(tests)}))")
-
-
-def _of_best(rules: list[tuple], field: int) -> Column:
-    return F.get(F.array(*[F.lit(rule[field]) for rule in rules]), F.get("rule_hits", F.lit(0)))
-
-
 def classify_texts(texts: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
-    """Best rule and number of matching rules for each row of ``match_text``.
+    """Names of all rules that match ``match_text``, how many, and the best one.
     The first rule in list order wins; unmatched texts get NULL and 0."""
     rules = rules or fv.merchant_rules()
-    return texts.withColumn("rule_hits", rule_hits("match_text", rules)).withColumns({
-        "priority": _of_best(rules, 0),
-        "matched_rule_name": _of_best(rules, 1),
-        "rule_l1": _of_best(rules, 3),
-        "rule_l2": _of_best(rules, 4),
-        "rule_l3": _of_best(rules, 5),
+    details = constant(
+        {rule[1]: {"priority": rule[0], "l1": rule[3], "l2": rule[4], "l3": rule[5]} for rule in rules},
+        "map<string, struct<priority:int,l1:string,l2:string,l3:string>>")
+    matched = texts.withColumn("rule_hits", matching("match_text", [(rule[1], rule[2]) for rule in rules]))
+    named = matched.withColumn("matched_rule_name", F.get("rule_hits", F.lit(0)))
+    best = F.try_element_at(details, F.col("matched_rule_name"))
+    return named.withColumns({
+        "priority": best["priority"],
+        "rule_l1": best["l1"],
+        "rule_l2": best["l2"],
+        "rule_l3": best["l3"],
         "rule_match_cnt": F.size("rule_hits"),
     })
 
@@ -79,9 +74,12 @@ def add_conflict_flag(df: DataFrame) -> DataFrame:
 
 def flag_texts(texts: DataFrame) -> DataFrame:
     """Pattern flags and the platform label for each row of ``match_text``."""
-    flags = {name: flag(matches("match_text", any_of(patterns))) for name, patterns in TEXT_FLAGS.items()}
-    platform = label_by([(name, matches("match_text", pattern)) for name, pattern in fv.PLATFORMS], "NONE")
-    return texts.withColumns({**flags, "platform_ecosystem": platform})
+    flags = matching("match_text", [(name, any_of(patterns)) for name, patterns in TEXT_FLAGS.items()])
+    platforms = matching("match_text", fv.PLATFORMS)
+    return texts.withColumn("_flags", flags).withColumns({
+        **{name: flag(F.array_contains("_flags", name)) for name in TEXT_FLAGS},
+        "platform_ecosystem": F.coalesce(F.get(platforms, F.lit(0)), F.lit("NONE")),
+    }).drop("_flags")
 
 
 def distinct_texts(df: DataFrame) -> DataFrame:
@@ -125,20 +123,17 @@ def add_rules_by_join(df: DataFrame, rules: DataFrame) -> DataFrame:
     return add_conflict_flag(df.join(classified, "match_text"))
 
 
-def rule_usage(classified: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
+def rule_usage(classified: DataFrame) -> DataFrame:
     """Per rule: transactions it matched, won, and lost to an earlier rule."""
-    rules = rules or fv.merchant_rules()
-    names = F.array(*[F.lit(rule[1]) for rule in rules])
     return (
         classified.groupBy("rule_hits").agg(F.count("*").alias("txns"))
-        # The outer form keeps the planner from copying the rule tests into a filter.
-        .select("txns", F.get("rule_hits", F.lit(0)).alias("winner"), F.explode_outer("rule_hits").alias("place"))
-        .where(F.col("place").isNotNull())
-        .groupBy(F.get(names, F.col("place")).alias("rule_name"))
+        .select("txns", F.get("rule_hits", F.lit(0)).alias("winner"), F.explode_outer("rule_hits").alias("rule_name"))
+        .where(F.col("rule_name").isNotNull())
+        .groupBy("rule_name")
         .agg(
             F.sum("txns").alias("matched_txns"),
-            F.sum(F.when(F.col("place") == F.col("winner"), F.col("txns")).otherwise(0)).alias("won_txns"),
-            F.sum(F.when(F.col("place") != F.col("winner"), F.col("txns")).otherwise(0)).alias("shadowed_txns"),
+            F.sum(F.when(F.col("rule_name") == F.col("winner"), F.col("txns")).otherwise(0)).alias("won_txns"),
+            F.sum(F.when(F.col("rule_name") != F.col("winner"), F.col("txns")).otherwise(0)).alias("shadowed_txns"),
         )
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions import label_by
-from ..sources import attach_dimension, complete_columns, require_unique
+from ..sources import attach_dimension, complete_columns
 
 LEVELS = ["l1", "l2", "l3"]
 
@@ -21,9 +21,8 @@ def add_b2k(df: DataFrame, ref: DataFrame) -> DataFrame:
         F.col("MCHT_CATG").alias("_catg"),
         F.coalesce("MCHT_SUB_CATG", F.lit("")).alias("_sub"),
         *[f"b2k_{level}" for level in LEVELS])
-    require_unique(ref, [F.col("_catg"), F.col("_sub")], "b2k")
     same = (df["MCHT_CATG"] == F.col("_catg")) & (F.coalesce(df["MCHT_SUB_CATG"], F.lit("")) == F.col("_sub"))
-    return attach_dimension(df, ref, same).drop("_catg", "_sub")
+    return attach_dimension(df, ref, ["_catg", "_sub"], same).drop("_catg", "_sub")
 
 
 def add_mobius(df: DataFrame, ref: DataFrame) -> DataFrame:
@@ -32,8 +31,8 @@ def add_mobius(df: DataFrame, ref: DataFrame) -> DataFrame:
         return complete_columns(df, [f"mobius_{level}" for level in LEVELS])
     ref = ref.select(
         F.coalesce("SIC_CD_DESC", F.lit("")).alias("_sic"), *[f"mobius_{level}" for level in LEVELS])
-    require_unique(ref, [F.col("_sic")], "mobius")
-    return attach_dimension(df, ref, F.coalesce(df["SIC_CD_DESC"], F.lit("")) == F.col("_sic")).drop("_sic")
+    same = F.coalesce(df["SIC_CD_DESC"], F.lit("")) == F.col("_sic")
+    return attach_dimension(df, ref, ["_sic"], same).drop("_sic")
 
 
 def reconcile(df: DataFrame) -> DataFrame:

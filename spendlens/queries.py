@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .operators import merchant, recurrence, rules, tags, taxonomy
+from .operators import audit, merchant, merchants, monthly, personas, recurrence, rules, tags, taxonomy
+from .operators.monthly import MONTH
+from .plans import features
 from .plans.enrichment import References, classify, enrich
 from .sources import dimension, materialize, retail, standardize
 
@@ -92,6 +94,24 @@ def written(name: str, build: Query) -> Query:
 
 
 phase1 = written("phase1", enriched_card)
+event_phase1 = written("event_phase1", lambda spark, folder: enrich(
+    retail.event_transactions(spark, folder), references(spark), key_columns=KEY))
+merchant_table = written(
+    "merchant_months", lambda spark, folder: merchants.merchant_months(phase1(spark, folder)))
+
+# The tables hold far fewer transactions than a card portfolio has, so the size
+# classes of merchants are set lower.
+SIZE_BOUNDS = {"mega": 150, "large": 60, "longtail": 20}
+
+
+def labels(spark: SparkSession) -> monthly.Labels:
+    refs = references(spark)
+    return monthly.Labels.of(None, refs.b2k, refs.mobius)
+
+
+phase2 = written("phase2", lambda spark, folder: features.feature_mart(
+    phase1(spark, folder), merchant_table(spark, folder), labels(spark), SIZE_BOUNDS))
+phase3 = written("phase3", lambda spark, folder: features.personas(phase2(spark, folder)))
 
 # ---------------------------------------------------------------- transactions
 
@@ -231,3 +251,276 @@ def recurrence_tags_events(spark, folder):
     return recurrence.add_recurrence(txns).select(
         "txn_key", "merchant_visit_cnt", "merchant_novelty_tag", "recurrence_tag",
         "subscription_candidate_flag")
+
+
+# ---------------------------------------------------------------- customer-months
+
+
+def totals(spark, folder):
+    return monthly.month_totals(phase1(spark, folder), labels(spark))
+
+
+def base(spark, folder):
+    merchant_rows = merchants.merchant_features(
+        merchants.add_merchant_sizes(merchants.merchant_months(phase1(spark, folder))), SIZE_BOUNDS)
+    return features.month_base(phase1(spark, folder), labels(spark), merchant_rows)
+
+
+MONTH_BASE = [
+    "txn_cnt_m", "spend_amt_m", "avg_ticket_m", "max_ticket_m", "min_ticket_m", "stddev_ticket_m",
+    "median_ticket_m", "active_days_m", "uniq_merchants_m", "uniq_tax_l1_m", "uniq_tax_l2_m",
+    "uniq_tax_l3_m", *monthly.SPENDS, *monthly.COUNTS, "new_merchant_cnt_m",
+    "repeat_merchant_txn_cnt_m",
+]
+MONTH_DERIVED = ["consumption_spend_m", "txn_per_active_day_m", "merchant_repeat_ratio_m", "merchant_novelty_rate_m"]
+
+
+@query("month_base")
+def month_base(spark, folder):
+    return base(spark, folder).select(*MONTH, *MONTH_BASE)
+
+
+@query("month_base_events")
+def month_base_events(spark, folder):
+    txns = event_phase1(spark, folder)
+    return monthly.month_totals(txns, labels(spark)).select(
+        *MONTH, "txn_cnt_m", "spend_amt_m", "active_days_m", "online_spend_m", "offline_spend_m",
+        "inapp_spend_m", "morning_spend_m", "lunch_spend_m", "evening_spend_m", "late_night_spend_m",
+        "weekend_spend_m", "payday_window_spend_m", "new_merchant_cnt_m")
+
+
+@query("month_base_approx")
+def month_base_approx(spark, folder):
+    return phase1(spark, folder).groupBy(*MONTH).agg(
+        *[F.approx_count_distinct(column).alias(name) for name, column in {
+            "active_days_m": "txn_date", "uniq_merchants_m": "merchant_key", "uniq_tax_l1_m": "tax_l1",
+            "uniq_tax_l2_m": "tax_l2", "uniq_tax_l3_m": "tax_l3"}.items()])
+
+
+@query("month_shares")
+def month_shares(spark, folder):
+    return base(spark, folder).select(*MONTH, *monthly.SHARES, *MONTH_DERIVED)
+
+
+@query("l1_pivot")
+def l1_pivot(spark, folder):
+    df = monthly.add_ecosystems(totals(spark, folder))
+    return df.select(
+        *MONTH, *[c for c in df.columns if c.startswith("l1_") and "other_longtail" not in c])
+
+
+@query("dominant_ecosystem")
+def dominant_ecosystem(spark, folder):
+    return monthly.add_ecosystems(totals(spark, folder)).select(
+        *MONTH, "dominant_ecosystem", "second_ecosystem", "top_l1_share")
+
+
+@query("category_breadth")
+def category_breadth(spark, folder):
+    return monthly.add_ecosystems(totals(spark, folder)).select(*MONTH, "category_breadth_m")
+
+
+@query("platform_month")
+def platform_month(spark, folder):
+    return monthly.add_platforms(totals(spark, folder)).select(
+        *MONTH, "platform_count_m", "platform_spend_m", "platform_txn_cnt_m", "platform_share_m", "dominant_platform")
+
+
+@query("l2_pivot")
+def l2_pivot(spark, folder):
+    df = monthly.add_key_l2_shares(totals(spark, folder))
+    return df.select(*MONTH, *[c for c in df.columns if c.startswith("l2_")])
+
+
+def merchant_rows(spark, folder):
+    return merchants.add_merchant_sizes(merchants.merchant_months(phase1(spark, folder)))
+
+
+@query("merchant_entropy")
+def merchant_entropy(spark, folder):
+    return merchants.merchant_features(merchant_rows(spark, folder)).select(
+        *MONTH, "merchant_entropy_m", "merchant_hhi_m", "merchant_cnt_m")
+
+
+@query("top_merchants")
+def top_merchants(spark, folder):
+    top = merchants.top_merchants(merchants.merchant_months(phase1(spark, folder)))
+    return merchants.add_top_shares(
+        totals(spark, folder).select(*MONTH, "spend_amt_m").join(top, MONTH, "left")
+    ).select(*MONTH, "top1_merchant_share_m", "top3_merchant_spend_m", "top3_merchant_share_m")
+
+
+@query("ecosystem_entropy")
+def ecosystem_entropy(spark, folder):
+    return monthly.add_ecosystem_concentration(totals(spark, folder), labels(spark)).select(
+        *MONTH, "ecosystem_entropy_m", "ecosystem_hhi_m")
+
+
+@query("merchant_scale")
+def merchant_scale(spark, folder):
+    return merchants.merchant_features(merchant_rows(spark, folder), SIZE_BOUNDS).select(
+        *MONTH, "avg_merchant_scale_m", "spend_at_mega_merchants_m", "spend_at_large_merchants_m",
+        "spend_at_longtail_merchants_m")
+
+
+@query("merchant_sizes")
+def merchant_sizes(spark, folder):
+    return merchants.merchant_sizes(merchants.merchant_months(phase1(spark, folder)))
+
+
+@query("merchant_loyalty")
+def merchant_loyalty(spark, folder):
+    return merchants.merchant_features(merchant_rows(spark, folder)).select(
+        *MONTH, "avg_visits_per_merchant_m", "max_visits_per_merchant_m", "loyal_merchant_cnt_m")
+
+
+TURNOVER = [
+    "retained_merchant_cnt_m", "dropped_merchant_cnt_m", "merchant_turnover_rate_m",
+    "merchant_churn_rate_m", "merchant_retention_rate_m",
+]
+
+
+@query("merchant_turnover")
+def merchant_turnover(spark, folder):
+    return merchants.add_turnover(base(spark, folder)).select(*MONTH, *TURNOVER)
+
+
+@query("merchant_retained_join")
+def merchant_retained_join(spark, folder):
+    return merchants.retained_by_join(named(spark, folder))
+
+
+@query("new_merchants_first_seen")
+def new_merchants_first_seen(spark, folder):
+    return merchants.first_seen(named(spark, folder))
+
+
+RECURRING = [
+    "subscription_merchant_cnt_m", "recurring_merchant_cnt_m", "episodic_merchant_cnt_m",
+    "irregular_merchant_cnt_m", "subscription_like_spend_m", "recurring_spend_m",
+    "avg_recurring_interval_m", "avg_recurring_cv_m", "recurring_spend_share_m",
+    "subscription_like_spend_share_m",
+]
+
+
+@query("recurring_summary")
+def recurring_summary(spark, folder):
+    return merchants.add_recurring_shares(base(spark, folder)).select(*MONTH, *RECURRING)
+
+
+# ---------------------------------------------------------------- months in order
+
+def from_mart(name: str, columns: str) -> None:
+    @query(name)
+    def select(spark, folder):
+        return phase2(spark, folder).select(*MONTH, *columns.split())
+
+
+def from_personas(name: str, columns: str) -> None:
+    @query(name)
+    def select(spark, folder):
+        return phase3(spark, folder).select(*MONTH, *columns.split())
+
+
+from_mart("rolling_3m", """
+spend_amt_3m txn_cnt_3m avg_ticket_3m online_share_3m xborder_share_3m wallet_share_3m premium_share_3m
+merchant_entropy_3m grocery_share_3m late_night_share_3m weekend_share_3m ride_hailing_share_3m
+food_delivery_share_3m dominant_ecosystem_freq_3m spend_vs_3m_avg_ratio""")
+from_mart("rolling_6m_12m", """
+spend_amt_6m txn_cnt_6m spend_stability_6m spend_amt_12m txn_cnt_12m avg_ticket_12m spend_stability_12m""")
+from_mart("mom_velocity", """
+spend_prev_m txn_cnt_prev_m spend_velocity_m spend_pct_change_m txn_cnt_velocity_m avg_ticket_prev_m
+avg_ticket_change_m spend_velocity_prev_m spend_acceleration_m""")
+from_mart("share_slopes", """
+online_share_prev_m online_share_slope_m xborder_share_prev_m xborder_share_slope_m wallet_share_prev_m
+wallet_share_slope_m premium_share_prev_m premium_share_slope_m""")
+from_mart("migration_trend", """
+dominant_ecosystem_prev_m l1_migration_flag merchant_entropy_prev_m entropy_trend_m diversification_flag
+ecosystem_hhi_prev_m ecosystem_hhi_change_m merchant_hhi_prev_m merchant_hhi_change_m""")
+from_mart("spend_regime", """
+wallet_dependence_flag topup_heavy_flag processor_mediated_flag spend_regime premium_retail_orientation
+avg_ticket_affluence_proxy travel_premium_proxy convenience_dependence fuel_dependence business_proxy_flag
+financial_services_share_m""")
+from_mart("risk_flags", """
+concentration_shock_flag spend_drop_flag category_shock_flag high_freq_low_ticket_flag
+topup_overdependence_flag unstable_flag""")
+from_mart("feature_quality", "feature_quality_flag")
+from_personas("persona_scores", """
+score_travel score_affluent score_digital score_food_social score_everyday score_business_proxy
+score_mobile_wallet score_concentration""")
+from_personas("primary_persona", "primary_persona persona_confidence persona_confidence_score")
+from_personas("micro_segments", " ".join(c for c in personas.CAMPAIGN_VIEW if c.startswith("ms_")))
+from_personas("persona_tenure", "primary_persona primary_persona_prev_m persona_shift_flag persona_tenure_months")
+from_personas("use_cases", "campaign_use_case clm_use_case pricing_use_case risk_use_case")
+
+
+@query("campaign_view")
+def campaign_view(spark, folder):
+    return personas.campaign_view(phase3(spark, folder))
+
+
+# ---------------------------------------------------------------- audits and reports
+
+@query("phase1_audit")
+def phase1_audit(spark, folder):
+    return audit.tidy(audit.phase1_metrics(phase1(spark, folder)), "PHASE1")
+
+
+@query("phase2_audit")
+def phase2_audit(spark, folder):
+    return audit.tidy(audit.phase2_metrics(phase2(spark, folder)), "PHASE2")
+
+
+@query("phase3_audit")
+def phase3_audit(spark, folder):
+    return audit.tidy(audit.phase3_metrics(phase3(spark, folder)), "PHASE3")
+
+
+@query("l1_distribution")
+def l1_distribution(spark, folder):
+    return audit.label_counts(phase1(spark, folder), "tax_l1")
+
+
+@query("unclassified_top")
+def unclassified_top(spark, folder):
+    return audit.top_unclassified_by_spend(phase1(spark, folder))
+
+
+@query("unclassified_top_count")
+def unclassified_top_count(spark, folder):
+    return audit.top_unclassified_by_count(phase1(spark, folder))
+
+
+@query("null_rates")
+def null_rates(spark, folder):
+    return audit.null_rates(phase3(spark, folder))
+
+
+@query("persona_counts")
+def persona_counts(spark, folder):
+    return audit.label_counts(phase3(spark, folder), "primary_persona")
+
+
+@query("persona_distribution")
+def persona_distribution(spark, folder):
+    return audit.persona_distribution(phase3(spark, folder))
+
+
+@query("source_coverage")
+def source_coverage(spark, folder):
+    return audit.source_coverage(phase1(spark, folder))
+
+
+@query("feature_health")
+def feature_health(spark, folder):
+    return audit.feature_health(phase3(spark, folder))
+
+
+@query("segment_rates")
+def segment_rates(spark, folder):
+    return audit.segment_rates(phase3(spark, folder))
+
+
+@query("score_by_persona")
+def score_by_persona(spark, folder):
+    return audit.score_by_persona(phase3(spark, folder))

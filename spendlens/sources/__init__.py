@@ -1,4 +1,4 @@
-from .dimensions import attach_dimension, dimension, require_unique
+from .dimensions import attach_dimension, dimension
 from .store import materialize, scratch_path
 from .tables import (
     append_audit, complete_columns, ensure_audit_table, read_transactions, require_columns,
@@ -8,5 +8,5 @@ from .tables import (
 __all__ = [
     "append_audit", "attach_dimension", "complete_columns", "dimension",
     "ensure_audit_table", "materialize", "read_transactions", "require_columns",
-    "require_unique", "scratch_path", "stamp", "standardize", "write_table",
+    "scratch_path", "stamp", "standardize", "write_table",
 ]

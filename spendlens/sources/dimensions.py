@@ -13,20 +13,18 @@ def dimension(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     return spark.createDataFrame(rows, ddl)
 
 
-def require_unique(dim: DataFrame, keys: list[Column], label: str) -> DataFrame:
-    """Raise if a reference key occurs twice: it would multiply transactions."""
-    if dim.groupBy(*keys).count().where("count > 1").limit(1).count():
-        raise ValueError(f"reference {label} has duplicate keys")
-    return dim
-
-
 def attach_dimension(
-    df: DataFrame, dim: DataFrame, condition: Column, broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame, dim: DataFrame, keys: list[str], condition: Column, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Left join that broadcasts the dimension only after checking its size.
+    """Left join to a reference table after checking it.
 
-    Beyond the bound the join shuffles, where AQE splits hot keys.
+    A key that occurs twice is an error, since it would multiply transactions.
+    The table is broadcast only if it has at most ``broadcast_rows`` rows;
+    beyond that the join shuffles, where AQE splits hot keys.
     """
-    if dim.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    found = dim.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first()
+    if (found["most"] or 0) > 1:
+        raise ValueError(f"reference keys occur more than once: {', '.join(keys)}")
+    if (found["rows"] or 0) <= broadcast_rows:
         dim = F.broadcast(dim)
     return df.join(dim, condition, "left")
