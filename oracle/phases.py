@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 
-from . import enrichment as e
+from spendlens import fixed_values as fv
 
-CTES = dict(e.CTES)
+from . import features as f
+from .enrichment import CTES
 FINAL: dict[str, str] = {}
 
 
@@ -29,7 +30,7 @@ def same(*names: str) -> dict[str, str]:
 
 def build() -> dict[str, str]:
     """Every final statement with the common table expressions it needs."""
-    words = {name: re.compile(rf"\b{name}\b") for name in CTES}
+    words = {name: re.compile(rf"(?:FROM|JOIN)\s+{name}\b") for name in CTES}
 
     def needed(sql: str, found: list[str]) -> list[str]:
         for name, word in words.items():
@@ -108,3 +109,181 @@ FINAL["recurrence_tags"] = pick(
 FINAL["recurrence_tags_events"] = pick(
     "ev_enriched", **same("txn_key"), merchant_visit_cnt="visits", merchant_novelty_tag="novelty",
     **same("recurrence_tag"), subscription_candidate_flag="candidate")
+
+
+# ---------------------------------------------------------------- customer-months
+KEYS = {"CUST_NUM": "cust", "txn_month": day("mon")}
+# Month-level columns that are whole numbers or text; all others are doubles.
+PLAIN = re.compile(
+    r"_cnt_|txn_cnt|_flag|active_days|uniq_|breadth|platform_count|dominant|second_eco|regime|orientation|proxy$"
+    r"|dependence|persona|confidence$|use_case|max_visits|retained|dropped|^ms_|freq_3m|diversification|tenure")
+DOUBLES = re.compile(r"score|velocity_m$|velocity_prev_m$|slope|share_m$")
+
+
+def shown(name: str) -> str:
+    if name == "txn_cnt_velocity_m":
+        return name
+    return name if PLAIN.search(name) and not DOUBLES.search(name) else num(name)
+
+
+def months(source: str, columns) -> str:
+    names = columns.split() if isinstance(columns, str) else columns
+    return pick(source, **KEYS, **{n: shown(n) for n in names})
+
+
+SPENDS = [f"{n}_spend_m" for n in f.SPENDS]
+FINAL["month_base"] = months("month_rows", [
+    "txn_cnt_m", "spend_amt_m", "avg_ticket_m", "max_ticket_m", "min_ticket_m", "stddev_ticket_m", "median_ticket_m",
+    "active_days_m", "uniq_merchants_m", "uniq_tax_l1_m", "uniq_tax_l2_m", "uniq_tax_l3_m", *SPENDS,
+    *[f"{n}_txn_cnt_m" for n in f.COUNTS], "new_merchant_cnt_m", "repeat_merchant_txn_cnt_m"])
+FINAL["month_base_events"] = months("ev_month_sums", """
+txn_cnt_m spend_amt_m active_days_m online_spend_m offline_spend_m inapp_spend_m morning_spend_m lunch_spend_m
+evening_spend_m late_night_spend_m weekend_spend_m payday_window_spend_m new_merchant_cnt_m""")
+FINAL["month_shares"] = months("month_rows", [f"{n}_share_m" for n in f.SHARES] + [
+    "consumption_spend_m", "txn_per_active_day_m", "merchant_repeat_ratio_m", "merchant_novelty_rate_m"])
+FINAL["l1_pivot"] = months("l1_month", [f"l1_{x.lower()}_spend_m" for x in f.L1]
+                           + [f"l1_{x.lower()}_share_m" for x in fv.ECOSYSTEMS])
+FINAL["dominant_ecosystem"] = months("l1_month", "dominant_ecosystem second_ecosystem top_l1_share")
+FINAL["category_breadth"] = months("l1_month", "category_breadth_m")
+FINAL["platform_month"] = months(
+    "platform_months", "platform_count_m platform_spend_m platform_txn_cnt_m platform_share_m dominant_platform")
+FINAL["l2_pivot"] = months("l2_month", [f"l2_{x.lower()}_{kind}_m" for kind in ("spend", "share") for x in fv.KEY_L2])
+FINAL["merchant_entropy"] = months("merchant_mix", "merchant_entropy_m merchant_hhi_m merchant_cnt_m")
+FINAL["top_merchants"] = months("features", "top1_merchant_share_m top3_merchant_spend_m top3_merchant_share_m")
+FINAL["ecosystem_entropy"] = months("ecosystem_mix", "ecosystem_entropy_m ecosystem_hhi_m")
+FINAL["merchant_scale"] = months("scale", """avg_merchant_scale_m spend_at_mega_merchants_m
+spend_at_large_merchants_m spend_at_longtail_merchants_m""")
+FINAL["merchant_sizes"] = pick(
+    "merchant_size", mcht_nm_norm="nm", txn_month=day("mon"), merchant_global_txn_cnt="txns",
+    merchant_global_cust_cnt="custs")
+FINAL["merchant_loyalty"] = months("loyalty", "avg_visits_per_merchant_m max_visits_per_merchant_m loyal_merchant_cnt_m").replace(
+    "avg_visits_per_merchant_m AS", num("avg_visits_per_merchant_m") + " AS")
+FINAL["merchant_turnover"] = months("turnover", """retained_merchant_cnt_m dropped_merchant_cnt_m
+merchant_turnover_rate_m merchant_churn_rate_m merchant_retention_rate_m""")
+FINAL["merchant_retained_join"] = months("retained", "retained_merchant_cnt_m")
+FINAL["new_merchants_first_seen"] = pick(
+    "(SELECT cust, mon, count(*) AS n FROM (SELECT cust, nm, min(mon) AS mon FROM named GROUP BY ALL) GROUP BY ALL)",
+    **KEYS, new_merchant_cnt_m="n")
+FINAL["recurring_summary"] = months("features", """
+subscription_merchant_cnt_m recurring_merchant_cnt_m episodic_merchant_cnt_m irregular_merchant_cnt_m
+subscription_like_spend_m recurring_spend_m avg_recurring_interval_m avg_recurring_cv_m recurring_spend_share_m
+subscription_like_spend_share_m""")
+
+FINAL["rolling_3m"] = months("changed", """
+spend_amt_3m txn_cnt_3m avg_ticket_3m online_share_3m xborder_share_3m wallet_share_3m premium_share_3m
+merchant_entropy_3m grocery_share_3m late_night_share_3m weekend_share_3m ride_hailing_share_3m
+food_delivery_share_3m dominant_ecosystem_freq_3m spend_vs_3m_avg_ratio""")
+FINAL["rolling_6m_12m"] = months("changed", """
+spend_amt_6m txn_cnt_6m spend_stability_6m spend_amt_12m txn_cnt_12m avg_ticket_12m spend_stability_12m""")
+FINAL["mom_velocity"] = months("mart", """
+spend_prev_m txn_cnt_prev_m spend_velocity_m spend_pct_change_m txn_cnt_velocity_m avg_ticket_prev_m
+avg_ticket_change_m spend_velocity_prev_m spend_acceleration_m""")
+FINAL["share_slopes"] = months("changed", """
+online_share_prev_m online_share_slope_m xborder_share_prev_m xborder_share_slope_m wallet_share_prev_m
+wallet_share_slope_m premium_share_prev_m premium_share_slope_m""")
+FINAL["migration_trend"] = months("changed", """
+dominant_ecosystem_prev_m l1_migration_flag merchant_entropy_prev_m entropy_trend_m diversification_flag
+ecosystem_hhi_prev_m ecosystem_hhi_change_m merchant_hhi_prev_m merchant_hhi_change_m""")
+FINAL["spend_regime"] = months("mart", """
+wallet_dependence_flag topup_heavy_flag processor_mediated_flag spend_regime premium_retail_orientation
+avg_ticket_affluence_proxy travel_premium_proxy convenience_dependence fuel_dependence business_proxy_flag
+financial_services_share_m""")
+FINAL["risk_flags"] = months("mart", """
+concentration_shock_flag spend_drop_flag category_shock_flag high_freq_low_ticket_flag
+topup_overdependence_flag unstable_flag""")
+FINAL["feature_quality"] = months("mart", "feature_quality_flag")
+SCORES = """score_travel score_affluent score_digital score_food_social score_everyday score_business_proxy
+score_mobile_wallet score_concentration""".split()
+FINAL["persona_scores"] = months("scored", SCORES)
+FINAL["primary_persona"] = months("scored", "primary_persona persona_confidence persona_confidence_score")
+FINAL["micro_segments"] = months("scored", [f"ms_{n}" for n in f.OVERLAYS])
+FINAL["persona_tenure"] = months(
+    "tenured", "primary_persona primary_persona_prev_m persona_shift_flag persona_tenure_months")
+FINAL["use_cases"] = months("personas", "campaign_use_case clm_use_case pricing_use_case risk_use_case")
+FINAL["campaign_view"] = months("personas", """
+primary_persona persona_confidence persona_confidence_score persona_shift_flag persona_tenure_months
+campaign_use_case clm_use_case pricing_use_case risk_use_case
+spend_amt_m consumption_spend_m txn_cnt_m avg_ticket_m max_ticket_m txn_per_active_day_m
+online_share_m xborder_share_m wallet_share_m premium_share_m
+merchant_entropy_m merchant_hhi_m top3_merchant_share_m
+merchant_repeat_ratio_m merchant_novelty_rate_m merchant_churn_rate_m merchant_retention_rate_m
+spend_velocity_m spend_acceleration_m dominant_ecosystem second_ecosystem category_breadth_m
+dominant_platform platform_count_m platform_share_m l1_migration_flag diversification_flag
+spend_regime feature_quality_flag spend_amt_3m avg_ticket_3m online_share_3m spend_vs_3m_avg_ratio
+spend_amt_12m txn_cnt_12m spend_stability_12m grocery_share_3m late_night_share_3m weekend_share_3m
+score_travel score_affluent score_digital score_food_social score_everyday score_business_proxy
+score_mobile_wallet score_concentration
+ms_subscription_heavy ms_wallet_dependent ms_food_delivery_native ms_cross_border_frequent
+ms_weekend_spender ms_healthcare_engaged ms_premium_retail_oriented ms_convenience_dependent
+ms_installment_buyer_proxy ms_fuel_dependent ms_reactivating_user ms_business_spend_proxy
+ms_risk_monitor_flag ms_grocery_anchor ms_payday_spender ms_ride_hailing_regular
+concentration_shock_flag spend_drop_flag topup_overdependence_flag wallet_dependence_flag business_proxy_flag""")
+
+# ---------------------------------------------------------------- audits and reports
+
+
+def tidy(phase: str, source: str, doubles: dict[str, str], **counts: str) -> str:
+    """One scan, then a row per metric."""
+    whole = ", ".join(f"CAST({sql} AS BIGINT) AS {name}" for name, sql in counts.items())
+    parts = ", ".join(f"CAST(round({sql}, 6) AS DECIMAL(38, 6)) AS {name}" for name, sql in doubles.items())
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS metric, CAST({name} AS VARCHAR) AS metric_value FROM a" for name in [*counts, *doubles])
+    return f"SELECT '{phase}' AS phase, metric, metric_value FROM (WITH a AS (SELECT {whole}, {parts} FROM {source}) {rows})"
+
+
+def cnt(condition: str) -> str:
+    return f"coalesce(sum(CASE WHEN {condition} THEN 1 ELSE 0 END), 0)"
+
+
+UNCLASSIFIED, RULED = cnt("tax_l1 = 'UNCLASSIFIED'"), cnt("taxonomy_source = 'MERCHANT_RULE'")
+FINAL["phase1_audit"] = tidy(
+    "PHASE1", "taxed", {"unclassified_rate": f"{UNCLASSIFIED}::DOUBLE / count(*)", "rule_coverage_rate": f"{RULED}::DOUBLE / count(*)"},
+    total_txns="count(*)", unique_customers="count(DISTINCT cust)", unique_merchants="count(DISTINCT sha256(nm))",
+    unclassified_cnt=UNCLASSIFIED, rule_matched_cnt=RULED, mobius_matched_cnt=cnt("taxonomy_source = 'MOBIUS'"),
+    b2k_matched_cnt=cnt("taxonomy_source = 'B2K'"), multi_rule_conflicts=cnt("rule_conflict_flag = 'MULTIPLE_RULES'"),
+    source_conflicts=cnt("taxonomy_conflict_flag = 'MOBIUS_B2K_DISAGREE'"))
+FINAL["phase2_audit"] = tidy(
+    "PHASE2", "mart", {"avg_txn_cnt": "avg(txn_cnt_m)", "avg_spend": "avg(spend_amt_m)",
+                       "avg_merchant_entropy": "avg(merchant_entropy_m)", "avg_merchant_hhi": "avg(merchant_hhi_m)"},
+    total_cust_months="count(*)", unique_customers="count(DISTINCT cust)", good_quality_cnt=cnt("feature_quality_flag = 'GOOD'"),
+    low_vol_cnt=cnt("feature_quality_flag = 'LOW_VOLUME'"), zero_spend_cnt=cnt("feature_quality_flag = 'ZERO_SPEND'"))
+PERSONA_METRICS = {
+    "everyday": "EVERYDAY_ANCHOR", "digital": "DIGITAL_NATIVE", "lifestyle": "LIFESTYLE_SOCIAL", "travel": "TRAVEL_CENTRIC",
+    "affluent": "AFFLUENT_LIFESTYLE", "emerging": "EMERGING_MOBILE", "business": "BUSINESS_PROXY",
+    "loyalist": "CONCENTRATED_LOYALIST", "explorer": "DIVERSIFIED_EXPLORER", "dormant": "DORMANT_LOW_ACTIVITY"}
+FINAL["phase3_audit"] = tidy(
+    "PHASE3", "shifted", {"avg_persona_shift_rate": "avg(persona_shift_flag)"},
+    total_cust_months="count(*)", unique_customers="count(DISTINCT cust)", risk_flagged_cnt="sum(ms_risk_monitor_flag)",
+    **{f"persona_{short}": cnt(f"primary_persona = '{name}'") for short, name in PERSONA_METRICS.items()})
+FINAL["l1_distribution"] = "SELECT tax_l1, count(*) AS count FROM taxed GROUP BY tax_l1"
+FINAL["unclassified_top"] = f"""
+SELECT nm AS mcht_nm_norm, count(*) AS txn_count, {num('sum(amt)')} AS total_spend, count(DISTINCT cust) AS unique_customers
+FROM taxed WHERE taxonomy_source = 'UNCLASSIFIED' GROUP BY nm ORDER BY sum(amt) DESC, nm LIMIT 20"""
+FINAL["unclassified_top_count"] = """
+SELECT nm AS mcht_nm_norm, count(*) AS count FROM taxed WHERE tax_l1 = 'UNCLASSIFIED'
+GROUP BY nm ORDER BY count(*) DESC, nm LIMIT 50"""
+CRITICAL = """spend_amt_m txn_cnt_m avg_ticket_m merchant_entropy_m online_share_m wallet_share_m dominant_ecosystem
+primary_persona persona_confidence spend_regime spend_amt_3m spend_amt_12m grocery_share_m late_night_share_m
+payday_share_m""".split()
+FINAL["null_rates"] = "SELECT " + ", ".join(
+    f"{num(f'round(avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100, 2)')} AS {c}" for c in CRITICAL) + " FROM scored"
+FINAL["persona_counts"] = "SELECT primary_persona, count(*) AS count FROM scored GROUP BY primary_persona"
+FINAL["persona_distribution"] = f"""
+SELECT primary_persona, count(*) AS customer_months, {num('round(avg(spend_amt_m), 2)')} AS avg_spend,
+  {num('round(avg(txn_cnt_m), 1)')} AS avg_txn_cnt, {num('round(avg(avg_ticket_m), 2)')} AS avg_ticket,
+  {num('round(avg(persona_confidence_score), 3)')} AS avg_confidence
+FROM scored GROUP BY primary_persona"""
+FINAL["source_coverage"] = f"""
+SELECT taxonomy_source, count(*) AS txn_count, {num('sum(amt)')} AS total_spend,
+  {num('round(sum(amt) / (SELECT sum(amt) FROM taxed) * 100, 2)')} AS spend_pct
+FROM taxed GROUP BY taxonomy_source"""
+FINAL["feature_health"] = f"""
+SELECT count(*) AS total_rows, count(DISTINCT cust) AS unique_customers, count(DISTINCT mon) AS months_covered,
+  {num('round(avg(spend_amt_m), 2)')} AS avg_spend_m, {num('round(avg(txn_cnt_m), 1)')} AS avg_txn_cnt,
+  {num('round(avg(merchant_entropy_m), 3)')} AS avg_merchant_entropy,
+  {num('round(avg(online_share_m), 3)')} AS avg_online_share, {num('round(avg(wallet_share_m), 3)')} AS avg_wallet_share
+FROM mart"""
+FINAL["segment_rates"] = "SELECT " + ", ".join(
+    f"{num(f'round(avg(ms_{n}) * 100, 2)')} AS ms_{n}" for n in f.OVERLAYS) + " FROM scored"
+FINAL["score_by_persona"] = "SELECT primary_persona, " + ", ".join(
+    f"{num(f'round(avg({c}), 3)')} AS {c}" for c in SCORES) + " FROM scored GROUP BY primary_persona"

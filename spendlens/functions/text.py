@@ -37,7 +37,11 @@ def any_of(patterns: list[str]) -> str:
 
 
 def alternatives(pattern: str) -> list[str]:
-    """Split a pattern on the bars that are outside any bracket."""
+    """Split a pattern on the bars that are outside any bracket. A pattern that
+    is one plain group is opened first."""
+    inner = re.fullmatch(r"\(([^()?][^()]*)\)", pattern)
+    if inner:
+        pattern = inner.group(1)
     parts, depth, start = [], 0, 0
     for i, char in enumerate(pattern):
         depth += (char in "([") - (char in ")]")
