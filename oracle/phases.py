@@ -6,6 +6,7 @@ import re
 
 from spendlens import fixed_values as fv
 
+from . import broad as b
 from . import features as f
 from .enrichment import CTES
 FINAL: dict[str, str] = {}
@@ -287,3 +288,85 @@ FINAL["segment_rates"] = "SELECT " + ", ".join(
     f"{num(f'round(avg(ms_{n}) * 100, 2)')} AS ms_{n}" for n in f.OVERLAYS) + " FROM scored"
 FINAL["score_by_persona"] = "SELECT primary_persona, " + ", ".join(
     f"{num(f'round(avg({c}), 3)')} AS {c}" for c in SCORES) + " FROM scored GROUP BY primary_persona"
+
+
+# ---------------------------------------------------------------- broad variant
+FINAL["normalize_basic"] = pick(
+    "basic_named", **same("txn_key"), mcht_nm_norm="bnm", txn_desc_norm="bds", curr_desc_norm="bcur",
+    **same("match_text"), merchant_tokens="bnm", merchant_key="mkey")
+FINAL["source_sentinel_clean"] = pick("landed", **same(
+    "txn_key", "mobius_l1", "mobius_l2", "mobius_l3", "b2k_l1", "b2k_l2", "b2k_l3"))
+FINAL["rule_match_broad"] = pick("broad_tagged", **same(
+    "txn_key", "matched_priority", "rule_l1", "rule_l2", "rule_l3", "matched_rule_set", "rule_match_count"),
+    rule_conflict_flag="broad_conflict")
+FINAL["channel_geo_tags_v1"] = pick("broad_tagged", **same("txn_key", "channel_tag", "geo_tag", "in_app_tag"))
+FINAL["structural_flags_v1"] = pick("broad_tagged", **same(
+    "txn_key", "wallet_flag", "processor_flag", "topup_flag", "marketplace_flag", "food_delivery_flag",
+    "ride_hailing_flag", "premium_merchant_flag", "business_proxy_flag", "mall_ecosystem_flag"))
+FINAL["taxonomy_reconcile_single_source"] = pick(
+    "broad_taxed", **same("txn_key"), taxonomy_source_used="source", **same(
+        "taxonomy_conflict_flag", "tax_l1", "tax_l2", "tax_l3", "taxonomy_confidence_tag", "taxonomy_match_level"))
+FINAL["recurrence_last3"] = pick(
+    "basic_last3", **same("txn_key"), prev_txn_dt_same_merchant=day("prev_dt"), days_since_prev_same_merchant="gap",
+    amt_delta_prev_same_merchant=num("delta"), avg_interval_3txns=num("avg3"), std_interval_3txns=num("std3"),
+    cv_interval=num("cv3"), merchant_novelty_tag="novelty", **same("recurrence_tag"),
+    subscription_candidate_flag="candidate")
+FINAL["recurrence_last3_events"] = pick(
+    "ev_last3", **same("txn_key"), avg_interval_3txns=num("avg3"), std_interval_3txns=num("std3"), **same("recurrence_tag"))
+FINAL["month_base_v1"] = months("broad_mart", """
+txn_cnt_m spend_amt_m avg_ticket_m max_ticket_m active_days_m uniq_merchants_m uniq_tax_l1_m uniq_tax_l2_m
+uniq_tax_l3_m recurring_txn_cnt_m recurring_merchant_cnt_m dominant_ecosystem""".split()
+    + [f"{n}_spend_m" for n in b.SPENDS] + [f"{n}_spend_share_m" for n in b.SHARED]
+).replace("dominant_ecosystem AS dominant_ecosystem",
+          f"dominant_ecosystem, {num('dominant_ecosystem_spend_m')} AS dominant_ecosystem_spend_m")
+FINAL["l1_pivot_v1"] = months("broad_mart", b.L1)
+FINAL["merchant_intelligence_v1"] = pick(
+    "broad_mart", **KEYS, avg_merchant_scale_txn_cnt_m=num("avg_merchant_scale_txn_cnt_m"),
+    **same("max_merchant_scale_txn_cnt_m", "new_merchant_cnt_m"), **{n: num(n) for n in """
+spend_at_mega_merchants_m spend_at_large_merchants_m spend_at_longtail_merchants_m merchant_entropy_m merchant_hhi_m
+top_merchant_share_m top3_merchant_share_m ecosystem_entropy_m ecosystem_hhi_m""".split()})
+FINAL["rolling_v1"] = months("broad_mart", """
+spend_amt_3m txn_cnt_3m spend_amt_6m avg_ticket_3m merchant_entropy_3m_avg ecosystem_entropy_3m_avg
+mom_spend_growth mom_txn_growth online_share_delta_m xborder_share_delta_m wallet_share_delta_m
+premium_share_delta_m l1_migration_flag merchant_entropy_trend diversification_flag prev_txn_cnt_m2""")
+FINAL["regime_v1"] = months("broad_mart", "spend_regime_flag wallet_dependence_flag feature_quality_flag")
+FINAL["persona_v1"] = pick(
+    "broad_personas", **KEYS, **{f"share_{x.lower()}": num(f"share_{x.lower()}") for x in b.L1},
+    **same("primary_persona"), persona_confidence=num("persona_confidence"), **same("prev_persona", "persona_shift_flag"))
+FINAL["overlays_v1"] = pick("broad_personas", **KEYS, **same(*[f"overlay_{n}" for n in b.OVERLAYS]))
+FINAL["campaign_view_v1"] = pick(
+    "broad_personas", **KEYS, **same("primary_persona"), persona_confidence=num("persona_confidence"), **same(
+        "overlay_subscription_heavy", "overlay_wallet_dependent", "overlay_food_delivery_native",
+        "overlay_cross_border_frequent", "overlay_healthcare_engaged", "overlay_premium_retail_oriented",
+        "spend_regime_flag", "feature_quality_flag", "dominant_ecosystem"),
+    **{n: num(n) for n in ("food_delivery_spend_share_m", "premium_spend_share_m", "xborder_spend_share_m")})
+FINAL["clm_view"] = pick(
+    "broad_personas", "WHERE feature_quality_flag = 'GOOD'", **KEYS, **same("primary_persona"), **{n: num(n) for n in """
+persona_confidence spend_amt_m spend_amt_3m mom_spend_growth avg_ticket_m premium_spend_share_m xborder_spend_share_m
+merchant_entropy_m ecosystem_entropy_m""".split()})
+FINAL["risk_view"] = pick(
+    "broad_personas", **KEYS, **same("primary_persona", "spend_regime_flag", "overlay_risk_monitor_flag",
+                                     "l1_migration_flag", "diversification_flag"),
+    **{n: num(n) for n in """topup_spend_share_m wallet_spend_share_m business_proxy_spend_share_m mom_spend_growth
+merchant_entropy_trend""".split()})
+
+
+def percent(condition: str) -> str:
+    return f"round(avg(CASE WHEN {condition} THEN 1 ELSE 0 END) * 100, 4)"
+
+
+FINAL["audit_v1"] = " UNION ALL ".join([
+    tidy("PHASE1", "broad_taxed", {
+        "unclassified_pct": percent("tax_l1 = 'OTHER_LONGTAIL'"), "rule_coverage_pct": percent("source = 'MERCHANT_RULE'"),
+        "mobius_coverage_pct": percent("source = 'MOBIUS'"), "b2k_coverage_pct": percent("source = 'B2K'")},
+        total_records="count(*)"),
+    tidy("PHASE2", "broad_mart", {"low_volume_pct": percent("feature_quality_flag = 'LOW_VOLUME'")},
+         customer_months="count(*)"),
+    "SELECT 'PHASE3' AS phase, 'persona_count' AS metric, CAST(count(*) AS VARCHAR) AS metric_value FROM broad_personas"])
+
+# ---------------------------------------------------------------- small variant
+FINAL["simple_tags"] = pick(
+    "plain_tagged", **same("txn_key"), merchant_norm="pnm", **same("channel_tag", "wallet_topup_flag", "txn_size_tier"))
+FINAL["persona_simple"] = pick(
+    "plain_months", **KEYS, **same("txn_cnt_m", "uniq_merchants_m", "wallet_txn_cnt", "primary_persona"),
+    **{n: num(n) for n in "spend_amt_m avg_ticket_m online_spend_m merchant_entropy spend_prev_m spend_velocity".split()})

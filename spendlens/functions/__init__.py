@@ -1,7 +1,7 @@
-from .columns import flag, label_by, money_when, safe_div, share_of, tier_by
+from .columns import flag, label_by, money_when, safe_div, share_of, sql_text, tier_by
 from .text import any_of, clean_text, clean_text_basic, constant, matching
 
 __all__ = [
     "any_of", "clean_text", "clean_text_basic", "constant", "flag", "label_by", "matching",
-    "money_when", "safe_div", "share_of", "tier_by",
+    "money_when", "safe_div", "share_of", "sql_text", "tier_by",
 ]

@@ -39,3 +39,8 @@ def share_of(part: Column, total: Column) -> Column:
 def safe_div(part: Column, total: Column) -> Column:
     """part / total, and 0.0 when the total is NULL or zero."""
     return F.when(total.isNull() | (total == 0), F.lit(0.0)).otherwise(part / total)
+
+
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

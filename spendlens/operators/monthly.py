@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions import flag, money_when, share_of
+from ..functions import flag, money_when, share_of, sql_text
 
 MONTH = ["CUST_NUM", "txn_month"]
 _MASK_BITS = 62
@@ -59,7 +59,7 @@ def count_labels(column: str, labels: list[str]) -> Column:
     counts = []
     for start in range(0, len(labels), _MASK_BITS):
         places = ", ".join(
-            f"'{label}', shiftleft(1L, {place})" for place, label in enumerate(labels[start:start + _MASK_BITS]))
+            f"{sql_text(label)}, shiftleft(1L, {place})" for place, label in enumerate(labels[start:start + _MASK_BITS]))
         counts.append(F.coalesce(F.bit_count(F.expr(f"bit_or(map({places})[{column}])")), F.lit(0)))
     total = counts[0]
     for more in counts[1:]:

@@ -46,7 +46,7 @@ def hierarchy_frame(spark: SparkSession) -> DataFrame:
     return dimension(spark, fv.hierarchy(), "ref_l1 string, ref_l2 string, ref_l3 string")
 
 
-def _settle(texts: DataFrame, **columns: Column) -> DataFrame:
+def settle(texts: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that are computed here and nowhere else. A filter on them (or on
     what follows from them) stays above the generator; otherwise the planner would
     push all pattern tests below the distinct step, onto every transaction."""
@@ -60,7 +60,7 @@ def classify_texts(texts: DataFrame, rules: list[tuple] | None = None) -> DataFr
     details = constant(
         {rule[1]: {"priority": rule[0], "l1": rule[3], "l2": rule[4], "l3": rule[5]} for rule in rules},
         "map<string, struct<priority:int,l1:string,l2:string,l3:string>>")
-    matched = _settle(texts, rule_hits=matching("match_text", [(rule[1], rule[2]) for rule in rules]))
+    matched = settle(texts, rule_hits=matching("match_text", [(rule[1], rule[2]) for rule in rules]))
     named = matched.withColumn("matched_rule_name", F.get("rule_hits", F.lit(0)))
     best = F.try_element_at(details, F.col("matched_rule_name"))
     return named.withColumns({
@@ -83,7 +83,7 @@ def flag_texts(texts: DataFrame) -> DataFrame:
     """Pattern flags and the platform label for each row of ``match_text``."""
     flags = matching("match_text", [(name, any_of(patterns)) for name, patterns in TEXT_FLAGS.items()])
     platforms = matching("match_text", fv.PLATFORMS)
-    return _settle(texts, _flags=flags, _platforms=platforms).withColumns({
+    return settle(texts, _flags=flags, _platforms=platforms).withColumns({
         **{name: flag(F.array_contains("_flags", name)) for name in TEXT_FLAGS},
         "platform_ecosystem": F.coalesce(F.get("_platforms", F.lit(0)), F.lit("NONE")),
     }).drop("_flags", "_platforms")

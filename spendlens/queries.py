@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .operators import audit, merchant, merchants, monthly, personas, recurrence, rules, tags, taxonomy
+from .operators import audit, broad, merchant, merchants, monthly, personas, recurrence, rules, simple, tags, taxonomy
 from .operators.monthly import MONTH
 from .plans import features
 from .plans.enrichment import References, classify, enrich
@@ -524,3 +524,156 @@ def segment_rates(spark, folder):
 @query("score_by_persona")
 def score_by_persona(spark, folder):
     return audit.score_by_persona(phase3(spark, folder))
+
+
+# ---------------------------------------------------------------- broad variant
+
+def landed(spark, folder):
+    return broad.standardize_lenient(retail.landed_transactions(spark, folder), KEY)
+
+
+broad_phase1 = written("broad_phase1", lambda spark, folder: broad.enrich_broad(
+    retail.landed_transactions(spark, folder), KEY))
+
+
+def landed_labels(spark, folder):
+    levels = broad_phase1(spark, folder).select(
+        F.col("mobius_l1").alias("s_l1"), F.col("mobius_l2").alias("s_l2"), F.col("mobius_l3").alias("s_l3"))
+    return broad.broad_labels(levels)
+
+
+broad_merchants = written("broad_merchants", lambda spark, folder: broad.merchant_rows(broad_phase1(spark, folder)))
+broad_phase2 = written("broad_phase2", lambda spark, folder: broad.broad_mart(
+    broad_phase1(spark, folder), broad_merchants(spark, folder), landed_labels(spark, folder), SIZE_BOUNDS))
+broad_phase3 = written("broad_phase3", lambda spark, folder: broad.add_personas(broad_phase2(spark, folder)))
+
+
+@query("normalize_basic")
+def normalize_basic(spark, folder):
+    return broad.add_text_basic(card(spark, folder)).select(
+        "txn_key", "mcht_nm_norm", "txn_desc_norm", "curr_desc_norm", "match_text", "merchant_tokens", "merchant_key")
+
+
+@query("source_sentinel_clean")
+def source_sentinel_clean(spark, folder):
+    return broad.add_source_taxonomy(landed(spark, folder)).select(
+        "txn_key", *[f"{s}_{level}" for s in ("mobius", "b2k") for level in broad.LEVELS])
+
+
+def broad_tagged(spark, folder):
+    return broad.add_rules_and_tags(broad.add_source_taxonomy(broad.add_text_basic(landed(spark, folder))))
+
+
+@query("rule_match_broad")
+def rule_match_broad(spark, folder):
+    return broad_tagged(spark, folder).select(
+        "txn_key", "matched_priority", "rule_l1", "rule_l2", "rule_l3", "matched_rule_set", "rule_match_count",
+        "rule_conflict_flag")
+
+
+@query("channel_geo_tags_v1")
+def channel_geo_tags_v1(spark, folder):
+    return broad_tagged(spark, folder).select("txn_key", "channel_tag", "geo_tag", "in_app_tag")
+
+
+@query("structural_flags_v1")
+def structural_flags_v1(spark, folder):
+    return broad_tagged(spark, folder).select(
+        "txn_key", "wallet_flag", "processor_flag", "topup_flag", "marketplace_flag", "food_delivery_flag",
+        "ride_hailing_flag", "premium_merchant_flag", "business_proxy_flag", "mall_ecosystem_flag")
+
+
+@query("taxonomy_reconcile_single_source")
+def taxonomy_reconcile_single_source(spark, folder):
+    return broad.reconcile_single_source(broad_tagged(spark, folder)).select(
+        "txn_key", "taxonomy_source_used", "taxonomy_conflict_flag", "tax_l1", "tax_l2", "tax_l3",
+        "taxonomy_confidence_tag", "taxonomy_match_level")
+
+
+@query("recurrence_last3")
+def recurrence_last3(spark, folder):
+    return recurrence.add_recurrence_last3(broad.add_text_basic(card(spark, folder))).select(
+        "txn_key", "prev_txn_dt_same_merchant", "days_since_prev_same_merchant", "amt_delta_prev_same_merchant",
+        "avg_interval_3txns", "std_interval_3txns", "cv_interval", "merchant_novelty_tag", "recurrence_tag",
+        "subscription_candidate_flag")
+
+
+@query("recurrence_last3_events")
+def recurrence_last3_events(spark, folder):
+    return recurrence.add_recurrence_last3(broad.add_text_basic(event_card(spark, folder))).select(
+        "txn_key", "avg_interval_3txns", "std_interval_3txns", "recurrence_tag")
+
+
+def from_broad_mart(name: str, columns: str) -> None:
+    @query(name)
+    def select(spark, folder):
+        return broad_phase2(spark, folder).select(*MONTH, *columns.split())
+
+
+from_broad_mart("month_base_v1", """
+txn_cnt_m spend_amt_m avg_ticket_m max_ticket_m active_days_m uniq_merchants_m uniq_tax_l1_m uniq_tax_l2_m
+uniq_tax_l3_m online_spend_m offline_spend_m in_app_spend_m domestic_spend_m xborder_spend_m wallet_spend_m
+topup_spend_m processor_spend_m food_delivery_spend_m ride_hailing_spend_m premium_spend_m
+business_proxy_spend_m mall_spend_m recurring_spend_m recurring_txn_cnt_m recurring_merchant_cnt_m
+online_spend_share_m offline_spend_share_m in_app_spend_share_m xborder_spend_share_m wallet_spend_share_m
+topup_spend_share_m food_delivery_spend_share_m premium_spend_share_m business_proxy_spend_share_m
+mall_spend_share_m recurring_spend_share_m dominant_ecosystem dominant_ecosystem_spend_m""")
+from_broad_mart("l1_pivot_v1", " ".join(broad.L1))
+from_broad_mart("merchant_intelligence_v1", """
+avg_merchant_scale_txn_cnt_m max_merchant_scale_txn_cnt_m spend_at_mega_merchants_m
+spend_at_large_merchants_m spend_at_longtail_merchants_m merchant_entropy_m merchant_hhi_m
+top_merchant_share_m top3_merchant_share_m new_merchant_cnt_m ecosystem_entropy_m ecosystem_hhi_m""")
+from_broad_mart("rolling_v1", """
+spend_amt_3m txn_cnt_3m spend_amt_6m avg_ticket_3m merchant_entropy_3m_avg ecosystem_entropy_3m_avg
+mom_spend_growth mom_txn_growth online_share_delta_m xborder_share_delta_m wallet_share_delta_m
+premium_share_delta_m l1_migration_flag merchant_entropy_trend diversification_flag prev_txn_cnt_m2""")
+from_broad_mart("regime_v1", "spend_regime_flag wallet_dependence_flag feature_quality_flag")
+
+
+@query("persona_v1")
+def persona_v1(spark, folder):
+    return broad_phase3(spark, folder).select(
+        *MONTH, *[f"share_{label.lower()}" for label in broad.L1], "primary_persona", "persona_confidence",
+        "prev_persona", "persona_shift_flag")
+
+
+@query("overlays_v1")
+def overlays_v1(spark, folder):
+    df = broad_phase3(spark, folder)
+    return df.select(*MONTH, *[c for c in df.columns if c.startswith("overlay_")])
+
+
+@query("campaign_view_v1")
+def campaign_view_v1(spark, folder):
+    return broad.views(broad_phase3(spark, folder))["campaign"]
+
+
+@query("clm_view")
+def clm_view(spark, folder):
+    return broad.views(broad_phase3(spark, folder))["clm"]
+
+
+@query("risk_view")
+def risk_view(spark, folder):
+    return broad.views(broad_phase3(spark, folder))["risk"]
+
+
+@query("audit_v1")
+def audit_v1(spark, folder):
+    return (
+        audit.tidy(broad.phase1_metrics(broad_phase1(spark, folder)), "PHASE1")
+        .unionByName(audit.tidy(broad.phase2_metrics(broad_phase2(spark, folder)), "PHASE2"))
+        .unionByName(audit.tidy(broad.phase3_metrics(broad_phase3(spark, folder)), "PHASE3")))
+
+
+# ---------------------------------------------------------------- small variant
+
+@query("simple_tags")
+def simple_tags(spark, folder):
+    return simple.add_simple_tags(card(spark, folder)).select(
+        "txn_key", "merchant_norm", "channel_tag", "wallet_topup_flag", "txn_size_tier")
+
+
+@query("persona_simple")
+def persona_simple(spark, folder):
+    return simple.simple_personas(simple.add_simple_tags(card(spark, folder)))

@@ -139,3 +139,15 @@ def event_transactions(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("event_type").isin("click", "purchase"), F.lit("Y"))
         .when(F.col("event_type") == "view", F.lit("N")).alias("ONLN_FLAG"),
     )
+
+
+def landed_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """Card transactions that carry a landed taxonomy with placeholder texts."""
+    size = F.col("MCC_CD").cast("int")
+    return card_transactions(spark, folder).withColumns({
+        "taxonomy_l1_final": F.when(size % 5 == 0, F.lit("#N/A")).when(size % 5 == 1, F.lit(""))
+        .when(size % 5 == 2, F.lit("SHOPPING_RETAIL")).when(size % 5 == 3, F.lit("EDUCATION")),
+        "taxonomy_l2_final": F.when(size % 3 == 0, F.lit("UNCLASSIFIED")).when(size % 3 == 1, F.lit("FASHION"))
+        .otherwise(F.lit("null")),
+        "taxonomy_l3_final": F.when(size % 2 == 0, F.lit("SPORTSWEAR")).otherwise(F.lit("UNCLASSIFIED")),
+    })
