@@ -30,9 +30,8 @@ class References:
         return cls(dimension(spark, [], B2K_DDL), dimension(spark, [], MOBIUS_DDL))
 
 
-def classify(txns: DataFrame, refs: References, rules: list[tuple] | None = None) -> DataFrame:
-    """Standardised transactions with merchant text, rules and final taxonomy."""
-    named = add_merchant_tokens(add_merchant_text(txns))
+def classify(named: DataFrame, refs: References, rules: list[tuple] | None = None) -> DataFrame:
+    """Rules and source taxonomies of transactions with merchant text, reconciled."""
     sourced = add_mobius(add_b2k(named, refs.b2k), refs.mobius)
     return reconcile(add_text_profile(sourced, rules))
 
@@ -46,8 +45,10 @@ def enrich(
 ) -> DataFrame:
     """Everything phase 1 knows about a transaction.
 
-    Shuffles: distinct texts (combined on the map side), the join back on text,
-    and one exchange that the carried state and all history windows share.
+    Rows shuffle twice: once for the history windows (the join of the carried
+    state shares that exchange) and once to join the text profile back. Rows are
+    narrow at both points, because columns that need no other row come last.
     """
     txns = add_history_part(standardize(source, key_columns), hot_rows)
-    return add_recurrence(add_tags(classify(txns, refs, rules)))
+    with_history = add_recurrence(add_merchant_text(txns))
+    return add_merchant_tokens(add_tags(classify(with_history, refs, rules)))

@@ -69,7 +69,7 @@ def named(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def classified(spark: SparkSession, folder: str) -> DataFrame:
-    return classify(card(spark, folder), references(spark))
+    return classify(named(spark, folder), references(spark))
 
 
 def tagged(spark: SparkSession, folder: str) -> DataFrame:

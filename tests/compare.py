@@ -56,13 +56,21 @@ def difference(spark, con, folder, query, sql):
     return report, sum(got.values()), middle - start, end - middle
 
 
+def plain_session():
+    """A session with stock settings, as a caller may bring it."""
+    from pyspark.sql import SparkSession
+    spark = (
+        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false").config("spark.driver.memory", "16g").getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
 def main():
     import __spark_entry__ as entry
-    from spendlens.session import local_session
-
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     folder = f"/root/testdata/sf{sf}"
-    spark, con = local_session("8"), connect(folder)
+    spark, con = plain_session(), connect(folder)
     queries, oracle = entry.queries(), entry.oracle_sql()
     names = sys.argv[2:] or list(queries)
     bad = 0
