@@ -225,8 +225,9 @@ def _mix(df: DataFrame, name: str) -> list[Column]:
 
 
 def with_share(parts: DataFrame, spend: str) -> DataFrame:
-    """Share of each row in its customer-month, by joining the total back. The
-    total has one row per key, so AQE can split a hot customer-month."""
+    """Share of each row in its customer-month, by joining the total back. Rows are
+    already summed up per merchant or category, so a customer with very many
+    transactions has no more rows here than it has merchants."""
     total = parts.groupBy(*MONTH).agg(F.sum(spend).alias("_total"))
     return parts.join(total, MONTH, "left").withColumn("share", safe_div(F.col(spend), F.col("_total")))
 

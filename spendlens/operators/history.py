@@ -48,19 +48,18 @@ def add_history_part(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     bucket = F.pmod(F.xxhash64("CUST_NUM"), F.lit(BUCKETS))
     hot = (
         df.groupBy(bucket.alias("_hot_bucket")).count()
-        .where(F.col("count") > hot_rows).select("_hot_bucket")
+        .where(F.col("count") > hot_rows).select(F.col("_hot_bucket").alias("history_hot"))
     )
     on_the_hour = (F.minute("txn_ts") == 0) & (F.second("txn_ts") == 0)
     part = F.concat(
         F.coalesce(F.date_format("txn_ts", "yyyyMMddHH"), F.lit("0")),
         F.when(on_the_hour, F.substring("txn_key", 1, 2)).otherwise(F.lit("z")))
     return (
-        df.join(F.broadcast(hot), bucket == F.col("_hot_bucket"), "left")
+        df.join(F.broadcast(hot), bucket == F.col("history_hot"), "left")
         .withColumns({
             "history_owner": F.coalesce(F.col("CUST_NUM").cast("string"), F.lit("\0")),
-            "history_part": F.when(F.col("_hot_bucket").isNotNull(), part).otherwise(F.lit("")),
+            "history_part": F.when(F.col("history_hot").isNotNull(), part).otherwise(F.lit("")),
         })
-        .drop("_hot_bucket")
     )
 
 
@@ -71,7 +70,9 @@ def add_carry(df: DataFrame) -> DataFrame:
     Slices are aggregated before they shuffle, and a history has at most a few
     hundred slices per day, so the window over slices stays small.
     """
-    local = df.where(F.col("history_part") != "").select(*SLICE, *ORDER[1:], "txn_date", "txn_amount")
+    # Without hot customers this filter is an inner join with nothing, and AQE drops
+    # the whole branch before it scans.
+    local = df.where(F.col("history_hot").isNotNull()).select(*SLICE, *ORDER[1:], "txn_date", "txn_amount")
     newest_first = Window.partitionBy(*SLICE).orderBy(*[F.desc(c) for c in ORDER])
     gap = F.datediff("txn_date", F.lag("txn_date").over(slice_window()))
     slices = (
@@ -127,6 +128,9 @@ def add_carry(df: DataFrame) -> DataFrame:
         (F.col("_base") + F.col("_c_s1") / F.nullif(F.col("c_n"), F.lit(0))).alias("c_mean"),
         (F.col("_c_s2") - F.col("_c_s1") * F.col("_c_s1") / F.nullif(F.col("c_n"), F.lit(0))).alias("c_m2"),
     ).drop("_base", "_c_s1", "_c_s2")
+    # Partition by all three keys. The windows above left the slices partitioned by
+    # history, and a join that took that over would bring hot histories together.
+    carry = carry.repartition(*[F.col(f"_k_{c}") for c in SLICE])
     same = [df[c] == F.col(f"_k_{c}") for c in SLICE]
     return df.join(carry, same, "left").drop(*[f"_k_{c}" for c in SLICE])
 

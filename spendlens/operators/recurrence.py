@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import flag, label_by
 from .history import HOT_ROWS, add_carry, add_history_part, previous, running_window
 
-_CARRY = ["history_owner", "history_part", "c_rows", "c_n", "c_gaps", "c_gap_sum", "c_gap_sq", "c_tail", "c_mean", "c_m2"]
+_CARRY = [
+    "history_hot", "history_owner", "history_part", "c_rows", "c_n", "c_gaps", "c_gap_sum", "c_gap_sq",
+    "c_tail", "c_mean", "c_m2",
+]
 
 
 def _with_carry(df: DataFrame, hot_rows: int) -> DataFrame:

@@ -11,8 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # The JVM never compiles methods above 8 KB; wide steps run faster without them.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # A hash partitioning by part of the keys is good enough for a join.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

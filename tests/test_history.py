@@ -65,6 +65,7 @@ def test_hot_customers_get_the_same_history(spark, seed):
     parts = add_history_part(txns, hot_rows=100)
     assert parts.where("history_part != ''").select("history_part").distinct().count() > 50
     assert parts.where("history_part = ''").count() > 0
+    assert parts.where("(history_part = '') != (history_hot is null)").count() == 0
     whole = recurrence.add_recurrence(txns)
     cut = recurrence.add_recurrence(txns, hot_rows=100)
     assert plain(cut, COLUMNS) == collected(whole, COLUMNS)
@@ -101,6 +102,16 @@ def test_history_equals_brute_force(spark):
             before = row
 
 
+@pytest.mark.parametrize("all_keys", ["true", "false"])
+def test_slices_of_a_history_are_shuffled_apart(spark, all_keys):
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", all_keys)
+    df = recurrence.add_history(transactions(spark, random_rows(6, 20)), hot_rows=0)
+    plan = df._jdf.queryExecution().executedPlan()
+    spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+    detail = [line for line in plan.toString().splitlines() if "Exchange hashpartitioning(history_owner" in line][0]
+    assert "history_part" in detail
+
+
 def close(got, want):
     assert (got is None) == (want is None)
     assert want is None or math.isclose(got, want, rel_tol=1e-9, abs_tol=1e-6)
