@@ -14,9 +14,6 @@ CTES["basic_named"] = f"""
 SELECT *, concat_ws(' | ', bnm, bds) AS match_text, sha256(concat_ws('||', bnm, bds)) AS mkey FROM (
   SELECT *, {clean_basic('mcht_nm')} AS bnm, {clean_basic('txn_desc')} AS bds, {clean_basic('curr_desc')} AS bcur
   FROM typed)"""
-CTES["part_sizes"] = """
-SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS txn_ref, p_size
-FROM lineitem JOIN part ON l_partkey = p_partkey"""
 CTES["landed"] = """
 SELECT *, CASE WHEN f1 IN ('#N/A', 'null', '') THEN NULL ELSE f1 END AS mobius_l1,
   CASE WHEN f2 IN ('#N/A', 'null', '') THEN NULL ELSE f2 END AS mobius_l2,
@@ -26,7 +23,7 @@ FROM (SELECT n.*,
   CASE p_size % 5 WHEN 0 THEN '#N/A' WHEN 1 THEN '' WHEN 2 THEN 'SHOPPING_RETAIL' WHEN 3 THEN 'EDUCATION' END AS f1,
   CASE p_size % 3 WHEN 0 THEN 'UNCLASSIFIED' WHEN 1 THEN 'FASHION' ELSE 'null' END AS f2,
   CASE p_size % 2 WHEN 0 THEN 'SPORTSWEAR' ELSE 'UNCLASSIFIED' END AS f3
-  FROM basic_named n JOIN part_sizes USING (txn_ref))"""
+  FROM basic_named n)"""
 CTES["broad_rules"] = (
     "SELECT * FROM (" + values([(i, r[0], *r[3:]) for i, r in enumerate(RULES, 1)])
     + ") AS r(place, matched_priority, rule_l1, rule_l2, rule_l3)")

@@ -87,7 +87,7 @@ SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS txn_ref
        CASE l_returnflag WHEN 'N' THEN 'THB' WHEN 'R' THEN 'USD' END AS curr_desc,
        CASE l_linenumber WHEN 2 THEN '764' WHEN 3 THEN '' END AS curr_cd,
        CASE l_linenumber % 3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' END AS onln,
-       p_type AS mcht_catg, CAST(NULL AS VARCHAR) AS mcht_sub, p_brand AS sic
+       p_type AS mcht_catg, CAST(NULL AS VARCHAR) AS mcht_sub, p_brand AS sic, p_size
 FROM (SELECT *, (CASE WHEN l_partkey % 10 < 5 THEN o_custkey * 7
                       WHEN l_partkey % 10 < 8 THEN o_custkey * 3 + 1
                       ELSE o_custkey + l_partkey * 13 END) % 50 AS idx
