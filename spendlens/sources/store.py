@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,15 +13,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table.
 
     The folder comes from ``spark.checkpoint.dir``, which every executor of a
-    cluster can reach. Only a local session without the setting gets a folder of
-    its own.
+    cluster can reach. Where it is unset, the table goes below the warehouse,
+    which a cluster has to share as well.
     """
-    root = spark.conf.get(_CONF, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_CONF} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="spendlens-")
-        spark.conf.set(_CONF, root)
+    root = spark.conf.get(_CONF, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/spendlens/{name}-{uuid.uuid4().hex}"
 
 
@@ -35,3 +29,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(df: DataFrame) -> None:
+    """Delete the files of a materialized frame that nobody reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
