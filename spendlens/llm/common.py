@@ -31,3 +31,8 @@ def by_slices(batches: Iterator[pa.RecordBatch], make: Callable[[pa.RecordBatch]
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows kept out of training: crc32 of the id as text leaves 1 modulo 3."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 3 == 1
+
+
+def number_of(spans: str, kind: int) -> Column:
+    """How many spans of an array are of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
