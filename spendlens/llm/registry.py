@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+from . import embeddings, quality_rules
 from .byte_bpe import op7_byte_bpe
+from .embeddings import op6_embedding_near_dedup
+from .minhash import op5_minhash_near_dedup
+from .mixing import op10_mixing
+from .pii import op1_pii
+from .quality_classifier import op4_quality_classifier
+from .quality_rules import op3_quality_rules
+from .secrets import op9_secret_scans
 from .token_cache import op2_token_counts
+from .toxicity import op8_toxicity
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_toxicity": op8_toxicity,
+    "op9_secret_scans": op9_secret_scans,
+    "op10_mixing": op10_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_quality_rules": quality_rules.ORACLE,
+    "op6_embedding_near_dedup": embeddings.ORACLE,
+}
