@@ -187,7 +187,7 @@ FROM (SELECT *,
        WHEN uniq_merchants_m <= 1 THEN 'SINGLE_MERCHANT' ELSE 'GOOD' END AS feature_quality_flag
   FROM broad_windowed)"""
 CTES["broad_shares"] = "SELECT *, " + commas(
-    *[f"CASE WHEN count({x}) OVER () = 0 THEN 0.0::DOUBLE ELSE {div(x, 'spend_amt_m')} END AS share_{x.lower()}" for x in L1],
+    *[f"{div(f'coalesce({x}, 0)', 'spend_amt_m')} AS share_{x.lower()}" for x in L1],
 ) + " FROM broad_mart"
 OVERLAYS = {
     "subscription_heavy": "recurring_merchant_cnt_m >= 3", "wallet_dependent": "wallet_spend_share_m > 0.30::DOUBLE",
@@ -229,7 +229,7 @@ SELECT *, {bit(rx(fv.SIMPLE_WALLET, 'pnm'))} AS wallet_topup_flag,
   {tiers('amt', fv.SIMPLE_SIZE_TIERS, fv.SIMPLE_SIZE_TIER_TOP)} AS txn_size_tier
 FROM (SELECT *, lower(trim(regexp_replace(mcht_nm, '\\s+', ' ', 'g'))) AS pnm FROM typed)"""
 CTES["plain_mix"] = """
-SELECT cust, mon, sum(-p * log2(p)) AS merchant_entropy
+SELECT cust, mon, sum(CASE WHEN p > 0 THEN -p * log2(p) ELSE 0 END) AS merchant_entropy
 FROM (SELECT cust, mon, spend / sum(spend) OVER (PARTITION BY cust, mon) AS p
       FROM (SELECT cust, mon, pnm, sum(amt) AS spend FROM plain_tagged GROUP BY ALL)) GROUP BY cust, mon"""
 CTES["plain_months"] = f"""

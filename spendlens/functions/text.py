@@ -36,19 +36,37 @@ def any_of(patterns: list[str]) -> str:
     return "|".join(patterns)
 
 
-def alternatives(pattern: str) -> list[str]:
+def alternatives(pattern: str) -> list[str] | None:
     """Split a pattern on the bars that are outside any bracket. A pattern that
-    is one plain group is opened first."""
-    inner = re.fullmatch(r"\(([^()?][^()]*)\)", pattern)
+    is one plain group is opened first. None if the pattern uses something this
+    does not follow: inline flags, quoting, nested classes or open brackets."""
+    if re.search(r"\\[QE]|\(\?[a-zA-Z]*[)-]|\(\?[a-zA-Z]+:", pattern):
+        return None
+    inner = re.fullmatch(r"\(((?:[^()?\\\[]|\\.)(?:[^()\\\[]|\\.)*)\)", pattern)
     if inner:
         pattern = inner.group(1)
-    parts, depth, start = [], 0, 0
-    for i, char in enumerate(pattern):
-        depth += (char in "([") - (char in ")]")
-        if char == "|" and depth == 0:
+    parts, depth, in_class, start, i = [], 0, False, 0, 0
+    while i < len(pattern):
+        char = pattern[i]
+        if char == "\\":
+            i += 2
+            continue
+        if in_class:
+            if char == "[":
+                return None
+            # A bracket right after the opening one is a plain character.
+            in_class = char != "]" or pattern[i - 1] == "[" or pattern[i - 2:i] == "[^"
+        elif char == "[":
+            in_class = True
+        elif char == "(":
+            depth += 1
+        elif char == ")":
+            depth -= 1
+        elif char == "|" and depth == 0:
             parts.append(pattern[start:i])
             start = i + 1
-    return parts + [pattern[start:]]
+        i += 1
+    return None if in_class or depth else parts + [pattern[start:]]
 
 
 def _required_literal(alternative: str) -> str:
@@ -63,12 +81,19 @@ def _required_literal(alternative: str) -> str:
 
 def _tests(named: list[tuple[str, str]]) -> Column:
     """Constant array of (name, guard, regex): a text passes an entry if it holds
-    the guard and, where a regex is left to test, matches it."""
-    entries = [
-        {"name": name, "guard": part, "regex": None} if _PLAIN.fullmatch(part)
-        else {"name": name, "guard": _required_literal(part), "regex": part}
-        for name, pattern in named for part in alternatives(pattern)
-    ]
+    the guard and, where a regex is left to test, matches it. A pattern that could
+    not be split has no guard."""
+    entries = []
+    for name, pattern in named:
+        parts = alternatives(pattern)
+        if parts is None:
+            entries.append({"name": name, "guard": "", "regex": pattern})
+            continue
+        for part in parts:
+            if _PLAIN.fullmatch(part):
+                entries.append({"name": name, "guard": part, "regex": None})
+            else:
+                entries.append({"name": name, "guard": _required_literal(part), "regex": part})
     return constant(entries, "array<struct<name:string,guard:string,regex:string>>")
 
 

@@ -337,11 +337,8 @@ def broad_mart(txns: DataFrame, merchants: DataFrame, labels: Labels, bounds: di
 # ---------------------------------------------------------------- personas and views
 
 def add_l1_shares(mart: DataFrame) -> DataFrame:
-    """Share of each ecosystem. A month without spend there has no share; an
-    ecosystem that occurs nowhere in the mart counts as 0.0."""
-    present = [label for label in L1 if label in mart.columns]
-    seen = mart.agg(*[F.max(F.col(label).isNotNull()).alias(label) for label in present]).first()
-    spent = {label: F.col(label) if label in present and seen[label] else F.lit(0.0) for label in L1}
+    """Share of each ecosystem, 0.0 where nothing was spent on it."""
+    spent = {label: F.coalesce(_plain(label), F.lit(0.0)) if label in mart.columns else F.lit(0.0) for label in L1}
     return mart.withColumns({
         f"share_{label.lower()}": safe_div(spend, F.col("spend_amt_m")) for label, spend in spent.items()})
 

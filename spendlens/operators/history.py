@@ -6,12 +6,14 @@ all rows. Histories of such customers are therefore cut into time slices
 (``history_part``): windows run inside a slice, and a slice starts from the state
 that the earlier slices end with. Results are the same either way.
 
-* Hot customers are found by counting rows per hash bucket of the customer
-  number. The scan reads one column, leaves at most ``BUCKETS`` rows per task,
-  and the hot list can never exceed ``BUCKETS`` rows, so it is safe to broadcast.
-* A slice is one hour; rows exactly on the hour (feeds without a time of day) are
-  cut further by the leading characters of ``txn_key``. Both follow the sort
-  order, so slices of a history never overlap.
+* Hot customers are found by counting rows per customer (one source column, combined
+  on the map side). A customer is hot above ``hot_rows`` rows, and above one
+  ``MOST_HOT``-th of all rows where that is more. So at most ``MOST_HOT`` customers are
+  hot at any size of the table, and their list is safe to broadcast.
+* A slice is one hour of one day. Rows exactly on the hour, to the microsecond, and
+  rows without a time are cut further by the leading characters of ``txn_key``, which
+  orders rows of one instant. Slice names sort as ``(txn_date, txn_ts, txn_key)`` does,
+  NULL first, so slices of a history never overlap.
 * All other histories are one slice named '' and skip the extra work.
 """
 
@@ -20,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 65_536
-HOT_ROWS = 50_000_000
+HOT_ROWS = 1_000_000
+MOST_HOT = 10_000
 TAIL = 3
 
 HISTORY = ["history_owner", "merchant_key"]
@@ -45,21 +47,22 @@ def add_history_part(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     ``history_owner`` is the customer as a never-NULL key, so that windows and
     the join of the carried state share one plain hash partitioning.
     """
-    bucket = F.pmod(F.xxhash64("CUST_NUM"), F.lit(BUCKETS))
-    hot = (
-        df.groupBy(bucket.alias("_hot_bucket")).count()
-        .where(F.col("count") > hot_rows).select(F.col("_hot_bucket").alias("history_hot"))
-    )
-    on_the_hour = (F.minute("txn_ts") == 0) & (F.second("txn_ts") == 0)
-    part = F.concat(
-        F.coalesce(F.date_format("txn_ts", "yyyyMMddHH"), F.lit("0")),
-        F.when(on_the_hour, F.substring("txn_key", 1, 2)).otherwise(F.lit("z")))
+    owner = F.coalesce(F.col("CUST_NUM").cast("string"), F.lit("\0"))
+    counts = df.groupBy(owner.alias("history_hot")).agg(F.count("*").alias("_rows"))
+    share = (counts.agg(F.sum("_rows").alias("all")).scalar() / MOST_HOT)
+    hot = counts.where((F.col("_rows") > hot_rows) & (F.col("_rows") > share)).select("history_hot")
+    micros = F.unix_micros("txn_ts")
+    hour = F.floor(micros / 3_600_000_000)
+    one_instant = F.coalesce(micros == hour * 3_600_000_000, F.lit(True))
+    part = F.concat_ws(
+        ".",
+        F.coalesce(F.lpad((F.unix_date("txn_date") + 100_000_000).cast("string"), 9, "0"), F.lit("")),
+        F.coalesce(F.lpad((hour + 10_000_000_000).cast("string"), 11, "0"), F.lit("")),
+        F.when(one_instant, F.concat(F.lit("0"), F.substring("txn_key", 1, 2))).otherwise(F.lit("z")))
     return (
-        df.join(F.broadcast(hot), bucket == F.col("history_hot"), "left")
-        .withColumns({
-            "history_owner": F.coalesce(F.col("CUST_NUM").cast("string"), F.lit("\0")),
-            "history_part": F.when(F.col("history_hot").isNotNull(), part).otherwise(F.lit("")),
-        })
+        df.withColumn("history_owner", owner)
+        .join(F.broadcast(hot), F.col("history_owner") == F.col("history_hot"), "left")  # at most MOST_HOT rows
+        .withColumn("history_part", F.when(F.col("history_hot").isNotNull(), part).otherwise(F.lit("")))
     )
 
 

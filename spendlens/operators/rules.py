@@ -19,8 +19,9 @@ from ..sources import dimension
 
 RULE_DDL = (
     "priority int not null, rule_name string not null, regex_pattern string not null, "
-    "rule_l1 string not null, rule_l2 string not null, rule_l3 string not null"
+    "rule_l1 string not null, rule_l2 string not null, rule_l3 string not null, place int not null"
 )
+BROADCAST_RULES = 10_000
 RULE_COLUMNS = ["priority", "matched_rule_name", "rule_l1", "rule_l2", "rule_l3"]
 
 TEXT_FLAGS = {
@@ -39,7 +40,8 @@ TEXT_FLAGS = {
 
 
 def rule_frame(spark: SparkSession, rules: list[tuple] | None = None) -> DataFrame:
-    return dimension(spark, rules or fv.merchant_rules(), RULE_DDL)
+    """The rules as a table; ``place`` is their position in the list."""
+    return dimension(spark, [(*rule, place) for place, rule in enumerate(rules or fv.merchant_rules())], RULE_DDL)
 
 
 def hierarchy_frame(spark: SparkSession) -> DataFrame:
@@ -55,21 +57,26 @@ def settle(texts: DataFrame, **columns: Column) -> DataFrame:
 
 def classify_texts(texts: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
     """Names of all rules that match ``match_text``, how many, and the best one.
-    The first rule in list order wins; unmatched texts get NULL and 0."""
-    rules = rules or fv.merchant_rules()
+    The lowest priority wins, of equal ones the first in the list; unmatched texts get
+    NULL and 0. Rules are told apart by their position, so names may repeat."""
+    ordered = sorted(rules or fv.merchant_rules(), key=lambda rule: rule[0])
     details = constant(
-        {rule[1]: {"priority": rule[0], "l1": rule[3], "l2": rule[4], "l3": rule[5]} for rule in rules},
-        "map<string, struct<priority:int,l1:string,l2:string,l3:string>>")
-    matched = settle(texts, rule_hits=matching("match_text", [(rule[1], rule[2]) for rule in rules]))
-    named = matched.withColumn("matched_rule_name", F.get("rule_hits", F.lit(0)))
-    best = F.try_element_at(details, F.col("matched_rule_name"))
-    return named.withColumns({
+        [{"priority": rule[0], "name": rule[1], "l1": rule[3], "l2": rule[4], "l3": rule[5]} for rule in ordered],
+        "array<struct<priority:int,name:string,l1:string,l2:string,l3:string>>")
+    found = F.transform(
+        matching("match_text", [(str(place), rule[2]) for place, rule in enumerate(ordered)]),
+        lambda place: F.get(details, place.cast("int")))
+    matched = settle(texts, _found=found)
+    best = F.get("_found", F.lit(0))
+    return matched.withColumns({
+        "rule_hits": F.col("_found.name"),
+        "matched_rule_name": best["name"],
         "priority": best["priority"],
         "rule_l1": best["l1"],
         "rule_l2": best["l2"],
         "rule_l3": best["l3"],
-        "rule_match_cnt": F.size("rule_hits"),
-    })
+        "rule_match_cnt": F.size("_found"),
+    }).drop("_found")
 
 
 def add_conflict_flag(df: DataFrame) -> DataFrame:
@@ -112,17 +119,19 @@ def add_text_profile(df: DataFrame, rules: list[tuple] | None = None) -> DataFra
 def add_rules_by_join(df: DataFrame, rules: DataFrame) -> DataFrame:
     """The same rule result from a theta join with a rule table.
 
-    For rules that live in a table. The rule side is broadcast (a rule list is a
-    curated dimension; more than 10,000 rules are refused) against distinct texts.
+    For rules that live in a table. Up to ``BROADCAST_RULES`` rules are broadcast
+    against distinct texts; Spark decides about more. Equal priorities are settled by
+    ``place`` if the table has it, else by name.
     """
-    if rules.limit(10_001).count() > 10_000:
-        raise ValueError("too many rules to broadcast")
+    if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
+        rules = F.broadcast(rules)
+    tie = F.col("place") if "place" in rules.columns else F.col("rule_name")
     best = F.min_by(
         F.struct("priority", F.col("rule_name").alias("matched_rule_name"), "rule_l1", "rule_l2", "rule_l3"),
-        F.col("priority"))
+        F.struct(F.col("priority"), tie.alias("tie")))
     classified = (
         distinct_texts(df)
-        .join(F.broadcast(rules), F.expr("match_text rlike regex_pattern"), "left")
+        .join(rules, F.expr("match_text rlike regex_pattern"), "left")
         .groupBy("match_text")
         .agg(best.alias("best"), F.count("priority").cast("int").alias("rule_match_cnt"))
         .select("match_text", *[F.col(f"best.{c}").alias(c) for c in RULE_COLUMNS], "rule_match_cnt")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -33,6 +33,12 @@ def simple_personas(tagged: DataFrame) -> DataFrame:
         F.sum("wallet_topup_flag").alias("wallets"),
     )
     total, spend = F.sum("spend"), F.col("spend")
+
+    def entropy(size: Column) -> Column:
+        """Sum of -p*log2(p) over the merchants with a positive ``size``."""
+        logged = F.sum(F.when(size > 0, size * F.log2(size)).otherwise(0.0))
+        return (F.log2(F.abs(total)) * F.sum(F.when(size > 0, size).otherwise(0.0)) - logged) / F.abs(total)
+
     features = merchants.groupBy(*MONTH).agg(
         F.sum("visits").alias("txn_cnt_m"),
         total.alias("spend_amt_m"),
@@ -40,8 +46,8 @@ def simple_personas(tagged: DataFrame) -> DataFrame:
         F.count("merchant_norm").alias("uniq_merchants_m"),
         F.sum("online").alias("online_spend_m"),
         F.sum("wallets").alias("wallet_txn_cnt"),
-        # -sum(p*log2(p)) with p = spend/total
-        (F.log2(total) - F.sum(spend * F.log2(spend)) / F.nullif(total, F.lit(0.0))).alias("merchant_entropy"),
+        # Shares p = spend/total are positive where spend and total have one sign.
+        F.when(total > 0, entropy(spend)).when(total < 0, entropy(-spend)).alias("merchant_entropy"),
     )
     moved = features.withColumn("spend_prev_m", F.lag("spend_amt_m").over(months()))
     return moved.withColumns({
