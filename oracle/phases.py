@@ -13,8 +13,8 @@ FINAL: dict[str, str] = {}
 
 
 def num(expression: str) -> str:
-    """A double as the registered queries show it: seven significant digits."""
-    return f"CAST(CAST(round(CAST({expression} AS DOUBLE), 9) + 0.0 AS FLOAT) AS DOUBLE)"
+    """A double as the registered queries show it: six decimals."""
+    return f"(round(CAST({expression} AS DOUBLE), 6) + 0.0::DOUBLE)"
 
 
 def day(expression: str) -> str:
@@ -64,6 +64,25 @@ FINAL["merchant_tokens"] = pick(
 FINAL["rule_match_best"] = FINAL["rule_match_theta"] = pick(
     "ruled", **same("txn_key", "priority"), matched_rule_name="rule_name",
     **same("rule_l1", "rule_l2", "rule_l3", "rule_match_cnt", "rule_conflict_flag"))
+USER = [("a", 20, "GENERIC", "GENERIC"), (r"mar|sho\(p|foo\|bar", 5, "SPECIFIC", "SPECIFIC"),
+        ("mark", 5, "TIED", "TIED"), ("[|e]n", 7, "GENERIC", "REPEATED")]
+USER_BEST = " ".join(
+    f"WHEN regexp_matches(match_text, '{pattern}') THEN {{'p': {priority}, 'n': '{name}', 'l': '{level}'}}"
+    for pattern, priority, name, level in sorted(USER, key=lambda rule: rule[1]))
+USER_COUNT = " + ".join(f"CASE WHEN regexp_matches(match_text, '{rule[0]}') THEN 1 ELSE 0 END" for rule in USER)
+FINAL["rule_user_list"] = FINAL["rule_user_table"] = f"""
+SELECT txn_key, b.p AS priority, b.n AS matched_rule_name, CASE WHEN b IS NOT NULL THEN 'TEST_L1' END AS rule_l1,
+  b.l AS rule_l2, b.l AS rule_l3, n AS rule_match_cnt,
+  CASE WHEN n > 1 THEN 'MULTIPLE_RULES' WHEN n = 1 THEN 'SINGLE_RULE' ELSE 'NO_RULE' END AS rule_conflict_flag
+FROM (SELECT txn_key, CASE {USER_BEST} END AS b, {USER_COUNT} AS n FROM named)"""
+FINAL["rule_validation"] = """
+SELECT finding, rule_name, rule_l1, rule_l2, rule_l3, coalesce(n, 0) AS txn_cnt FROM (
+  SELECT 'RULE_OUTSIDE' AS finding, rule_name, rule_l1, rule_l2, rule_l3 FROM rules
+  ANTI JOIN hierarchy ON rule_l1 = ref_l1 AND rule_l2 = ref_l2 AND rule_l3 = ref_l3
+  UNION ALL SELECT 'LEAF_WITHOUT_RULE', NULL, ref_l1, ref_l2, ref_l3 FROM hierarchy
+  ANTI JOIN rules ON rule_l1 = ref_l1 AND rule_l2 = ref_l2 AND rule_l3 = ref_l3)
+LEFT JOIN (SELECT tax_l1, tax_l2, tax_l3, count(*) AS n FROM taxed GROUP BY ALL) ON rule_l1 = tax_l1 AND rule_l2 = tax_l2
+  AND rule_l3 = tax_l3"""
 FINAL["rule_conflicts"] = """
 SELECT rule_name, CAST(count(*) AS BIGINT) AS matched_txns,
        CAST(sum(CASE WHEN hit = winner THEN 1 ELSE 0 END) AS BIGINT) AS won_txns,
@@ -104,12 +123,14 @@ FINAL["recurrence_history"] = pick(
     days_since_prev_merchant="gap", amt_delta_pct=num("amt_delta_pct"), merchant_visit_cnt="visits",
     avg_interval_merchant=num("avg_gap"), std_interval_merchant=num("std_gap"), cv_interval=num("cv_interval"),
     avg_amt_merchant=num("avg_amt"), std_amt_merchant=num("std_amt"), amt_cv_merchant=num("amt_cv"))
+FINAL["recurrence_history_cut"] = FINAL["recurrence_history"]
 FINAL["recurrence_tags"] = pick(
     "enriched", **same("txn_key"), merchant_novelty_tag="novelty", **same("recurrence_tag"),
     subscription_candidate_flag="candidate")
 FINAL["recurrence_tags_events"] = pick(
     "ev_enriched", **same("txn_key"), merchant_visit_cnt="visits", merchant_novelty_tag="novelty",
     **same("recurrence_tag"), subscription_candidate_flag="candidate")
+FINAL["recurrence_tags_events_cut"] = FINAL["recurrence_tags_events"]
 
 
 # ---------------------------------------------------------------- customer-months
@@ -137,6 +158,13 @@ FINAL["month_base"] = months("month_rows", [
     "txn_cnt_m", "spend_amt_m", "avg_ticket_m", "max_ticket_m", "min_ticket_m", "stddev_ticket_m", "median_ticket_m",
     "active_days_m", "uniq_merchants_m", "uniq_tax_l1_m", "uniq_tax_l2_m", "uniq_tax_l3_m", *SPENDS,
     *[f"{n}_txn_cnt_m" for n in f.COUNTS], "new_merchant_cnt_m", "repeat_merchant_txn_cnt_m"])
+APPROXIMATE = "active_days_m uniq_merchants_m uniq_tax_l1_m uniq_tax_l2_m uniq_tax_l3_m".split()
+FINAL["month_base_approx"] = pick(
+    "month_rows", **KEYS, **same(*APPROXIMATE), **{f"{name}_near": "true" for name in APPROXIMATE})
+FINAL["l1_spend_check"] = f"""
+SELECT cust AS CUST_NUM, {day('mon')} AS txn_month, {num('sum(amt)')} AS spend_amt_m, {num('sum(amt)')} AS l1_spend_m,
+  {num("coalesce(sum(CASE WHEN tax_l1 NOT IN ('FOOD_DINING', 'EVERYDAY_ESSENTIALS') THEN amt END), 0)")} AS l1_remainder_spend_m
+FROM enriched GROUP BY cust, mon"""
 FINAL["month_base_events"] = months("ev_month_sums", """
 txn_cnt_m spend_amt_m active_days_m online_spend_m offline_spend_m inapp_spend_m morning_spend_m lunch_spend_m
 evening_spend_m late_night_spend_m weekend_spend_m payday_window_spend_m new_merchant_cnt_m""")
@@ -311,6 +339,8 @@ FINAL["recurrence_last3"] = pick(
     amt_delta_prev_same_merchant=num("delta"), avg_interval_3txns=num("avg3"), std_interval_3txns=num("std3"),
     cv_interval=num("cv3"), merchant_novelty_tag="novelty", **same("recurrence_tag"),
     subscription_candidate_flag="candidate")
+FINAL["recurrence_last3_cut"] = pick(
+    "basic_last3", **same("txn_key"), avg_interval_3txns=num("avg3"), std_interval_3txns=num("std3"), **same("recurrence_tag"))
 FINAL["recurrence_last3_events"] = pick(
     "ev_last3", **same("txn_key"), avg_interval_3txns=num("avg3"), std_interval_3txns=num("std3"), **same("recurrence_tag"))
 FINAL["month_base_v1"] = months("broad_mart", """

@@ -13,7 +13,7 @@ from .. import fixed_values as fv
 from ..functions import clean_text_basic, flag, label_by, matching, money_when, safe_div, tier_by
 from ..sources import complete_columns, standardize
 from .history import add_history_part
-from .monthly import MONTH, Labels, count_labels
+from .monthly import MONTH, join_months, label_mix
 from .recurrence import add_recurrence_last3
 from .rules import classify_texts, distinct_texts, settle
 from .trends import months, rows
@@ -166,13 +166,6 @@ SHARED = ["online", "offline", "in_app", "xborder", "wallet", "topup", "food_del
           "business_proxy", "mall", "recurring"]
 
 
-def broad_labels(*sources: DataFrame) -> Labels:
-    """Labels of the broad rules and the landed source columns."""
-    labels = Labels.of(fv.broad_rules(), *sources)
-    labels.l1 = sorted({*labels.l1, fv.OTHER_LONGTAIL})
-    return labels
-
-
 def merchant_rows(txns: DataFrame) -> DataFrame:
     candidate = F.max("subscription_candidate_flag")
     return txns.groupBy(*MONTH, "merchant_key").agg(
@@ -184,35 +177,33 @@ def _plain(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def month_base(txns: DataFrame, merchants: DataFrame, labels: Labels) -> DataFrame:
-    """Base aggregate, ecosystem spend (NULL where there is none), the dominant
-    ecosystem and eleven shares."""
-    amount = F.col("txn_amount")
+def month_base(txns: DataFrame, merchants: DataFrame) -> DataFrame:
+    """Base aggregate, ecosystem spend (NULL where there is none; other labels in
+    ``l1_remainder_spend_m``), the dominant ecosystem of any label, and eleven shares."""
+    amount, l1 = F.col("txn_amount"), F.col("tax_l1")
     totals = txns.groupBy(*MONTH).agg(
         F.count("*").alias("txn_cnt_m"),
         F.sum(amount).alias("spend_amt_m"),
         F.avg(amount).alias("avg_ticket_m"),
         F.max(amount).alias("max_ticket_m"),
         F.bit_count(F.expr("bit_or(shiftleft(1L, dayofmonth(txn_date)))")).alias("active_days_m"),
-        count_labels("tax_l1", labels.l1).alias("uniq_tax_l1_m"),
-        count_labels("tax_l2", labels.l2).alias("uniq_tax_l2_m"),
-        count_labels("tax_l3", labels.l3).alias("uniq_tax_l3_m"),
         *[money_when(F.col(tag) == value).alias(name) for name, (tag, value) in SPENDS.items()],
         F.sum("subscription_candidate_flag").alias("recurring_txn_cnt_m"),
-        *[F.sum(F.when(F.col("tax_l1") == label, amount)).alias(label) for label in labels.l1],
+        *[F.sum(F.when(l1 == label, amount)).alias(label) for label in L1],
+        F.sum(F.when(~F.coalesce(l1.isin(L1), F.lit(False)), amount)).alias("l1_remainder_spend_m"),
     )
     per_month = merchants.groupBy(*MONTH).agg(
         F.count("*").alias("uniq_merchants_m"), F.sum("is_recurring").alias("recurring_merchant_cnt_m"))
-    # Largest spend first, then by name: sort on the negated spend.
-    ranked = F.array_sort(F.array_compact(F.array(*[
-        F.when(_plain(label).isNotNull(), F.struct((-_plain(label)).alias("minus"), F.lit(label).alias("label")))
-        for label in labels.l1])))
-    top = F.get(ranked, F.lit(0))
-    return totals.join(per_month, MONTH, "left").withColumns({
-        "dominant_ecosystem": top["label"],
-        "dominant_ecosystem_spend_m": -top["minus"],
+    # Largest spend first, then by name.
+    top = txns.where(l1.isNotNull()).groupBy(*MONTH, "tax_l1").agg(F.sum(amount).alias("spend")).where(
+        F.col("spend").isNotNull()).groupBy(*MONTH).agg(F.min(F.struct((-F.col("spend")).alias("minus"), "tax_l1")).alias("top"))
+    base = join_months(totals, per_month)
+    base = join_months(base, label_mix(txns).drop("ecosystem_entropy_m", "ecosystem_hhi_m"))
+    return join_months(base, top).withColumns({
+        "dominant_ecosystem": F.col("top.tax_l1"),
+        "dominant_ecosystem_spend_m": -F.col("top.minus"),
         **{f"{part}_spend_share_m": safe_div(F.col(f"{part}_spend_m"), F.col("spend_amt_m")) for part in SHARED},
-    })
+    }).drop("top")
 
 
 def _mix(df: DataFrame, name: str) -> list[Column]:
@@ -229,7 +220,7 @@ def with_share(parts: DataFrame, spend: str) -> DataFrame:
     already summed up per merchant or category, so a customer with very many
     transactions has no more rows here than it has merchants."""
     total = parts.groupBy(*MONTH).agg(F.sum(spend).alias("_total"))
-    return parts.join(total, MONTH, "left").withColumn("share", safe_div(F.col(spend), F.col("_total")))
+    return join_months(parts, total).withColumn("share", safe_div(F.col(spend), F.col("_total")))
 
 
 def merchant_intelligence(merchants: DataFrame, bounds: dict[str, int]) -> DataFrame:
@@ -237,7 +228,7 @@ def merchant_intelligence(merchants: DataFrame, bounds: dict[str, int]) -> DataF
     sizes = merchants.groupBy("merchant_key", "txn_month").agg(
         F.sum("visits").alias("size"), F.sum("spend").alias("merchant_total_spend_m"),
         F.count("*").alias("merchant_cust_cnt_m"))
-    sized = merchants.join(sizes, ["merchant_key", "txn_month"], "left")
+    sized = join_months(merchants, sizes, ["merchant_key", "txn_month"])
     spend, size = F.col("spend"), F.col("size")
 
     def spend_at(condition: Column) -> Column:
@@ -259,10 +250,8 @@ def merchant_intelligence(merchants: DataFrame, bounds: dict[str, int]) -> DataF
     )
     first = merchants.groupBy("CUST_NUM", "merchant_key").agg(F.min("txn_month").alias("txn_month"))
     new = first.groupBy(*MONTH).agg(F.count("*").alias("new_merchant_cnt_m"))
-    return (
-        scale.join(mix, MONTH, "left").join(top3, MONTH, "left").join(new, MONTH, "left")
-        .fillna(0, subset=["new_merchant_cnt_m"])
-    )
+    joined = join_months(join_months(join_months(scale, mix), top3), new)
+    return joined.fillna(0, subset=["new_merchant_cnt_m"])
 
 
 def ecosystem_concentration(txns: DataFrame) -> DataFrame:
@@ -324,14 +313,10 @@ def add_regime(df: DataFrame) -> DataFrame:
     })
 
 
-def broad_mart(txns: DataFrame, merchants: DataFrame, labels: Labels, bounds: dict[str, int]) -> DataFrame:
+def broad_mart(txns: DataFrame, merchants: DataFrame, bounds: dict[str, int]) -> DataFrame:
     """Phase 2 of the broad variant."""
-    joined = (
-        month_base(txns, merchants, labels)
-        .join(merchant_intelligence(merchants, bounds), MONTH, "left")
-        .join(ecosystem_concentration(txns), MONTH, "left")
-    )
-    return add_regime(add_rolling(joined))
+    joined = join_months(month_base(txns, merchants), merchant_intelligence(merchants, bounds))
+    return add_regime(add_rolling(join_months(joined, ecosystem_concentration(txns))))
 
 
 # ---------------------------------------------------------------- personas and views

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import flag, share_of
-from .monthly import MONTH
+from .monthly import MONTH, join_months
 
 MERCHANT = "mcht_nm_norm"
 # Monthly transactions of mega, large and long-tail merchants
@@ -64,7 +64,7 @@ def add_merchant_sizes(months: DataFrame) -> DataFrame:
     and month. The sort-merge join leaves it to AQE to split the hot partition:
     the size side has one row per key, so replicating it is cheap.
     """
-    return months.join(merchant_sizes(months), [MERCHANT, "txn_month"], "left")
+    return join_months(months, merchant_sizes(months), [MERCHANT, "txn_month"])
 
 
 def _entropy(value: str, total: Column) -> Column:

@@ -1,10 +1,10 @@
-"""Customer-month activity: one pass over the enriched transactions.
+"""Customer-month activity: aggregates of the enriched transactions.
 
-All sums, counts, category pivots and distinct counts of a customer-month are
-plain aggregates of one ``groupBy``, so transactions shuffle once, combined on the
-map side: a customer with a third of all rows leaves each task as one row per
-month. Pivots have fixed value lists, and distinct days and categories are counted
-in bit masks, so there is no pivot job and no row expansion for distincts.
+All sums, counts and category pivots of a customer-month are plain aggregates of
+one ``groupBy``, combined on the map side: a customer with a third of all rows
+leaves each task as one row per month. Pivots have fixed value lists and a
+remainder, distinct days and platforms are counted in bit masks, and distinct
+categories from sums per category, so there is no pivot job and no row expansion.
 Callers select what they need; Spark drops the aggregates nobody reads.
 """
 
@@ -24,26 +24,27 @@ _MASK_BITS = 62
 
 @dataclass
 class Labels:
-    """All category labels that transactions can carry."""
+    """The category labels that get a spend column of their own. Spend on any other
+    label is kept in ``l1_remainder_spend_m``; distinct counts and concentration do
+    not depend on the list."""
 
     l1: list[str] = field(default_factory=list)
     l2: list[str] = field(default_factory=list)
     l3: list[str] = field(default_factory=list)
 
     @classmethod
-    def of(cls, rules: list[tuple] | None = None, *refs: DataFrame) -> "Labels":
-        """Labels of the hierarchy, the rules and the source taxonomies. The
-        sources are dimensions of a few hundred rows; more than 100,000 distinct
-        triples are refused."""
-        triples = [*fv.hierarchy(), *[rule[3:] for rule in rules or fv.merchant_rules()]]
-        for ref in refs:
-            levels = [c for c in ref.columns if c.endswith(("_l1", "_l2", "_l3"))]
-            rows = ref.select(*levels).distinct().limit(100_001).collect()
-            if len(rows) > 100_000:
-                raise ValueError("a source taxonomy has too many categories")
-            triples += [tuple(row) for row in rows]
-        columns = zip(*triples)
-        return cls(*[sorted({v for v in values if v} | {fv.UNCLASSIFIED}) for values in columns])
+    def of(cls, rules: list[tuple] | None = None, triples: list[tuple] = ()) -> "Labels":
+        """Labels of the hierarchy, of the rules and of further (L1, L2, L3) triples."""
+        every = [*fv.hierarchy(), *[rule[3:] for rule in rules or fv.merchant_rules()], *triples]
+        return cls(*[sorted({v for v in values if v} | {fv.UNCLASSIFIED}) for values in zip(*every)])
+
+
+def join_months(left: DataFrame, right: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Left join of aggregates that also joins NULL customers and months."""
+    keys = keys or MONTH
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    same = [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys]
+    return left.join(renamed, same, "left").drop(*[f"_right_{key}" for key in keys])
 
 
 def spend_column(level: str, label: str) -> str:
@@ -138,14 +139,12 @@ def month_totals(txns: DataFrame, labels: Labels) -> DataFrame:
         F.min(amount).alias("min_ticket_m"),
         F.stddev_samp(amount).alias("stddev_ticket_m"),
         F.coalesce(F.bit_count(F.expr("bit_or(shiftleft(1L, txn_dom))")), F.lit(0)).alias("active_days_m"),
-        count_labels("tax_l1", labels.l1).alias("uniq_tax_l1_m"),
-        count_labels("tax_l2", labels.l2).alias("uniq_tax_l2_m"),
-        count_labels("tax_l3", labels.l3).alias("uniq_tax_l3_m"),
         *[money_when(F.col(tag) == value).alias(name) for name, (tag, value) in SPENDS.items()],
         *[F.sum(name).alias(column) for column, name in COUNTS.items()],
         F.sum(flag(F.col("merchant_novelty_tag") == "FIRST_TIME")).alias("new_merchant_cnt_m"),
         F.sum(flag(F.col("merchant_novelty_tag") == "REPEAT")).alias("repeat_merchant_txn_cnt_m"),
         *[money_when(F.col("tax_l1") == label).alias(spend_column("l1", label)) for label in labels.l1],
+        money_when(~F.coalesce(F.col("tax_l1").isin(labels.l1), F.lit(False))).alias("l1_remainder_spend_m"),
         *[money_when(F.col("tax_l2") == label).alias(spend_column("l2", label)) for label in fv.KEY_L2],
         count_labels("platform_ecosystem", platforms).alias("platform_count_m"),
         F.sum(flag(platform != "NONE")).alias("platform_txn_cnt_m"),
@@ -226,15 +225,19 @@ def add_platforms(df: DataFrame) -> DataFrame:
         *[_PLATFORM_SPEND.format(name) for name, _ in fv.PLATFORMS])
 
 
-def add_ecosystem_concentration(df: DataFrame, labels: Labels) -> DataFrame:
-    """Entropy and concentration of spend over all L1 labels, unclassified included."""
-    spends = [F.col(spend_column("l1", label)) for label in labels.l1]
-    total = F.col("spend_amt_m")
-    zero = F.lit(0.0)
-    entropy = sum((
-        F.when(share_of(s, total) > 0, -share_of(s, total) * F.log2(share_of(s, total))).otherwise(zero)
-        for s in spends), zero)
-    return df.withColumns({
-        "ecosystem_entropy_m": entropy,
-        "ecosystem_hhi_m": sum((share_of(s, total) * share_of(s, total) for s in spends), zero),
-    })
+def label_mix(txns: DataFrame) -> DataFrame:
+    """Distinct categories, and entropy and concentration of spend over all L1 labels
+    whatever they are. Rows are summed per label first, so the sets hold a few labels."""
+    parts = txns.groupBy(*MONTH, "tax_l1", "tax_l2", "tax_l3").agg(F.sum("txn_amount").alias("spend"))
+    distinct = {f"uniq_tax_{level}_m": F.array_distinct(F.flatten(F.collect_list(f"{level}s"))) for level in ("l2", "l3")}
+    tops = parts.groupBy(*MONTH, "tax_l1").agg(
+        F.sum("spend").alias("spend"), F.collect_set("tax_l2").alias("l2s"), F.collect_set("tax_l3").alias("l3s"))
+    spend, total = F.col("spend"), F.sum("spend")
+    positive = F.sum(F.when(spend > 0, spend).otherwise(0.0))
+    logged = F.sum(F.when(spend > 0, spend * F.log2(spend)).otherwise(0.0))
+    return tops.groupBy(*MONTH).agg(
+        F.count("tax_l1").alias("uniq_tax_l1_m"),
+        *[F.size(found).cast("long").alias(name) for name, found in distinct.items()],
+        F.when(total > 0, (F.log2(total) * positive - logged) / total).otherwise(0.0).alias("ecosystem_entropy_m"),
+        F.when(total > 0, F.sum(spend * spend) / (total * total)).otherwise(0.0).alias("ecosystem_hhi_m"),
+    )

@@ -11,18 +11,12 @@ from ..operators import trends as t
 
 
 def month_base(txns: DataFrame, labels: mm.Labels, merchants: DataFrame) -> DataFrame:
-    """Totals, medians, merchant count, shares and ratios of a customer-month.
-
-    All inputs are hash-partitioned by customer and month from their own
-    aggregates, so the joins add no shuffle.
-    """
-    base = (
-        mm.month_totals(txns, labels)
-        .join(mm.month_medians(txns), mm.MONTH, "left")
-        .join(merchants, mm.MONTH, "left")
-        .withColumnRenamed("merchant_cnt_m", "uniq_merchants_m")
-    )
-    return mm.add_derived(mm.add_shares(base))
+    """Totals, medians, distinct categories, merchant features, shares and ratios of
+    a customer-month. NULL customers and months join like any other."""
+    base = mm.month_totals(txns, labels)
+    for part in (mm.month_medians(txns), mm.label_mix(txns), merchants):
+        base = mm.join_months(base, part)
+    return mm.add_derived(mm.add_shares(base.withColumnRenamed("merchant_cnt_m", "uniq_merchants_m")))
 
 
 def feature_mart(
@@ -32,10 +26,10 @@ def feature_mart(
     """The mart from enriched transactions and the stored merchant table."""
     sized = m.add_merchant_sizes(merchant_table)
     df = month_base(txns, labels, m.merchant_features(sized, bounds))
-    df = df.join(m.top_merchants(merchant_table), mm.MONTH, "left")
+    df = mm.join_months(df, m.top_merchants(merchant_table))
     df = df.withColumn("merchant_cnt_m", df["uniq_merchants_m"])
     df = mm.add_platforms(mm.add_key_l2_shares(mm.add_ecosystems(df, base), base))
-    df = m.add_recurring_shares(m.add_top_shares(mm.add_ecosystem_concentration(df, labels)))
+    df = m.add_recurring_shares(m.add_top_shares(df))
     df = t.add_wallet_flags(m.add_turnover(df))
     return t.add_quality(t.add_risk_flags(t.add_regime(t.add_trends(t.add_rolling(df)))))
 

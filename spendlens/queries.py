@@ -25,8 +25,8 @@ KEY = ["TXN_REF"]
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Dates and times as text, arrays as joined text, and doubles with seven
-    significant digits, so that results of two engines can be compared."""
+    """Dates and times as text, arrays as joined text, and doubles with six decimals,
+    so that results of two engines can be compared."""
     def plain(field: T.StructField):
         col = F.col(field.name)
         if isinstance(field.dataType, T.DateType):
@@ -36,7 +36,7 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.ArrayType):
             return F.concat_ws(" ", col)
         if isinstance(field.dataType, T.DoubleType):
-            return F.round(col, 9).cast("float").cast("double")
+            return F.round(col, 6) + F.lit(0.0)
         return col
     return df.select(*[plain(f).alias(f.name) for f in df.schema.fields])
 
@@ -105,8 +105,7 @@ SIZE_BOUNDS = {"mega": 150, "large": 60, "longtail": 20}
 
 
 def labels(spark: SparkSession) -> monthly.Labels:
-    refs = references(spark)
-    return monthly.Labels.of(None, refs.b2k, refs.mobius)
+    return monthly.Labels.of(None, [row[-3:] for row in [*retail.B2K_ROWS, *retail.MOBIUS_ROWS]])
 
 
 phase2 = written("phase2", lambda spark, folder: features.feature_mart(
@@ -157,6 +156,40 @@ def rule_hierarchy_check(spark, folder):
     return rules.hierarchy_check(rules.add_rules(named(spark, folder)), rules.hierarchy_frame(spark))
 
 
+@query("rule_validation")
+def rule_validation(spark, folder):
+    """Rules whose triple the hierarchy lacks and leaves without a rule, with the
+    transactions of either by their final category."""
+    listed, every = rules.hierarchy_frame(spark), rules.rule_frame(spark)
+    found = rules.rules_outside_hierarchy(every, listed).select(
+        F.lit("RULE_OUTSIDE").alias("finding"), "rule_name", "rule_l1", "rule_l2", "rule_l3").union(
+        rules.leaves_without_rule(every, listed).select(
+            F.lit("LEAF_WITHOUT_RULE"), F.lit(None).cast("string"), "ref_l1", "ref_l2", "ref_l3"))
+    used = classified(spark, folder).groupBy("tax_l1", "tax_l2", "tax_l3").agg(F.count("*").alias("txn_cnt"))
+    return found.join(used, (F.col("rule_l1") == F.col("tax_l1")) & (F.col("rule_l2") == F.col("tax_l2"))
+                      & (F.col("rule_l3") == F.col("tax_l3")), "left").select(
+        "finding", "rule_name", "rule_l1", "rule_l2", "rule_l3", F.coalesce("txn_cnt", F.lit(0)).alias("txn_cnt"))
+
+
+# Rules out of order, with escapes, a shared priority and a repeated name.
+USER_RULES = [
+    (20, "GENERIC", "a", "TEST_L1", "GENERIC", "GENERIC"),
+    (5, "SPECIFIC", r"mar|sho\(p|foo\|bar", "TEST_L1", "SPECIFIC", "SPECIFIC"),
+    (5, "TIED", "mark", "TEST_L1", "TIED", "TIED"),
+    (7, "GENERIC", "[|e]n", "TEST_L1", "REPEATED", "REPEATED"),
+]
+
+
+@query("rule_user_list")
+def rule_user_list(spark, folder):
+    return rules.add_rules(named(spark, folder), USER_RULES).select(*RULE_RESULT)
+
+
+@query("rule_user_table")
+def rule_user_table(spark, folder):
+    return rules.add_rules_by_join(named(spark, folder), rules.rule_frame(spark, USER_RULES)).select(*RULE_RESULT)
+
+
 @query("source_join_b2k")
 def source_join_b2k(spark, folder):
     return taxonomy.add_b2k(card(spark, folder), references(spark).b2k).select(
@@ -227,6 +260,8 @@ def payday_tags(spark, folder):
     return tags.add_time_tags(card(spark, folder)).select("txn_key", "txn_dom", "payday_window_flag")
 
 
+# Customers with more rows than this count as hot in the queries that check the slices.
+CUT_ROWS = 10
 HISTORY_RESULT = [
     "txn_key", "prev_txn_dt_merchant", "prev_txn_amt_merchant", "days_since_prev_merchant",
     "amt_delta_pct", "merchant_visit_cnt", "avg_interval_merchant", "std_interval_merchant",
@@ -239,6 +274,19 @@ def recurrence_history(spark, folder):
     return recurrence.add_history(named(spark, folder)).select(*HISTORY_RESULT)
 
 
+@query("recurrence_history_cut")
+def recurrence_history_cut(spark, folder):
+    """The same with all customers of more than a few rows cut into slices."""
+    return recurrence.add_history(named(spark, folder), hot_rows=CUT_ROWS).select(*HISTORY_RESULT)
+
+
+@query("recurrence_tags_events_cut")
+def recurrence_tags_events_cut(spark, folder):
+    txns = merchant.add_merchant_text(event_card(spark, folder))
+    return recurrence.add_recurrence(txns, hot_rows=CUT_ROWS).select(
+        "txn_key", "merchant_visit_cnt", "merchant_novelty_tag", "recurrence_tag", "subscription_candidate_flag")
+
+
 @query("recurrence_tags")
 def recurrence_tags(spark, folder):
     return recurrence.add_recurrence(named(spark, folder)).select(
@@ -262,7 +310,7 @@ def totals(spark, folder):
 
 def base(spark, folder):
     merchant_rows = merchants.merchant_features(
-        merchants.add_merchant_sizes(merchants.merchant_months(phase1(spark, folder))), SIZE_BOUNDS)
+        merchants.add_merchant_sizes(merchant_table(spark, folder)), SIZE_BOUNDS)
     return features.month_base(phase1(spark, folder), labels(spark), merchant_rows)
 
 
@@ -289,12 +337,22 @@ def month_base_events(spark, folder):
         "weekend_spend_m", "payday_window_spend_m", "new_merchant_cnt_m")
 
 
+APPROXIMATE = {
+    "active_days_m": "txn_date", "uniq_merchants_m": "merchant_key", "uniq_tax_l1_m": "tax_l1",
+    "uniq_tax_l2_m": "tax_l2", "uniq_tax_l3_m": "tax_l3"}
+
+
 @query("month_base_approx")
 def month_base_approx(spark, folder):
-    return phase1(spark, folder).groupBy(*MONTH).agg(
-        *[F.approx_count_distinct(column).alias(name) for name, column in {
-            "active_days_m": "txn_date", "uniq_merchants_m": "merchant_key", "uniq_tax_l1_m": "tax_l1",
-            "uniq_tax_l2_m": "tax_l2", "uniq_tax_l3_m": "tax_l3"}.items()])
+    """Exact counts, and whether the estimates are within three standard errors (5 %
+    each) or 1 of them."""
+    txns = phase1(spark, folder)
+    estimated = txns.groupBy(*MONTH).agg(
+        *[F.approx_count_distinct(column).alias(f"approx_{name}") for name, column in APPROXIMATE.items()])
+    exact = base(spark, folder).select(*MONTH, *APPROXIMATE)
+    return monthly.join_months(exact, estimated).select(*MONTH, *APPROXIMATE, *[
+        (F.abs(F.col(f"approx_{name}") - F.col(name)) <= F.greatest(F.lit(1.0), 0.15 * F.col(name))).alias(f"{name}_near")
+        for name in APPROXIMATE])
 
 
 @query("month_shares")
@@ -306,7 +364,16 @@ def month_shares(spark, folder):
 def l1_pivot(spark, folder):
     df = monthly.add_ecosystems(totals(spark, folder))
     return df.select(
-        *MONTH, *[c for c in df.columns if c.startswith("l1_") and "other_longtail" not in c])
+        *MONTH, *[c for c in df.columns if c.startswith("l1_") and not c.startswith(("l1_other_longtail", "l1_remainder"))])
+
+
+@query("l1_spend_check")
+def l1_spend_check(spark, folder):
+    """Spend over all ecosystems with the hierarchy's labels only, the rest as remainder."""
+    few = monthly.Labels(l1=["FOOD_DINING", "EVERYDAY_ESSENTIALS"])
+    df = monthly.month_totals(phase1(spark, folder), few)
+    return df.select(*MONTH, "spend_amt_m", "l1_remainder_spend_m", sum(
+        (F.col(c) for c in df.columns if c.startswith("l1_")), F.lit(0.0)).alias("l1_spend_m"))
 
 
 @query("dominant_ecosystem")
@@ -333,7 +400,7 @@ def l2_pivot(spark, folder):
 
 
 def merchant_rows(spark, folder):
-    return merchants.add_merchant_sizes(merchants.merchant_months(phase1(spark, folder)))
+    return merchants.add_merchant_sizes(merchant_table(spark, folder))
 
 
 @query("merchant_entropy")
@@ -344,7 +411,7 @@ def merchant_entropy(spark, folder):
 
 @query("top_merchants")
 def top_merchants(spark, folder):
-    top = merchants.top_merchants(merchants.merchant_months(phase1(spark, folder)))
+    top = merchants.top_merchants(merchant_table(spark, folder))
     return merchants.add_top_shares(
         totals(spark, folder).select(*MONTH, "spend_amt_m").join(top, MONTH, "left")
     ).select(*MONTH, "top1_merchant_share_m", "top3_merchant_spend_m", "top3_merchant_share_m")
@@ -352,8 +419,7 @@ def top_merchants(spark, folder):
 
 @query("ecosystem_entropy")
 def ecosystem_entropy(spark, folder):
-    return monthly.add_ecosystem_concentration(totals(spark, folder), labels(spark)).select(
-        *MONTH, "ecosystem_entropy_m", "ecosystem_hhi_m")
+    return monthly.label_mix(phase1(spark, folder)).select(*MONTH, "ecosystem_entropy_m", "ecosystem_hhi_m")
 
 
 @query("merchant_scale")
@@ -365,7 +431,7 @@ def merchant_scale(spark, folder):
 
 @query("merchant_sizes")
 def merchant_sizes(spark, folder):
-    return merchants.merchant_sizes(merchants.merchant_months(phase1(spark, folder)))
+    return merchants.merchant_sizes(merchant_table(spark, folder))
 
 
 @query("merchant_loyalty")
@@ -536,15 +602,9 @@ broad_phase1 = written("broad_phase1", lambda spark, folder: broad.enrich_broad(
     retail.landed_transactions(spark, folder), KEY))
 
 
-def landed_labels(spark, folder):
-    levels = broad_phase1(spark, folder).select(
-        F.col("mobius_l1").alias("s_l1"), F.col("mobius_l2").alias("s_l2"), F.col("mobius_l3").alias("s_l3"))
-    return broad.broad_labels(levels)
-
-
 broad_merchants = written("broad_merchants", lambda spark, folder: broad.merchant_rows(broad_phase1(spark, folder)))
 broad_phase2 = written("broad_phase2", lambda spark, folder: broad.broad_mart(
-    broad_phase1(spark, folder), broad_merchants(spark, folder), landed_labels(spark, folder), SIZE_BOUNDS))
+    broad_phase1(spark, folder), broad_merchants(spark, folder), SIZE_BOUNDS))
 broad_phase3 = written("broad_phase3", lambda spark, folder: broad.add_personas(broad_phase2(spark, folder)))
 
 
@@ -604,6 +664,12 @@ def recurrence_last3_events(spark, folder):
         "txn_key", "avg_interval_3txns", "std_interval_3txns", "recurrence_tag")
 
 
+@query("recurrence_last3_cut")
+def recurrence_last3_cut(spark, folder):
+    return recurrence.add_recurrence_last3(broad.add_text_basic(card(spark, folder)), hot_rows=CUT_ROWS).select(
+        "txn_key", "avg_interval_3txns", "std_interval_3txns", "recurrence_tag")
+
+
 def from_broad_mart(name: str, columns: str) -> None:
     @query(name)
     def select(spark, folder):

@@ -1,5 +1,5 @@
 from .dimensions import attach_dimension, dimension
-from .store import materialize, scratch_path
+from .store import materialize, remove, scratch_path
 from .tables import (
     append_audit, complete_columns, ensure_audit_table, read_transactions, require_columns,
     stamp, standardize, write_table,
@@ -7,6 +7,6 @@ from .tables import (
 
 __all__ = [
     "append_audit", "attach_dimension", "complete_columns", "dimension",
-    "ensure_audit_table", "materialize", "read_transactions", "require_columns",
+    "ensure_audit_table", "materialize", "read_transactions", "remove", "require_columns",
     "scratch_path", "stamp", "standardize", "write_table",
 ]

@@ -5,13 +5,13 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from spendlens.operators import merchants, monthly, personas, trends
+from spendlens.operators import broad, merchants, monthly, personas, simple, trends
 from spendlens.operators.monthly import Labels
 from spendlens.plans.enrichment import References, enrich
 from spendlens.plans.features import feature_mart
 from spendlens.plans.features import personas as add_personas
 from spendlens.queries import SIZE_BOUNDS, labels, phase1, phase2, phase3
-from spendlens.sources import materialize, retail
+from spendlens.sources import materialize, retail, standardize
 
 KEYS = ["CUST_NUM", "txn_month"]
 
@@ -137,11 +137,33 @@ def test_consumption_base(spark):
     assert (shares("spend_amt_m"), shares("consumption_spend_m")) == (0.5, 1.0)
 
 
-def test_mart_shuffles(spark, folder):
-    """Joins of the mart reuse the partitioning of the aggregates they join."""
-    totals = monthly.month_totals(phase1(spark, folder), labels(spark)).select(*KEYS, "spend_amt_m")
-    joined = totals.join(monthly.month_medians(phase1(spark, folder)), KEYS, "left")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 2
+def test_null_keys_and_unknown_labels(spark):
+    """Customer-months with a NULL customer or month keep their joined columns, and
+    spend on labels off the list stays in the remainder."""
+    rows = [(None, "makro", 100.0, month(1)), (None, "shell", 300.0, month(1)), (1, "makro", 5.0, "no date"),
+            (1, "makro", 7.0, month(1))]
+    txns = materialize(enrich(spark.createDataFrame(rows, DDL), References.empty(spark)), "txns")
+    txns = txns.withColumn("tax_l1", F.when(F.col("txn_amount") == 7.0, "CUSTOM_L1").otherwise(F.col("tax_l1")))
+    table = materialize(merchants.merchant_months(txns), "table")
+    found = {(r["CUST_NUM"], r["txn_month"] is None): r for r in feature_mart(txns, table, Labels.of(), SIZE_BOUNDS).collect()}
+    assert found[None, False]["uniq_merchants_m"] == 2 and found[None, False]["median_ticket_m"] == 100.0
+    assert found[None, False]["top3_merchant_spend_m"] == 400.0
+    assert found[1, True]["uniq_merchants_m"] == 1 and found[1, True]["uniq_tax_l1_m"] == 1
+    assert found[1, False]["l1_remainder_spend_m"] == 7.0 and found[1, False]["uniq_tax_l1_m"] == 1
+
+
+def test_refunds_in_the_small_variant(spark):
+    rows = [(1, "a", 900.0, month(1)), (1, "b", 300.0, month(1)), (1, "c", -200.0, month(1)),
+            (2, "a", -30.0, month(1)), (2, "b", -10.0, month(1))]
+    tagged = simple.add_simple_tags(standardize(spark.createDataFrame(rows, DDL)).withColumn("ONLN_FLAG", F.lit("Y")))
+    found = {r["CUST_NUM"]: r["merchant_entropy"] for r in simple.simple_personas(tagged).collect()}
+    assert found[1] == pytest.approx(0.6579, abs=1e-4) and found[2] == pytest.approx(0.8113, abs=1e-4)
+
+
+def test_broad_shares_are_row_local(spark):
+    columns = {"spend_amt_m": 100.0, "FOOD_DINING": 60.0}
+    one = spark.createDataFrame([(100.0, 60.0, None)], "spend_amt_m double, FOOD_DINING double, HEALTH_WELLNESS double")
+    two = one.union(spark.createDataFrame([(50.0, None, 50.0)], one.schema))
+    first = lambda df: broad.add_l1_shares(df).where(F.col("spend_amt_m") == columns["spend_amt_m"]).first()
+    assert first(one)["share_health_wellness"] == first(two)["share_health_wellness"] == 0.0
+    assert first(one)["share_food_dining"] == 0.6
