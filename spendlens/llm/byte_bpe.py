@@ -4,8 +4,8 @@ A sequence of tokens is what BPE gives for its bytes exactly if every two
 neighbours are what BPE gives for their own bytes. So the merges amount to a
 transducer whose state is the last token and which may go on with any token that
 can stand beside it. It is compiled lazily: which tokens a lookahead of ``LOOK``
-bytes allows, and which of them can follow a state, is worked out from the merges
-when it first comes up and kept. At most one path leads to any position of a word.
+bytes (``FAR`` where longer tokens start so) allows, and which of them can follow a
+state, is worked out from the merges when it first comes up and kept. At most one path leads to any position of a word.
 The longest token that may follow is taken; where a path ends without going on,
 that position is closed for good and the next shorter token is tried, so each
 position is left once and the work follows the length of the word. Each distinct
@@ -36,10 +36,12 @@ from pyspark.sql import functions as F
 from .common import by_slices, table, text_of
 
 RANKS = "byte_bpe_50k.tiktoken"
-MAX_WORDS = 300_000
-MAX_ARCS = 300_000
+MAX_WORDS = 800_000
+MAX_ARCS = 400_000
 CHUNK = 4096
 LOOK = 6
+FAR = 14
+NEVER = 1 << 60
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -54,38 +56,69 @@ class Transducer:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.starts = {token[:n] for token in ranks for n in range(LOOK, len(token))}
+        self.starts = {token[:n] for token in ranks for n in (LOOK, FAR) if n < len(token)}
+        self.edges: tuple[dict[int, list], dict[int, list]] = ({}, {})
         self.arcs: dict[bytes, tuple[tuple[int, int], ...]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
-    def merge(self, word: bytes) -> list[int]:
+    def merge(self, word: bytes, until: int = 1) -> list[bytes]:
         """Plain BPE: join the neighbours of lowest rank, leftmost first."""
         rank = self.ranks.get
         parts = [word[i:i + 1] for i in range(len(word))]
-        while len(parts) > 1:
-            costs = [rank(a + b, 1 << 60) for a, b in zip(parts, parts[1:])]
+        while len(parts) > until:
+            costs = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]
             best = min(costs)
-            if best == 1 << 60:
+            if best == NEVER:
                 break
             at = costs.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
+
+    def _edge(self, token: int, side: int) -> list[tuple[bytes, int]]:
+        """The parts that lie at an edge of the token (0 left, 1 right) while it is
+        built, from a byte up to itself, each with the rank of the merge that ends it."""
+        known = self.edges[side].get(token)
+        if known is None:
+            word = self.bytes_of[token]
+            if len(word) == 1:
+                known = [(word, NEVER)]
+            else:
+                part = self.merge(word, 2)[side]
+                known = self._edge(self.ranks[part], side)[:-1] + [(part, token), (word, NEVER)]
+            self.edges[side][token] = known
+        return known
 
     def follows(self, left: int, right: int) -> bool:
-        """Whether BPE leaves the two tokens side by side."""
+        """Whether BPE leaves the two tokens side by side: no merge over their border
+        comes before the merges that build them."""
         known = self.pairs.get((left, right))
         if known is None:
             if len(self.pairs) >= MAX_WORDS:
                 self.pairs.clear()
-            both = self.bytes_of[left] + self.bytes_of[right]
-            known = self.pairs[left, right] = both not in self.ranks and self.merge(both) == [left, right]
+            rank, lefts, rights = self.ranks.get, self._edge(left, 1), self._edge(right, 0)
+            i = j = 0
+            while True:
+                (a, ends_a), (b, ends_b) = lefts[i], rights[j]
+                across = rank(a + b, NEVER)
+                # Of equal merges the leftmost comes first.
+                if across < ends_a and across <= ends_b:
+                    known = False
+                    break
+                if ends_a == ends_b == NEVER:
+                    known = True
+                    break
+                if ends_a <= ends_b:
+                    i += 1
+                else:
+                    j += 1
+            self.pairs[left, right] = known
         return known
 
     def _compile(self, window: bytes) -> tuple[tuple[int, int], ...]:
         """The tokens that the window starts with, longest first, with their sizes."""
         found = tuple((size, self.ranks[window[:size]]) for size in range(len(window), 0, -1)
                       if window[:size] in self.ranks)
-        if len(window) <= LOOK:
+        if len(window) <= FAR:
             if len(self.arcs) >= MAX_ARCS:
                 self.arcs.clear()
             self.arcs[window] = found
@@ -99,8 +132,10 @@ class Transducer:
         closed: set[int] = set()
         while at < end:
             window = word[at:at + LOOK]
-            if window in starts:
-                window = word[at:at + self.longest]
+            if window in starts:  # longer tokens are possible
+                window = word[at:at + FAR]
+                if window in starts:
+                    window = word[at:at + self.longest]
             choices = arcs.get(window) or self._compile(window)
             for place in range(skip, len(choices)):
                 size, token = choices[place]
