@@ -67,10 +67,11 @@ def write_table(
     """Write to a path (if the target holds a slash) or a table; read it back.
 
     Reading back cuts the lineage, so audits and later phases scan the stored
-    columns they need instead of recomputing the phase. A month goes to as many
-    files as it has write tasks, so no month is funnelled through one task.
+    columns they need instead of recomputing the phase. Rows are rebalanced by the
+    partition column: small months go to one file, large ones are split by size.
     """
-    writer = df.write.mode(mode).format(fmt)
+    rows = df.hint("rebalance", partition_by) if partition_by else df
+    writer = rows.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if "/" in target:
