@@ -100,7 +100,9 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.size("_lines").cast("long").alias("n_lines"),
         F.size(F.filter("_words", lambda w: w.isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
     ]
-    return ordered.select(id_col, *counted)
+    # A generator of one row keeps filters on the measures above them. Pushed below, a
+    # filter would hold copies of their expressions, down into the lambdas.
+    return ordered.select(id_col, F.inline(F.array(F.struct(*counted))))
 
 
 def _holds(rule: Rule) -> Column:
