@@ -9,7 +9,7 @@
    are candidates.
 3. Two first-order Markov models over key characters are trained, one on values that
    the base patterns found (at most ``SECRETS`` distinct ones, by hash) and one on the
-   ordinary identifiers of at most ``ORDINARY`` documents without a match (by hash of
+   identifiers that recur in at most ``ORDINARY`` documents without one (by hash of
    the id). A model has at most one count per pair of characters, so the table of
    log-likelihood ratios is a small constant.
 4. A candidate whose mean log-likelihood ratio reaches ``LEAST_RATIO`` per character
@@ -37,6 +37,7 @@ LEAST_CHARS = 20
 SECRETS = 20_000
 ORDINARY = 2_000
 LEAST_RATIO = 0.7
+BACK_OFF = 5.0
 
 # Without the lower bounds on length, so that a match that is too short still uses up its characters.
 ASSIGN = (r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"""
@@ -106,12 +107,16 @@ def _pairs(values: DataFrame) -> dict[tuple[str, str], int]:
 
 
 def _log_odds(random: dict, ordinary: dict) -> list[float]:
-    """For each pair of characters the log ratio of its transition probabilities."""
+    """For each pair of characters the log ratio of its transition probabilities, where
+    a rare character falls back on how frequent the next one is at all."""
     size = len(ALPHABET)
 
     def rows(counts):
+        total = sum(counts.values())
+        alone = {b: (sum(counts.get((a, b), 0) for a in ALPHABET) + 0.5) / (total + 0.5 * size) for b in ALPHABET}
         sums = {a: sum(counts.get((a, b), 0) for b in ALPHABET) for a in ALPHABET}
-        return [math.log((counts.get((a, b), 0) + 0.5) / (sums[a] + 0.5 * size)) for a in ALPHABET for b in ALPHABET]
+        return [math.log((counts.get((a, b), 0) + BACK_OFF * alone[b]) / (sums[a] + BACK_OFF))
+                for a in ALPHABET for b in ALPHABET]
 
     return [x - y for x, y in zip(rows(random), rows(ordinary))]
 
@@ -122,9 +127,13 @@ def train(docs: DataFrame, found: DataFrame, spans: DataFrame, secrets: int = SE
     random = _pairs(known)
     if not random:
         return None
-    plain = found.where(F.size("matches") == 0).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(ordinary)
+    no_base = F.size(F.filter("matches", lambda m: (m["kind"] < 3) & m["holds"])) == 0
+    plain = found.where(no_base).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(ordinary)
     chosen = docs.join(F.broadcast(plain.distinct()), "doc_id", "left_semi")  # at most ``ordinary`` rows
-    names = chosen.select(F.explode(F.regexp_extract_all("text", F.lit(rf"[A-Za-z_][{_KEY}]{{7,}}"), F.lit(0))).alias("value"))
+    found_names = F.regexp_extract_all("text", F.lit(rf"[A-Za-z_][{_KEY}]{{7,}}"), F.lit(0))
+    # What occurs once may itself be a secret.
+    names = chosen.select("doc_id", F.explode(F.array_distinct(found_names)).alias("value")).groupBy("value").agg(
+        F.countDistinct("doc_id").alias("docs")).where(F.col("docs") > 1)
     return _log_odds(random, _pairs(names))
 
 
