@@ -22,28 +22,24 @@ def _state(links: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every vertex of the links (a, b) that has one; the
     component is its smallest id."""
+    a, b = F.col("a"), F.col("b")
     links = materialize(
-        links.where(F.col("a") != F.col("b"))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+        links.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "links")
     before = _state(links)
     while before[0]:
         # Larger neighbours move to the smallest neighbour.
-        least = materialize(
-            links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            .groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")), "least")
-        both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        large = materialize(large.where(F.col("a") != F.col("b")).distinct(), "links")
-        # Smaller neighbours and the vertex itself move to the smallest one.
-        lowest = materialize(large.groupBy("a").agg(F.min("b").alias("least")), "least")
-        small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).union(
+        both = links.select("a", "b").union(links.select(b.alias("a"), a.alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), a).alias("least"))
+        large = both.where(b > a).join(least, "a").select(b.alias("a"), F.col("least").alias("b"))
+        # Smaller neighbours move to the smallest one, and so does the vertex itself.
+        lowest = large.groupBy("a").agg(F.min("b").alias("least"))
+        small = large.join(lowest, "a").select(b.alias("a"), F.col("least").alias("b")).union(
             lowest.select("a", F.col("least").alias("b")))
-        small = materialize(small.where(F.col("a") != F.col("b")).distinct(), "links")
-        for old in (links, least, large, lowest):
-            remove(old)
-        links, after = small, _state(small)
-        if after == before:
+        after = materialize(small.where(a != b).distinct(), "links")
+        remove(links)
+        links, state = after, _state(after)
+        if state == before:
             break
-        before = after
-    return links.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
-        links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+        before = state
+    return links.select(a.alias("id"), b.alias("component")).union(
+        links.select(b.alias("id"), b.alias("component")).distinct())

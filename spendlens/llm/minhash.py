@@ -13,11 +13,12 @@
    bands of 4 with a probability of 5e-8.
 4. Each class is compared with the smallest class of each of its buckets, on full
    sets computed from the texts. Verified links give components.
-5. Buckets that still hold more than one component are gone through once more: in
-   blocks of bounded size, members of different components whose sketches agree in
-   60 % of the coordinates (0.8 less more than five standard deviations) are
-   verified as well. So no bucket is capped and no group emits all its pairs: pairs
-   within a component are never made.
+5. Buckets that still hold more than one component are gone through once more, in
+   blocks of bounded size. Members whose sketch agrees with one of another component in
+   ``NEAR`` of the coordinates (0.8 less four standard deviations) get their texts, and
+   these pairs are verified on full sets within their block, each in the first band that
+   it shares and only while its ends are not joined. Blocks return the links that join
+   components, so no bucket is capped and no group emits its pairs.
 
 Null and empty texts have no shingles and link with nothing. Texts with fewer words
 than a shingle have their whole word sequence as one. Repeated rows get a row each,
@@ -46,7 +47,7 @@ LEAST = 80
 SIZE = 128
 ROWS = 4
 BANDS = SIZE // ROWS
-NEAR = 0.6
+NEAR = 0.66
 BLOCK = 1024
 MAX_WORDS = 500_000
 _LOW = np.uint64((1 << 48) - 1)
@@ -157,50 +158,136 @@ def _verify(size: int, least: int):
     return run
 
 
-def _cross_pairs(least: int):
-    """Pairs of different components within blocks whose sketches are near."""
-    def pairs(rows: list[tuple]) -> list[tuple[int, int]]:
-        # rows: rep, component, n_shingles, short, side (0, 1, or 2 for both)
-        comp = np.array([r[1] for r in rows])
-        count = np.array([r[2] for r in rows])
-        side = np.array([r[4] for r in rows])
-        shorts = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), SIZE)
-        names, sizes = np.unique(comp, return_counts=True)
-        largest = names[np.argmax(sizes)]
-        out = []
-        for i in np.flatnonzero(comp != largest):
-            other = (comp != comp[i]) & ((side != side[i]) | (side == 2))
-            other &= 100 * np.minimum(count, count[i]) >= least * np.maximum(count, count[i])
-            # Of two outside the largest component, the earlier one makes the pair.
-            other &= (comp == largest) | (np.arange(len(rows)) > i)
-            at = np.flatnonzero(other)
-            agree = (shorts[at] == shorts[i]).mean(axis=1)
-            for j in at[agree >= NEAR]:
-                a, b = rows[i][0], rows[j][0]
-                out.append((min(a, b), max(a, b)))
-        return out
+_MEMBER = ["key", "band", "i", "j", "rep", "component", "n_shingles", "short", "side"]
+_MEMBERS = "key long, band int, i int, j int, rep long, component long, n_shingles long, short binary, side int"
+
+
+class _Block:
+    """Members of a bucket, or of a pair of its parts, and which of them are near."""
+
+    def __init__(self, rows: list[tuple], least: int):
+        self.rows, self.least, self.band = rows, least, rows[0][1]
+        self.component = np.array([r[5] for r in rows])
+        self.count = np.array([r[6] for r in rows])
+        self.shorts = np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), SIZE)
+        self.side = np.array([r[8] for r in rows])
+        names, sizes = np.unique(self.component, return_counts=True)
+        self.largest = names[np.argmax(sizes)]
+
+    def outside(self) -> np.ndarray:
+        return np.flatnonzero(self.component != self.largest)
+
+    def near(self, i: int) -> np.ndarray:
+        """Members of other components that may be similar, each pair at one of its ends
+        and in the first band that it shares."""
+        other = (self.component != self.component[i]) & ((self.side != self.side[i]) | (self.side == 2))
+        other &= 100 * np.minimum(self.count, self.count[i]) >= self.least * np.maximum(self.count, self.count[i])
+        other &= (self.component == self.largest) | (np.arange(len(self.rows)) > i)
+        at = np.flatnonzero(other)
+        at = at[(self.shorts[at] == self.shorts[i]).mean(axis=1) >= NEAR]
+        before = self.band * ROWS
+        same = (self.shorts[at, :before] == self.shorts[i, :before]).reshape(len(at), self.band, ROWS)
+        return at[~same.all(axis=2).any(axis=1)]
 
+
+def _by_block(columns: list[str], schema: pa.Schema, make):
+    """Run ``make`` on the rows of each block; rows come sorted by block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
 
-        def out(found):
+        def out(found: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+                [pa.array([f[i] for f in found], field.type) for i, field in enumerate(schema)], schema=schema)
 
         for batch in batches:
-            found: list[tuple[int, int]] = []
-            columns = [batch.column(c).to_pylist() for c in ("key", "i", "j", "rep", "component", "n_shingles", "short", "side")]
-            for key, i, j, *row in zip(*columns):
-                if (key, i, j) != now:
-                    found += pairs(rows) if len(rows) > 1 else []
-                    now, rows = (key, i, j), []
-                rows.append(tuple(row))
+            found: list[tuple] = []
+            for row in zip(*[batch.column(c).to_pylist() for c in columns]):
+                if row[:4] != now:
+                    found += make(rows) if len(rows) > 1 else []
+                    now, rows = row[:4], []
+                rows.append(row)
             yield out(found)
         if len(rows) > 1:
-            yield out(pairs(rows))
+            yield out(make(rows))
     return run
 
 
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _near_members(least: int):
+    """The members of a block that are near to any of another component."""
+    schema = pa.schema([("key", pa.int64()), ("band", pa.int32()), ("i", pa.int32()), ("j", pa.int32()), ("rep", pa.int64()),
+                        ("component", pa.int64()), ("n_shingles", pa.int64()), ("short", pa.binary()), ("side", pa.int32())])
+
+    def make(rows: list[tuple]) -> list[tuple]:
+        block, chosen = _Block(rows, least), set()
+        for i in block.outside():
+            at = block.near(i)
+            if len(at):
+                chosen.update([i], at.tolist())
+        return [rows[i] for i in sorted(chosen)]
+    return _by_block(_MEMBER, schema, make)
+
+
+def _verify_members(words: int, least: int):
+    """Links of different components in a block, on full sets; one per pair of them."""
+    def make(rows: list[tuple]) -> list[tuple]:
+        block, out = _Block(rows, least), []
+        sets: dict[int, np.ndarray] = {}
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        def elements(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = shingles(rows[k][9], words)
+            return sets[k]
+
+        for i in block.outside():
+            for k in block.near(i).tolist():
+                x, y = root(rows[i][5]), root(rows[k][5])
+                if x == y:
+                    continue
+                one, two = elements(i), elements(k)
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                if 100 * both >= least * (len(one) + len(two) - both):
+                    parent[max(x, y)] = min(x, y)
+                    out.append((min(rows[i][4], rows[k][4]), max(rows[i][4], rows[k][4])))
+        return out
+    return _by_block([*_MEMBER, "text"], _PAIR, make)
+
+
+def _blocks(reps: DataFrame, members: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, in blocks."""
+    labelled = reps.select("rep", "n_shingles", "short").join(joined, F.col("rep") == F.col("id"), "left").select(
+        "rep", "n_shingles", "short", F.coalesce("component", "rep").alias("component"))
+    # Buckets of two have had their only pair checked.
+    placed = materialize(
+        members.where(F.col("members") > 2).select("key", "band", "rep", "members").join(
+            labelled.select("rep", "component"), "rep"), "placed")
+    mixed = materialize(
+        placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where(F.col("low") != F.col("high")).select("key"), "mixed")
+    parts = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
+    spread = (
+        placed.join(mixed, "key").withColumns({"parts": parts, "own": own})
+        .join(labelled.select("rep", "n_shingles", "short"), "rep")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumns({
+            "i": F.least("own", "other"), "j": F.greatest("own", "other"),
+            "side": F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)}))
+    return _in_order(spread.select(*_MEMBER))
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row (columns doc_id, text).
     ``least`` is the similarity in percent."""
@@ -210,51 +297,34 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: int = LEAST) ->
         signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("k1", "k2")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
              F.first("bands").alias("bands"), F.first("short").alias("short")), "classes")
-    keys = reps.select("rep", "n_shingles", F.explode("bands").alias("key"))
+    keys = reps.select("rep", "n_shingles", F.posexplode("bands").alias("band", "key"))
     buckets = materialize(
         keys.groupBy("key").agg(F.min(F.struct("rep", "n_shingles")).alias("first"), F.count("*").alias("members"))
         .where(F.col("members") > 1), "buckets")
+    members = materialize(keys.join(buckets, "key"), "members")
+    # Only texts that share a bucket are needed from here on.
+    needed = members.select(F.col("rep").alias("doc_id")).distinct()
+    compared = materialize(texts.join(needed, "doc_id", "left_semi"), "texts")
 
     def fit(x, y):
         return 100 * F.least(x, y) >= least * F.greatest(x, y)
 
-    stars = materialize(
-        keys.join(buckets, "key")
-        .where((F.col("rep") != F.col("first.rep")) & fit(F.col("n_shingles"), F.col("first.n_shingles")))
-        .select(F.col("first.rep").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        side_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        both = side_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    def verified(pairs: DataFrame) -> DataFrame:
+        side_b = pairs.join(compared.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+        both = side_b.join(compared.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         return materialize(
-            both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(words, least), "a long, b long"), name)
+            both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(words, least), "a long, b long"), "verified")
 
-    links = verified(stars, "verified")
+    stars = materialize(
+        members.where((F.col("rep") != F.col("first.rep")) & fit(F.col("n_shingles"), F.col("first.n_shingles")))
+        .select(F.col("first.rep").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    links = verified(stars)
     joined = materialize(components(links), "components")
-
-    # Buckets of two have had their only pair checked.
-    labelled = reps.select("rep", "n_shingles", "short").join(joined, F.col("rep") == F.col("id"), "left").select(
-        "rep", "n_shingles", "short", F.coalesce("component", "rep").alias("component"))
-    members = reps.select("rep", F.explode("bands").alias("key")).join(
-        buckets.where(F.col("members") > 2).select("key", "members"), "key")
-    members = materialize(members.join(labelled.select("rep", "component"), "rep"), "members")
-    mixed = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
-        F.col("low") != F.col("high")).select("key")
-    parts = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
-    spread = (
-        members.join(materialize(mixed, "mixed"), "key").withColumns({"parts": parts, "own": own})
-        .join(labelled.select("rep", "n_shingles", "short"), "rep")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "component",
-                "n_shingles", "short",
-                F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side")))
-    more = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
-        _cross_pairs(least), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
-    more = materialize(more, "pairs")
+    near = materialize(_blocks(reps, members, joined).mapInArrow(_near_members(least), _MEMBERS), "near")
+    with_text = near.join(compared, F.col("rep") == F.col("doc_id")).select(*_MEMBER, "text")
+    more = materialize(_in_order(with_text).mapInArrow(_verify_members(words, least), "a long, b long"), "verified")
     if more.limit(1).count():
-        links = links.union(verified(more, "verified"))
-        joined = materialize(components(links), "components")
+        joined = materialize(components(links.union(more)), "components")
 
     classes = reps.select("k1", "k2", "rep").join(joined, F.col("rep") == F.col("id"), "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component"))
@@ -267,3 +337,23 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: int = LEAST) ->
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near duplicates among all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+                    GROUP BY ALL) JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * k >= 80 * (a.n + b.n - k)),
+r AS (SELECT x AS id, x AS c FROM p UNION SELECT r.id, p.y FROM r JOIN p ON r.c = p.x),
+m AS (SELECT id, min(c) AS c FROM r GROUP BY id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.c, d.doc_id) AS component_id,
+  d.doc_id = coalesce(m.c, d.doc_id) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.id = d.doc_id"""

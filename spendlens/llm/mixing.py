@@ -182,3 +182,44 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return narrow.join(cuts, list(LEVELS), "left").select(
         "doc_id", *LEVELS, "n_tokens", "supply", "target",
         F.coalesce(copies(F.col("cut"), F.col("epochs")), F.lit(0)).cast("long").alias("copies"))
+
+
+def _sql() -> str:
+    def pour(nodes: str, parents: list[str], level: str) -> str:
+        group = f"PARTITION BY {', '.join(parents)}" if parents else ""
+        order = f"{group} ORDER BY cap / w, {level} ROWS BETWEEN"
+        return f"""
+  SELECT {', '.join([*parents, level])}, least(cap::DOUBLE, lev * w) AS b FROM (SELECT *, max(seen) OVER ({group}) AS lev FROM (
+    SELECT *, (least(b, sum(cap) OVER ({group})::DOUBLE)
+               - coalesce(sum(cap) OVER ({order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+              / sum(w) OVER ({order} CURRENT ROW AND UNBOUNDED FOLLOWING) AS seen FROM ({nodes})))"""
+
+    lang = " ".join(f"WHEN '{name}' THEN {weight}" for name, weight in LANGUAGES.items())
+    domains = pour(f"SELECT domain, sum(cap)::DOUBLE AS cap, 1::DOUBLE AS w, "
+                   f"(SELECT {SHARE}::DOUBLE * sum(tokens) FROM s) AS b FROM s GROUP BY domain", [], "domain")
+    langs = pour("SELECT domain, lang, sum(cap)::DOUBLE AS cap, max(lw) AS w, any_value(b) AS b FROM s JOIN db USING (domain) "
+                 "GROUP BY domain, lang", ["domain"], "lang")
+    leaves = pour("SELECT domain, lang, source, cap::DOUBLE AS cap, 1::DOUBLE AS w, b FROM s JOIN lb USING (domain, lang)",
+                  ["domain", "lang"], "source")
+    return rf"""
+WITH n AS (
+  SELECT doc_id, 'domain' || (coalesce(TRY_CAST(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS INTEGER), 0) % {DOMAINS}) AS domain,
+    lang, source, len(list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS n_tokens
+  FROM (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents)),
+s AS (
+  SELECT *, tokens * {MAX_EPOCHS} AS cap, CASE lang {lang} ELSE {min(LANGUAGES.values())} END::DOUBLE AS lw
+  FROM (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM n GROUP BY ALL)),
+db AS ({domains}),
+lb AS ({langs}),
+sb AS ({leaves}),
+plan AS (
+  SELECT *, target - epochs * supply AS rest
+  FROM (SELECT *, CASE WHEN supply > 0 THEN target // supply ELSE 1 END AS epochs
+        FROM (SELECT domain, lang, source, tokens AS supply, floor(b + 1e-6)::BIGINT AS target FROM s JOIN sb USING (domain, lang, source))))
+SELECT doc_id, domain, lang, source, n_tokens, supply, target,
+  (epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY hash) AS upto
+      FROM (SELECT *, md5('{SEED}:' || epochs || ':' || doc_id) AS hash FROM n JOIN plan USING (domain, lang, source)))"""
+
+
+ORACLE = _sql()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embeddings, quality_rules
+from . import embeddings, minhash, mixing, quality_rules
 from .byte_bpe import op7_byte_bpe
 from .embeddings import op6_embedding_near_dedup
 from .minhash import op5_minhash_near_dedup
@@ -29,5 +29,7 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op3_quality_rules": quality_rules.ORACLE,
+    "op5_minhash_near_dedup": minhash.ORACLE,
     "op6_embedding_near_dedup": embeddings.ORACLE,
+    "op10_mixing": mixing.ORACLE,
 }
