@@ -15,9 +15,9 @@
    sets computed from the texts. Verified links give components.
 5. Buckets that still hold more than one component are gone through once more, in
    blocks of bounded size. Members whose sketch agrees with one of another component in
-   ``NEAR`` of the coordinates (0.8 less four standard deviations) get their texts, and
-   these pairs are verified on full sets within their block, each in the first band that
-   it shares and only while its ends are not joined. Blocks return the links that join
+   ``NEAR`` of the coordinates (0.8 less 5.7 standard deviations) get their texts, and
+   these pairs are verified on full sets within their block, each in the first band whose
+   key it shares and only while its ends are not joined. Blocks return the links that join
    components, so no bucket is capped and no group emits its pairs.
 
 Null and empty texts have no shingles and link with nothing. Texts with fewer words
@@ -47,7 +47,7 @@ LEAST = 80
 SIZE = 128
 ROWS = 4
 BANDS = SIZE // ROWS
-NEAR = 0.66
+NEAR = 0.60
 BLOCK = 1024
 MAX_WORDS = 500_000
 _LOW = np.uint64((1 << 48) - 1)
@@ -158,19 +158,21 @@ def _verify(size: int, least: int):
     return run
 
 
-_MEMBER = ["key", "band", "i", "j", "rep", "component", "n_shingles", "short", "side"]
-_MEMBERS = "key long, band int, i int, j int, rep long, component long, n_shingles long, short binary, side int"
+_MEMBER = ["key", "band", "i", "j", "rep", "component", "n_shingles", "short", "side", "earlier"]
+_MEMBERS = ("key long, band int, i int, j int, rep long, component long, n_shingles long, short binary, side int, "
+            "earlier array<long>")
 
 
 class _Block:
     """Members of a bucket, or of a pair of its parts, and which of them are near."""
 
     def __init__(self, rows: list[tuple], least: int):
-        self.rows, self.least, self.band = rows, least, rows[0][1]
+        self.rows, self.least = rows, least
         self.component = np.array([r[5] for r in rows])
         self.count = np.array([r[6] for r in rows])
         self.shorts = np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), SIZE)
         self.side = np.array([r[8] for r in rows])
+        self.earlier = np.stack([r[9] for r in rows])
         names, sizes = np.unique(self.component, return_counts=True)
         self.largest = names[np.argmax(sizes)]
 
@@ -185,9 +187,16 @@ class _Block:
         other &= (self.component == self.largest) | (np.arange(len(self.rows)) > i)
         at = np.flatnonzero(other)
         at = at[(self.shorts[at] == self.shorts[i]).mean(axis=1) >= NEAR]
-        before = self.band * ROWS
-        same = (self.shorts[at, :before] == self.shorts[i, :before]).reshape(len(at), self.band, ROWS)
-        return at[~same.all(axis=2).any(axis=1)]
+        # Whole keys: the short values agree by chance, and a pair that never met would be skipped.
+        return at[~(self.earlier[at] == self.earlier[i]).any(axis=1)]
+
+
+def _values(column: pa.Array) -> list:
+    """The values of a column; lists of numbers as arrays."""
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    values, at = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(at[:-1] - at[0], at[1:] - at[0])]
 
 
 def _by_block(columns: list[str], schema: pa.Schema, make):
@@ -201,7 +210,7 @@ def _by_block(columns: list[str], schema: pa.Schema, make):
 
         for batch in batches:
             found: list[tuple] = []
-            for row in zip(*[batch.column(c).to_pylist() for c in columns]):
+            for row in zip(*[_values(batch.column(c)) for c in columns]):
                 if row[:4] != now:
                     found += make(rows) if len(rows) > 1 else []
                     now, rows = row[:4], []
@@ -218,7 +227,8 @@ _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 def _near_members(least: int):
     """The members of a block that are near to any of another component."""
     schema = pa.schema([("key", pa.int64()), ("band", pa.int32()), ("i", pa.int32()), ("j", pa.int32()), ("rep", pa.int64()),
-                        ("component", pa.int64()), ("n_shingles", pa.int64()), ("short", pa.binary()), ("side", pa.int32())])
+                        ("component", pa.int64()), ("n_shingles", pa.int64()), ("short", pa.binary()), ("side", pa.int32()),
+                        ("earlier", pa.list_(pa.int64()))])
 
     def make(rows: list[tuple]) -> list[tuple]:
         block, chosen = _Block(rows, least), set()
@@ -244,7 +254,7 @@ def _verify_members(words: int, least: int):
 
         def elements(k: int) -> np.ndarray:
             if k not in sets:
-                sets[k] = shingles(rows[k][9], words)
+                sets[k] = shingles(rows[k][10], words)
             return sets[k]
 
         for i in block.outside():
@@ -263,8 +273,8 @@ def _verify_members(words: int, least: int):
 
 def _blocks(reps: DataFrame, members: DataFrame, joined: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component, in blocks."""
-    labelled = reps.select("rep", "n_shingles", "short").join(joined, F.col("rep") == F.col("id"), "left").select(
-        "rep", "n_shingles", "short", F.coalesce("component", "rep").alias("component"))
+    labelled = reps.select("rep", "n_shingles", "short", "bands").join(joined, F.col("rep") == F.col("id"), "left").select(
+        "rep", "n_shingles", "short", "bands", F.coalesce("component", "rep").alias("component"))
     # Buckets of two have had their only pair checked.
     placed = materialize(
         members.where(F.col("members") > 2).select("key", "band", "rep", "members").join(
@@ -276,7 +286,8 @@ def _blocks(reps: DataFrame, members: DataFrame, joined: DataFrame) -> DataFrame
     own = F.pmod(F.xxhash64("rep"), parts).cast("int")
     spread = (
         placed.join(mixed, "key").withColumns({"parts": parts, "own": own})
-        .join(labelled.select("rep", "n_shingles", "short"), "rep")
+        .join(labelled.select("rep", "n_shingles", "short", "bands"), "rep")
+        .withColumn("earlier", F.slice("bands", 1, F.col("band"))).drop("bands")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumns({
             "i": F.least("own", "other"), "j": F.greatest("own", "other"),

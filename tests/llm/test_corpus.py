@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +76,31 @@ def test_groups_whose_first_text_is_far_from_most(spark, monkeypatch):
     assert near(df) == brute.near_duplicates(docs)
 
 
+@pytest.mark.parametrize("n,both", [(90, 80), (92, 84)])
+def test_second_pass_keeps_pairs_that_it_alone_can_join(n, both):
+    """Pairs at 0.80 and 0.84 in the blocks of every band that they share, without a first pass."""
+    rng = random.Random(n)
+    rows, want = [], 0
+    for pair in range(4000):
+        words = [f"w{rng.getrandbits(60)}" for _ in range(2 * n - both)]
+        texts = [" ".join(words[:n]), " ".join(words[n - both:])]
+        filled = [minhash.sketch(minhash.shingles(t, 1)) for t in texts]
+        keys = [minhash.bands(f) for f in filled]
+        shared = np.flatnonzero(keys[0] == keys[1])
+        want += bool(len(shared))
+        for band in shared:
+            for k in (0, 1):
+                rep = 2 * pair + k
+                rows.append((int(keys[k][band]), int(band), 0, 0, rep, rep, n, minhash.mix(filled[k]).astype(np.uint8).tobytes(),
+                             2, keys[k][:band], texts[k]))
+    columns = [*minhash._MEMBER, "text"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) if i != 9 else pa.array(list(c), pa.list_(pa.int64()))
+                                        for i, c in enumerate(zip(*rows))], columns)
+    near = {r for out in minhash._near_members(80)(iter([batch])) for r in out.column("rep").to_pylist()}
+    links = [x for out in minhash._verify_members(1, 80)(iter([batch])) for x in zip(*[c.to_pylist() for c in out.columns])]
+    assert len(near) == 2 * want and len(set(links)) == len(links) == want
+
+
 # ---------------------------------------------------------------- embeddings
 
 def links_of(rows, least=0.93):
