@@ -4,14 +4,17 @@
    every whole text. Each distinct value is a protected entity.
 2. A term (a word of at least ``LEAST_CHARS`` letters) co-occurs with an entity if
    it stands within ``WINDOW`` words of a mention, so a document gives a number of
-   pairs that is linear in its mentions. Texts that are equal count once. Pairs in
-   fewer than ``SUPPORT`` distinct texts are no evidence.
-3. Documents with the term are counted over the whole corpus. A term discloses an
-   entity by its point-wise mutual information relative to what there is to learn:
+   pairs that is linear in its mentions.
+3. Pairs, entities, terms and all texts are counted over one population: distinct
+   texts of the whole corpus. A term discloses an entity by its point-wise mutual
+   information relative to what there is to learn:
 
-       disclosure = log(p(e, t) / (p(e) p(t))) / -log p(e)
+       disclosure = log(p(e | t) / p(e)) / -log p(e)
+       p(e | t) = (texts with both + PRIOR p(e)) / (texts with t + PRIOR)
 
-   It is 1 for a term that occurs only with the entity and 0 for an unrelated term.
+   It nears 1 for a term that occurs only with the entity, the more texts show it, and
+   is 0 for an unrelated term. ``PRIOR`` texts of no evidence take the place of a least
+   support: a term of one text can be generalised, but takes more texts to be removed.
 4. In documents that mention the entity near the term, all occurrences of a term
    with a disclosure of at least ``GENERALISE`` are generalised to their shape, and
    removed from ``REMOVE`` on. Base spans are masked by their kind.
@@ -28,6 +31,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,10 +42,12 @@ from .common import by_slices, number_of, table, text_of
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 10
 LEAST_CHARS = 4
-SUPPORT = 3
+PRIOR = 1.0
 GENERALISE = 0.8
 REMOVE = 0.95
 FLUSH = 300_000
+FILTER_BITS = 1 << 25
+MAX_WORDS = 500_000
 
 # The patterns take whole runs at once and start only where a run starts, so a text
 # without white space costs no more than any other.
@@ -127,18 +133,52 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
             pairs.append([{"entity": e, "term": t} for e, t in contexts(text, found)] if found else [])
         return pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("doc_id"),
+            [batch.column("row"), batch.column("same"), batch.column("doc_id"),
              pa.array([t if s else None for t, s in zip(batch.column("text").to_pylist(), spans)], pa.string()),
              pa.array(spans, _SPAN), pa.array(pairs, pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string())])))],
-            ["row", "doc_id", "text", "base", "pairs"])
+            ["row", "same", "doc_id", "text", "base", "pairs"])
     return by_slices(batches, make)
 
 
 _SPAN = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-_FOUND = ("row long, doc_id long, text string, base array<struct<kind:int,start:int,end:int>>, "
+_FOUND = ("row long, same long, doc_id long, text string, base array<struct<kind:int,start:int,end:int>>, "
           "pairs array<struct<entity:long,term:string>>")
 
 
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """One bit per 64-bit hash (column ``h``); its size does not depend on the rows."""
+    at = f"pmod(h, {FILTER_BITS})"
+    found = hashes.selectExpr(f"shiftright({at}, 5) as word", "shiftleft(1L, cast(pmod(h, 32) as int)) as bit").groupBy(
+        "word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 32, np.uint32)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
+def _may_hold(bitmap: np.ndarray, h: int) -> bool:
+    at = h % FILTER_BITS
+    return bool(int(bitmap[at >> 5]) >> (at & 31) & 1)
+
+
+def _distinct_texts(docs: DataFrame, counted: DataFrame) -> list[DataFrame]:
+    """Texts of the corpus, each once, in two parts. Only texts that may have copies by a
+    filter of fixed size are shuffled; the others are read where they lie."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(counted.where("times > 1").select(F.col("same").alias("h"))))
+
+    def part(copied: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                mask = [_may_hold(shared.value, h) is copied for h in batch.column("same").to_pylist()]
+                yield batch.filter(pa.array(mask, pa.bool_()))
+        return docs.select("same", "text").mapInArrow(run, "same long, text string")
+
+    return [part(False).select("text"), part(True).groupBy("same").agg(F.first("text").alias("text")).select("text")]
+
+
+def _words_of(text: str) -> set[str]:
+    return {w.lower() for w in set(_TERM.findall(text)) if len(w) >= LEAST_CHARS}
+
+
 def _corpus_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts of texts by term."""
     def out(counts):
@@ -148,31 +188,35 @@ def _corpus_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     counts: Counter = Counter()
     for batch in batches:
         for text in batch.column("text").to_pylist():
-            counts.update({w for w in _TERM.findall(text.lower()) if len(w) >= LEAST_CHARS})
+            counts.update(_words_of(text))
             if len(counts) > FLUSH:
                 yield out(counts)
                 counts = Counter()
     yield out(counts)
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
-    """(entity, term, disclosure) over the corpus. ``docs``: text; ``found``: text, pairs."""
-    mentions = found.where(F.size("pairs") > 0).select(F.xxhash64("text").alias("same"), "pairs")
-    distinct = mentions.groupBy("same").agg(F.first("pairs").alias("pairs"))
-    pairs = materialize(distinct.select(F.explode("pairs").alias("p")).select("p.entity", "p.term"), "pii-pairs")
-    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
-    entities = distinct.select(F.explode(F.array_distinct("pairs.entity")).alias("entity")).groupBy("entity").agg(
-        F.count("*").alias("mentions"))
-    candidates = materialize(together.join(entities, "entity"), "pii-candidates")
-    total = docs.count()
+def disclosing_terms(docs: DataFrame, found: DataFrame, prior: float = PRIOR, least: float = GENERALISE) -> DataFrame:
+    """(entity, term, disclosure) over the distinct texts of the corpus. ``docs``: same, text;
+    ``found``: same, pairs of every row."""
+    counted = materialize(found.groupBy("same").agg(F.count("*").alias("times")), "pii-texts")
+    n = F.lit(float(max(counted.count(), 2)))
+    distinct = found.where(F.size("pairs") > 0).groupBy("same").agg(F.first("pairs").alias("pairs"))
+    pairs = materialize(distinct.select("same", F.explode("pairs").alias("p")).select("same", "p.entity", "p.term"), "pii-pairs")
+    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"))
+    entities = pairs.select("entity", "same").distinct().groupBy("entity").agg(F.count("*").alias("mentions"))
+    # Texts never show an entity more often than all of them do.
+    share = F.least(F.col("mentions") / n, 1 - 1 / n)
+
+    def disclosure(rows):
+        return F.log((F.col("both") + F.lit(prior) * share) / (rows + F.lit(prior)) / share) / -F.log(share)
+
+    # A term stands in as many texts as the pair at least; what fails with as few fails with more.
+    candidates = materialize(together.join(entities, "entity").where(disclosure(F.col("both")) >= least), "pii-candidates")
     terms = candidates.select("term").distinct()
-    corpus = docs.select("text").mapInArrow(_corpus_terms, "term string, rows long").join(
+    once, copied = _distinct_texts(docs, counted)
+    corpus = once.union(copied).mapInArrow(_corpus_terms, "term string, rows long").join(
         terms, "term", "left_semi").groupBy("term").agg(F.sum("rows").alias("rows"))
-    n = F.lit(float(max(total, 2)))
-    # Corpus counts hold copies, the others do not; neither may exceed what holds it.
-    rows = F.greatest(F.col("rows"), F.col("both")).cast("double")
-    gain = F.log(F.col("both") * n / (F.col("mentions") * rows)) / F.log(n / F.col("mentions"))
-    return candidates.join(corpus, "term").select("entity", "term", gain.alias("disclosure")).where(
+    return candidates.join(corpus, "term").select("entity", "term", disclosure(F.col("rows")).alias("disclosure")).where(
         F.col("disclosure") >= least)
 
 
@@ -208,14 +252,15 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return by_slices(batches, make)
 
 
-def sanitise(docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+def sanitise(docs: DataFrame, prior: float = PRIOR, least: float = GENERALISE) -> DataFrame:
     """doc_id, base spans, all spans as text, and the sanitised text (null where
     nothing was found). Columns used: doc_id, text."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn(
+        "same", F.xxhash64("text"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "same", "doc_id", "text")
     found = materialize(numbered.mapInArrow(_find, _FOUND), "pii-found")
     hits = found.where(F.size("base") > 0)
-    told = disclosing_terms(docs, hits, support, least)
+    told = disclosing_terms(docs, found, prior, least)
     by_row = (
         hits.select("row", F.explode("pairs").alias("p")).select("row", "p.entity", "p.term")
         .join(told, ["entity", "term"]).groupBy("row")

@@ -62,6 +62,29 @@ def test_terms_that_tell_an_entity_go(spark):
     assert ",term:" in found[0]["spans"] and found[10]["spans"] == "" and found[10]["sanitised"] is None
 
 
+def test_terms_of_an_entity_in_one_text_go_and_copies_count_once(spark):
+    common = "beta alpha gamma delta theta number thing"
+    rows_in = [(0, f"{common} zanzibar jane@corp.example.org thing")]
+    # The entity's copies are one text, and so are those of a text with the term alone.
+    rows_in += [(100 + i, f"{common} quixote joe@corp.example.org thing") for i in range(50)]
+    rows_in += [(200 + i, f"{common} mention of alpha") for i in range(50)]
+    rows_in += [(1000 + i, f"{common} {i} here") for i in range(200)]
+    docs = spark.createDataFrame(rows_in, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.sanitise(docs).collect()}
+    for i, term in ((0, "zanzibar"), (100, "quixote"), (149, "quixote")):
+        assert term not in found[i]["sanitised"] and "gamma delta" in found[i]["sanitised"]
+        assert "[TERM] [EMAIL]" in found[i]["sanitised"]
+    same = docs.withColumn("same", F.xxhash64("text"))
+    pairs = same.selectExpr("same", "case when text like '%@%' then array(named_struct('entity', 1L, 'term', 'gamma'), "
+                                    "named_struct('entity', 1L, 'term', if(doc_id = 0, 'zanzibar', 'quixote'))) "
+                                    "else array() end as pairs")
+    told = {r["term"]: r["disclosure"] for r in pii.disclosing_terms(same, pairs, least=-9.0).collect()}
+    share = 2 / 203
+    import math
+    for term, both, texts in (("gamma", 2, 203), ("quixote", 1, 1), ("zanzibar", 1, 1)):
+        assert told[term] == pytest.approx(math.log((both + share) / (texts + 1) / share) / -math.log(share))
+
+
 # ---------------------------------------------------------------- token counts
 
 def test_token_counts_and_cache(spark, hostile, empty, texts):
