@@ -15,12 +15,12 @@
    It nears 1 for a term that occurs only with the entity, the more texts show it, and
    is 0 for an unrelated term. ``PRIOR`` texts of no evidence take the place of a least
    support: a term of one text can be generalised, but takes more texts to be removed.
-4. In documents that mention the entity near the term, all occurrences of a term
-   with a disclosure of at least ``GENERALISE`` are generalised to their shape, and
-   removed from ``REMOVE`` on. Base spans are masked by their kind.
+4. In all documents, with the entity or without it, all occurrences of a term with a
+   disclosure of at least ``GENERALISE`` for any entity are generalised to their shape,
+   and removed from ``REMOVE`` on. Base spans are masked by their kind.
 
 Base spans are never dropped for term spans; a term inside a base span adds none.
-Documents without base spans stay as they are. Null texts are empty. Repeated rows
+Documents with neither stay as they are. Null texts are empty. Repeated rows
 get a row each; an empty table gives no rows; other columns are not looked at.
 """
 
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,24 +126,57 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> set[tuple[int, str
     return pairs
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of every text."""
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        spans, pairs = [], []
+        pairs = []
         for text in batch.column("text").to_pylist():
             found = base_spans(text)
-            spans.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
             pairs.append([{"entity": e, "term": t} for e, t in contexts(text, found)] if found else [])
         return pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("same"), batch.column("doc_id"),
-             pa.array([t if s else None for t, s in zip(batch.column("text").to_pylist(), spans)], pa.string()),
-             pa.array(spans, _SPAN), pa.array(pairs, pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string())])))],
-            ["row", "same", "doc_id", "text", "base", "pairs"])
+            [batch.column("same"), pa.array(pairs, pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string())])))],
+            ["same", "pairs"])
     return by_slices(batches, make)
 
 
+_MENTIONS = "same long, pairs array<struct<entity:long,term:string>>"
 _SPAN = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-_FOUND = ("row long, same long, doc_id long, text string, base array<struct<kind:int,start:int,end:int>>, "
-          "pairs array<struct<entity:long,term:string>>")
+_FOUND = "row long, doc_id long, text string, base array<struct<kind:int,start:int,end:int>>, terms array<string>"
+
+
+class _Told(dict):
+    """Whether a word may be a disclosing term, by a filter of fixed size."""
+
+    def __init__(self, bitmap: np.ndarray):
+        self.bitmap = bitmap
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= MAX_WORDS:
+            self.clear()
+        # The hash that xxhash64() of Spark gives, which is signed there.
+        value = self[word] = len(word) >= LEAST_CHARS and _may_hold(
+            self.bitmap, xxhash.xxh64_intdigest(word.lower().encode("utf-8", "surrogatepass"), 42))
+        return value
+
+
+def _find(bitmap):
+    """Base spans of every row, the words that may disclose, and the text where there are any."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = _Told(bitmap.value)
+
+        def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+            spans, terms, kept = [], [], []
+            for text in batch.column("text").to_pylist():
+                found = base_spans(text)
+                words = sorted({w.lower() for w in set(_TERM.findall(text)) if told[w]})
+                spans.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
+                terms.append(words)
+                kept.append(text if found or words else None)
+            return pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), pa.array(kept, pa.string()), pa.array(spans, _SPAN),
+                 pa.array(terms, pa.list_(pa.string()))], ["row", "doc_id", "text", "base", "terms"])
+        return by_slices(batches, make)
+    return run
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
@@ -221,7 +255,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, prior: float = PRIOR, le
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All spans and the sanitised text of documents with base spans."""
+    """All spans and the sanitised text of documents with base spans or disclosing terms."""
     names = [*KINDS, "term"]
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -245,7 +279,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 elif degree[text[start:end].lower()] < REMOVE:
                     pieces.append("[TERM]")
                 at = end
-            texts.append("".join(pieces) + (text or "")[at:] if spans else None)
+            texts.append("".join(pieces) + (text or "")[at:] if spans or more else None)
         return pa.RecordBatch.from_arrays(
             [batch.column("row"), pa.array(spans_out, pa.string()), pa.array(texts, pa.string())],
             ["row", "spans", "sanitised"])
@@ -257,16 +291,17 @@ def sanitise(docs: DataFrame, prior: float = PRIOR, least: float = GENERALISE) -
     nothing was found). Columns used: doc_id, text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn(
         "same", F.xxhash64("text"))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "same", "doc_id", "text")
-    found = materialize(numbered.mapInArrow(_find, _FOUND), "pii-found")
-    hits = found.where(F.size("base") > 0)
-    told = disclosing_terms(docs, found, prior, least)
+    mentions = materialize(docs.select("same", "text").mapInArrow(_mentions, _MENTIONS), "pii-mentions")
+    told = materialize(
+        disclosing_terms(docs, mentions, prior, least).groupBy("term").agg(F.max("disclosure").alias("disclosure")), "pii-told")
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(told.select(F.xxhash64("term").alias("h"))))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    found = materialize(numbered.mapInArrow(_find(shared), _FOUND), "pii-found")
     by_row = (
-        hits.select("row", F.explode("pairs").alias("p")).select("row", "p.entity", "p.term")
-        .join(told, ["entity", "term"]).groupBy("row")
+        found.select("row", F.explode("terms").alias("term")).join(told, "term").groupBy("row")
         .agg(F.collect_list(F.struct("term", "disclosure")).alias("told")))
-    applied = hits.join(by_row, "row", "left").select("row", "text", "base", "told").mapInArrow(
-        _apply, "row long, spans string, sanitised string")
+    applied = found.where(F.col("text").isNotNull()).join(by_row, "row", "left").select(
+        "row", "text", "base", "told").mapInArrow(_apply, "row long, spans string, sanitised string")
     return found.select("row", "doc_id", "base").join(applied, "row", "left").select(
         "doc_id", "base", F.coalesce("spans", F.lit("")).alias("spans"), "sanitised")
 

@@ -85,6 +85,18 @@ def test_terms_of_an_entity_in_one_text_go_and_copies_count_once(spark):
         assert told[term] == pytest.approx(math.log((both + share) / (texts + 1) / share) / -math.log(share))
 
 
+def test_terms_go_where_the_entity_is_not_and_far_from_it(spark):
+    common = "beta alpha gamma delta theta number thing"
+    rows_in = [(i, f"{common} {i} zanzibar jane@corp.example.org {common} {common} {common} Zanzibar end") for i in range(8)]
+    rows_in += [(50, f"{common} in ZANZIBAR then"), (51, f"{common} zanzibars"), (52, None)]
+    rows_in += [(100 + i, f"{common} {i} here") for i in range(400)]
+    found = {r["doc_id"]: r for r in pii.sanitise(spark.createDataFrame(rows_in, "doc_id long, text string")).collect()}
+    assert found[50]["sanitised"] == f"{common} in [TERM] then" and found[50]["base"] == []
+    assert found[50]["spans"] == f"term:{len(common) + 4}:{len(common) + 12}"
+    assert found[3]["spans"].count(",term:") == 2 and "anzibar" not in found[3]["sanitised"]
+    assert all(found[i]["spans"] == "" and found[i]["sanitised"] is None for i in (51, 52, 100, 499))
+
+
 # ---------------------------------------------------------------- token counts
 
 def test_token_counts_and_cache(spark, hostile, empty, texts):
