@@ -155,6 +155,20 @@ def test_toxicity_accuracy(spark):
     assert held_out_accuracy(spark, "op8_toxicity", "toxic") > 0.95
 
 
+@pytest.mark.parametrize("sf,majority,least", [
+    ("0.001", False, 0.3), ("0.01", False, 0.7), ("0.1", False, 0.7), ("0.01", True, 0.7), ("0.1", True, 0.7)])
+def test_both_classes_are_found_at_every_size(spark, sf, majority, least):
+    """Recall of the rarer class among held-out rows; with ``majority`` labels are swapped, so toxic is the larger."""
+    folder = f"/root/testdata/sf{sf}"
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    labels = table(spark, folder, "labels").select("doc_id", (1 - F.col("toxic") if majority else F.col("toxic")).alias("toxic"))
+    found = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where(toxicity.held_out())
+    rare = found.where(F.col("toxic") == int(not majority))
+    right = (F.col("score") >= toxicity.THRESHOLD) == (F.col("toxic") == 1)
+    assert rare.agg(F.avg(right.cast("int"))).first()[0] >= least
+    assert found.agg(F.avg(right.cast("int"))).first()[0] > 0.8
+
+
 def test_classifiers_take_any_rows(spark, hostile, empty):
     labels = spark.createDataFrame(
         [(4, 1, 0), (5, 1, 1), (6, 0, 0), (8, None, None), (None, 1, 1), (12, 1, 0), (13, 0, 0), (99, 1, 1)],
