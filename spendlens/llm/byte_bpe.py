@@ -1,11 +1,11 @@
-"""Byte-level BPE with a lazily determinised transducer, and streaming decode.
+"""Byte-level BPE by a backtracking longest-match encoder, and streaming decode.
 
 A sequence of tokens is what BPE gives for its bytes exactly if every two
-neighbours are what BPE gives for their own bytes. So the merges amount to a
-transducer whose state is the last token and which may go on with any token that
-can stand beside it. It is compiled lazily: which tokens a lookahead of ``LOOK``
-bytes (``FAR`` where longer tokens start so) allows, and which of them can follow a
-state, is worked out from the merges when it first comes up and kept. At most one path leads to any position of a word.
+neighbours are what BPE gives for their own bytes. So the last token decides which
+tokens may come next. Which tokens a lookahead of ``LOOK`` bytes (``FAR`` where longer
+tokens start so) allows, and which of them can follow another, is worked out from the
+merges when it first comes up and kept; nothing is determinised, and tokens come out
+at the end of a word only. At most one path leads to any position of a word.
 The longest token that may follow is taken; where a path ends without going on,
 that position is closed for good and the next shorter token is tried, so each
 position is left once and the work follows the length of the word. Each distinct
