@@ -22,18 +22,25 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Documents whose id was chosen. Only ids come from the operator, so texts move at most once."""
-    return docs.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    """Documents whose id was chosen, a null id like any other. Only ids come from the operator, so
+    texts move at most once."""
+    ids = chosen.select(F.col("doc_id").alias("chosen_id")).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("chosen_id")), "left_semi").select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier takes for good ones."""
-    return _only(docs, classify(docs, table(spark, sf_dir, "labels")).where(F.col("predicted") == 1))
+    """Documents that the quality classifier takes for good ones. Without an id, a document goes by its text."""
+    keyed = docs.select("*", F.col("doc_id").alias("own_id")).withColumn(
+        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    good = classify(keyed.drop("own_id"), table(spark, sf_dir, "labels")).where(F.col("predicted") == 1)
+    kept = keyed.join(good.select("doc_id").distinct(), "doc_id", "left_semi")
+    return kept.withColumn("doc_id", F.col("own_id")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return _only(docs, near_duplicates(docs).where("kept"))
+    """One document of each group of near duplicates, 0.8 alike in shingles of five words (the four
+    of op5 bind that query only); documents without an id are all kept."""
+    return _only(docs, near_duplicates(docs, words=5).where("kept"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

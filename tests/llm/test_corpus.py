@@ -295,3 +295,19 @@ def test_pipeline(spark, folder):
     for name, stage in p.STAGES[:-1]:
         docs = stage(spark, docs, folder)
         assert docs.columns == p.COLUMNS, name
+
+
+def test_pipeline_stages_take_five_words_and_null_ids(spark):
+    import corpus_pipeline as p
+    words = [f"w{i}" for i in range(40)]
+    other = " ".join(words[:20] + ["other"] + words[21:])  # 0.805 alike in four words, 0.756 in five
+    rows = [(1, " ".join(words)), (2, other), (3, " ".join(words)), (None, "a text without an id"), (None, "another")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'en' as lang", "'s' as source", "cast(length(text) as long) as n_chars")
+    kept = p.near_dedup(spark, docs, "")
+    assert sorted(r["text"] for r in kept.collect()) == sorted([rows[0][1], other, rows[3][1], rows[4][1]])
+    real = table(spark, "/root/testdata/sf0.001", "documents").select(*p.COLUMNS)
+    nameless = real.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")))
+    good = p.quality(spark, nameless, "/root/testdata/sf0.001")
+    n = good.where("doc_id is null").count()
+    assert good.columns == p.COLUMNS and 0 < n < nameless.where("doc_id is null").count()
