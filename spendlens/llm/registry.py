@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import embeddings, minhash, mixing, quality_rules
+from . import embeddings, line_dedup, minhash, mixing, quality_rules
 from .byte_bpe import op7_byte_bpe
 from .embeddings import op6_embedding_near_dedup
+from .line_dedup import op11_line_dedup
 from .minhash import op5_minhash_near_dedup
 from .mixing import op10_mixing
 from .pii import op1_pii
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing": op10_mixing,
+    "op11_line_dedup": op11_line_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -32,4 +34,5 @@ SQL: dict[str, str] = {
     "op5_minhash_near_dedup": minhash.ORACLE,
     "op6_embedding_near_dedup": embeddings.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_line_dedup": line_dedup.ORACLE,
 }
