@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import embeddings, line_dedup, minhash, mixing, quality_rules
+from . import embeddings, line_dedup, minhash, mixing, prefix_trie, quality_rules
 from .byte_bpe import op7_byte_bpe
 from .embeddings import op6_embedding_near_dedup
 from .line_dedup import op11_line_dedup
 from .minhash import op5_minhash_near_dedup
 from .mixing import op10_mixing
 from .pii import op1_pii
+from .prefix_trie import op13_prefix_trie
 from .quality_classifier import op4_quality_classifier
 from .quality_rules import op3_quality_rules
 from .secrets import op9_secret_scans
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing": op10_mixing,
     "op11_line_dedup": op11_line_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
@@ -35,4 +37,5 @@ SQL: dict[str, str] = {
     "op6_embedding_near_dedup": embeddings.ORACLE,
     "op10_mixing": mixing.ORACLE,
     "op11_line_dedup": line_dedup.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
