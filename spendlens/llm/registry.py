@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import embeddings, line_dedup, minhash, mixing, prefix_trie, quality_rules
+from . import collocations, embeddings, line_dedup, minhash, mixing, prefix_trie, quality_rules
 from .byte_bpe import op7_byte_bpe
+from .collocations import op12_collocations
 from .embeddings import op6_embedding_near_dedup
 from .line_dedup import op11_line_dedup
 from .minhash import op5_minhash_near_dedup
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing": op10_mixing,
     "op11_line_dedup": op11_line_dedup,
+    "op12_collocations": op12_collocations,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -37,5 +39,6 @@ SQL: dict[str, str] = {
     "op6_embedding_near_dedup": embeddings.ORACLE,
     "op10_mixing": mixing.ORACLE,
     "op11_line_dedup": line_dedup.ORACLE,
+    "op12_collocations": collocations.ORACLE,
     "op13_prefix_trie": prefix_trie.ORACLE,
 }
