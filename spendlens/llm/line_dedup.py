@@ -10,8 +10,9 @@ reassembled by position.
    bits and lines never shuffle as text.
 2. Documents per key are counted in two steps, first by key and document with partial
    sums in each task, so a line of all documents is one row per task in the end.
-3. Lines meet the keys over the threshold in a join that AQE turns into a broadcast
-   if these are few or splits at a hot key. Positions are grouped per text.
+3. The keys over the threshold are written. Lines meet them in a join of two tables
+   that are dealt out for it alone, so Spark broadcasts them if they are few and splits
+   a hot key if not. Positions are grouped per text.
 4. Only a projection over the text's own lines follows: positions without the dropped
    ones (a hash set, so long texts cost what they have lines) pick the lines.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import materialize
 from .common import table, text_of
 
 BLANKS = " \t\n\x0b\f\r"
@@ -58,8 +60,8 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
     """Id, ``n_lines`` before, ``n_dropped`` and the ``kept`` text of every row."""
     docs = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     lines = _lines(docs, least_chars)
-    shared = lines.groupBy("high", "low").agg(
-        F.count_distinct("id").alias("n_docs"), F.max("id").alias("latest")).where(F.col("n_docs") >= least_docs)
+    shared = materialize(lines.groupBy("high", "low").agg(
+        F.count_distinct("id").alias("n_docs"), F.max("id").alias("latest")).where(F.col("n_docs") >= least_docs), "shared")
     drops = lines.join(shared, ["high", "low"]).where(F.col("id") < F.col("latest")).groupBy("id", "same").agg(
         F.collect_set("pos").alias("dropped"))
     # The generator keeps the split from being repeated for each position.
