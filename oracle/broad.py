@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from spendlens import fixed_values as fv
 
-from .enrichment import CTES, bit, clean_basic, listed, quote, rx, tiers, values
+from .enrichment import CTES, bit, clean_basic, listed, mean, quote, rx, tiers, total, values
 from .features import commas, total_of
 
 L1 = [*fv.ECOSYSTEMS, "OTHER_LONGTAIL"]
@@ -111,19 +111,19 @@ def div(part: str, total: str) -> str:
     return f"CASE WHEN {total} IS NULL OR {total} = 0 THEN 0.0::DOUBLE ELSE ({part}) / {total} END"
 
 
-CTES["broad_l1"] = "SELECT cust, mon, tax_l1, sum(amt) AS spend FROM broad_last3 GROUP BY ALL"
+CTES["broad_l1"] = f"SELECT cust, mon, tax_l1, {total('amt')} AS spend FROM broad_last3 GROUP BY ALL"
 CTES["broad_best"] = """
 SELECT cust, mon, tax_l1 AS dominant_ecosystem, spend AS dominant_ecosystem_spend_m FROM broad_l1
 QUALIFY row_number() OVER (PARTITION BY cust, mon ORDER BY spend DESC, tax_l1) = 1"""
 CTES["broad_base"] = "SELECT *,\n  " + commas(
     *[f"{div(f'{n}_spend_m', 'spend_amt_m')} AS {n}_spend_share_m" for n in SHARED]) + "\nFROM (SELECT cust, mon,\n  " + commas(
-    "count(*) AS txn_cnt_m", "sum(amt) AS spend_amt_m", "avg(amt) AS avg_ticket_m", "max(amt) AS max_ticket_m",
+    "count(*) AS txn_cnt_m", f"{total('amt')} AS spend_amt_m", f"{mean('amt')} AS avg_ticket_m", "max(amt) AS max_ticket_m",
     "count(DISTINCT dt) AS active_days_m", "count(DISTINCT mkey) AS uniq_merchants_m",
     *[f"count(DISTINCT tax_{x}) AS uniq_tax_{x}_m" for x in ("l1", "l2", "l3")],
     *[f"{total_of(c)} AS {n}_spend_m" for n, c in SPENDS.items()],
     "CAST(sum(candidate) AS BIGINT) AS recurring_txn_cnt_m",
     "count(DISTINCT CASE WHEN candidate = 1 THEN mkey END) AS recurring_merchant_cnt_m",
-    *[f"sum(CASE WHEN tax_l1 = '{x}' THEN amt END) AS {x}" for x in L1],
+    *[f"{total(f"CASE WHEN tax_l1 = '{x}' THEN amt END")} AS {x}" for x in L1],
 ) + " FROM broad_last3 GROUP BY cust, mon) JOIN broad_best USING (cust, mon)"
 CTES["broad_size"] = "SELECT mkey, mon, count(*) AS size FROM broad_last3 GROUP BY ALL"
 CTES["broad_scale"] = f"""
@@ -144,7 +144,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY cust, mon ORDER BY p DESC, {enti
 GROUP BY cust, mon"""
 
 
-CTES["broad_merchant"] = "SELECT cust, mon, mkey, sum(amt) AS spend FROM broad_last3 GROUP BY ALL"
+CTES["broad_merchant"] = f"SELECT cust, mon, mkey, {total('amt')} AS spend FROM broad_last3 GROUP BY ALL"
 CTES["broad_mix"] = mix("merchant", "broad_merchant", "mkey")
 CTES["broad_eco"] = mix("ecosystem", "broad_l1", "tax_l1")
 CTES["broad_new"] = """
@@ -162,8 +162,8 @@ LAGS = {
     "prev_merchant_entropy_m": "merchant_entropy_m",
 }
 CTES["broad_windowed"] = "SELECT *,\n  " + commas(
-    "sum(spend_amt_m) OVER w3 AS spend_amt_3m", "CAST(sum(txn_cnt_m) OVER w3 AS BIGINT) AS txn_cnt_3m",
-    "sum(spend_amt_m) OVER w6 AS spend_amt_6m", "avg(avg_ticket_m) OVER w3 AS avg_ticket_3m",
+    f"{total('spend_amt_m', 'OVER w3')} AS spend_amt_3m", "CAST(sum(txn_cnt_m) OVER w3 AS BIGINT) AS txn_cnt_3m",
+    f"{total('spend_amt_m', 'OVER w6')} AS spend_amt_6m", "avg(avg_ticket_m) OVER w3 AS avg_ticket_3m",
     "avg(merchant_entropy_m) OVER w3 AS merchant_entropy_3m_avg",
     "avg(ecosystem_entropy_m) OVER w3 AS ecosystem_entropy_3m_avg",
     *[f"lag({now}) OVER w AS {prev}" for prev, now in LAGS.items()], "lag(txn_cnt_m, 2) OVER w AS prev_txn_cnt_m2",
@@ -228,17 +228,17 @@ SELECT *, {bit(rx(fv.SIMPLE_WALLET, 'pnm'))} AS wallet_topup_flag,
   CASE onln WHEN 'Y' THEN 'ONLINE' WHEN 'N' THEN 'OFFLINE' ELSE 'UNKNOWN' END AS channel_tag,
   {tiers('amt', fv.SIMPLE_SIZE_TIERS, fv.SIMPLE_SIZE_TIER_TOP)} AS txn_size_tier
 FROM (SELECT *, lower(trim(regexp_replace(mcht_nm, '\\s+', ' ', 'g'))) AS pnm FROM typed)"""
-CTES["plain_mix"] = """
+CTES["plain_mix"] = f"""
 SELECT cust, mon, sum(CASE WHEN p > 0 THEN -p * log2(p) ELSE 0 END) AS merchant_entropy
 FROM (SELECT cust, mon, spend / sum(spend) OVER (PARTITION BY cust, mon) AS p
-      FROM (SELECT cust, mon, pnm, sum(amt) AS spend FROM plain_tagged GROUP BY ALL)) GROUP BY cust, mon"""
+      FROM (SELECT cust, mon, pnm, {total('amt')} AS spend FROM plain_tagged GROUP BY ALL)) GROUP BY cust, mon"""
 CTES["plain_months"] = f"""
 SELECT *, spend_amt_m - spend_prev_m AS spend_velocity,
   CASE WHEN online_spend_m > 0.6::DOUBLE * spend_amt_m THEN 'DIGITAL_NATIVE'
        WHEN merchant_entropy < 1.2::DOUBLE THEN 'LOYAL_SPENDER'
        WHEN avg_ticket_m > 5000 THEN 'PREMIUM_AFFLUENT' ELSE 'EVERYDAY_ANCHOR' END AS primary_persona
 FROM (SELECT *, lag(spend_amt_m) OVER (PARTITION BY cust ORDER BY mon) AS spend_prev_m FROM (
-  SELECT cust, mon, count(*) AS txn_cnt_m, sum(amt) AS spend_amt_m, avg(amt) AS avg_ticket_m,
+  SELECT cust, mon, count(*) AS txn_cnt_m, {total('amt')} AS spend_amt_m, {mean('amt')} AS avg_ticket_m,
     count(DISTINCT pnm) AS uniq_merchants_m, {total_of("channel_tag = 'ONLINE'")} AS online_spend_m,
     CAST(sum(wallet_topup_flag) AS BIGINT) AS wallet_txn_cnt
   FROM plain_tagged GROUP BY cust, mon) JOIN plain_mix USING (cust, mon))"""

@@ -57,6 +57,35 @@ def tiers(column: str, bounds, top: str) -> str:
     return f"CASE WHEN {column} IS NULL THEN NULL {whens} ELSE '{top}' END"
 
 
+# Money as in the library: whole ten-thousandths, summed exactly and divided last.
+def units(amount: str) -> str:
+    return f"CAST(round(({amount}) * 10000.0::DOUBLE) AS BIGINT)"
+
+
+def money(total: str) -> str:
+    return f"(CAST({total} AS DOUBLE) / 10000.0::DOUBLE)"
+
+
+def total(amount: str, over: str = "") -> str:
+    return money(f"sum({units(amount)}) {over}")
+
+
+def mean(amount: str, over: str = "") -> str:
+    return f"({total(amount, over)} / nullif(count({amount}) {over}, 0))"
+
+
+def spread(value: str, over: str = "") -> str:
+    """Sample standard deviation of whole numbers from exact sums."""
+    n, s1 = f"count({value}) {over}", f"sum(CAST({value} AS HUGEINT)) {over}"
+    s2 = f"sum(CAST({value} AS HUGEINT) * CAST({value} AS HUGEINT)) {over}"
+    return (f"(CASE WHEN {n} > 1 THEN sqrt(CAST(CAST({n} AS HUGEINT) * {s2} - ({s1}) * ({s1}) AS DOUBLE)"
+            f" / (CAST({n} AS DOUBLE) * (CAST({n} AS DOUBLE) - 1))) END)")
+
+
+def money_spread(amount: str, over: str = "") -> str:
+    return f"({spread(units(amount), over)} / 10000.0::DOUBLE)"
+
+
 def clean(column: str) -> str:
     sql = f"lower(trim(coalesce({column}, '')))"
     for pattern, replacement in fv.CLEANUP_STEPS:
@@ -106,7 +135,8 @@ FROM events JOIN names d ON d.idx = CAST(json_extract_string(props, '$.k') AS BI
 def named_ctes(prefix: str, source: str) -> None:
     """Typed and normalised rows of a source."""
     CTES[f"{prefix}typed"] = f"""
-SELECT *, sha256(txn_ref) AS txn_key, CAST(ts AS DATE) AS dt, CAST(date_trunc('month', ts) AS DATE) AS mon
+SELECT * EXCLUDE (amt), {money(units('amt'))} AS amt, sha256(txn_ref) AS txn_key, CAST(ts AS DATE) AS dt,
+  CAST(date_trunc('month', ts) AS DATE) AS mon
 FROM {source}"""
     CTES[f"{prefix}named"] = f"""
 SELECT *, concat_ws(' | ', nm, ds) AS match_text FROM (
@@ -215,8 +245,8 @@ SELECT *,
   CASE WHEN avg_gap > 0 THEN coalesce(std_gap, 0.0) / avg_gap END AS cv_interval,
   CASE WHEN avg_amt > 0 THEN coalesce(std_amt, 0.0) / avg_amt END AS amt_cv
 FROM (SELECT *, count(*) OVER {RUNNING} AS visits, avg(gap) OVER {RUNNING} AS avg_gap,
-        stddev_samp(gap) OVER {RUNNING} AS std_gap, avg(amt) OVER {RUNNING} AS avg_amt,
-        stddev_samp(amt) OVER {RUNNING} AS std_amt
+        {spread('gap', f'OVER {RUNNING}')} AS std_gap, {mean('amt', f'OVER {RUNNING}')} AS avg_amt,
+        {money_spread('amt', f'OVER {RUNNING}')} AS std_amt
       FROM {prefix}spaced)"""
     CTES[f"{prefix}enriched"] = f"""
 SELECT *, CASE WHEN recurrence_tag IN ('SUBSCRIPTION_LIKE', 'RECURRING') THEN 1 ELSE 0 END AS candidate

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from spendlens import fixed_values as fv
 
-from .enrichment import CTES, bit, listed
+from .enrichment import CTES, bit, listed, mean, money, money_spread, spread, total, units
 
 L1 = [*fv.ECOSYSTEMS, "UNCLASSIFIED"]
 SPENDS = {
@@ -32,7 +32,7 @@ SHARES = {p: p for p in (
 
 
 def total_of(condition: str, amount: str = "amt") -> str:
-    return f"sum(CASE WHEN {condition} THEN {amount} ELSE 0.0::DOUBLE END)"
+    return total(f"CASE WHEN {condition} THEN {amount} ELSE 0.0::DOUBLE END")
 
 
 def share(part: str, total: str = "spend_amt_m") -> str:
@@ -45,8 +45,8 @@ def commas(*parts: str) -> str:
 
 def base_sql(source: str) -> str:
     return "SELECT cust, mon,\n  " + commas(
-        "count(*) AS txn_cnt_m", "sum(amt) AS spend_amt_m", "avg(amt) AS avg_ticket_m", "max(amt) AS max_ticket_m",
-        "min(amt) AS min_ticket_m", "coalesce(stddev_samp(amt), 0.0::DOUBLE) AS stddev_ticket_m",
+        "count(*) AS txn_cnt_m", f"{total('amt')} AS spend_amt_m", f"{mean('amt')} AS avg_ticket_m", "max(amt) AS max_ticket_m",
+        "min(amt) AS min_ticket_m", f"coalesce({money_spread('amt')}, 0.0::DOUBLE) AS stddev_ticket_m",
         "quantile_disc(amt, 0.5) AS median_ticket_m", "count(DISTINCT dt) AS active_days_m",
         "count(DISTINCT nm) AS uniq_merchants_m", "count(DISTINCT tax_l1) AS uniq_tax_l1_m",
         "count(DISTINCT tax_l2) AS uniq_tax_l2_m", "count(DISTINCT tax_l3) AS uniq_tax_l3_m",
@@ -61,14 +61,14 @@ CTES["month_sums"] = base_sql("enriched")
 CTES["ev_month_sums"] = base_sql("ev_enriched")
 CTES["month_rows"] = "SELECT *,\n  " + commas(
     *[f"{share(f'{part}_spend_m')} AS {name}_share_m" for name, part in SHARES.items()],
-    "greatest(spend_amt_m - topup_spend_m, 0.0::DOUBLE) AS consumption_spend_m",
+    f"greatest({money(units('spend_amt_m') + ' - ' + units('topup_spend_m'))}, 0.0::DOUBLE) AS consumption_spend_m",
     "CASE WHEN active_days_m > 0 THEN txn_cnt_m::DOUBLE / active_days_m ELSE 0 END AS txn_per_active_day_m",
     "CASE WHEN txn_cnt_m > 0 THEN repeat_merchant_txn_cnt_m::DOUBLE / txn_cnt_m ELSE 0 END AS merchant_repeat_ratio_m",
     "CASE WHEN uniq_merchants_m > 0 THEN new_merchant_cnt_m::DOUBLE / uniq_merchants_m ELSE 0 END AS merchant_novelty_rate_m",
 ) + " FROM month_sums"
 
 # --- composition: spend per label first, then one column per label
-CTES["l1_rows"] = "SELECT cust, mon, tax_l1, sum(amt) AS spend FROM enriched GROUP BY ALL"
+CTES["l1_rows"] = f"SELECT cust, mon, tax_l1, {total('amt')} AS spend FROM enriched GROUP BY ALL"
 CTES["l1_wide"] = "SELECT cust, mon,\n  " + commas(
     *[f"coalesce(sum(spend) FILTER (tax_l1 = '{x}'), 0.0::DOUBLE) AS l1_{x.lower()}_spend_m" for x in L1],
 ) + " FROM l1_rows GROUP BY cust, mon"
@@ -87,15 +87,15 @@ SELECT m.cust, m.mon, w.* EXCLUDE (cust, mon),
   {commas(*[f"{share(f'l1_{x.lower()}_spend_m')} AS l1_{x.lower()}_share_m" for x in fv.ECOSYSTEMS])},
   {BREADTH} AS category_breadth_m
 FROM month_sums m JOIN l1_wide w USING (cust, mon) LEFT JOIN l1_top t USING (cust, mon)"""
-CTES["l2_rows"] = "SELECT cust, mon, tax_l2, sum(amt) AS spend FROM enriched GROUP BY ALL"
+CTES["l2_rows"] = f"SELECT cust, mon, tax_l2, {total('amt')} AS spend FROM enriched GROUP BY ALL"
 CTES["l2_wide"] = "SELECT cust, mon,\n  " + commas(
     *[f"coalesce(sum(spend) FILTER (tax_l2 = '{x}'), 0.0::DOUBLE) AS l2_{x.lower()}_spend_m" for x in fv.KEY_L2],
 ) + " FROM l2_rows GROUP BY cust, mon"
 CTES["l2_month"] = "SELECT m.cust, m.mon, w.* EXCLUDE (cust, mon),\n  " + commas(
     *[f"{share(f'l2_{x.lower()}_spend_m')} AS l2_{x.lower()}_share_m" for x in fv.KEY_L2],
 ) + " FROM month_sums m JOIN l2_wide w USING (cust, mon)"
-CTES["platform_rows"] = """
-SELECT cust, mon, platform_ecosystem, sum(amt) AS spend, count(*) AS n
+CTES["platform_rows"] = f"""
+SELECT cust, mon, platform_ecosystem, {total('amt')} AS spend, count(*) AS n
 FROM enriched WHERE platform_ecosystem <> 'NONE' GROUP BY ALL"""
 CTES["platform_best"] = """
 SELECT cust, mon, platform_ecosystem AS best FROM platform_rows
@@ -105,7 +105,7 @@ SELECT m.cust, m.mon, coalesce(p.n, 0) AS platform_count_m, coalesce(p.spend, 0.
   coalesce(p.txns, 0) AS platform_txn_cnt_m, {share('coalesce(p.spend, 0.0::DOUBLE)')} AS platform_share_m,
   coalesce(b.best, 'NONE') AS dominant_platform
 FROM month_sums m
-LEFT JOIN (SELECT cust, mon, count(*) AS n, sum(spend) AS spend, CAST(sum(n) AS BIGINT) AS txns
+LEFT JOIN (SELECT cust, mon, count(*) AS n, {total('spend')} AS spend, CAST(sum(n) AS BIGINT) AS txns
            FROM platform_rows GROUP BY cust, mon) p USING (cust, mon)
 LEFT JOIN platform_best b USING (cust, mon)"""
 
@@ -113,17 +113,19 @@ LEFT JOIN platform_best b USING (cust, mon)"""
 def concentration(rows: str, name: str, entity: str, extra: str = "") -> str:
     return f"""
 SELECT cust, mon, sum(CASE WHEN p > 0 THEN -p * log2(p) ELSE 0 END) AS {name}_entropy_m,
-       sum(p * p) AS {name}_hhi_m, count(*) AS {name}_cnt_m {extra}
+       CASE WHEN any_value(total) > 0 THEN CAST(sum(CAST({units('spend')} AS HUGEINT) * {units('spend')}) AS DOUBLE)
+         / (CAST(sum({units('spend')}) AS DOUBLE) * CAST(sum({units('spend')}) AS DOUBLE)) ELSE 0 END AS {name}_hhi_m,
+       count(*) AS {name}_cnt_m {extra}
 FROM (SELECT *, CASE WHEN total > 0 THEN spend / total ELSE 0 END AS p,
              row_number() OVER (PARTITION BY cust, mon ORDER BY spend DESC, {entity}) AS place
-      FROM (SELECT *, sum(spend) OVER (PARTITION BY cust, mon) AS total FROM {rows}))
+      FROM (SELECT *, {total('spend', 'OVER (PARTITION BY cust, mon)')} AS total FROM {rows}))
 GROUP BY cust, mon"""
 
 
-CTES["merchant_rows"] = "SELECT cust, mon, nm, sum(amt) AS spend, count(*) AS visits FROM enriched GROUP BY ALL"
+CTES["merchant_rows"] = f"SELECT cust, mon, nm, {total('amt')} AS spend, count(*) AS visits FROM enriched GROUP BY ALL"
 CTES["merchant_mix"] = concentration("merchant_rows", "merchant", "nm", """,
        max(CASE WHEN place = 1 THEN p END) AS top1_merchant_share_m,
-       sum(CASE WHEN place <= 3 THEN spend END) AS top3_merchant_spend_m""")
+       """ + total("CASE WHEN place <= 3 THEN spend END") + " AS top3_merchant_spend_m")
 CTES["ecosystem_mix"] = concentration("l1_rows", "ecosystem", "tax_l1")
 CTES["merchant_size"] = "SELECT nm, mon, count(*) AS txns, count(DISTINCT cust) AS custs FROM enriched GROUP BY ALL"
 CTES["scale"] = f"""
@@ -164,7 +166,7 @@ SELECT cust, mon,
   {total_of(REGULAR, 'spend')} AS recurring_spend_m,
   avg(CASE WHEN {REGULAR} THEN interval_avg END) AS avg_recurring_interval_m,
   avg(CASE WHEN {REGULAR} THEN cv_avg END) AS avg_recurring_cv_m
-FROM (SELECT cust, mon, nm, recurrence_tag, sum(amt) AS spend, avg(avg_gap) AS interval_avg, avg(cv_interval) AS cv_avg
+FROM (SELECT cust, mon, nm, recurrence_tag, {total('amt')} AS spend, avg(avg_gap) AS interval_avg, avg(cv_interval) AS cv_avg
       FROM enriched GROUP BY ALL)
 GROUP BY cust, mon"""
 CTES["features"] = f"""
@@ -191,13 +193,13 @@ LAGS = {
     "ecosystem_hhi_m": "ecosystem_hhi_prev_m", "merchant_hhi_m": "merchant_hhi_prev_m",
 }
 CTES["windowed"] = "SELECT *,\n  " + commas(
-    *[f"sum(spend_amt_m) OVER w{n} AS spend_amt_{n}m" for n in (3, 6, 12)],
+    *[f"{total('spend_amt_m', f'OVER w{n}')} AS spend_amt_{n}m" for n in (3, 6, 12)],
     *[f"CAST(sum(txn_cnt_m) OVER w{n} AS BIGINT) AS txn_cnt_{n}m" for n in (3, 6, 12)],
     *[f"avg({a}_m) OVER w3 AS {a}_3m" for a in AVERAGED],
-    *[f"CASE WHEN avg(spend_amt_m) OVER w{n} > 0 THEN stddev_samp(spend_amt_m) OVER w{n} / avg(spend_amt_m) OVER w{n} END "
-      f"AS spend_stability_{n}m" for n in (6, 12)],
+    *[f"CASE WHEN {mean('spend_amt_m', f'OVER w{n}')} > 0 THEN {money_spread('spend_amt_m', f'OVER w{n}')}"
+      f" / {mean('spend_amt_m', f'OVER w{n}')} END AS spend_stability_{n}m" for n in (6, 12)],
     "count(dominant_ecosystem) OVER w3 AS dominant_ecosystem_freq_3m",
-    "CASE WHEN avg(spend_amt_m) OVER w3 > 0 THEN spend_amt_m / avg(spend_amt_m) OVER w3 END AS spend_vs_3m_avg_ratio",
+    f"CASE WHEN {mean('spend_amt_m', 'OVER w3')} > 0 THEN spend_amt_m / {mean('spend_amt_m', 'OVER w3')} END AS spend_vs_3m_avg_ratio",
     *[f"lag({now}) OVER w AS {prev}" for now, prev in LAGS.items()],
 ) + """
 FROM features

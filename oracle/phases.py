@@ -8,13 +8,13 @@ from spendlens import fixed_values as fv
 
 from . import broad as b
 from . import features as f
-from .enrichment import CTES
+from .enrichment import CTES, mean, total
 FINAL: dict[str, str] = {}
 
 
 def num(expression: str) -> str:
-    """A double as the registered queries show it: six decimals."""
-    return f"(round(CAST({expression} AS DOUBLE), 6) + 0.0::DOUBLE)"
+    """A double as the registered queries show it: six decimals, rounded in the same steps."""
+    return f"(floor(CAST({expression} AS DOUBLE) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE)"
 
 
 def day(expression: str) -> str:
@@ -161,9 +161,10 @@ FINAL["month_base"] = months("month_rows", [
 APPROXIMATE = "active_days_m uniq_merchants_m uniq_tax_l1_m uniq_tax_l2_m uniq_tax_l3_m".split()
 FINAL["month_base_approx"] = pick(
     "month_rows", **KEYS, **same(*APPROXIMATE), **{f"{name}_near": "true" for name in APPROXIMATE})
+OTHERS = "CASE WHEN tax_l1 NOT IN ('FOOD_DINING', 'EVERYDAY_ESSENTIALS') THEN amt END"
 FINAL["l1_spend_check"] = f"""
-SELECT cust AS CUST_NUM, {day('mon')} AS txn_month, {num('sum(amt)')} AS spend_amt_m, {num('sum(amt)')} AS l1_spend_m,
-  {num("coalesce(sum(CASE WHEN tax_l1 NOT IN ('FOOD_DINING', 'EVERYDAY_ESSENTIALS') THEN amt END), 0)")} AS l1_remainder_spend_m
+SELECT cust AS CUST_NUM, {day('mon')} AS txn_month, {num(total('amt'))} AS spend_amt_m, {num(total('amt'))} AS l1_spend_m,
+  {num(f"coalesce({total(OTHERS)}, 0)")} AS l1_remainder_spend_m
 FROM enriched GROUP BY cust, mon"""
 FINAL["month_base_events"] = months("ev_month_sums", """
 txn_cnt_m spend_amt_m active_days_m online_spend_m offline_spend_m inapp_spend_m morning_spend_m lunch_spend_m
@@ -272,7 +273,7 @@ FINAL["phase1_audit"] = tidy(
     b2k_matched_cnt=cnt("taxonomy_source = 'B2K'"), multi_rule_conflicts=cnt("rule_conflict_flag = 'MULTIPLE_RULES'"),
     source_conflicts=cnt("taxonomy_conflict_flag = 'MOBIUS_B2K_DISAGREE'"))
 FINAL["phase2_audit"] = tidy(
-    "PHASE2", "mart", {"avg_txn_cnt": "avg(txn_cnt_m)", "avg_spend": "avg(spend_amt_m)",
+    "PHASE2", "mart", {"avg_txn_cnt": "avg(txn_cnt_m)", "avg_spend": mean("spend_amt_m"),
                        "avg_merchant_entropy": "avg(merchant_entropy_m)", "avg_merchant_hhi": "avg(merchant_hhi_m)"},
     total_cust_months="count(*)", unique_customers="count(DISTINCT cust)", good_quality_cnt=cnt("feature_quality_flag = 'GOOD'"),
     low_vol_cnt=cnt("feature_quality_flag = 'LOW_VOLUME'"), zero_spend_cnt=cnt("feature_quality_flag = 'ZERO_SPEND'"))
@@ -286,7 +287,7 @@ FINAL["phase3_audit"] = tidy(
     **{f"persona_{short}": cnt(f"primary_persona = '{name}'") for short, name in PERSONA_METRICS.items()})
 FINAL["l1_distribution"] = "SELECT tax_l1, count(*) AS count FROM taxed GROUP BY tax_l1"
 FINAL["unclassified_top"] = f"""
-SELECT nm AS mcht_nm_norm, count(*) AS txn_count, {num('sum(amt)')} AS total_spend, count(DISTINCT cust) AS unique_customers
+SELECT nm AS mcht_nm_norm, count(*) AS txn_count, {num(total('amt'))} AS total_spend, count(DISTINCT cust) AS unique_customers
 FROM taxed WHERE taxonomy_source = 'UNCLASSIFIED' GROUP BY nm ORDER BY sum(amt) DESC, nm LIMIT 20"""
 FINAL["unclassified_top_count"] = """
 SELECT nm AS mcht_nm_norm, count(*) AS count FROM taxed WHERE tax_l1 = 'UNCLASSIFIED'
@@ -298,17 +299,17 @@ FINAL["null_rates"] = "SELECT " + ", ".join(
     f"{num(f'round(avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100, 2)')} AS {c}" for c in CRITICAL) + " FROM scored"
 FINAL["persona_counts"] = "SELECT primary_persona, count(*) AS count FROM scored GROUP BY primary_persona"
 FINAL["persona_distribution"] = f"""
-SELECT primary_persona, count(*) AS customer_months, {num('round(avg(spend_amt_m), 2)')} AS avg_spend,
+SELECT primary_persona, count(*) AS customer_months, {num(f'round({mean("spend_amt_m")}, 2)')} AS avg_spend,
   {num('round(avg(txn_cnt_m), 1)')} AS avg_txn_cnt, {num('round(avg(avg_ticket_m), 2)')} AS avg_ticket,
   {num('round(avg(persona_confidence_score), 3)')} AS avg_confidence
 FROM scored GROUP BY primary_persona"""
 FINAL["source_coverage"] = f"""
-SELECT taxonomy_source, count(*) AS txn_count, {num('sum(amt)')} AS total_spend,
-  {num('round(sum(amt) / (SELECT sum(amt) FROM taxed) * 100, 2)')} AS spend_pct
+SELECT taxonomy_source, count(*) AS txn_count, {num(total('amt'))} AS total_spend,
+  {num(f'round({total("amt")} / (SELECT {total("amt")} FROM taxed) * 100, 2)')} AS spend_pct
 FROM taxed GROUP BY taxonomy_source"""
 FINAL["feature_health"] = f"""
 SELECT count(*) AS total_rows, count(DISTINCT cust) AS unique_customers, count(DISTINCT mon) AS months_covered,
-  {num('round(avg(spend_amt_m), 2)')} AS avg_spend_m, {num('round(avg(txn_cnt_m), 1)')} AS avg_txn_cnt,
+  {num(f'round({mean("spend_amt_m")}, 2)')} AS avg_spend_m, {num('round(avg(txn_cnt_m), 1)')} AS avg_txn_cnt,
   {num('round(avg(merchant_entropy_m), 3)')} AS avg_merchant_entropy,
   {num('round(avg(online_share_m), 3)')} AS avg_online_share, {num('round(avg(wallet_share_m), 3)')} AS avg_wallet_share
 FROM mart"""

@@ -1,7 +1,10 @@
-from .columns import flag, label_by, money_when, safe_div, share_of, sql_text, tier_by
+from .columns import (
+    flag, label_by, mean_of, money, money_when, safe_div, share_of, spread, sql_text, squared, sum_money,
+    sum_money_widely, tier_by, typed_money, units)
 from .text import any_of, clean_text, clean_text_basic, constant, matching
 
 __all__ = [
     "any_of", "clean_text", "clean_text_basic", "constant", "flag", "label_by", "matching",
-    "money_when", "safe_div", "share_of", "sql_text", "tier_by",
+    "mean_of", "money", "money_when", "safe_div", "share_of", "spread", "sql_text", "squared", "sum_money",
+    "sum_money_widely", "tier_by", "typed_money", "units",
 ]

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions import clean_text_basic, flag, label_by, matching, money_when, safe_div, tier_by
+from ..functions import (
+    clean_text_basic, flag, label_by, matching, mean_of, money_when, safe_div, sum_money, tier_by)
 from ..sources import complete_columns, standardize
-from .history import add_history_part
+from .history import add_history_part, history_cuts
 from .monthly import MONTH, join_months, label_mix
 from .recurrence import add_recurrence_last3
 from .rules import classify_texts, distinct_texts, settle
@@ -137,8 +138,10 @@ def reconcile_single_source(df: DataFrame) -> DataFrame:
 
 def enrich_broad(source: DataFrame, key_columns: list[str] | None = None) -> DataFrame:
     """Phase 1 of the broad variant."""
-    txns = add_history_part(standardize_lenient(source, key_columns))
-    tagged = reconcile_single_source(add_rules_and_tags(add_source_taxonomy(add_text_basic(txns))))
+    typed = standardize_lenient(source, key_columns)
+    cuts = history_cuts(typed, add_text_basic)
+    txns = add_history_part(add_text_basic(typed), cuts)
+    tagged = reconcile_single_source(add_rules_and_tags(add_source_taxonomy(txns)))
     sized = tagged.withColumn("txn_size_tier", tier_by(F.col("txn_amount"), fv.SIZE_TIERS, fv.SIZE_TIER_TOP))
     return complete_columns(add_recurrence_last3(sized), fv.BROAD_OUTPUT_COLUMNS)
 
@@ -169,7 +172,7 @@ SHARED = ["online", "offline", "in_app", "xborder", "wallet", "topup", "food_del
 def merchant_rows(txns: DataFrame) -> DataFrame:
     candidate = F.max("subscription_candidate_flag")
     return txns.groupBy(*MONTH, "merchant_key").agg(
-        F.sum("txn_amount").alias("spend"), F.count("*").alias("visits"), candidate.alias("is_recurring"))
+        sum_money("txn_amount").alias("spend"), F.count("*").alias("visits"), candidate.alias("is_recurring"))
 
 
 def _plain(name: str) -> Column:
@@ -183,19 +186,19 @@ def month_base(txns: DataFrame, merchants: DataFrame) -> DataFrame:
     amount, l1 = F.col("txn_amount"), F.col("tax_l1")
     totals = txns.groupBy(*MONTH).agg(
         F.count("*").alias("txn_cnt_m"),
-        F.sum(amount).alias("spend_amt_m"),
-        F.avg(amount).alias("avg_ticket_m"),
+        sum_money(amount).alias("spend_amt_m"),
+        mean_of(sum_money(amount), F.count(amount)).alias("avg_ticket_m"),
         F.max(amount).alias("max_ticket_m"),
         F.bit_count(F.expr("bit_or(shiftleft(1L, dayofmonth(txn_date)))")).alias("active_days_m"),
         *[money_when(F.col(tag) == value).alias(name) for name, (tag, value) in SPENDS.items()],
         F.sum("subscription_candidate_flag").alias("recurring_txn_cnt_m"),
-        *[F.sum(F.when(l1 == label, amount)).alias(label) for label in L1],
-        F.sum(F.when(~F.coalesce(l1.isin(L1), F.lit(False)), amount)).alias("l1_remainder_spend_m"),
+        *[sum_money(F.when(l1 == label, amount)).alias(label) for label in L1],
+        sum_money(F.when(~F.coalesce(l1.isin(L1), F.lit(False)), amount)).alias("l1_remainder_spend_m"),
     )
     per_month = merchants.groupBy(*MONTH).agg(
         F.count("*").alias("uniq_merchants_m"), F.sum("is_recurring").alias("recurring_merchant_cnt_m"))
     # Largest spend first, then by name.
-    top = txns.where(l1.isNotNull()).groupBy(*MONTH, "tax_l1").agg(F.sum(amount).alias("spend")).where(
+    top = txns.where(l1.isNotNull()).groupBy(*MONTH, "tax_l1").agg(sum_money(amount).alias("spend")).where(
         F.col("spend").isNotNull()).groupBy(*MONTH).agg(F.min(F.struct((-F.col("spend")).alias("minus"), "tax_l1")).alias("top"))
     base = join_months(totals, per_month)
     base = join_months(base, label_mix(txns).drop("ecosystem_entropy_m", "ecosystem_hhi_m"))
@@ -226,13 +229,13 @@ def with_share(parts: DataFrame, spend: str) -> DataFrame:
 def merchant_intelligence(merchants: DataFrame, bounds: dict[str, int]) -> DataFrame:
     """Scale, entropy, top shares and first-seen merchants of a customer-month."""
     sizes = merchants.groupBy("merchant_key", "txn_month").agg(
-        F.sum("visits").alias("size"), F.sum("spend").alias("merchant_total_spend_m"),
+        F.sum("visits").alias("size"), sum_money("spend").alias("merchant_total_spend_m"),
         F.count("*").alias("merchant_cust_cnt_m"))
     sized = join_months(merchants, sizes, ["merchant_key", "txn_month"])
     spend, size = F.col("spend"), F.col("size")
 
     def spend_at(condition: Column) -> Column:
-        return F.sum(F.when(condition, spend).otherwise(0.0))
+        return sum_money(F.when(condition, spend).otherwise(0.0))
 
     scale = sized.groupBy(*MONTH).agg(
         (F.sum(size * F.col("visits")) / F.sum("visits")).alias("avg_merchant_scale_txn_cnt_m"),
@@ -255,7 +258,7 @@ def merchant_intelligence(merchants: DataFrame, bounds: dict[str, int]) -> DataF
 
 
 def ecosystem_concentration(txns: DataFrame) -> DataFrame:
-    parts = txns.groupBy(*MONTH, "tax_l1").agg(F.sum("txn_amount").alias("spend"))
+    parts = txns.groupBy(*MONTH, "tax_l1").agg(sum_money("txn_amount").alias("spend"))
     shares = with_share(parts, "spend")
     return shares.groupBy(*MONTH).agg(*_mix(shares, "ecosystem"))
 
@@ -269,9 +272,9 @@ def add_rolling(df: DataFrame) -> DataFrame:
         "prev_dominant_ecosystem": "dominant_ecosystem", "prev_merchant_entropy_m": "merchant_entropy_m",
     }
     rolled = df.withColumns({
-        "spend_amt_3m": F.sum("spend_amt_m").over(rows(3)),
+        "spend_amt_3m": sum_money("spend_amt_m", rows(3)),
         "txn_cnt_3m": F.sum("txn_cnt_m").over(rows(3)),
-        "spend_amt_6m": F.sum("spend_amt_m").over(rows(6)),
+        "spend_amt_6m": sum_money("spend_amt_m", rows(6)),
         "avg_ticket_3m": F.avg("avg_ticket_m").over(rows(3)),
         "merchant_entropy_3m_avg": F.avg("merchant_entropy_m").over(rows(3)),
         "ecosystem_entropy_3m_avg": F.avg("ecosystem_entropy_m").over(rows(3)),

@@ -1,20 +1,19 @@
-"""Ordered history of a customer at a merchant, safe for hot histories.
-
-A window over (customer, merchant) puts the whole history into one task. That is
-fine for almost everyone, but a single corporate card can hold a large part of
-all rows. Histories of such customers are therefore cut into time slices
-(``history_part``): windows run inside a slice, and a slice starts from the state
-that the earlier slices end with. Results are the same either way.
-
-* Hot customers are found by counting rows per customer (one source column, combined
-  on the map side). A customer is hot above ``hot_rows`` rows, and above one
-  ``MOST_HOT``-th of all rows where that is more. So at most ``MOST_HOT`` customers are
-  hot at any size of the table, and their list is safe to broadcast.
-* A slice is one hour of one day. Rows exactly on the hour, to the microsecond, and
-  rows without a time are cut further by the leading characters of ``txn_key``, which
-  orders rows of one instant. Slice names sort as ``(txn_date, txn_ts, txn_key)`` does,
-  NULL first, so slices of a history never overlap.
-* All other histories are one slice named '' and skip the extra work.
+"""Ordered history of a customer at a merchant, as a distributed prefix scan.
+
+A window over (customer, merchant) puts a whole history into one task, and a single
+corporate card can hold a large part of all rows. So histories are scanned like one
+sorted sequence: it is cut at quantiles, whoever holds the rows, each slice is scanned
+by itself, and starts from the merged state of the slices before it.
+
+* The order is (customer, merchant, date, time, key). A sample of the rows, in that order,
+  gives the cuts: one for every ``slice_rows`` rows, at most ``MOST_CUTS`` at any size of
+  the table. A history without a cut in it is one slice.
+* Cuts are kept by history and joined to its rows; they have at most ``MOST_CUTS`` rows. A
+  row finds its slice among them by binary search. Windows run per slice, which has about
+  ``slice_rows`` rows and is a task's share at most.
+* The state of a slice is a handful of exact sums and its last ``TAIL`` rows. Only slices of
+  histories with cuts have one, so there are at most two for each cut, and the scan over
+  them is small. Results do not depend on where the cuts are.
 """
 
 from __future__ import annotations
@@ -22,15 +21,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MOST_HOT = 10_000
+from ..functions import squared, units
+from ..sources.store import materialize
+
+SLICE_ROWS = 1_000_000
+MOST_CUTS = 1 << 16
+SAMPLES = 16
+SEED = 7
 TAIL = 3
 
 HISTORY = ["history_owner", "merchant_key"]
 SLICE = [*HISTORY, "history_part"]
 ORDER = ["txn_date", "txn_ts", "txn_key"]
+_CUTS = {"history_owner": "string", "merchant_key": "string",
+         "history_cuts": "array<struct<txn_date: date, txn_ts: timestamp, txn_key: string>>"}
 RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
+# The number of cuts at or before a row, by halving; an array of MOST_CUTS takes 17 steps.
+_FIND = """
+aggregate(sequence(1, 17), named_struct('low', 0, 'high', size(history_cuts)), (s, i) -> CASE
+  WHEN s.low >= s.high THEN s
+  WHEN get(history_cuts, cast((s.low + s.high) div 2 AS int)) <= struct(txn_date, txn_ts, txn_key)
+  THEN named_struct('low', cast((s.low + s.high) div 2 + 1 AS int), 'high', s.high)
+  ELSE named_struct('low', s.low, 'high', cast((s.low + s.high) div 2 AS int)) END, s -> s.low)"""
+
 
 def slice_window() -> Window:
     return Window.partitionBy(*SLICE).orderBy(*ORDER)
@@ -40,52 +54,56 @@ def running_window() -> Window:
     return slice_window().rowsBetween(*RUNNING)
 
 
-def add_history_part(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Name the time slice of each row: '' unless its customer is hot.
+def add_owner(df: DataFrame) -> DataFrame:
+    """The customer as a never-NULL key, so that windows and joins share one plain hash
+    partitioning."""
+    return df.withColumn("history_owner", F.coalesce(F.col("CUST_NUM").cast("string"), F.lit("\0")))
+
 
-    Call it right after standardising, where counting reads one source column.
-    ``history_owner`` is the customer as a never-NULL key, so that windows and
-    the join of the carried state share one plain hash partitioning.
+def history_cuts(df: DataFrame, named, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(history_owner, merchant_key, history_cuts): where histories are cut.
+
+    ``df`` are typed transactions and ``named`` adds their merchant key, which is then
+    computed for sampled rows only. The sample holds ``SAMPLES`` rows for each cut and is
+    sorted as a whole: at most a million narrow rows.
     """
-    owner = F.coalesce(F.col("CUST_NUM").cast("string"), F.lit("\0"))
-    counts = df.groupBy(owner.alias("history_hot")).agg(F.count("*").alias("_rows"))
-    share = (counts.agg(F.sum("_rows").alias("all")).scalar() / MOST_HOT)
-    hot = counts.where((F.col("_rows") > hot_rows) & (F.col("_rows") > share)).select("history_hot")
-    micros = F.unix_micros("txn_ts")
-    hour = F.floor(micros / 3_600_000_000)
-    one_instant = F.coalesce(micros == hour * 3_600_000_000, F.lit(True))
-    part = F.concat_ws(
-        ".",
-        F.coalesce(F.lpad((F.unix_date("txn_date") + 100_000_000).cast("string"), 9, "0"), F.lit("")),
-        F.coalesce(F.lpad((hour + 10_000_000_000).cast("string"), 11, "0"), F.lit("")),
-        F.when(one_instant, F.concat(F.lit("0"), F.substring("txn_key", 1, 2))).otherwise(F.lit("z")))
-    return (
-        df.withColumn("history_owner", owner)
-        .join(F.broadcast(hot), F.col("history_owner") == F.col("history_hot"), "left")  # at most MOST_HOT rows
-        .withColumn("history_part", F.when(F.col("history_hot").isNotNull(), part).otherwise(F.lit("")))
-    )
+    total = df.count()
+    share = max(slice_rows, -(-total // MOST_CUTS))
+    if total <= share:  # one slice
+        return df.sparkSession.range(1).where("false").select(
+            *[F.lit(None).cast(dtype).alias(name) for name, dtype in _CUTS.items()])
+    fraction = min(1.0, SAMPLES / share)
+    sample, step = (df.sample(fraction, SEED) if fraction < 1 else df), max(1, round(fraction * share))
+    place = F.row_number().over(Window.orderBy(*HISTORY, *ORDER))
+    cuts = add_owner(named(sample)).select(*HISTORY, *ORDER, place.alias("place")).where(F.col("place") % step == 0)
+    # Equal rows stay in one slice, so cuts among them are one cut.
+    return materialize(cuts.groupBy(*HISTORY).agg(
+        F.array_sort(F.collect_set(F.struct(*ORDER))).alias("history_cuts")), "cuts")
+
+
+def add_history_part(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Number the slice of each row within its history; 0 where there are no cuts."""
+    sliced = add_owner(df).join(F.broadcast(cuts), HISTORY, "left")  # at most MOST_CUTS cuts in all
+    return sliced.withColumn(
+        "history_part", F.when(F.col("history_cuts").isNotNull(), F.expr(_FIND)).otherwise(F.lit(0)))
 
 
 def add_carry(df: DataFrame) -> DataFrame:
-    """Join to each row of a cut history what the earlier slices end with:
-    row and amount moments, gap sums, and the last ``TAIL`` rows.
-
-    Slices are aggregated before they shuffle, and a history has at most a few
-    hundred slices per day, so the window over slices stays small.
-    """
-    # Without hot customers this filter is an inner join with nothing, and AQE drops
-    # the whole branch before it scans.
-    local = df.where(F.col("history_hot").isNotNull()).select(*SLICE, *ORDER[1:], "txn_date", "txn_amount")
+    """Join to each row of a cut history what the earlier slices end with: rows, sums of
+    amounts, gaps and their squares, and the last ``TAIL`` rows."""
+    # Without cuts this filter is an inner join with nothing, and the branch is dropped.
+    local = df.where(F.col("history_cuts").isNotNull()).select(*SLICE, *ORDER, "txn_amount")
     newest_first = Window.partitionBy(*SLICE).orderBy(*[F.desc(c) for c in ORDER])
     gap = F.datediff("txn_date", F.lag("txn_date").over(slice_window()))
+    amount = units("txn_amount")
     slices = (
         local.withColumns({"_gap": gap, "_age": F.row_number().over(newest_first)})
         .groupBy(*SLICE)
         .agg(
             F.count("*").alias("rows"),
             F.count("txn_amount").alias("n"),
-            F.avg("txn_amount").alias("mean"),
-            (F.var_pop("txn_amount") * F.count("txn_amount")).alias("m2"),
+            F.sum(amount).alias("s1"),
+            F.sum(squared(amount)).alias("s2"),
             F.count("_gap").alias("gaps"),
             F.sum("_gap").alias("gap_sum"),
             F.sum(F.col("_gap") * F.col("_gap")).alias("gap_sq"),
@@ -96,7 +114,6 @@ def add_carry(df: DataFrame) -> DataFrame:
     )
     in_order = Window.partitionBy(*HISTORY).orderBy("history_part")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # The gap between two slices belongs to the later one.
     last_before = F.try_element_at(F.lag("tail").over(in_order), F.lit(-1))["txn_date"]
     border = F.datediff("first_date", last_before)
@@ -104,33 +121,15 @@ def add_carry(df: DataFrame) -> DataFrame:
         "gaps": F.col("gaps") + F.when(F.col("_border").isNotNull(), 1).otherwise(0),
         "gap_sum": F.coalesce("gap_sum", F.lit(0)) + F.coalesce("_border", F.lit(0)),
         "gap_sq": F.coalesce("gap_sq", F.lit(0)) + F.coalesce(F.col("_border") * F.col("_border"), F.lit(0)),
-        # Means are taken relative to the first slice to keep the sums exact.
-        "_base": F.first("mean", ignorenulls=True).over(whole),
-    })
-    shift = F.coalesce(F.col("mean") - F.col("_base"), F.lit(0.0))
-    slices = slices.withColumns({
-        "_s1": F.col("n") * shift,
-        "_s2": F.coalesce("m2", F.lit(0.0)) + F.col("n") * shift * shift,
     })
     carry = slices.select(
         *[F.col(c).alias(f"_k_{c}") for c in SLICE],
-        F.sum("rows").over(before).alias("c_rows"),
-        F.sum("n").over(before).alias("c_n"),
-        F.sum("_s1").over(before).alias("_c_s1"),
-        F.sum("_s2").over(before).alias("_c_s2"),
-        F.col("_base"),
-        F.sum("gaps").over(before).alias("c_gaps"),
-        F.sum("gap_sum").over(before).alias("c_gap_sum"),
-        F.sum("gap_sq").over(before).alias("c_gap_sq"),
+        *[F.sum(c).over(before).alias(f"c_{c}") for c in ("rows", "n", "s1", "s2", "gaps", "gap_sum", "gap_sq")],
         F.slice(
             F.concat(F.array_repeat(F.lit(None).cast(slices.schema["tail"].dataType.elementType), TAIL),
                      F.flatten(F.collect_list("tail").over(in_order.rowsBetween(-TAIL, -1)))),
             -TAIL, TAIL).alias("c_tail"),
-    ).select(
-        "*",
-        (F.col("_base") + F.col("_c_s1") / F.nullif(F.col("c_n"), F.lit(0))).alias("c_mean"),
-        (F.col("_c_s2") - F.col("_c_s1") * F.col("_c_s1") / F.nullif(F.col("c_n"), F.lit(0))).alias("c_m2"),
-    ).drop("_base", "_c_s1", "_c_s2")
+    )
     # Partition by all three keys. The windows above left the slices partitioned by
     # history, and a join that took that over would bring hot histories together.
     carry = carry.repartition(*[F.col(f"_k_{c}") for c in SLICE])

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import flag, share_of
-from .monthly import MONTH, join_months
+from ..functions import flag, share_of, sum_money
+from .monthly import MONTH, concentration, join_months
 
 MERCHANT = "mcht_nm_norm"
 # Monthly transactions of mega, large and long-tail merchants
@@ -32,7 +32,7 @@ def merchant_months(txns: DataFrame) -> DataFrame:
         aggregate
         for short, name in TAGS.items()
         for aggregate in (
-            F.sum(F.when(tag == name, amount)).alias(f"{short}_spend"),
+            sum_money(F.when(tag == name, amount)).alias(f"{short}_spend"),
             F.max(flag(tag == name)).alias(f"{short}_seen"),
         )
     ]
@@ -43,7 +43,7 @@ def merchant_months(txns: DataFrame) -> DataFrame:
     ]
     return txns.groupBy(*MONTH, MERCHANT).agg(
         F.count("*").alias("visits"),
-        F.sum(amount).alias("spend"),
+        sum_money(amount).alias("spend"),
         F.max(seen_before).alias("retained"),
         *per_tag, *averages,
     )
@@ -70,7 +70,7 @@ def add_merchant_sizes(months: DataFrame) -> DataFrame:
 def _entropy(value: str, total: Column) -> Column:
     """Sum of -p*log2(p) over positive p = value/total, from single-pass sums."""
     v = F.col(value)
-    plain = F.sum(F.when(v > 0, v).otherwise(0.0))
+    plain = sum_money(F.when(v > 0, v).otherwise(0.0))
     logged = F.sum(F.when(v > 0, v * F.log2(v)).otherwise(0.0))
     return F.when(total > 0, (F.log2(total) * plain - logged) / total).otherwise(F.lit(0.0))
 
@@ -81,7 +81,7 @@ def merchant_features(months: DataFrame, bounds: dict[str, int] | None = None) -
     bounds = bounds or SCALE_BOUNDS
     spend, visits = F.col("spend"), F.col("visits")
     size = F.col("merchant_global_txn_cnt")
-    total = F.sum(spend)
+    total = sum_money(spend)
     recurring_rows = F.sum(F.col("sub_seen") + F.col("rec_seen"))
     regular = F.coalesce("sub_spend", F.lit(0.0)) + F.coalesce("rec_spend", F.lit(0.0))
 
@@ -93,12 +93,12 @@ def merchant_features(months: DataFrame, bounds: dict[str, int] | None = None) -
         return added / F.nullif(known, F.lit(0))
 
     def spend_at(condition: Column) -> Column:
-        return F.sum(F.when(condition, spend).otherwise(0.0))
+        return sum_money(F.when(condition, spend).otherwise(0.0))
 
     return months.groupBy(*MONTH).agg(
         F.count("*").alias("merchant_cnt_m"),
         _entropy("spend", total).alias("merchant_entropy_m"),
-        F.when(total > 0, F.sum(spend * spend) / (total * total)).otherwise(F.lit(0.0)).alias("merchant_hhi_m"),
+        concentration("spend").alias("merchant_hhi_m"),
         (F.sum(size * visits) / F.sum(visits)).alias("avg_merchant_scale_m"),
         spend_at(size >= bounds["mega"]).alias("spend_at_mega_merchants_m"),
         spend_at((size >= bounds["large"]) & (size < bounds["mega"])).alias("spend_at_large_merchants_m"),
@@ -111,8 +111,8 @@ def merchant_features(months: DataFrame, bounds: dict[str, int] | None = None) -
         recurring_rows.alias("recurring_merchant_cnt_m"),
         F.sum("epi_seen").alias("episodic_merchant_cnt_m"),
         F.sum("irr_seen").alias("irregular_merchant_cnt_m"),
-        F.sum(F.coalesce("sub_spend", F.lit(0.0))).alias("subscription_like_spend_m"),
-        F.sum(regular).alias("recurring_spend_m"),
+        sum_money(F.coalesce("sub_spend", F.lit(0.0))).alias("subscription_like_spend_m"),
+        sum_money(regular).alias("recurring_spend_m"),
         mean_over_tags("interval").alias("avg_recurring_interval_m"),
         mean_over_tags("cv").alias("avg_recurring_cv_m"),
     )
@@ -127,7 +127,7 @@ def top_merchants(months: DataFrame, k: int = 3) -> DataFrame:
         .withColumn("rank", F.row_number().over(largest)).where(F.col("rank") <= k)
         .groupBy(*MONTH).agg(
             F.max(F.when(F.col("rank") == 1, F.col("spend"))).alias("top1_merchant_spend_m"),
-            F.sum("spend").alias(f"top{k}_merchant_spend_m"),
+            sum_money("spend").alias(f"top{k}_merchant_spend_m"),
         )
     )
 

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions import flag, money_when, share_of, sql_text
+from ..functions import flag, mean_of, money, money_when, share_of, spread, sql_text, squared, sum_money, units
+from ..functions.columns import MONEY_UNITS
 
 MONTH = ["CUST_NUM", "txn_month"]
 _MASK_BITS = 62
@@ -133,11 +134,11 @@ def month_totals(txns: DataFrame, labels: Labels) -> DataFrame:
     platform = F.col("platform_ecosystem")
     totals = txns.groupBy(*MONTH).agg(
         F.count("*").alias("txn_cnt_m"),
-        F.sum(amount).alias("spend_amt_m"),
-        F.avg(amount).alias("avg_ticket_m"),
+        sum_money(amount).alias("spend_amt_m"),
+        mean_of(sum_money(amount), F.count(amount)).alias("avg_ticket_m"),
         F.max(amount).alias("max_ticket_m"),
         F.min(amount).alias("min_ticket_m"),
-        F.stddev_samp(amount).alias("stddev_ticket_m"),
+        (spread(F.count(amount), F.sum(units(amount)), F.sum(squared(units(amount)))) / float(MONEY_UNITS)).alias("stddev_ticket_m"),
         F.coalesce(F.bit_count(F.expr("bit_or(shiftleft(1L, txn_dom))")), F.lit(0)).alias("active_days_m"),
         *[money_when(F.col(tag) == value).alias(name) for name, (tag, value) in SPENDS.items()],
         *[F.sum(name).alias(column) for column, name in COUNTS.items()],
@@ -149,7 +150,7 @@ def month_totals(txns: DataFrame, labels: Labels) -> DataFrame:
         count_labels("platform_ecosystem", platforms).alias("platform_count_m"),
         F.sum(flag(platform != "NONE")).alias("platform_txn_cnt_m"),
         # NULL, not 0.0, where a platform was not used: it cannot be the dominant one.
-        *[F.sum(F.when(platform == name, amount)).alias(_PLATFORM_SPEND.format(name)) for name in platforms],
+        *[sum_money(F.when(platform == name, amount)).alias(_PLATFORM_SPEND.format(name)) for name in platforms],
     )
     unfilled = {_PLATFORM_SPEND.format(name) for name in platforms}
     return totals.fillna(0.0, subset=[c for c, t in totals.dtypes if t == "double" and c not in unfilled])
@@ -170,7 +171,7 @@ def add_shares(df: DataFrame) -> DataFrame:
 def add_derived(df: DataFrame) -> DataFrame:
     """Consumption without top-ups, and intensity, repeat and novelty ratios."""
     return df.withColumns({
-        "consumption_spend_m": F.greatest(F.col("spend_amt_m") - F.col("topup_spend_m"), F.lit(0.0)),
+        "consumption_spend_m": F.greatest(money(units("spend_amt_m") - units("topup_spend_m")), F.lit(0.0)),
         "txn_per_active_day_m": F.when(
             F.col("active_days_m") > 0, F.col("txn_cnt_m") / F.col("active_days_m")).otherwise(F.lit(0.0)),
         "merchant_repeat_ratio_m": F.when(
@@ -216,7 +217,7 @@ def add_key_l2_shares(df: DataFrame, base: str = "spend_amt_m") -> DataFrame:
 def add_platforms(df: DataFrame) -> DataFrame:
     """Platform spend and share, and the platform with the largest spend."""
     spends = [(F.col(_PLATFORM_SPEND.format(name)), name) for name, _ in fv.PLATFORMS]
-    spent = sum((F.coalesce(spend, F.lit(0.0)) for spend, _ in spends), F.lit(0.0))
+    spent = money(sum((F.coalesce(units(spend), F.lit(0)) for spend, _ in spends), F.lit(0)))
     top = F.get(_ranked(spends), F.lit(0))["label"]
     return df.withColumns({
         "platform_spend_m": spent,
@@ -225,19 +226,25 @@ def add_platforms(df: DataFrame) -> DataFrame:
         *[_PLATFORM_SPEND.format(name) for name, _ in fv.PLATFORMS])
 
 
+def concentration(spend: str) -> Column:
+    """Sum of squared shares: one division of two exact sums."""
+    total = F.sum(units(spend)).cast("double")
+    return F.when(total > 0, F.sum(squared(units(spend))).cast("double") / (total * total)).otherwise(F.lit(0.0))
+
+
 def label_mix(txns: DataFrame) -> DataFrame:
     """Distinct categories, and entropy and concentration of spend over all L1 labels
     whatever they are. Rows are summed per label first, so the sets hold a few labels."""
-    parts = txns.groupBy(*MONTH, "tax_l1", "tax_l2", "tax_l3").agg(F.sum("txn_amount").alias("spend"))
+    parts = txns.groupBy(*MONTH, "tax_l1", "tax_l2", "tax_l3").agg(sum_money("txn_amount").alias("spend"))
     distinct = {f"uniq_tax_{level}_m": F.array_distinct(F.flatten(F.collect_list(f"{level}s"))) for level in ("l2", "l3")}
     tops = parts.groupBy(*MONTH, "tax_l1").agg(
-        F.sum("spend").alias("spend"), F.collect_set("tax_l2").alias("l2s"), F.collect_set("tax_l3").alias("l3s"))
-    spend, total = F.col("spend"), F.sum("spend")
-    positive = F.sum(F.when(spend > 0, spend).otherwise(0.0))
+        sum_money("spend").alias("spend"), F.collect_set("tax_l2").alias("l2s"), F.collect_set("tax_l3").alias("l3s"))
+    spend, total = F.col("spend"), sum_money("spend")
+    positive = sum_money(F.when(spend > 0, spend).otherwise(0.0))
     logged = F.sum(F.when(spend > 0, spend * F.log2(spend)).otherwise(0.0))
     return tops.groupBy(*MONTH).agg(
         F.count("tax_l1").alias("uniq_tax_l1_m"),
         *[F.size(found).cast("long").alias(name) for name, found in distinct.items()],
         F.when(total > 0, (F.log2(total) * positive - logged) / total).otherwise(0.0).alias("ecosystem_entropy_m"),
-        F.when(total > 0, F.sum(spend * spend) / (total * total)).otherwise(0.0).alias("ecosystem_hhi_m"),
+        concentration("spend").alias("ecosystem_hhi_m"),
     )

@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import flag, label_by
-from .history import HOT_ROWS, add_carry, add_history_part, previous, running_window
+from ..functions import flag, label_by, mean_of, money, spread, squared, units
+from ..functions.columns import MONEY_UNITS, WIDE
+from .history import SLICE_ROWS, add_carry, add_history_part, history_cuts, previous, running_window
 
-_CARRY = [
-    "history_hot", "history_owner", "history_part", "c_rows", "c_n", "c_gaps", "c_gap_sum", "c_gap_sq",
-    "c_tail", "c_mean", "c_m2",
-]
+_CARRY = ["history_cuts", "history_owner", "history_part", "c_rows", "c_n", "c_s1", "c_s2", "c_gaps", "c_gap_sum",
+          "c_gap_sq", "c_tail"]
 
 
-def _with_carry(df: DataFrame, hot_rows: int) -> DataFrame:
-    return add_carry(df if "history_part" in df.columns else add_history_part(df, hot_rows))
+def _with_carry(df: DataFrame, slice_rows: int) -> DataFrame:
+    sliced = df if "history_part" in df.columns else add_history_part(
+        df, history_cuts(df, lambda sample: sample, slice_rows))
+    return add_carry(sliced)
 
 
 def _or_zero(name: str) -> Column:
@@ -27,17 +28,19 @@ def _variation(std: str, mean: str) -> Column:
     return F.when(F.col(mean) > 0, F.coalesce(F.col(std), F.lit(0.0)) / F.col(mean))
 
 
-def add_history(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def add_history(df: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Previous visit, visit count, and interval and amount statistics over all
-    visits up to this one."""
+    visits up to this one. Sums are exact and divided last, so neither the cuts nor the
+    order of addition show."""
     running = running_window()
-    visits = _with_carry(df, hot_rows).withColumns({
+    amount = units("txn_amount")
+    visits = _with_carry(df, slice_rows).withColumns({
         "prev_txn_dt_merchant": previous("txn_date"),
         "prev_txn_amt_merchant": previous("txn_amount"),
         "merchant_visit_cnt": F.count("*").over(running) + _or_zero("c_rows"),
-        "_n": F.count("txn_amount").over(running),
-        "_mean": F.avg("txn_amount").over(running),
-        "_var": F.var_pop("txn_amount").over(running),
+        "_n": F.count("txn_amount").over(running) + _or_zero("c_n"),
+        "_s1": F.coalesce(F.sum(amount).over(running), F.lit(0)) + _or_zero("c_s1"),
+        "_s2": (F.coalesce(F.sum(squared(amount)).over(running), F.lit(0)) + _or_zero("c_s2")).cast(WIDE),
     })
     prev_amount = F.col("prev_txn_amt_merchant")
     visits = visits.withColumns({
@@ -45,34 +48,21 @@ def add_history(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         "amt_delta_pct": F.when(prev_amount > 0, F.abs(F.col("txn_amount") - prev_amount) / prev_amount),
     })
     gap = F.col("days_since_prev_merchant")
-    # Amounts: merge the moments of this slice with the carried ones.
-    total = F.col("_n") + _or_zero("c_n")
-    weight = F.col("_n") / F.nullif(total, F.lit(0))
-    carried_mean = F.coalesce("c_mean", "_mean")
-    apart = F.col("_mean") - carried_mean
     visits = visits.withColumns({
         "_gaps": F.count(gap).over(running) + _or_zero("c_gaps"),
         "_gap_sum": F.coalesce(F.sum(gap).over(running), F.lit(0)) + _or_zero("c_gap_sum"),
         "_gap_sq": F.coalesce(F.sum(gap * gap).over(running), F.lit(0)) + _or_zero("c_gap_sq"),
-        "_total": total,
-        "avg_amt_merchant": F.coalesce(carried_mean + apart * weight, "c_mean"),
-        "_m2": _or_zero("c_m2") + F.coalesce(F.col("_var") * F.col("_n"), F.lit(0.0))
-        + F.coalesce(apart * apart * _or_zero("c_n") * weight, F.lit(0.0)),
     })
-    gaps = F.nullif(F.col("_gaps"), F.lit(0))
-    gap_m2 = F.col("_gap_sq") - F.col("_gap_sum") * F.col("_gap_sum") / gaps
     visits = visits.withColumns({
-        "avg_interval_merchant": F.col("_gap_sum") / gaps,
-        "std_interval_merchant": F.when(
-            F.col("_gaps") > 1, F.sqrt(F.greatest(gap_m2, F.lit(0.0)) / F.nullif(F.col("_gaps") - 1, F.lit(0)))),
-        "std_amt_merchant": F.when(
-            F.col("_total") > 1,
-            F.sqrt(F.greatest(F.col("_m2"), F.lit(0.0)) / F.nullif(F.col("_total") - 1, F.lit(0)))),
+        "avg_interval_merchant": mean_of(F.col("_gap_sum"), F.col("_gaps")),
+        "std_interval_merchant": spread(F.col("_gaps"), F.col("_gap_sum"), F.col("_gap_sq")),
+        "avg_amt_merchant": mean_of(money(F.col("_s1")), F.col("_n")),
+        "std_amt_merchant": spread(F.col("_n"), F.col("_s1"), F.col("_s2")) / float(MONEY_UNITS),
     })
     return visits.withColumns({
         "cv_interval": _variation("std_interval_merchant", "avg_interval_merchant"),
         "amt_cv_merchant": _variation("std_amt_merchant", "avg_amt_merchant"),
-    }).drop(*_CARRY, "_n", "_mean", "_var", "_gaps", "_gap_sum", "_gap_sq", "_total", "_m2")
+    }).drop(*_CARRY, "_n", "_s1", "_s2", "_gaps", "_gap_sum", "_gap_sq")
 
 
 def add_recurrence_tags(df: DataFrame) -> DataFrame:
@@ -95,14 +85,14 @@ def add_recurrence_tags(df: DataFrame) -> DataFrame:
         "subscription_candidate_flag", flag(F.col("recurrence_tag").isin("SUBSCRIPTION_LIKE", "RECURRING")))
 
 
-def add_recurrence(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return add_recurrence_tags(add_history(df, hot_rows))
+def add_recurrence(df: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    return add_recurrence_tags(add_history(df, slice_rows))
 
 
-def add_recurrence_last3(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def add_recurrence_last3(df: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Second recurrence class, from the last three visits only. An unknown
     variation or amount change counts as too large."""
-    visits = _with_carry(df, hot_rows).withColumns({
+    visits = _with_carry(df, slice_rows).withColumns({
         "prev_txn_dt_same_merchant": previous("txn_date"),
         "prev_txn_amt_same_merchant": previous("txn_amount"),
         "_date2": previous("txn_date", 2),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions import flag, label_by, tier_by
+from ..functions import flag, label_by, sum_money, tier_by
 from .monthly import MONTH
 from .trends import months
 
@@ -28,23 +28,23 @@ def simple_personas(tagged: DataFrame) -> DataFrame:
     merchants = tagged.groupBy(*MONTH, "merchant_norm").agg(
         F.count("*").alias("visits"),
         F.count(amount).alias("priced"),
-        F.sum(amount).alias("spend"),
-        F.sum(F.when(F.col("channel_tag") == "ONLINE", amount).otherwise(0.0)).alias("online"),
+        sum_money(amount).alias("spend"),
+        sum_money(F.when(F.col("channel_tag") == "ONLINE", amount).otherwise(0.0)).alias("online"),
         F.sum("wallet_topup_flag").alias("wallets"),
     )
-    total, spend = F.sum("spend"), F.col("spend")
+    total, spend = sum_money("spend"), F.col("spend")
 
     def entropy(size: Column) -> Column:
         """Sum of -p*log2(p) over the merchants with a positive ``size``."""
         logged = F.sum(F.when(size > 0, size * F.log2(size)).otherwise(0.0))
-        return (F.log2(F.abs(total)) * F.sum(F.when(size > 0, size).otherwise(0.0)) - logged) / F.abs(total)
+        return (F.log2(F.abs(total)) * sum_money(F.when(size > 0, size).otherwise(0.0)) - logged) / F.abs(total)
 
     features = merchants.groupBy(*MONTH).agg(
         F.sum("visits").alias("txn_cnt_m"),
         total.alias("spend_amt_m"),
         (total / F.nullif(F.sum("priced"), F.lit(0))).alias("avg_ticket_m"),
         F.count("merchant_norm").alias("uniq_merchants_m"),
-        F.sum("online").alias("online_spend_m"),
+        sum_money("online").alias("online_spend_m"),
         F.sum("wallets").alias("wallet_txn_cnt"),
         # Shares p = spend/total are positive where spend and total have one sign.
         F.when(total > 0, entropy(spend)).when(total < 0, entropy(-spend)).alias("merchant_entropy"),

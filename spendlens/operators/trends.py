@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import flag, label_by, share_of
+from ..functions import flag, label_by, mean_of, money, share_of, spread, squared, sum_money, units
+from ..functions.columns import MONEY_UNITS
 
 def months():
     return Window.partitionBy("CUST_NUM").orderBy("txn_month")
@@ -29,19 +30,21 @@ AVERAGED_3M = [
 
 
 def _stability(frame) -> Column:
-    mean = F.avg("spend_amt_m").over(frame)
-    return F.when(mean > 0, F.stddev_samp("spend_amt_m").over(frame) / mean)
+    spend = units("spend_amt_m")
+    count, total = F.count("spend_amt_m").over(frame), F.sum(spend).over(frame)
+    deviation = spread(count, total, F.sum(squared(spend)).over(frame)) / float(MONEY_UNITS)
+    return F.when(total > 0, deviation / mean_of(money(total), count))
 
 
 def add_rolling(df: DataFrame) -> DataFrame:
     """Sums, averages and spread over 3, 6 and 12 months."""
     columns: dict[str, Column] = {}
     for count in (3, 6, 12):
-        columns[f"spend_amt_{count}m"] = F.sum("spend_amt_m").over(rows(count))
+        columns[f"spend_amt_{count}m"] = sum_money("spend_amt_m", rows(count))
         columns[f"txn_cnt_{count}m"] = F.sum("txn_cnt_m").over(rows(count))
     for name in AVERAGED_3M:
         columns[f"{name}_3m"] = F.avg(f"{name}_m").over(rows(3))
-    mean_3m = F.avg("spend_amt_m").over(rows(3))
+    mean_3m = mean_of(sum_money("spend_amt_m", rows(3)), F.count("spend_amt_m").over(rows(3)))
     columns |= {
         "spend_stability_6m": _stability(rows(6)),
         "spend_stability_12m": _stability(rows(12)),

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.history import HOT_ROWS, add_history_part
+from ..operators.history import SLICE_ROWS, add_history_part, history_cuts
 from ..operators.merchant import add_merchant_text, add_merchant_tokens
 from ..operators.recurrence import add_recurrence
 from ..operators.rules import add_text_profile
@@ -41,7 +41,7 @@ def enrich(
     refs: References,
     rules: list[tuple] | None = None,
     key_columns: list[str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Everything phase 1 knows about a transaction.
 
@@ -49,6 +49,7 @@ def enrich(
     state shares that exchange) and once to join the text profile back. Rows are
     narrow at both points, because columns that need no other row come last.
     """
-    txns = add_history_part(standardize(source, key_columns), hot_rows)
-    with_history = add_recurrence(add_merchant_text(txns))
+    typed = standardize(source, key_columns)
+    cuts = history_cuts(typed, add_merchant_text, slice_rows)
+    with_history = add_recurrence(add_history_part(add_merchant_text(typed), cuts))
     return add_merchant_tokens(add_tags(classify(with_history, refs, rules)))

@@ -36,7 +36,7 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.ArrayType):
             return F.concat_ws(" ", col)
         if isinstance(field.dataType, T.DoubleType):
-            return F.round(col, 6) + F.lit(0.0)
+            return F.floor(col * 1e6 + 0.5) / F.lit(1e6)
         return col
     return df.select(*[plain(f).alias(f.name) for f in df.schema.fields])
 
@@ -260,7 +260,7 @@ def payday_tags(spark, folder):
     return tags.add_time_tags(card(spark, folder)).select("txn_key", "txn_dom", "payday_window_flag")
 
 
-# Customers with more rows than this count as hot in the queries that check the slices.
+# Rows of a slice in the queries that check the prefix scan.
 CUT_ROWS = 10
 HISTORY_RESULT = [
     "txn_key", "prev_txn_dt_merchant", "prev_txn_amt_merchant", "days_since_prev_merchant",
@@ -276,14 +276,14 @@ def recurrence_history(spark, folder):
 
 @query("recurrence_history_cut")
 def recurrence_history_cut(spark, folder):
-    """The same with all customers of more than a few rows cut into slices."""
-    return recurrence.add_history(named(spark, folder), hot_rows=CUT_ROWS).select(*HISTORY_RESULT)
+    """The same with a cut after every few rows, so that most histories are cut."""
+    return recurrence.add_history(named(spark, folder), slice_rows=CUT_ROWS).select(*HISTORY_RESULT)
 
 
 @query("recurrence_tags_events_cut")
 def recurrence_tags_events_cut(spark, folder):
     txns = merchant.add_merchant_text(event_card(spark, folder))
-    return recurrence.add_recurrence(txns, hot_rows=CUT_ROWS).select(
+    return recurrence.add_recurrence(txns, slice_rows=CUT_ROWS).select(
         "txn_key", "merchant_visit_cnt", "merchant_novelty_tag", "recurrence_tag", "subscription_candidate_flag")
 
 
@@ -666,7 +666,7 @@ def recurrence_last3_events(spark, folder):
 
 @query("recurrence_last3_cut")
 def recurrence_last3_cut(spark, folder):
-    return recurrence.add_recurrence_last3(broad.add_text_basic(card(spark, folder)), hot_rows=CUT_ROWS).select(
+    return recurrence.add_recurrence_last3(broad.add_text_basic(card(spark, folder)), slice_rows=CUT_ROWS).select(
         "txn_key", "avg_interval_3txns", "std_interval_3txns", "recurrence_tag")
 
 

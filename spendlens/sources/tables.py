@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
+from ..functions import typed_money
 
 
 def read_transactions(spark: SparkSession, name: str, fmt: str | None = None) -> DataFrame:
@@ -29,7 +30,8 @@ def complete_columns(df: DataFrame, names: list[str], dtype: str = "string") ->
 def standardize(df: DataFrame, key_columns: list[str] | None = None) -> DataFrame:
     """Check the required columns, complete the optional ones and add typed
     date, timestamp, month and amount columns. Values that do not parse become
-    NULL instead of failing the job.
+    NULL instead of failing the job. Amounts are rounded to four decimals, and all
+    later sums are sums of whole ten-thousandths, so they are exact in any order.
 
     ``txn_key`` is a SHA-256 over the key columns (by default over all source
     columns). Equal rows get equal keys on every run and layout, which is all
@@ -41,7 +43,7 @@ def standardize(df: DataFrame, key_columns: list[str] | None = None) -> DataFram
     typed = complete_columns(df, fv.OPTIONAL_COLUMNS).withColumns({
         "txn_key": F.sha2(key_text, 256),
         "txn_ts": F.col("TXN_DT").try_cast("timestamp"),
-        "txn_amount": F.col("TXN_AMT").try_cast("double"),
+        "txn_amount": typed_money(F.col("TXN_AMT").try_cast("double")),
     })
     return typed.withColumns({
         "txn_date": F.col("txn_ts").cast("date"),

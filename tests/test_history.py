@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spendlens.operators import merchant, recurrence
 from spendlens.operators.broad import add_text_basic
-from spendlens.operators.history import add_history_part
+from spendlens.operators.history import HISTORY, SLICE, add_history_part, history_cuts
 from spendlens.sources import standardize
 
 
@@ -37,13 +37,6 @@ def random_rows(seed, count=600):
     return rows
 
 
-def collected(df, columns):
-    """Rows by reference; floats compare with a tolerance."""
-    return {row["ref"]: [
-        pytest.approx(row[c], rel=1e-9, abs=1e-7) if isinstance(row[c], float) else row[c] for c in columns
-    ] for row in df.collect()}
-
-
 def plain(df, columns):
     return {row["ref"]: [row[c] for c in columns] for row in df.collect()}
 
@@ -59,25 +52,46 @@ LAST3 = [
 ]
 
 
+def sliced(txns, slice_rows):
+    return add_history_part(txns, history_cuts(txns, lambda sample: sample, slice_rows))
+
+
 @pytest.mark.parametrize("seed", [1, 2])
-def test_hot_customers_get_the_same_history(spark, seed):
+def test_cut_histories_are_equal_digit_by_digit(spark, seed):
     txns = transactions(spark, random_rows(seed))
-    parts = add_history_part(txns, hot_rows=100)
-    assert parts.where("history_part != ''").select("history_part").distinct().count() > 50
-    assert parts.where("history_part = ''").count() > 0
-    assert parts.where("(history_part = '') != (history_hot is null)").count() == 0
-    whole = recurrence.add_recurrence(txns)
-    cut = recurrence.add_recurrence(txns, hot_rows=100)
-    assert plain(cut, COLUMNS) == collected(whole, COLUMNS)
-    all_cut = recurrence.add_recurrence(txns, hot_rows=0)
-    assert plain(all_cut, COLUMNS) == collected(whole, COLUMNS)
-
-
-def test_hot_customers_get_the_same_last_three(spark):
+    whole = plain(recurrence.add_recurrence(txns), COLUMNS)
+    for slice_rows in (100, 7, 1):
+        assert plain(recurrence.add_recurrence(txns, slice_rows=slice_rows), COLUMNS) == whole
+
+
+@pytest.mark.parametrize("slice_rows", [100, 20])
+def test_one_customer_with_most_rows_is_spread_over_slices(spark, slice_rows):
+    """No slice holds much more than its share, whoever has the rows."""
+    rows = [(1, "makro", float(i), f"2024-01-01 00:00:{i % 60:02d}") for i in range(2000)]
+    rows += [(i, "shell", 1.0, "2024-01-02") for i in range(2, 400)]
+    txns = transactions(spark, rows)
+    parts = sliced(txns, slice_rows)
+    sizes = [r["count"] for r in parts.groupBy(*SLICE).count().collect()]
+    assert sum(sizes) == 2398 and max(sizes) <= 4 * slice_rows
+    assert parts.where("merchant_key = sha2('makro', 256)").select("history_part").distinct().count() > 2000 / slice_rows / 4
+    cuts = history_cuts(txns, lambda sample: sample, slice_rows)
+    assert cuts.selectExpr("sum(size(history_cuts))").first()[0] <= 2 * 2398 / slice_rows
+    # A history is in order over its slices.
+    bounds = parts.groupBy(*SLICE).agg(F.min("txn_ts").alias("low"), F.max("txn_ts").alias("high")).orderBy(*SLICE).collect()
+    for a, b in zip(bounds, bounds[1:]):
+        assert any(a[c] != b[c] for c in HISTORY) or a["high"] <= b["low"]
+
+
+def test_histories_without_cuts_have_no_carry_branch(spark):
+    plan = recurrence.add_history(transactions(spark, random_rows(1)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_cut_histories_have_the_same_last_three(spark):
     txns = add_text_basic(transactions(spark, random_rows(3)))
-    whole = recurrence.add_recurrence_last3(txns)
-    cut = recurrence.add_recurrence_last3(txns, hot_rows=0)
-    assert plain(cut, LAST3) == collected(whole, LAST3)
+    whole = plain(recurrence.add_recurrence_last3(txns), LAST3)
+    for slice_rows in (30, 1):
+        assert plain(recurrence.add_recurrence_last3(txns, slice_rows=slice_rows), LAST3) == whole
 
 
 def test_history_equals_brute_force(spark):
@@ -105,7 +119,7 @@ def test_history_equals_brute_force(spark):
 @pytest.mark.parametrize("all_keys", ["true", "false"])
 def test_slices_of_a_history_are_shuffled_apart(spark, all_keys):
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", all_keys)
-    df = recurrence.add_history(transactions(spark, random_rows(6, 20)), hot_rows=0)
+    df = recurrence.add_history(transactions(spark, random_rows(6, 200)), slice_rows=5)
     plan = df._jdf.queryExecution().executedPlan()
     spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
     detail = [line for line in plan.toString().splitlines() if "Exchange hashpartitioning(history_owner" in line][0]
@@ -134,5 +148,5 @@ def test_known_patterns(spark):
 def test_layout_does_not_matter(spark):
     txns = transactions(spark, random_rows(5))
     shuffled = txns.orderBy(F.rand(7)).repartition(13)
-    assert plain(recurrence.add_recurrence(shuffled), COLUMNS) == collected(
+    assert plain(recurrence.add_recurrence(shuffled, slice_rows=50), COLUMNS) == plain(
         recurrence.add_recurrence(txns), COLUMNS)
