@@ -79,6 +79,69 @@ def _required_literal(alternative: str) -> str:
     return literal[:-1] if follows and follows in "?*+{" else literal
 
 
+def _skip_class(pattern: str, i: int) -> int:
+    """The place after the character class that opens at ``i``."""
+    i += 2 if pattern[i + 1:i + 2] == "^" else 1
+    i += pattern[i:i + 1] == "]"
+    while i < len(pattern) and pattern[i] != "]":
+        i += 2 if pattern[i] == "\\" else 1
+    return i + 1
+
+
+def _skip_group(pattern: str, i: int) -> int:
+    """The place after the group that opens at ``i``."""
+    depth = 0
+    while i < len(pattern):
+        if pattern[i] == "[":
+            i = _skip_class(pattern, i)
+            continue
+        depth += (pattern[i] == "(") - (pattern[i] == ")")
+        i += 2 if pattern[i] == "\\" else 1
+        if depth == 0:
+            break
+    return i
+
+
+def longest_literal(alternative: str) -> str:
+    """The longest run of plain characters that every match of the alternative holds; ''
+    if there is none or the alternative uses an escape that this does not know."""
+    runs, run, i = [], "", 0
+    while i < len(alternative):
+        char = alternative[i]
+        if char == "\\":
+            char = alternative[i + 1:i + 2]
+            i += 2
+            if char.isalnum():
+                if char not in "sSdDwWbB":
+                    return ""
+                runs.append(run)
+                run = ""
+                continue
+        elif char in "[(":
+            i = _skip_class(alternative, i) if char == "[" else _skip_group(alternative, i)
+            runs.append(run)
+            run = ""
+            continue
+        elif char in ".^$?*+{":
+            # A quantifier may take the character before it away; one or more leaves it.
+            runs.append(run if char in ".^$+" else run[:-1])
+            run = ""
+            i = alternative.find("}", i) + 1 if char == "{" and "}" in alternative[i:] else i + 1
+            continue
+        else:
+            i += 1
+        run += char
+    return max([*runs, run], key=len)
+
+
+def required_literals(pattern: str) -> list[str]:
+    """One literal for each alternative: a text that matches holds one of them. [''] if
+    nothing is known."""
+    parts = alternatives(pattern)
+    found = [longest_literal(part) for part in parts or [""]]
+    return found if all(found) else [""]
+
+
 def _tests(named: list[tuple[str, str]]) -> Column:
     """Constant array of (name, guard, regex): a text passes an entry if it holds
     the guard and, where a regex is left to test, matches it. A pattern that could

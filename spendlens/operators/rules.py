@@ -10,18 +10,20 @@ otherwise splits hot texts of the shuffle join.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions import any_of, constant, flag, label_by, matching
-from ..sources import dimension
+from ..functions import any_of, constant, flag, label_by, matching, required_literals
+from ..sources import dimension, materialize
 
 RULE_DDL = (
     "priority int not null, rule_name string not null, regex_pattern string not null, "
     "rule_l1 string not null, rule_l2 string not null, rule_l3 string not null, place int not null"
 )
-BROADCAST_RULES = 10_000
+GRAM = 3
+SALTS = 64
 RULE_COLUMNS = ["priority", "matched_rule_name", "rule_l1", "rule_l2", "rule_l3"]
 
 TEXT_FLAGS = {
@@ -116,27 +118,70 @@ def add_text_profile(df: DataFrame, rules: list[tuple] | None = None) -> DataFra
     return add_conflict_flag(df.join(profile, "match_text"))
 
 
-def add_rules_by_join(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same rule result from a theta join with a rule table.
+# A pattern's grams by alternative, as rows.
+_GRAMS = "array<struct<part:int,gram:string>>"
+
+
+def _literal_grams(patterns: pd.Series) -> pd.Series:
+    """The grams of the literals that a pattern requires, once per rule; the gram '' where it
+    requires none."""
+    def grams(literal: str) -> list[str]:
+        size = min(GRAM, len(literal))
+        return sorted({literal[i:i + size] for i in range(len(literal) - size + 1)}) if literal else [""]
+
+    return patterns.map(lambda pattern: [
+        {"part": part, "gram": gram} for part, literal in enumerate(required_literals(pattern)) for gram in grams(literal)])
+
+
+def text_grams(texts: DataFrame) -> DataFrame:
+    """(match_text, gram): every distinct run of one to ``GRAM`` characters of each text."""
+    runs = [F.regexp_extract_all("match_text", F.lit(f"(?s)(?=(.{{{size}}}))"), 1) for size in range(1, GRAM + 1)]
+    return texts.select("match_text", F.explode(F.array_distinct(F.concat(*runs))).alias("gram"))
+
 
-    For rules that live in a table. Up to ``BROADCAST_RULES`` rules are broadcast
-    against distinct texts; Spark decides about more. Equal priorities are settled by
-    ``place`` if the table has it, else by name.
+def rule_index(rules: DataFrame, grams: DataFrame) -> DataFrame:
+    """The rules with the grams under which they are filed: of each alternative's literal
+    the gram that the fewest texts hold. Rules that require no literal are filed under ''
+    with every salt."""
+    listed = rules.select("rule_id", F.inline(F.pandas_udf(_literal_grams, _GRAMS)("regex_pattern")))
+    texts_with = grams.join(listed.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(
+        F.count("*").alias("texts"))
+    rarest = listed.join(texts_with, "gram", "left").groupBy("rule_id", "part").agg(
+        F.min_by("gram", F.struct(F.coalesce("texts", F.lit(0)), "gram")).alias("gram"))
+    salts = F.when(F.col("gram") == "", F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return rarest.select("rule_id", "gram").distinct().withColumn("salt", F.explode(salts)).join(rules, "rule_id")
+
+
+def match_by_index(texts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(match_text, rule columns) of each text and each rule that it matches.
+
+    Texts meet rules over a gram that the rule requires, in an equi-join; only such pairs
+    are tested. Pairs of a text are in one task, in order of the rules, so that a pattern
+    is compiled once for each run of its pairs (``regexp_instr`` keeps the last pattern).
     """
-    if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
-        rules = F.broadcast(rules)
+    rules = materialize(rules.withColumn("rule_id", F.monotonically_increasing_id()), "rules")
+    grams = text_grams(texts)
+    spread = F.pmod(F.xxhash64("match_text"), F.lit(SALTS)).cast("int")
+    filed = grams.withColumn("salt", F.lit(0)).unionAll(
+        texts.select("match_text", F.lit("").alias("gram"), spread.alias("salt")))
+    found = filed.join(rule_index(rules, grams), ["gram", "salt"]).drop("gram", "salt")
+    candidates = found.repartition("match_text").dropDuplicates(["match_text", "rule_id"])
+    return candidates.sortWithinPartitions("rule_id").where(F.regexp_instr("match_text", F.col("regex_pattern")) > 0)
+
+
+def add_rules_by_join(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """The same rule result for rules that live in a table of any size. Equal priorities
+    are settled by ``place`` if the table has it, else by name."""
     tie = F.col("place") if "place" in rules.columns else F.col("rule_name")
     best = F.min_by(
         F.struct("priority", F.col("rule_name").alias("matched_rule_name"), "rule_l1", "rule_l2", "rule_l3"),
         F.struct(F.col("priority"), tie.alias("tie")))
-    classified = (
-        distinct_texts(df)
-        .join(rules, F.expr("match_text rlike regex_pattern"), "left")
-        .groupBy("match_text")
-        .agg(best.alias("best"), F.count("priority").cast("int").alias("rule_match_cnt"))
-        .select("match_text", *[F.col(f"best.{c}").alias(c) for c in RULE_COLUMNS], "rule_match_cnt")
-    )
-    return add_conflict_flag(df.join(classified, "match_text"))
+    texts = distinct_texts(df)
+    matched = match_by_index(texts, rules).groupBy("match_text").agg(
+        best.alias("best"), F.count("*").cast("int").alias("rule_match_cnt")).select(
+        "match_text", *[F.col(f"best.{c}").alias(c) for c in RULE_COLUMNS], "rule_match_cnt")
+    joined = df.join(matched, "match_text", "left")
+    return add_conflict_flag(joined.withColumn("rule_match_cnt", F.coalesce("rule_match_cnt", F.lit(0))))
 
 
 def rule_usage(classified: DataFrame) -> DataFrame:
