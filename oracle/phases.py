@@ -161,6 +161,17 @@ FINAL["month_base"] = months("month_rows", [
 APPROXIMATE = "active_days_m uniq_merchants_m uniq_tax_l1_m uniq_tax_l2_m uniq_tax_l3_m".split()
 FINAL["month_base_approx"] = pick(
     "month_rows", **KEYS, **same(*APPROXIMATE), **{f"{name}_near": "true" for name in APPROXIMATE})
+def rolled(key: str, column: str, period: str, **sets: str) -> str:
+    near = {f"{name}_near": "true" for name in [*sets, "median"]}
+    return pick(f"(SELECT {column}, date_trunc('{period}', mon) AS period, count(*) AS n, {total('amt')} AS spend, "
+                + ", ".join(f"count(DISTINCT {sql}) AS {name}_cnt" for name, sql in sets.items())
+                + " FROM enriched GROUP BY ALL)", **{key: column}, period=day("period"), txn_cnt="n", spend=num("spend"),
+                **same(*[f"{name}_cnt" for name in sets]), **near)
+
+
+FINAL["sketch_quarters"] = rolled(
+    "CUST_NUM", "cust", "quarter", days="dt", merchants="nm", l1="tax_l1", l2="tax_l2", l3="tax_l3")
+FINAL["sketch_merchant_years"] = rolled("mcht_nm_norm", "nm", "year", days="dt", customers="cust")
 OTHERS = "CASE WHEN tax_l1 NOT IN ('FOOD_DINING', 'EVERYDAY_ESSENTIALS') THEN amt END"
 FINAL["l1_spend_check"] = f"""
 SELECT cust AS CUST_NUM, {day('mon')} AS txn_month, {num(total('amt'))} AS spend_amt_m, {num(total('amt'))} AS l1_spend_m,

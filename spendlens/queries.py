@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .operators import audit, broad, merchant, merchants, monthly, personas, recurrence, rules, simple, tags, taxonomy
+from .operators import audit, broad, merchant, merchants, monthly, personas, recurrence, rules, simple, sketches, tags, taxonomy
 from .operators.monthly import MONTH
 from .plans import features
 from .plans.enrichment import References, classify, enrich
@@ -337,22 +337,56 @@ def month_base_events(spark, folder):
         "weekend_spend_m", "payday_window_spend_m", "new_merchant_cnt_m")
 
 
-APPROXIMATE = {
-    "active_days_m": "txn_date", "uniq_merchants_m": "merchant_key", "uniq_tax_l1_m": "tax_l1",
-    "uniq_tax_l2_m": "tax_l2", "uniq_tax_l3_m": "tax_l3"}
+customer_sketches = written("customer_sketches", lambda spark, folder: sketches.month_sketches(
+    phase1(spark, folder), "CUST_NUM", sketches.CUSTOMER_SETS))
+merchant_sketches = written("merchant_sketches", lambda spark, folder: sketches.month_sketches(
+    phase1(spark, folder), "mcht_nm_norm", sketches.MERCHANT_SETS))
+
+
+def near(exact: str, sketch: str):
+    """Whether the estimate is as near to the exact count as the sketch promises."""
+    return F.abs(sketches.distinct(sketch) - F.col(exact)) <= sketches.distinct_bound(F.col(exact))
+
+
+APPROXIMATE = {"active_days_m": "days", "uniq_merchants_m": "merchants", "uniq_tax_l1_m": "l1", "uniq_tax_l2_m": "l2",
+               "uniq_tax_l3_m": "l3"}
 
 
 @query("month_base_approx")
 def month_base_approx(spark, folder):
-    """Exact counts, and whether the estimates are within three standard errors (5 %
-    each) or 1 of them."""
-    txns = phase1(spark, folder)
-    estimated = txns.groupBy(*MONTH).agg(
-        *[F.approx_count_distinct(column).alias(f"approx_{name}") for name, column in APPROXIMATE.items()])
+    """Exact counts, and whether the sketches' estimates are as near as they promise."""
     exact = base(spark, folder).select(*MONTH, *APPROXIMATE)
-    return monthly.join_months(exact, estimated).select(*MONTH, *APPROXIMATE, *[
-        (F.abs(F.col(f"approx_{name}") - F.col(name)) <= F.greatest(F.lit(1.0), 0.15 * F.col(name))).alias(f"{name}_near")
-        for name in APPROXIMATE])
+    return monthly.join_months(exact, customer_sketches(spark, folder)).select(
+        *MONTH, *APPROXIMATE, *[near(name, sketch).alias(f"{name}_near") for name, sketch in APPROXIMATE.items()])
+
+
+def checked_roll_up(txns: DataFrame, stored: DataFrame, key: str, sets: dict[str, str], period: str) -> DataFrame:
+    """Summaries of a longer period merged from months, beside exact counts: sums, exact
+    distinct counts and whether the estimates are near, and whether the median has about
+    half of the amounts on either side."""
+    start = F.trunc("txn_month", period).alias("period")
+    rolled = sketches.roll_up(stored, [key, start], sets).withColumn("median", sketches.quantile("amounts", 0.5))
+    exact = txns.groupBy(key, start).agg(
+        *[F.count_distinct(column).alias(f"{name}_cnt") for name, column in sets.items()])
+    both = monthly.join_months(rolled, exact, [key, "period"])
+    amounts = monthly.join_months(txns.select(key, start, "txn_amount"), rolled.select(key, "period", "median"), [key, "period"])
+    sides = amounts.groupBy(key, "period").agg(
+        F.avg((F.col("txn_amount") < F.col("median")).cast("int")).alias("below"),
+        F.avg((F.col("txn_amount") <= F.col("median")).cast("int")).alias("up_to"))
+    return monthly.join_months(both, sides, [key, "period"]).select(
+        key, "period", "txn_cnt", "spend", *[f"{name}_cnt" for name in sets],
+        *[near(f"{name}_cnt", name).alias(f"{name}_near") for name in sets],
+        ((F.col("below") <= 0.5 + sketches.RANK_BOUND) & (F.col("up_to") >= 0.5 - sketches.RANK_BOUND)).alias("median_near"))
+
+
+@query("sketch_quarters")
+def sketch_quarters(spark, folder):
+    return checked_roll_up(phase1(spark, folder), customer_sketches(spark, folder), "CUST_NUM", sketches.CUSTOMER_SETS, "quarter")
+
+
+@query("sketch_merchant_years")
+def sketch_merchant_years(spark, folder):
+    return checked_roll_up(phase1(spark, folder), merchant_sketches(spark, folder), "mcht_nm_norm", sketches.MERCHANT_SETS, "year")
 
 
 @query("month_shares")
