@@ -8,7 +8,7 @@ from .enrichment import CTES, bit, clean_basic, listed, mean, quote, rx, tiers,
 from .features import commas, total_of
 
 L1 = [*fv.ECOSYSTEMS, "OTHER_LONGTAIL"]
-RULES = fv.broad_rules()
+RULES = [(priority, l3, pattern, l1, l2, l3) for priority, l1, l2, l3, pattern in fv.BROAD_RULES]
 
 CTES["basic_named"] = f"""
 SELECT *, concat_ws(' | ', bnm, bds) AS match_text, sha256(concat_ws('||', bnm, bds)) AS mkey FROM (

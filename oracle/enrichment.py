@@ -146,7 +146,7 @@ SELECT *, concat_ws(' | ', nm, ds) AS match_text FROM (
 named_ctes("", "card")
 named_ctes("ev_", "event_card")
 
-RULES = fv.merchant_rules()
+RULES = fv.MERCHANT_RULES
 TEXT_BITS = {
     "is_topup": fv.TOPUP, "is_wallet": fv.WALLET, "is_processor_mediated": fv.PROCESSOR,
     "is_food_delivery": fv.FOOD_DELIVERY, "is_ride_hailing": fv.RIDE_HAILING,
@@ -156,7 +156,7 @@ TEXT_BITS = {
 CTES["rules"] = (
     "SELECT * FROM (" + values([(r[0], r[1], r[3], r[4], r[5]) for r in RULES])
     + ") AS r(priority, rule_name, rule_l1, rule_l2, rule_l3)")
-CTES["hierarchy"] = f"SELECT * FROM ({values(fv.hierarchy())}) AS h(ref_l1, ref_l2, ref_l3)"
+CTES["hierarchy"] = f"SELECT * FROM ({values(fv.HIERARCHY)}) AS h(ref_l1, ref_l2, ref_l3)"
 
 
 def rule_ctes(prefix: str) -> None:

@@ -21,6 +21,8 @@ from .trends import months, rows
 
 LEVELS = ["l1", "l2", "l3"]
 L1 = [*fv.ECOSYSTEMS, fv.OTHER_LONGTAIL]
+# Rules as the main pipeline has them; the name of a rule is its L3.
+RULES = [(priority, l3, pattern, l1, l2, l3) for priority, l1, l2, l3, pattern in fv.BROAD_RULES]
 
 
 # ---------------------------------------------------------------- transactions
@@ -80,10 +82,10 @@ MALL_PATTERNS = [fv.BROAD_CENTRAL, fv.BROAD_THE_MALL, fv.BROAD_SIAM_EM, fv.BROAD
 def add_rules_and_tags(df: DataFrame) -> DataFrame:
     """Rule result and pattern tags, evaluated once per distinct text."""
     named = [*TEXT_TAGS.items(), *[("mall_ecosystem_flag", pattern) for pattern in MALL_PATTERNS]]
-    details = {rule[1]: "|".join(rule[3:]) for rule in fv.broad_rules()}
+    details = {rule[1]: "|".join(rule[3:]) for rule in RULES}
     paths = F.create_map(*[F.lit(text) for pair in details.items() for text in pair])
     texts = settle(
-        classify_texts(distinct_texts(df), fv.broad_rules()), _tags=matching("match_text", named)
+        classify_texts(distinct_texts(df), RULES), _tags=matching("match_text", named)
     ).withColumns({
         **{name: flag(F.array_contains("_tags", name)) for name in [*TEXT_TAGS, "mall_ecosystem_flag"]},
         "matched_rule_set": F.array_sort(F.transform("rule_hits", lambda name: F.try_element_at(paths, name))),

@@ -36,7 +36,7 @@ class Labels:
     @classmethod
     def of(cls, rules: list[tuple] | None = None, triples: list[tuple] = ()) -> "Labels":
         """Labels of the hierarchy, of the rules and of further (L1, L2, L3) triples."""
-        every = [*fv.hierarchy(), *[rule[3:] for rule in rules or fv.merchant_rules()], *triples]
+        every = [*fv.HIERARCHY, *[rule[3:] for rule in rules or fv.MERCHANT_RULES], *triples]
         return cls(*[sorted({v for v in values if v} | {fv.UNCLASSIFIED}) for values in zip(*every)])
 
 

@@ -43,11 +43,11 @@ TEXT_FLAGS = {
 
 def rule_frame(spark: SparkSession, rules: list[tuple] | None = None) -> DataFrame:
     """The rules as a table; ``place`` is their position in the list."""
-    return dimension(spark, [(*rule, place) for place, rule in enumerate(rules or fv.merchant_rules())], RULE_DDL)
+    return dimension(spark, [(*rule, place) for place, rule in enumerate(rules or fv.MERCHANT_RULES)], RULE_DDL)
 
 
 def hierarchy_frame(spark: SparkSession) -> DataFrame:
-    return dimension(spark, fv.hierarchy(), "ref_l1 string, ref_l2 string, ref_l3 string")
+    return dimension(spark, fv.HIERARCHY, "ref_l1 string, ref_l2 string, ref_l3 string")
 
 
 def settle(texts: DataFrame, **columns: Column) -> DataFrame:
@@ -61,7 +61,7 @@ def classify_texts(texts: DataFrame, rules: list[tuple] | None = None) -> DataFr
     """Names of all rules that match ``match_text``, how many, and the best one.
     The lowest priority wins, of equal ones the first in the list; unmatched texts get
     NULL and 0. Rules are told apart by their position, so names may repeat."""
-    ordered = sorted(rules or fv.merchant_rules(), key=lambda rule: rule[0])
+    ordered = sorted(rules or fv.MERCHANT_RULES, key=lambda rule: rule[0])
     details = constant(
         [{"priority": rule[0], "name": rule[1], "l1": rule[3], "l2": rule[4], "l3": rule[5]} for rule in ordered],
         "array<struct<priority:int,name:string,l1:string,l2:string,l3:string>>")

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from spendlens.operators import broad, merchants, monthly, personas, simple, trends
+from spendlens.operators import audit, broad, merchants, monthly, personas, simple, trends
 from spendlens.operators.monthly import Labels
 from spendlens.plans.enrichment import References, enrich
 from spendlens.plans.features import feature_mart
@@ -167,3 +167,17 @@ def test_broad_shares_are_row_local(spark):
     first = lambda df: broad.add_l1_shares(df).where(F.col("spend_amt_m") == columns["spend_amt_m"]).first()
     assert first(one)["share_health_wellness"] == first(two)["share_health_wellness"] == 0.0
     assert first(one)["share_food_dining"] == 0.6
+
+
+@pytest.mark.parametrize("metrics", ["phase1_metrics", "feature_health"])
+def test_several_distinct_counts_do_not_copy_rows(spark, metrics):
+    txns = spark.range(50).selectExpr(
+        "id % 7 as CUST_NUM", "concat('m', id % 5) as merchant_key", "'UNCLASSIFIED' as tax_l1", "'B2K' as taxonomy_source",
+        "'NONE' as rule_conflict_flag", "'NONE' as taxonomy_conflict_flag", "if(id % 3 = 0, null, current_date()) as txn_month",
+        *[f"cast(id as double) as {c}" for c in (
+            "spend_amt_m", "txn_cnt_m", "merchant_entropy_m", "online_share_m", "wallet_share_m")])
+    df = getattr(audit, metrics)(txns)
+    assert "Expand" not in df._jdf.queryExecution().optimizedPlan().toString()
+    row = df.first()
+    assert row["unique_customers"] == 7 and row[0] == 50
+    assert row["unique_merchants" if metrics == "phase1_metrics" else "months_covered"] == (5 if metrics == "phase1_metrics" else 1)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spendlens import fixed_values as fv
 from spendlens.functions.text import longest_literal, required_literals
 from spendlens.operators import rules
+from spendlens.operators.broad import RULES as BROAD
 
 COLUMNS = ["match_text", *rules.RULE_COLUMNS, "rule_match_cnt", "rule_conflict_flag"]
 
@@ -39,7 +40,7 @@ def rows(df):
 @pytest.mark.parametrize("listed", ["own", "merchant", "broad"])
 def test_index_equals_theta_join(spark, listed):
     chosen = {"own": [(i % 7, f"r{i}", p, "L", "L", f"{i}") for i, p in enumerate(PATTERNS)],
-              "merchant": fv.merchant_rules(), "broad": fv.broad_rules()}[listed]
+              "merchant": fv.MERCHANT_RULES, "broad": BROAD}[listed]
     texts = spark.createDataFrame([(t,) for t in TEXTS], "match_text string")
     table = rules.rule_frame(spark, chosen)
     assert rows(rules.add_rules_by_join(texts, table)) == rows(by_theta(texts, table))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlens import fixed_values as fv
 from spendlens.functions import any_of, clean_text, matching
-from spendlens.operators import merchant, rules, tags
+from spendlens.operators import broad, merchant, rules, tags
 from spendlens.operators.rules import RULE_COLUMNS
 from spendlens.sources import retail, standardize
 
@@ -102,9 +102,9 @@ def test_look_ahead_patterns(spark):
 def test_matching_equals_rlike(spark):
     """The guarded test gives what the plain regex gives, on random texts made of
     pieces of the patterns."""
-    named = [(r[1], r[2]) for r in fv.merchant_rules()]
+    named = [(r[1], r[2]) for r in fv.MERCHANT_RULES]
     named += [(f"flag_{n}", any_of(p)) for n, p in rules.TEXT_FLAGS.items()]
-    named += [(f"broad_{i}", r[2]) for i, r in enumerate(fv.broad_rules())] + fv.PLATFORMS
+    named += [(f"broad_{i}", r[2]) for i, r in enumerate(broad.RULES)] + fv.PLATFORMS
     pieces = sorted({w for _, p in named for w in "".join(
         c if c.isalnum() or c in "&ก-๙" else " " for c in p.replace("\\s", " ").replace("\\b", " ")).split()})
     rng = random.Random(11)
