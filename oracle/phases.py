@@ -412,3 +412,13 @@ FINAL["simple_tags"] = pick(
 FINAL["persona_simple"] = pick(
     "plain_months", **KEYS, **same("txn_cnt_m", "uniq_merchants_m", "wallet_txn_cnt", "primary_persona"),
     **{n: num(n) for n in "spend_amt_m avg_ticket_m online_spend_m merchant_entropy spend_prev_m spend_velocity".split()})
+
+# ---------------------------------------------------------------- sinks and runs
+FINAL["broad_run"] = FINAL["audit_v1"]
+FINAL["simple_run"] = FINAL["persona_simple"]
+FINAL["txn_row_ids"] = f"""
+SELECT mcht_nm AS MCHT_NM, {day('mon')} AS txn_month, onln AS ONLN_FLAG, count(*) AS rows, count(*) AS row_ids,
+  CAST(0 AS BIGINT) AS first_copy, count(*) - 1 AS last_copy FROM typed GROUP BY ALL"""
+FINAL["sink_round_trip"] = f"""
+SELECT {day('mon')} AS txn_month, count(*) AS txn_cnt, count(*) AS keys, {num(total('amt'))} AS spend, 'PHASE1' AS phase,
+  'card' AS source, month(mon) % 2 = 0 AS untouched FROM typed GROUP BY mon"""

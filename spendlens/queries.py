@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .functions import sum_money
 from .operators import audit, broad, merchant, merchants, monthly, personas, recurrence, rules, simple, sketches, tags, taxonomy
 from .operators.monthly import MONTH
-from .plans import features
+from .plans import features, variants
 from .plans.enrichment import References, classify, enrich
-from .sources import dimension, materialize, retail, standardize
+from .plans.pipeline import Targets
+from .sources import add_row_ids, dimension, materialize, retail, scratch_path, stamp, standardize, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -766,8 +768,60 @@ def audit_v1(spark, folder):
         .unionByName(audit.tidy(broad.phase3_metrics(broad_phase3(spark, folder)), "PHASE3")))
 
 
+@query("broad_run")
+def broad_run(spark, folder):
+    """The audit rows of a run of all phases of the broad variant, tried twice, as stored."""
+    root = scratch_path(spark, "broad_run")
+    targets = Targets(f"{root}/txns", f"{root}/mart", f"{root}/people", f"{root}/audit", replace_touched=True, run_id="run-1")
+    for _ in range(2):
+        variants.run_broad(retail.landed_transactions(spark, folder), targets, KEY, SIZE_BOUNDS)
+    return spark.read.parquet(targets.audit).select("phase", "metric", "metric_value")
+
+
+# ---------------------------------------------------------------- sinks
+
+@query("txn_row_ids")
+def txn_row_ids(spark, folder):
+    """Rows that are equal in merchant, month and channel, with a number for each copy."""
+    source = retail.card_transactions(spark, folder).select(
+        F.lit(None).cast("bigint").alias("CUST_NUM"), "MCHT_NM", F.lit(1.0).alias("TXN_AMT"),
+        F.trunc("TXN_DT", "month").alias("TXN_DT"), "ONLN_FLAG")
+    return add_row_ids(standardize(source)).groupBy("MCHT_NM", "txn_month", "ONLN_FLAG").agg(
+        F.count("*").alias("rows"), F.count_distinct("txn_row_id").alias("row_ids"),
+        F.min("txn_copy").alias("first_copy"), F.max("txn_copy").alias("last_copy"))
+
+
+@query("sink_round_trip")
+def sink_round_trip(spark, folder):
+    """Stored transactions by month after a second run over every other month: what is read
+    back, and whether the files of the month are those of the first run."""
+    target = scratch_path(spark, "sink")
+    rows = phase1(spark, folder).select("txn_key", "txn_month", "txn_amount")
+    odd = F.month("txn_month") % 2 == 1
+
+    def files():
+        return spark.read.parquet(target).select(
+            "txn_month", F.col("_metadata.file_name").alias("file")).distinct()
+
+    write_table(stamp(rows, "PHASE1", "card"), target, replace_touched=True)
+    before = materialize(files(), "files")
+    stored = write_table(stamp(rows.where(odd), "PHASE1", "card"), target, replace_touched=True)
+    kept = files().join(before, ["txn_month", "file"], "left_semi").groupBy("txn_month").agg(F.count("*").alias("old"))
+    months = stored.groupBy("txn_month").agg(
+        F.count("*").alias("txn_cnt"), F.count_distinct("txn_key").alias("keys"), sum_money("txn_amount").alias("spend"),
+        F.max("_phase").alias("phase"), F.max("_src_table").alias("source"))
+    return months.join(kept, "txn_month", "left").select(
+        "txn_month", "txn_cnt", "keys", "spend", "phase", "source", F.col("old").isNotNull().alias("untouched"))
+
+
 # ---------------------------------------------------------------- small variant
 
+@query("simple_run")
+def simple_run(spark, folder):
+    """Personas of the small variant, written and read back."""
+    return variants.run_simple(retail.card_transactions(spark, folder), scratch_path(spark, "simple_run"), key_columns=KEY)
+
+
 @query("simple_tags")
 def simple_tags(spark, folder):
     return simple.add_simple_tags(card(spark, folder)).select(

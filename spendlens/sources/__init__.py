@@ -1,4 +1,5 @@
 from .dimensions import attach_dimension, dimension
+from .row_ids import add_row_ids
 from .store import materialize, remove, scratch_path
 from .tables import (
     append_audit, complete_columns, ensure_audit_table, read_transactions, require_columns,
@@ -6,7 +7,7 @@ from .tables import (
 )
 
 __all__ = [
-    "append_audit", "attach_dimension", "complete_columns", "dimension",
+    "add_row_ids", "append_audit", "attach_dimension", "complete_columns", "dimension",
     "ensure_audit_table", "materialize", "read_transactions", "remove", "require_columns",
     "scratch_path", "stamp", "standardize", "write_table",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,24 +65,46 @@ def write_table(
     df: DataFrame,
     target: str,
     fmt: str = "parquet",
-    partition_by: str | None = "txn_month",
+    partition_by: str | list[str] | None = "txn_month",
     mode: str = "overwrite",
+    replace_touched: bool = False,
 ) -> DataFrame:
     """Write to a path (if the target holds a slash) or a table; read it back.
 
+    With ``replace_touched`` only the partitions that the rows are in are replaced, so a
+    run over some months can be repeated and leaves the files of all others alone.
+
     Reading back cuts the lineage, so audits and later phases scan the stored
     columns they need instead of recomputing the phase. Rows are rebalanced by the
     partition column: small months go to one file, large ones are split by size.
     """
-    rows = df.hint("rebalance", partition_by) if partition_by else df
+    partition_by = [partition_by] if isinstance(partition_by, str) else partition_by
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    spark = df.sparkSession
+    if replace_touched and "/" not in target and spark.catalog.tableExists(target):
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            rows.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        return spark.table(target)
     writer = rows.write.mode(mode).format(fmt)
+    if replace_touched:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(*partition_by)
     if "/" in target:
         writer.save(target)
-        return df.sparkSession.read.format(fmt).schema(df.schema).load(target)
+        return spark.read.format(fmt).schema(df.schema).load(target)
     writer.saveAsTable(target)
-    return df.sparkSession.table(target)
+    return spark.table(target)
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 AUDIT_COLUMNS = "phase STRING, processed_dtm TIMESTAMP, metric STRING, metric_value STRING"
@@ -90,12 +114,17 @@ def ensure_audit_table(spark: SparkSession, table: str, fmt: str = "parquet") ->
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({AUDIT_COLUMNS}) USING {fmt}")
 
 
-def append_audit(metrics: DataFrame, target: str, fmt: str = "parquet") -> None:
-    """Append tidy audit rows to a table or path."""
+def append_audit(metrics: DataFrame, target: str, fmt: str = "parquet", run_id: str | None = None) -> None:
+    """Append tidy audit rows to a table or path. With a ``run_id`` the rows go to the
+    partition of run and phase and replace those of an earlier try of the same run."""
     rows = metrics.select(
         F.col("phase"), F.current_timestamp().alias("processed_dtm"),
         F.col("metric"), F.col("metric_value"),
     )
+    if run_id is not None:
+        named = rows.select("metric", "metric_value", "processed_dtm", F.lit(run_id).alias("run_id"), "phase")
+        write_table(named, target, fmt, ["run_id", "phase"], replace_touched=True)
+        return
     if "/" in target:
         rows.write.mode("append").format(fmt).save(target)
     else:

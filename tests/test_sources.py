@@ -9,7 +9,7 @@ from spendlens.plans.enrichment import References
 from spendlens.plans.pipeline import Targets, run_all
 from spendlens.queries import SIZE_BOUNDS, references
 from spendlens.sources import (
-    append_audit, materialize, read_transactions, retail, scratch_path, standardize, write_table)
+    add_row_ids, append_audit, materialize, read_transactions, retail, scratch_path, standardize, write_table)
 
 DDL = "CUST_NUM int, MCHT_NM string, TXN_AMT string, TXN_DT string"
 
@@ -100,3 +100,45 @@ def test_pipeline_end_to_end(spark, folder, tmp_path):
 def test_empty_references(spark):
     refs = References.empty(spark)
     assert refs.b2k.count() == 0 and "mobius_l3" in refs.mobius.columns
+
+
+def numbered(df, **sizes):
+    return sorted((r["CUST_NUM"] or -1, r["TXN_AMT"], r["txn_copy"], r["txn_row_id"]) for r in add_row_ids(df, **sizes).collect())
+
+
+def test_row_ids_are_unique_and_stable(spark):
+    rows = [(1, "a", "1", "2024-01-01")] * 700 + [(2, "a", "1", "2024-01-01")] * 3 + [(None, "b", None, None)] * 2
+    rows += [(i, "c", "2", "2024-01-01") for i in range(10, 60)]
+    one = standardize(spark.createDataFrame(rows, DDL).repartition(3))
+    two = standardize(spark.createDataFrame(rows[::-1], DDL).repartition(11))
+    ids = numbered(one, piece=50)
+    assert ids == numbered(two, piece=64) and len({i[3] for i in ids}) == len(rows)
+    assert [i[2] for i in ids if i[0] == 1] == list(range(700))
+    assert {i[2] for i in ids if i[0] >= 10} == {0}
+    assert add_row_ids(one).count() == len(rows) and add_row_ids(one.where("false")).count() == 0
+
+
+def test_rows_of_one_key_that_differ_get_numbers_in_order(spark):
+    rows = [(1, "a", "5", "2024-01-01")] * 4 + [(1, "a", "7", "2024-01-02")] * 2
+    df = standardize(spark.createDataFrame(rows, DDL), ["CUST_NUM"])
+    assert [i[1:3] for i in numbered(df, piece=3)] == [("5", 0), ("5", 1), ("5", 2), ("5", 3), ("7", 4), ("7", 5)]
+
+
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_a_run_replaces_the_months_it_touches_and_its_audit(spark, kind):
+    name = f"touched_{kind}"
+    target = scratch_path(spark, name) if kind == "path" else name
+    audit_to = scratch_path(spark, name) if kind == "path" else f"{name}_audit"
+    rows = spark.range(60).selectExpr("id", "add_months(date'2024-01-01', cast(id % 3 as int)) as txn_month", "id * 2 as x")
+    for some, run in ((rows, "a"), (rows.where("id % 3 = 1").selectExpr("id", "txn_month", "id * 5 as x"), "b"),
+                      (rows.where("id % 3 = 1").selectExpr("id", "txn_month", "id * 5 as x"), "b")):
+        stored = write_table(some, target, replace_touched=True)
+        metrics = some.agg(F.count("*").cast("string").alias("metric_value")).selectExpr("'P1' as phase", "'rows' as metric", "metric_value")
+        append_audit(metrics, audit_to, run_id=run)
+        append_audit(metrics.withColumn("phase", F.lit("P2")), audit_to, run_id=run)
+    got = {r["id"]: r["x"] for r in stored.collect()}
+    assert got == {i: i * (5 if i % 3 == 1 else 2) for i in range(60)} and stored.count() == 60
+    audits = read_transactions(spark, audit_to, "parquet" if kind == "path" else None)
+    assert sorted((r["run_id"], r["phase"], r["metric_value"]) for r in audits.collect()) == [
+        ("a", "P1", "60"), ("a", "P2", "60"), ("b", "P1", "20"), ("b", "P2", "20")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
