@@ -132,6 +132,27 @@ SELECT CAST(event_id AS VARCHAR) AS txn_ref, user_id AS cust, d.mcht_nm, value *
 FROM events JOIN names d ON d.idx = CAST(json_extract_string(props, '$.k') AS BIGINT) % 50"""
 
 
+CTES["rough_names"] = f"SELECT * FROM ({values(list(enumerate(retail.rough_names())))}) AS d(idx, mcht_nm)"
+CTES["rough_cents"] = f"""
+SELECT *, (l_orderkey * 7 + l_linenumber * 31 + l_partkey) % {len(retail.rough_names())} AS idx,
+       CAST(round(l_extendedprice * 4) AS BIGINT) AS cents,
+       DATE '2024-01-01' + CAST(floor(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) / 7.0) AS INTEGER) AS day
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
+CTES["rough_text"] = """
+SELECT *, (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS plain FROM rough_cents"""
+CTES["rough_card"] = """
+SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS txn_ref,
+       CASE WHEN l_orderkey % 11 <> 0 THEN o_custkey % 200 END AS cust, d.mcht_nm,
+       TRY_CAST(CASE WHEN l_partkey % 29 = 0 THEN 'n/a' WHEN l_partkey % 13 = 0 THEN NULL
+                     WHEN l_returnflag = 'R' THEN '-' || plain ELSE plain END AS DOUBLE) AS amt,
+       CASE WHEN l_partkey % 17 <> 0 AND l_partkey % 19 <> 0 THEN day + to_hours(CAST(l_partkey % 24 AS INTEGER)) END AS ts,
+       CAST(NULL AS VARCHAR) AS txn_desc, CASE l_returnflag WHEN 'N' THEN 'THB' WHEN 'R' THEN 'USD' END AS curr_desc,
+       CAST(NULL AS VARCHAR) AS curr_cd, CASE l_linenumber % 3 WHEN 0 THEN 'Y' WHEN 1 THEN '0' END AS onln,
+       p_type AS mcht_catg, CASE l_partkey % 3 WHEN 0 THEN 'SUB1' WHEN 1 THEN '' END AS mcht_sub, p_brand AS sic
+FROM rough_text t JOIN rough_names d ON d.idx = t.idx
+JOIN (SELECT 0 AS again UNION ALL SELECT 1) ON again = 0 OR l_partkey % 23 = 0"""
+
+
 def named_ctes(prefix: str, source: str) -> None:
     """Typed and normalised rows of a source."""
     CTES[f"{prefix}typed"] = f"""
@@ -145,6 +166,7 @@ SELECT *, concat_ws(' | ', nm, ds) AS match_text FROM (
 
 named_ctes("", "card")
 named_ctes("ev_", "event_card")
+named_ctes("ro_", "rough_card")
 
 RULES = fv.MERCHANT_RULES
 TEXT_BITS = {
@@ -176,6 +198,7 @@ FROM {prefix}named n JOIN {prefix}texts t USING (match_text) LEFT JOIN rules r O
 
 rule_ctes("")
 rule_ctes("ev_")
+rule_ctes("ro_")
 
 CTES["b2k"] = f"SELECT * FROM ({values(retail.B2K_ROWS)}) AS b(catg, sub, b2k_l1, b2k_l2, b2k_l3)"
 CTES["mobius"] = f"SELECT * FROM ({values(retail.MOBIUS_ROWS)}) AS m(msic, mcc, mobius_l1, mobius_l2, mobius_l3)"
@@ -216,7 +239,7 @@ SELECT *,
   {tiers('amt', fv.SIZE_TIERS, fv.SIZE_TIER_TOP)} AS txn_size_tier,
   hour(ts) AS hour_of_day,
   {bit("NOT (hour(ts) = 0 AND minute(ts) = 0 AND second(ts) = 0)")} AS has_real_timestamp,
-  CASE WHEN hour(ts) = 0 AND minute(ts) = 0 AND second(ts) = 0 THEN 'UNKNOWN_TIME' {hours}
+  CASE WHEN ts IS NULL OR (hour(ts) = 0 AND minute(ts) = 0 AND second(ts) = 0) THEN 'UNKNOWN_TIME' {hours}
        ELSE 'LATE_NIGHT' END AS time_pattern,
   dayofweek(dt) + 1 AS txn_dow,
   CASE WHEN dayofweek(dt) IN (0, 6) THEN 'WEEKEND' ELSE 'WEEKDAY' END AS weekpart_tag,
@@ -228,8 +251,9 @@ FROM {prefix}taxed"""
 
 taxed_ctes("")
 taxed_ctes("ev_")
+taxed_ctes("ro_")
 
-HISTORY = "PARTITION BY cust, nm ORDER BY dt, ts, txn_key"
+HISTORY = "PARTITION BY cust, nm ORDER BY dt NULLS FIRST, ts NULLS FIRST, txn_key"
 RUNNING = f"({HISTORY} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
@@ -262,3 +286,4 @@ FROM (SELECT *,
 
 history_ctes("", "tagged")
 history_ctes("ev_", "ev_tagged")
+history_ctes("ro_", "ro_tagged")

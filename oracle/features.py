@@ -59,6 +59,7 @@ def base_sql(source: str) -> str:
 
 CTES["month_sums"] = base_sql("enriched")
 CTES["ev_month_sums"] = base_sql("ev_enriched")
+CTES["ro_month_sums"] = base_sql("ro_enriched")
 CTES["month_rows"] = "SELECT *,\n  " + commas(
     *[f"{share(f'{part}_spend_m')} AS {name}_share_m" for name, part in SHARES.items()],
     f"greatest({money(units('spend_amt_m') + ' - ' + units('topup_spend_m'))}, 0.0::DOUBLE) AS consumption_spend_m",

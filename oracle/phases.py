@@ -422,3 +422,17 @@ SELECT mcht_nm AS MCHT_NM, {day('mon')} AS txn_month, onln AS ONLN_FLAG, count(*
 FINAL["sink_round_trip"] = f"""
 SELECT {day('mon')} AS txn_month, count(*) AS txn_cnt, count(*) AS keys, {num(total('amt'))} AS spend, 'PHASE1' AS phase,
   'card' AS source, month(mon) % 2 = 0 AS untouched FROM typed GROUP BY mon"""
+
+# ---------------------------------------------------------------- rough input
+FINAL["rough_standardize"] = FINAL["txn_standardize"].replace("FROM typed", "FROM ro_typed")
+FINAL["rough_rules"] = FINAL["rule_conflicts"].replace("FROM ruled", "FROM ro_ruled")
+FINAL["rough_taxonomy"] = pick("ro_tagged", **same(
+    "txn_key", "b2k_l1", "b2k_l2", "b2k_l3", "tax_l1", "tax_l2", "tax_l3", "taxonomy_source", "txn_size_tier", "time_pattern",
+    "weekpart_tag", "payday_window_flag"))
+FINAL["rough_history"] = FINAL["rough_history_cut"] = FINAL["recurrence_history"].replace("FROM enriched", "FROM ro_enriched")
+FINAL["rough_months"] = months("ro_month_sums", """
+txn_cnt_m spend_amt_m avg_ticket_m max_ticket_m min_ticket_m stddev_ticket_m active_days_m online_spend_m offline_spend_m
+weekend_spend_m payday_window_spend_m new_merchant_cnt_m repeat_merchant_txn_cnt_m""").replace(
+    num("active_days_m"), "active_days_m")
+FINAL["rough_unclassified_top"] = FINAL["unclassified_top"].replace("FROM taxed", "FROM ro_taxed")
+FINAL["rough_unclassified_count"] = FINAL["unclassified_top_count"].replace("FROM taxed", "FROM ro_taxed")

@@ -778,6 +778,63 @@ def broad_run(spark, folder):
     return spark.read.parquet(targets.audit).select("phase", "metric", "metric_value")
 
 
+# ---------------------------------------------------------------- rough input
+
+rough_phase1 = written("rough_phase1", lambda spark, folder: enrich(
+    retail.rough_transactions(spark, folder), references(spark), key_columns=KEY))
+
+
+def rough(spark: SparkSession, folder: str) -> DataFrame:
+    return standardize(retail.rough_transactions(spark, folder), KEY)
+
+
+@query("rough_standardize")
+def rough_standardize(spark, folder):
+    return rough(spark, folder).select("txn_key", "CUST_NUM", "txn_date", "txn_ts", "txn_month", "txn_amount", "CNTRY_CD")
+
+
+@query("rough_rules")
+def rough_rules(spark, folder):
+    """Transactions that every rule matched, won and lost; the names reach all rules."""
+    return rules.rule_usage(rules.add_rules(merchant.add_merchant_text(rough(spark, folder))))
+
+
+@query("rough_taxonomy")
+def rough_taxonomy(spark, folder):
+    return rough_phase1(spark, folder).select(
+        "txn_key", "b2k_l1", "b2k_l2", "b2k_l3", "tax_l1", "tax_l2", "tax_l3", "taxonomy_source", "txn_size_tier",
+        "time_pattern", "weekpart_tag", "payday_window_flag")
+
+
+@query("rough_history")
+def rough_history(spark, folder):
+    return rough_phase1(spark, folder).select(*HISTORY_RESULT)
+
+
+@query("rough_history_cut")
+def rough_history_cut(spark, folder):
+    txns = merchant.add_merchant_text(rough(spark, folder))
+    return recurrence.add_history(txns, slice_rows=CUT_ROWS).select(*HISTORY_RESULT)
+
+
+@query("rough_months")
+def rough_months(spark, folder):
+    return monthly.month_totals(rough_phase1(spark, folder), labels(spark)).select(
+        *MONTH, "txn_cnt_m", "spend_amt_m", "avg_ticket_m", "max_ticket_m", "min_ticket_m", "stddev_ticket_m", "active_days_m",
+        "online_spend_m", "offline_spend_m", "weekend_spend_m", "payday_window_spend_m", "new_merchant_cnt_m",
+        "repeat_merchant_txn_cnt_m")
+
+
+@query("rough_unclassified_top")
+def rough_unclassified_top(spark, folder):
+    return audit.top_unclassified_by_spend(rough_phase1(spark, folder))
+
+
+@query("rough_unclassified_count")
+def rough_unclassified_count(spark, folder):
+    return audit.top_unclassified_by_count(rough_phase1(spark, folder))
+
+
 # ---------------------------------------------------------------- sinks
 
 @query("txn_row_ids")

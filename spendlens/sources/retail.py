@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fv
+from ..functions.text import alternatives
+
 # Merchant descriptors by number, one per line (the last but one is empty)
 DESCRIPTORS = """\
 GRAB*FOOD #12345 Bangkok
@@ -64,6 +69,8 @@ B2K_ROWS = [
     ("ECONOMY", None, "EVERYDAY_ESSENTIALS", "GROCERY_MODERN", None),
     ("PROMO", None, "SHOPPING_RETAIL", "FASHION", "COMMON_FASHION_BRANDS"),
     ("LARGE", None, "HOME_LIVING", None, None),
+    ("ECONOMY", "SUB1", "HEALTH_WELLNESS", "PHARMACY_DRUGSTORE", "PHARMACY_CHAIN"),
+    ("PROMO", "SUB1", "ENTERTAINMENT_LEISURE", None, None),
 ]
 MOBIUS_DDL = "SIC_CD_DESC string, MCC_CD string, mobius_l1 string, mobius_l2 string, mobius_l3 string"
 MOBIUS_ROWS = [
@@ -151,3 +158,56 @@ def landed_transactions(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.lit("null")),
         "taxonomy_l3_final": F.when(size % 2 == 0, F.lit("SPORTSWEAR")).otherwise(F.lit("UNCLASSIFIED")),
     })
+
+
+def example_of(pattern: str) -> str:
+    """A text that the first alternative of a pattern matches."""
+    text = alternatives(pattern)[0]
+    text = re.sub(r"\(\?![^()]*\)", "", text)
+    text = re.sub(r"\((?:\?:)?([^()|]*)(?:\|[^()]*)?\)", r"\1", text)
+    text = re.sub(r"\[\\?(.)[^\]]*\]", lambda found: " " if found[1] == "s" else found[1], text)
+    text = text.replace("\\b", "").replace("\\s", " ").replace(".*", " ")
+    text = re.sub(r"(?<!\\)\.", "x", text)
+    return re.sub(r"(?<!\\)[?+*]|\\", "", text)
+
+
+STRANGERS = 80
+
+
+def rough_names() -> list[str | None]:
+    """For every rule a text that matches it and one without its last letter, merchants no
+    rule knows, and no name at all."""
+    examples = [example_of(rule[2]) for rule in fv.MERCHANT_RULES] + [example_of(rule[4]) for rule in fv.BROAD_RULES]
+    strangers = [f"zq vendor {chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(STRANGERS)]
+    return [*examples, *[text[:-1] for text in examples], *strangers, None, ""]
+
+
+def rough_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """Card transactions as a careless source lands them: amounts and dates as text, some of
+    them missing or unreadable, refunds, customers without a number, sub-categories, equal
+    rows, and merchant names that reach every rule."""
+    lineitem = _spread(spark.read.parquet(f"{folder}/lineitem.parquet"))
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey")
+    part = spark.read.parquet(f"{folder}/part.parquet").select("p_partkey", "p_brand", "p_type")
+    names = F.array(*[F.lit(name) for name in rough_names()])
+    number = (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 31 + F.col("l_partkey")) % len(rough_names())
+    cents = F.round(F.col("l_extendedprice") * 4).cast("long")
+    amount = F.concat_ws(".", F.floor(cents / 100).cast("string"), F.lpad((cents % 100).cast("string"), 2, "0"))
+    days = F.floor(F.datediff(F.col("l_shipdate").cast("date"), F.lit("1995-01-01").cast("date")) / 7).cast("int")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), days)
+    key = F.col("l_partkey")
+    rows = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, key == F.col("p_partkey")).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("TXN_REF"),
+        F.when(F.col("l_orderkey") % 11 != 0, F.col("o_custkey") % 200).alias("CUST_NUM"),
+        F.get(names, number.cast("int")).alias("MCHT_NM"),
+        F.when(key % 29 == 0, F.lit("n/a")).when(key % 13 == 0, F.lit(None))
+        .when(F.col("l_returnflag") == "R", F.concat(F.lit("-"), amount)).otherwise(amount).alias("TXN_AMT"),
+        F.when(key % 17 == 0, F.lit("not a date")).when(key % 19 == 0, F.lit(None)).otherwise(
+            F.concat(day.cast("string"), F.lit(" "), F.lpad((key % 24).cast("string"), 2, "0"), F.lit(":00:00"))).alias("TXN_DT"),
+        F.when(F.col("l_returnflag") == "N", F.lit("THB")).when(F.col("l_returnflag") == "R", F.lit("USD")).alias("CURR_DESC"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.lit("Y")).when(F.col("l_linenumber") % 3 == 1, F.lit("0")).alias("ONLN_FLAG"),
+        F.col("p_type").alias("MCHT_CATG"),
+        F.when(key % 3 == 0, F.lit("SUB1")).when(key % 3 == 1, F.lit("")).alias("MCHT_SUB_CATG"),
+        F.col("p_brand").alias("SIC_CD_DESC"),
+        F.when(key % 23 == 0, F.lit(2)).otherwise(F.lit(1)).alias("_times"))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times", "_copy")

@@ -10,7 +10,8 @@ from spendlens.operators.monthly import Labels
 from spendlens.plans.enrichment import References, enrich
 from spendlens.plans.features import feature_mart
 from spendlens.plans.features import personas as add_personas
-from spendlens.queries import SIZE_BOUNDS, labels, phase1, phase2, phase3
+from spendlens import fixed_values as fv
+from spendlens.queries import REGISTRY, SIZE_BOUNDS, labels, phase1, phase2, phase3
 from spendlens.sources import materialize, retail, standardize
 
 KEYS = ["CUST_NUM", "txn_month"]
@@ -181,3 +182,15 @@ def test_several_distinct_counts_do_not_copy_rows(spark, metrics):
     row = df.first()
     assert row["unique_customers"] == 7 and row[0] == 50
     assert row["unique_merchants" if metrics == "phase1_metrics" else "months_covered"] == (5 if metrics == "phase1_metrics" else 1)
+
+
+def test_rough_rows_reach_every_rule_and_both_limits(spark, folder):
+    used = REGISTRY["rough_rules"](spark, folder).collect()
+    assert len({r["rule_name"] for r in used}) == len({r[1] for r in fv.MERCHANT_RULES}) and all(r["matched_txns"] for r in used)
+    rows = standardize(retail.rough_transactions(spark, folder), ["TXN_REF"])
+    counts = rows.selectExpr("count_if(txn_amount < 0) as refunds", "count_if(txn_amount is null) as unpriced",
+                             "count_if(txn_ts is null) as undated", "count_if(CUST_NUM is null) as nobody",
+                             "count(*) - count(distinct txn_key) as copies", "count_if(MCHT_NM is null) as unnamed").first()
+    assert all(counts)
+    unknown = REGISTRY["rough_unclassified_count"](spark, folder)
+    assert unknown.count() == 50
