@@ -476,3 +476,120 @@ BROAD_OUTPUT_COLUMNS = [
 SIMPLE_WALLET = "truemoney|linepay|rabbit line pay|shopeepay"
 SIMPLE_SIZE_TIERS = [("MICRO", 100), ("SMALL", 500), ("STANDARD", 2000), ("MID", 10000)]
 SIMPLE_SIZE_TIER_TOP = "LARGE"
+
+# --------------------------------------------------------------------------
+# Weights and cut-offs of scores, personas, overlays, regimes and risks.
+# A score is the sum of columns times weights and of the points whose condition holds,
+# at most 1. In lists of (label, condition) the first that holds gives the label.
+# --------------------------------------------------------------------------
+SCORE_WEIGHTS = {
+    "score_travel": [("l1_travel_mobility_share_m", 2.0), ("xborder_share_3m", 1.5)],
+    "score_affluent": [("premium_share_3m", 3.0)],
+    "score_digital": [("online_share_3m", 1.2), ("l1_digital_services_share_m", 1.5)],
+    "score_food_social": [("l1_food_dining_share_m", 1.5), ("food_delivery_share_m", 2.0)],
+    "score_everyday": [("grocery_share_3m", 2.0), ("l1_everyday_essentials_share_m", 1.5)],
+    "score_mobile_wallet": [("wallet_share_3m", 2.0), ("online_share_3m", 0.8)],
+    "score_concentration": [("top1_merchant_share_m", 1.5), ("merchant_hhi_m", 1.2)],
+    "score_business_proxy": [("business_proxy_share_m", 3.0)],
+}
+SCORE_POINTS = {
+    "score_travel": [("travel_booking_txn_cnt_m >= 2", 0.3)],
+    "score_affluent": [("avg_ticket_3m > 5000", 0.3), ("avg_ticket_3m > 10000", 0.2)],
+}
+SCORE_MOST = {"score_business_proxy": 0.5}
+SCORE_SURE = {"score_business_proxy": "business_proxy_flag = 'LIKELY_BUSINESS'"}
+
+PERSONAS = [
+    ("DORMANT_LOW_ACTIVITY", "spend_regime = 'DORMANT' OR feature_quality_flag = 'ZERO_SPEND'"),
+    ("BUSINESS_PROXY", "business_proxy_flag = 'LIKELY_BUSINESS'"),
+    ("TRAVEL_CENTRIC", "l1_travel_mobility_share_m > 0.20 OR xborder_share_3m > 0.15 OR travel_booking_txn_cnt_m >= 2"),
+    ("AFFLUENT_LIFESTYLE", "premium_share_3m > 0.10 AND avg_ticket_3m > 5000"),
+    ("DIGITAL_NATIVE", "online_share_3m > 0.55 OR l1_digital_services_share_m > 0.25"),
+    ("LIFESTYLE_SOCIAL", "l1_food_dining_share_m > 0.25 OR coalesce(l2_restaurants_share_m, 0)"
+                         " + coalesce(l2_food_delivery_share_m, 0) + coalesce(l2_coffee_cafe_share_m, 0) > 0.25"),
+    ("CONCENTRATED_LOYALIST", "top1_merchant_share_m > 0.50 OR merchant_hhi_m > 0.35"),
+    ("EMERGING_MOBILE", "wallet_share_3m > 0.20 AND online_share_3m > 0.30"),
+    ("DIVERSIFIED_EXPLORER", "category_breadth_m >= 5 AND merchant_entropy_3m > 2.5"),
+]
+PERSONA_REST = "EVERYDAY_ANCHOR"
+
+OVERLAYS = {
+    "subscription_heavy": "subscription_merchant_cnt_m >= 2",
+    "wallet_dependent": "wallet_share_3m > 0.25",
+    "food_delivery_native": "food_delivery_txn_cnt_m >= 3 OR l2_food_delivery_share_m > 0.10",
+    "cross_border_frequent": "xborder_share_3m > 0.10",
+    "weekend_spender": "weekend_share_m > 0.45",
+    "healthcare_engaged": "coalesce(l2_hospital_clinic_share_m, 0) + coalesce(l2_beauty_wellness_share_m, 0) > 0.10",
+    "premium_retail_oriented": "premium_share_3m > 0.08",
+    "convenience_dependent": "convenience_dependence = 'HIGH'",
+    "installment_buyer_proxy": "avg_ticket_m > 5000 AND txn_cnt_m <= 5 AND max_ticket_m > 10000",
+    "fuel_dependent": "fuel_dependence = 'HIGH'",
+    "reactivating_user": "spend_regime = 'REACTIVATING'",
+    "business_spend_proxy": "business_proxy_flag IN ('LIKELY_BUSINESS', 'POSSIBLE_BUSINESS')",
+    "risk_monitor_flag": "concentration_shock_flag = 1 OR spend_drop_flag = 1 OR topup_overdependence_flag = 1"
+                         " OR high_freq_low_ticket_flag = 1 OR unstable_flag = 1",
+    "grocery_anchor": "grocery_share_m >= 0.30",
+    "payday_spender": "payday_share_m >= 0.50",
+    "ride_hailing_regular": "ride_hailing_share_m >= 0.10",
+}
+
+# label column -> (label, condition) in order, and the label of the rest
+WALLET_LABELS = {
+    "wallet_dependence_flag": (
+        [("HIGH_WALLET", "wallet_share_m > 0.50"), ("MODERATE_WALLET", "wallet_share_m > 0.20")], "LOW_WALLET"),
+}
+WALLET_FLAGS = {
+    "topup_heavy_flag": "topup_share_m > 0.30",
+    "processor_mediated_flag": "spend_amt_m > 0 AND processor_spend_m / spend_amt_m > 0.20",
+}
+REGIME_LABELS = {
+    "spend_regime": ([
+        ("DORMANT", "txn_cnt_m = 0"), ("REACTIVATING", "coalesce(txn_cnt_prev_m, 0) = 0"), ("LOW_VOLUME", "txn_cnt_m < 3"),
+    ], "ACTIVE"),
+    "premium_retail_orientation": ([("HIGH", "premium_share_m > 0.15"), ("MODERATE", "premium_share_m > 0.05")], "LOW"),
+    "avg_ticket_affluence_proxy": (
+        [("HIGH_AFFLUENCE_PROXY", "avg_ticket_m > 10000"), ("MID_AFFLUENCE_PROXY", "avg_ticket_m > 3000")], "STANDARD"),
+    "travel_premium_proxy": ([("TRAVEL_ORIENTED", "l1_travel_mobility_share_m > 0.15")], "NON_TRAVEL"),
+    "convenience_dependence": (
+        [("HIGH", "l2_convenience_store_share_m > 0.20"), ("MODERATE", "l2_convenience_store_share_m > 0.10")], "LOW"),
+    "fuel_dependence": ([("HIGH", "l2_fuel_share_m > 0.15"), ("MODERATE", "l2_fuel_share_m > 0.05")], "LOW"),
+    "business_proxy_flag": ([
+        ("LIKELY_BUSINESS", "l1_b2b_professional_share_m > 0.20 OR business_proxy_txn_cnt_m > txn_cnt_m * 0.3D"),
+        ("POSSIBLE_BUSINESS", "l1_b2b_professional_share_m > 0.10"),
+    ], "RETAIL_CONSUMER"),
+}
+RISK_FLAGS = {
+    "concentration_shock_flag": "merchant_hhi_change_m > 0.15 AND merchant_hhi_m > 0.5",
+    "spend_drop_flag": "spend_pct_change_m < -0.50",
+    "category_shock_flag": "l1_migration_flag = 1 AND abs(spend_pct_change_m) > 0.30",
+    "high_freq_low_ticket_flag": "txn_cnt_m > 30 AND avg_ticket_m < 200",
+    "topup_overdependence_flag": "topup_share_m > 0.40 AND topup_txn_cnt_m > 5",
+    "unstable_flag": "spend_regime = 'REACTIVATING' OR spend_stability_6m > 1.5",
+}
+QUALITY_LABELS = {
+    "feature_quality_flag": ([
+        ("ZERO_SPEND", "txn_cnt_m = 0"), ("LOW_VOLUME", "txn_cnt_m < 3"), ("SINGLE_MERCHANT", "uniq_merchants_m <= 1"),
+    ], "GOOD"),
+}
+CONFIDENCE_LABELS = {
+    "persona_confidence": (
+        [("HIGH", "feature_quality_flag = 'GOOD'"), ("MEDIUM", "feature_quality_flag = 'LOW_VOLUME'")], "LOW"),
+}
+CONFIDENCE_SCORES = {"HIGH": 1.0, "MEDIUM": 0.5, "LOW": 0.2}
+USE_CASE_LABELS = {
+    "clm_use_case": ([
+        ("line_increase_candidate", "spend_velocity_m > 0 AND avg_ticket_m > 3000 AND persona_confidence = 'HIGH'"),
+        ("stable_recurring_spend|line_confidence", "recurring_spend_share_m > 0.30 AND spend_regime = 'ACTIVE'"),
+        ("premium_migration_candidate",
+         "primary_persona IN ('AFFLUENT_LIFESTYLE', 'TRAVEL_CENTRIC') AND premium_share_3m > 0.10"),
+        ("diversified_healthy_spend|affluent_migration",
+         "primary_persona = 'DIVERSIFIED_EXPLORER' AND category_breadth_m >= 5"),
+    ], "standard_review"),
+    "pricing_use_case": ([
+        ("cross_border_pricing_relevant", "xborder_share_3m > 0.15"),
+        ("travel_card_pricing", "primary_persona = 'TRAVEL_CENTRIC'"),
+        ("subscription_card_features", "ms_subscription_heavy = 1"),
+        ("wallet_integration_pricing", "ms_wallet_dependent = 1"),
+        ("premium_product_pricing", "ms_premium_retail_oriented = 1"),
+    ], "standard_pricing"),
+}

@@ -20,6 +20,17 @@ def label_by(branches: list[tuple[str, Column]], default: str) -> Column:
     return label.otherwise(F.lit(default))
 
 
+def flags_by(table: dict[str, str]) -> dict[str, Column]:
+    """0/1 columns by name from a table of conditions."""
+    return {name: flag(F.expr(condition)) for name, condition in table.items()}
+
+
+def labels_by(table: dict[str, tuple[list[tuple[str, str]], str]]) -> dict[str, Column]:
+    """Label columns by name from a table of (label, condition) lists."""
+    return {name: label_by([(label, F.expr(condition)) for label, condition in branches], rest)
+            for name, (branches, rest) in table.items()}
+
+
 def tier_by(value: Column, bounds: list[tuple[str, float]], top: str) -> Column:
     """Name of the first tier whose exclusive upper bound exceeds the value.
     A NULL value has no tier."""

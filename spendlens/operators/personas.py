@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions import flag, label_by
+from ..functions import flag, flags_by, labels_by
 from .trends import months
 
 
@@ -15,86 +15,36 @@ def known(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0.0))
 
 
-def _bonus(condition: Column, points: float) -> Column:
-    return F.when(condition, F.lit(points)).otherwise(F.lit(0.0))
+def _score(name: str) -> Column:
+    parts = [known(column) * weight for column, weight in fv.SCORE_WEIGHTS[name]]
+    parts += [F.when(F.expr(condition), F.lit(points)).otherwise(F.lit(0.0))
+              for condition, points in fv.SCORE_POINTS.get(name, [])]
+    total = parts[0]
+    for part in parts[1:]:
+        total = total + part
+    value = F.least(F.lit(fv.SCORE_MOST.get(name, 1.0)), total)
+    return F.when(F.expr(fv.SCORE_SURE[name]), F.lit(1.0)).otherwise(value) if name in fv.SCORE_SURE else value
 
 
 def add_scores(df: DataFrame) -> DataFrame:
     """Eight dimension scores between 0 and 1."""
-    ticket = F.col("avg_ticket_3m")
-    points = {
-        "score_travel": known("l1_travel_mobility_share_m") * 2.0 + known("xborder_share_3m") * 1.5
-        + _bonus(F.col("travel_booking_txn_cnt_m") >= 2, 0.3),
-        "score_affluent": known("premium_share_3m") * 3.0 + _bonus(ticket > 5000, 0.3) + _bonus(ticket > 10000, 0.2),
-        "score_digital": known("online_share_3m") * 1.2 + known("l1_digital_services_share_m") * 1.5,
-        "score_food_social": known("l1_food_dining_share_m") * 1.5 + known("food_delivery_share_m") * 2.0,
-        "score_everyday": known("grocery_share_3m") * 2.0 + known("l1_everyday_essentials_share_m") * 1.5,
-        "score_mobile_wallet": known("wallet_share_3m") * 2.0 + known("online_share_3m") * 0.8,
-        "score_concentration": known("top1_merchant_share_m") * 1.5 + known("merchant_hhi_m") * 1.2,
-    }
-    business = F.when(F.col("business_proxy_flag") == "LIKELY_BUSINESS", F.lit(1.0)).otherwise(
-        F.least(F.lit(0.5), known("business_proxy_share_m") * 3.0))
-    return df.withColumns({
-        **{name: F.least(F.lit(1.0), value) for name, value in points.items()},
-        "score_business_proxy": business,
-    })
+    return df.withColumns({name: _score(name) for name in fv.SCORE_WEIGHTS})
 
 
 def add_persona(df: DataFrame) -> DataFrame:
     """One persona per customer-month; the first that applies."""
-    dining = known("l2_restaurants_share_m") + known("l2_food_delivery_share_m") + known("l2_coffee_cafe_share_m")
-    return df.withColumn("primary_persona", label_by([
-        ("DORMANT_LOW_ACTIVITY",
-         (F.col("spend_regime") == "DORMANT") | (F.col("feature_quality_flag") == "ZERO_SPEND")),
-        ("BUSINESS_PROXY", F.col("business_proxy_flag") == "LIKELY_BUSINESS"),
-        ("TRAVEL_CENTRIC",
-         (known("l1_travel_mobility_share_m") > 0.20) | (F.col("xborder_share_3m") > 0.15)
-         | (F.col("travel_booking_txn_cnt_m") >= 2)),
-        ("AFFLUENT_LIFESTYLE", (F.col("premium_share_3m") > 0.10) & (F.col("avg_ticket_3m") > 5000)),
-        ("DIGITAL_NATIVE", (F.col("online_share_3m") > 0.55) | (known("l1_digital_services_share_m") > 0.25)),
-        ("LIFESTYLE_SOCIAL", (known("l1_food_dining_share_m") > 0.25) | (dining > 0.25)),
-        ("CONCENTRATED_LOYALIST", (known("top1_merchant_share_m") > 0.50) | (known("merchant_hhi_m") > 0.35)),
-        ("EMERGING_MOBILE", (F.col("wallet_share_3m") > 0.20) & (F.col("online_share_3m") > 0.30)),
-        ("DIVERSIFIED_EXPLORER", (F.col("category_breadth_m") >= 5) & (known("merchant_entropy_3m") > 2.5)),
-    ], "EVERYDAY_ANCHOR"))
+    return df.withColumns(labels_by({"primary_persona": (fv.PERSONAS, fv.PERSONA_REST)}))
 
 
 def add_overlays(df: DataFrame) -> DataFrame:
     """Sixteen overlay flags that do not exclude each other."""
-    risks = ["concentration_shock_flag", "spend_drop_flag", "topup_overdependence_flag",
-             "high_freq_low_ticket_flag", "unstable_flag"]
-    any_risk = F.greatest(*risks) == 1
-    conditions = {
-        "subscription_heavy": F.col("subscription_merchant_cnt_m") >= 2,
-        "wallet_dependent": F.col("wallet_share_3m") > 0.25,
-        "food_delivery_native":
-            (F.col("food_delivery_txn_cnt_m") >= 3) | (known("l2_food_delivery_share_m") > 0.10),
-        "cross_border_frequent": F.col("xborder_share_3m") > 0.10,
-        "weekend_spender": F.col("weekend_share_m") > 0.45,
-        "healthcare_engaged":
-            known("l2_hospital_clinic_share_m") + known("l2_beauty_wellness_share_m") > 0.10,
-        "premium_retail_oriented": F.col("premium_share_3m") > 0.08,
-        "convenience_dependent": F.col("convenience_dependence") == "HIGH",
-        "installment_buyer_proxy":
-            (F.col("avg_ticket_m") > 5000) & (F.col("txn_cnt_m") <= 5) & (F.col("max_ticket_m") > 10000),
-        "fuel_dependent": F.col("fuel_dependence") == "HIGH",
-        "reactivating_user": F.col("spend_regime") == "REACTIVATING",
-        "business_spend_proxy": F.col("business_proxy_flag").isin("LIKELY_BUSINESS", "POSSIBLE_BUSINESS"),
-        "risk_monitor_flag": any_risk,
-        "grocery_anchor": known("grocery_share_m") >= 0.30,
-        "payday_spender": known("payday_share_m") >= 0.50,
-        "ride_hailing_regular": known("ride_hailing_share_m") >= 0.10,
-    }
-    return df.withColumns({f"ms_{name}": flag(condition) for name, condition in conditions.items()})
+    return df.withColumns(flags_by({f"ms_{name}": condition for name, condition in fv.OVERLAYS.items()}))
 
 
 def add_confidence(df: DataFrame) -> DataFrame:
-    quality = F.col("feature_quality_flag")
-    score = F.when(quality == "GOOD", F.lit(1.0)).when(quality == "LOW_VOLUME", F.lit(0.5)).otherwise(F.lit(0.2))
-    return df.withColumns({
-        "persona_confidence": label_by([("HIGH", quality == "GOOD"), ("MEDIUM", quality == "LOW_VOLUME")], "LOW"),
-        "persona_confidence_score": score,
-    })
+    scores = F.create_map(*[F.lit(value) for pair in fv.CONFIDENCE_SCORES.items() for value in pair])
+    return df.withColumns(labels_by(fv.CONFIDENCE_LABELS)).withColumn(
+        "persona_confidence_score", F.try_element_at(scores, F.col("persona_confidence")))
 
 
 def add_persona_shift(df: DataFrame) -> DataFrame:
@@ -128,23 +78,7 @@ def add_use_cases(df: DataFrame) -> DataFrame:
     active = F.concat_ws("|", *[F.when(F.col(column) == 1, F.lit(name)) for name, column in reasons.items()])
     return df.withColumns({
         "campaign_use_case": F.coalesce(F.try_element_at(campaigns, persona), F.lit(fv.CAMPAIGN_DEFAULT)),
-        "clm_use_case": label_by([
-            ("line_increase_candidate",
-             (F.col("spend_velocity_m") > 0) & (F.col("avg_ticket_m") > 3000) & (F.col("persona_confidence") == "HIGH")),
-            ("stable_recurring_spend|line_confidence",
-             (F.col("recurring_spend_share_m") > 0.30) & (F.col("spend_regime") == "ACTIVE")),
-            ("premium_migration_candidate",
-             persona.isin("AFFLUENT_LIFESTYLE", "TRAVEL_CENTRIC") & (F.col("premium_share_3m") > 0.10)),
-            ("diversified_healthy_spend|affluent_migration",
-             (persona == "DIVERSIFIED_EXPLORER") & (F.col("category_breadth_m") >= 5)),
-        ], "standard_review"),
-        "pricing_use_case": label_by([
-            ("cross_border_pricing_relevant", F.col("xborder_share_3m") > 0.15),
-            ("travel_card_pricing", persona == "TRAVEL_CENTRIC"),
-            ("subscription_card_features", F.col("ms_subscription_heavy") == 1),
-            ("wallet_integration_pricing", F.col("ms_wallet_dependent") == 1),
-            ("premium_product_pricing", F.col("ms_premium_retail_oriented") == 1),
-        ], "standard_pricing"),
+        **labels_by(fv.USE_CASE_LABELS),
         "risk_use_case": F.when(F.col("ms_risk_monitor_flag") == 1, active).otherwise(F.lit("no_risk_signal")),
     })
 

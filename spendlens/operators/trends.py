@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import flag, label_by, mean_of, money, share_of, spread, squared, sum_money, units
+from .. import fixed_values as fv
+from ..functions import flag, flags_by, label_by, labels_by, mean_of, money, spread, squared, sum_money, units
 from ..functions.columns import MONEY_UNITS
 
 def months():
@@ -95,59 +96,21 @@ def add_trends(df: DataFrame) -> DataFrame:
 
 
 def add_wallet_flags(df: DataFrame) -> DataFrame:
-    wallet = F.col("wallet_share_m")
-    return df.withColumns({
-        "wallet_dependence_flag": label_by(
-            [("HIGH_WALLET", wallet > 0.50), ("MODERATE_WALLET", wallet > 0.20)], "LOW_WALLET"),
-        "topup_heavy_flag": flag(F.col("topup_share_m") > 0.30),
-        "processor_mediated_flag": flag(share_of(F.col("processor_spend_m"), F.col("spend_amt_m")) > 0.20),
-    })
-
-
-def _graded(column: str, high: float, moderate: float) -> Column:
-    value = F.coalesce(F.col(column), F.lit(0.0))
-    return label_by([("HIGH", value > high), ("MODERATE", value > moderate)], "LOW")
+    return df.withColumns({**labels_by(fv.WALLET_LABELS), **flags_by(fv.WALLET_FLAGS)})
 
 
 def add_regime(df: DataFrame) -> DataFrame:
     """Spend regime, affluence and dependence labels, and the business proxy."""
-    count, before = F.col("txn_cnt_m"), F.coalesce("txn_cnt_prev_m", F.lit(0))
-    ticket = F.col("avg_ticket_m")
-    business = F.coalesce("l1_b2b_professional_share_m", F.lit(0.0))
-    travel = F.coalesce("l1_travel_mobility_share_m", F.lit(0.0))
     return df.withColumns({
-        "spend_regime": label_by([
-            ("DORMANT", count == 0), ("REACTIVATING", (count > 0) & (before == 0)), ("LOW_VOLUME", count < 3),
-        ], "ACTIVE"),
-        "premium_retail_orientation": _graded("premium_share_m", 0.15, 0.05),
-        "avg_ticket_affluence_proxy": label_by([
-            ("HIGH_AFFLUENCE_PROXY", ticket > 10000), ("MID_AFFLUENCE_PROXY", ticket > 3000)], "STANDARD"),
-        "travel_premium_proxy": label_by([("TRAVEL_ORIENTED", travel > 0.15)], "NON_TRAVEL"),
-        "convenience_dependence": _graded("l2_convenience_store_share_m", 0.20, 0.10),
-        "fuel_dependence": _graded("l2_fuel_share_m", 0.15, 0.05),
-        "business_proxy_flag": label_by([
-            ("LIKELY_BUSINESS", (business > 0.20) | (F.col("business_proxy_txn_cnt_m") > count * 0.3)),
-            ("POSSIBLE_BUSINESS", business > 0.10),
-        ], "RETAIL_CONSUMER"),
+        **labels_by(fv.REGIME_LABELS),
         "financial_services_share_m": F.coalesce("l1_financial_services_share_m", F.lit(0.0)),
     })
 
 
 def add_risk_flags(df: DataFrame) -> DataFrame:
     """Monitoring flags. They are proxies, not findings about a customer."""
-    change = F.col("spend_pct_change_m")
-    return df.withColumns({
-        "concentration_shock_flag": flag((F.col("merchant_hhi_change_m") > 0.15) & (F.col("merchant_hhi_m") > 0.5)),
-        "spend_drop_flag": flag(change < -0.50),
-        "category_shock_flag": flag((F.col("l1_migration_flag") == 1) & (F.abs(change) > 0.30)),
-        "high_freq_low_ticket_flag": flag((F.col("txn_cnt_m") > 30) & (F.col("avg_ticket_m") < 200)),
-        "topup_overdependence_flag": flag((F.col("topup_share_m") > 0.40) & (F.col("topup_txn_cnt_m") > 5)),
-        "unstable_flag": flag((F.col("spend_regime") == "REACTIVATING") | (F.col("spend_stability_6m") > 1.5)),
-    })
+    return df.withColumns(flags_by(fv.RISK_FLAGS))
 
 
 def add_quality(df: DataFrame) -> DataFrame:
-    count = F.col("txn_cnt_m")
-    return df.withColumn("feature_quality_flag", label_by([
-        ("ZERO_SPEND", count == 0), ("LOW_VOLUME", count < 3), ("SINGLE_MERCHANT", F.col("uniq_merchants_m") <= 1),
-    ], "GOOD"))
+    return df.withColumns(labels_by(fv.QUALITY_LABELS))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendlens.operators import audit, broad, merchants, monthly, personas, simple, trends
+from spendlens.operators import personas as people
 from spendlens.operators.monthly import Labels
 from spendlens.plans.enrichment import References, enrich
 from spendlens.plans.features import feature_mart
@@ -194,3 +195,26 @@ def test_rough_rows_reach_every_rule_and_both_limits(spark, folder):
     assert all(counts)
     unknown = REGISTRY["rough_unclassified_count"](spark, folder)
     assert unknown.count() == 50
+
+
+def test_every_persona_has_a_customer_month(spark):
+    """A month without any trait is an everyday anchor; one trait each gives the others."""
+    nothing = dict.fromkeys("""l1_travel_mobility_share_m xborder_share_3m premium_share_3m avg_ticket_3m online_share_3m
+        l1_digital_services_share_m l1_food_dining_share_m l2_restaurants_share_m l2_food_delivery_share_m l2_coffee_cafe_share_m
+        top1_merchant_share_m merchant_hhi_m wallet_share_3m category_breadth_m merchant_entropy_3m""".split(), 0.0)
+    nothing |= {"travel_booking_txn_cnt_m": 0, "spend_regime": "ACTIVE", "feature_quality_flag": "GOOD", "business_proxy_flag": "RETAIL_CONSUMER"}
+    traits = {
+        "DORMANT_LOW_ACTIVITY": {"feature_quality_flag": "ZERO_SPEND"}, "BUSINESS_PROXY": {"business_proxy_flag": "LIKELY_BUSINESS"},
+        "TRAVEL_CENTRIC": {"travel_booking_txn_cnt_m": 2}, "AFFLUENT_LIFESTYLE": {"premium_share_3m": 0.11, "avg_ticket_3m": 5001.0},
+        "DIGITAL_NATIVE": {"online_share_3m": 0.56},
+        "LIFESTYLE_SOCIAL": {"l2_restaurants_share_m": 0.1, "l2_food_delivery_share_m": 0.1, "l2_coffee_cafe_share_m": 0.06},
+        "CONCENTRATED_LOYALIST": {"merchant_hhi_m": 0.36}, "EMERGING_MOBILE": {"wallet_share_3m": 0.21, "online_share_3m": 0.31},
+        "DIVERSIFIED_EXPLORER": {"category_breadth_m": 5.0, "merchant_entropy_3m": 2.6}, "EVERYDAY_ANCHOR": {}}
+    near = {"AFFLUENT_LIFESTYLE": {"premium_share_3m": 0.10, "avg_ticket_3m": 5001.0}, "DIGITAL_NATIVE": {"online_share_3m": 0.55},
+            "CONCENTRATED_LOYALIST": {"merchant_hhi_m": 0.35}, "DIVERSIFIED_EXPLORER": {"category_breadth_m": 5.0, "merchant_entropy_3m": 2.5},
+            "unknown": dict.fromkeys([c for c in nothing if c.endswith(("share_m", "3m", "hhi_m"))])}
+    rows = [(name, nothing | trait) for name, trait in traits.items()] + [("EVERYDAY_ANCHOR", nothing | trait) for trait in near.values()]
+    columns = ", ".join(f"{c} {'string' if isinstance(v, str) else 'int' if isinstance(v, int) else 'double'}" for c, v in nothing.items())
+    df = spark.createDataFrame([(name, *row.values()) for name, row in rows], f"want string, {columns}")
+    got = people.add_persona(df).select("want", "primary_persona").collect()
+    assert all(r["want"] == r["primary_persona"] for r in got) and len(set(traits)) == 10 == len(fv.PERSONAS) + 1
