@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from spendlens import fixed_values as fv
 
-from .enrichment import CTES, bit, clean_basic, listed, mean, quote, rx, tiers, total, values
+from .enrichment import CTES, bit, clean_basic, listed, mean, quote, rx, tiers, total, units, values
 from .features import commas, total_of
 
 L1 = [*fv.ECOSYSTEMS, "OTHER_LONGTAIL"]
@@ -136,11 +136,13 @@ FROM broad_last3 JOIN broad_size USING (mkey, mon) GROUP BY cust, mon"""
 
 def mix(name: str, rows: str, entity: str) -> str:
     return f"""
-SELECT cust, mon, sum(CASE WHEN p > 0 THEN -p * log2(p) ELSE 0.0::DOUBLE END) AS {name}_entropy_m, sum(p * p) AS {name}_hhi_m,
-  max(p) AS top_{name}_share_m, sum(CASE WHEN place <= 3 THEN p END) AS top3_{name}_share_m
+SELECT cust, mon, sum(CASE WHEN p > 0 THEN -p * log2(p) ELSE 0.0::DOUBLE END) AS {name}_entropy_m, 
+  coalesce(CAST(sum(CAST({units('spend')} AS HUGEINT) * {units('spend')}) AS DOUBLE)
+    / nullif(CAST(sum({units('spend')}) AS DOUBLE) * CAST(sum({units('spend')}) AS DOUBLE), 0), 0.0::DOUBLE) AS {name}_hhi_m,
+  max(p) AS top_{name}_share_m, coalesce({total("CASE WHEN place <= 3 THEN spend END")} / nullif(any_value(total), 0), 0.0::DOUBLE) AS top3_{name}_share_m
 FROM (SELECT *, row_number() OVER (PARTITION BY cust, mon ORDER BY p DESC, {entity}) AS place
-  FROM (SELECT r.*, {div('spend', 'total')} AS p
-        FROM {rows} r JOIN (SELECT cust, mon, sum(spend) AS total FROM {rows} GROUP BY ALL) t USING (cust, mon)))
+  FROM (SELECT r.*, t.total, {div('spend', 'total')} AS p
+        FROM {rows} r JOIN (SELECT cust, mon, {total("spend")} AS total FROM {rows} GROUP BY ALL) t USING (cust, mon)))
 GROUP BY cust, mon"""
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions import (
-    clean_text_basic, flag, label_by, matching, mean_of, money_when, safe_div, sum_money, tier_by)
+    clean_text_basic, flag, label_by, matching, mean_of, money_when, safe_div, squared, sum_money,
+    tier_by, units)
 from ..sources import complete_columns, standardize
 from .history import add_history_part, history_cuts
 from .monthly import MONTH, join_months, label_mix
@@ -211,21 +212,37 @@ def month_base(txns: DataFrame, merchants: DataFrame) -> DataFrame:
     }).drop("top")
 
 
-def _mix(df: DataFrame, name: str) -> list[Column]:
-    """Entropy and concentration of the ``share`` column."""
-    p = F.col("share")
+def _signed(of, total: Column, spend: Column) -> Column:
+    """``of`` the spends where the month's total is positive, of the negated ones where it
+    is negative: a share is positive if spend and total have one sign."""
+    return F.when(total > 0, of(spend, total)).when(total < 0, of(-spend, -total)).otherwise(F.lit(0.0))
+
+
+def _entropy_of(spend: Column, total: Column) -> Column:
+    """Sum of -p*log2(p) over the positive shares p, from sums of one pass."""
+    positive = sum_money(F.when(spend > 0, spend).otherwise(0.0))
+    logged = F.sum(F.when(spend > 0, spend * F.log2(spend)).otherwise(0.0))
+    return (F.log2(total) * positive - logged) / total
+
+
+def mix(name: str) -> list[Column]:
+    """Entropy, concentration and largest share of the ``spend`` of a month's rows."""
+    spend, total = F.col("spend"), sum_money("spend")
+    squares = F.sum(squared(units("spend"))).cast("double")
+    whole = F.sum(units("spend")).cast("double")
     return [
-        F.sum(F.when(p > 0, -p * F.log2(p)).otherwise(0.0)).alias(f"{name}_entropy_m"),
-        F.sum(p * p).alias(f"{name}_hhi_m"),
+        _signed(_entropy_of, total, spend).alias(f"{name}_entropy_m"),
+        F.coalesce(squares / F.nullif(whole * whole, F.lit(0.0)), F.lit(0.0)).alias(f"{name}_hhi_m"),
+        _signed(lambda part, all_of_it: F.max(part) / all_of_it, total, spend).alias(f"top_{name}_share_m"),
     ]
 
 
-def with_share(parts: DataFrame, spend: str) -> DataFrame:
-    """Share of each row in its customer-month, by joining the total back. Rows are
-    already summed up per merchant or category, so a customer with very many
-    transactions has no more rows here than it has merchants."""
-    total = parts.groupBy(*MONTH).agg(F.sum(spend).alias("_total"))
-    return join_months(parts, total).withColumn("share", safe_div(F.col(spend), F.col("_total")))
+def _largest(merchants: DataFrame, order: Column, name: str) -> DataFrame:
+    """The sum of the first three spends of each month. Spark keeps three rows of a month
+    in each task before it shuffles."""
+    first = Window.partitionBy(*MONTH).orderBy(order, "merchant_key")
+    return merchants.where(F.col("spend").isNotNull()).select(*MONTH, "merchant_key", "spend").withColumn(
+        "rank", F.row_number().over(first)).where(F.col("rank") <= 3).groupBy(*MONTH).agg(sum_money("spend").alias(name))
 
 
 def merchant_intelligence(merchants: DataFrame, bounds: dict[str, int]) -> DataFrame:
@@ -239,30 +256,29 @@ def merchant_intelligence(merchants: DataFrame, bounds: dict[str, int]) -> DataF
     def spend_at(condition: Column) -> Column:
         return sum_money(F.when(condition, spend).otherwise(0.0))
 
-    scale = sized.groupBy(*MONTH).agg(
+    months_of = sized.groupBy(*MONTH).agg(
         (F.sum(size * F.col("visits")) / F.sum("visits")).alias("avg_merchant_scale_txn_cnt_m"),
         F.max(size).alias("max_merchant_scale_txn_cnt_m"),
         spend_at(size >= bounds["mega"]).alias("spend_at_mega_merchants_m"),
         spend_at((size >= bounds["large"]) & (size < bounds["mega"])).alias("spend_at_large_merchants_m"),
         spend_at(size < bounds["longtail"]).alias("spend_at_longtail_merchants_m"),
+        *mix("merchant"), sum_money("spend").alias("_total"),
     )
-    shares = with_share(merchants, "spend")
-    mix = shares.groupBy(*MONTH).agg(*_mix(shares, "merchant"), F.max("share").alias("top_merchant_share_m"))
-    largest = Window.partitionBy(*MONTH).orderBy(F.desc("share"), "merchant_key")
-    top3 = (
-        shares.withColumn("rank", F.row_number().over(largest)).where(F.col("rank") <= 3)
-        .groupBy(*MONTH).agg(F.sum("share").alias("top3_merchant_share_m"))
-    )
+    # The largest shares are those of the largest spends, or of the smallest where a month
+    # of refunds has a negative total.
+    months_of = join_months(months_of, _largest(merchants, F.desc("spend"), "_most"))
+    months_of = join_months(months_of, _largest(merchants, F.asc("spend"), "_least"))
+    top3 = F.when(F.col("_total") > 0, F.col("_most")).when(F.col("_total") < 0, F.col("_least"))
+    months_of = months_of.withColumn(
+        "top3_merchant_share_m", F.coalesce(top3 / F.nullif(F.col("_total"), F.lit(0.0)), F.lit(0.0))).drop("_total", "_most", "_least")
     first = merchants.groupBy("CUST_NUM", "merchant_key").agg(F.min("txn_month").alias("txn_month"))
     new = first.groupBy(*MONTH).agg(F.count("*").alias("new_merchant_cnt_m"))
-    joined = join_months(join_months(join_months(scale, mix), top3), new)
-    return joined.fillna(0, subset=["new_merchant_cnt_m"])
+    return join_months(months_of, new).fillna(0, subset=["new_merchant_cnt_m"])
 
 
 def ecosystem_concentration(txns: DataFrame) -> DataFrame:
     parts = txns.groupBy(*MONTH, "tax_l1").agg(sum_money("txn_amount").alias("spend"))
-    shares = with_share(parts, "spend")
-    return shares.groupBy(*MONTH).agg(*_mix(shares, "ecosystem"))
+    return parts.groupBy(*MONTH).agg(*mix("ecosystem")[:2])
 
 
 def add_rolling(df: DataFrame) -> DataFrame:
