@@ -3,11 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from spendlens.operators import taxonomy
+from spendlens.operators import taxonomy, trends
 from spendlens.operators.broad import standardize_lenient
+from spendlens.operators.personas import add_persona, add_persona_shift, add_tenure
 from spendlens.plans.enrichment import References
 from spendlens.plans.pipeline import Targets, run_all
-from spendlens.queries import SIZE_BOUNDS, references
+from spendlens.queries import SIZE_BOUNDS, phase2, references
 from spendlens.sources import (
     add_row_ids, append_audit, materialize, read_transactions, retail, scratch_path, standardize, write_table)
 
@@ -142,3 +143,15 @@ def test_a_run_replaces_the_months_it_touches_and_its_audit(spark, kind):
     assert sorted((r["run_id"], r["phase"], r["metric_value"]) for r in audits.collect()) == [
         ("a", "P1", "60"), ("a", "P2", "60"), ("b", "P1", "20"), ("b", "P2", "20")]
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
+
+
+def test_months_of_a_bucketed_table_are_windowed_without_a_shuffle(spark, folder):
+    mart = write_table(phase2(spark, folder), "mart_by_customer", buckets=("CUST_NUM", 8))
+    for step in (trends.add_rolling, trends.add_trends, lambda df: add_tenure(add_persona_shift(add_persona(df)))):
+        plan = step(mart)._jdf.queryExecution().executedPlan().toString()
+        assert "Window" in plan and "Exchange" not in plan
+    columns = ["CUST_NUM", "txn_month", "spend_amt_3m", "spend_amt_12m"]
+    assert sorted(map(str, mart.select(columns).collect())) == sorted(map(str, phase2(spark, folder).select(columns).collect()))
+    again = write_table(phase2(spark, folder).where("month(txn_month) = 2"), "mart_by_customer", replace_touched=True)
+    assert again.count() == mart.count() == phase2(spark, folder).count()
+
