@@ -55,7 +55,7 @@ NO_LANG = "und"
 BUCKET_BITS = 27
 RANGE_BITS = 19
 HOT_SHARE = 1 << 16
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 WORDS_A_SHARD = 1 << 22
 
 BLANKS = b" \t"
