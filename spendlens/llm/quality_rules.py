@@ -130,7 +130,9 @@ def apply_rules(docs: DataFrame, rules: list[Rule] | None = None, id_col: str =
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of all documents."""
-    return apply_rules(table(spark, sf_dir, "documents")).withColumn("broken", F.array_join("broken", ","))
+    found = apply_rules(table(spark, sf_dir, "documents")).withColumn("broken", F.array_join("broken", ","))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select(*first, *[c for c in found.columns if c not in first])
 
 
 def _sql() -> str:
