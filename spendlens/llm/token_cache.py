@@ -9,8 +9,8 @@ digests only, and Spark splits a hot digest there.
 
 Normalisation is the tokenizer's own: byte_bpe_50k.json has none, so the digest
 is taken of the whole text. Null texts are empty. Repeated rows get a row each;
-an empty table gives no rows; other columns are not looked at. One job at a time
-may append to a cache.
+an empty table gives no rows; other columns are not looked at. A digest that two jobs
+have stored at the same time counts once.
 """
 
 from __future__ import annotations
@@ -69,7 +69,8 @@ def _stored(spark: SparkSession, cache_path: str, version: str) -> DataFrame | N
     if not files.exists(hadoop_path):
         return None
     counts = spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
-    return counts.where(F.col("version") == version).select("digest", "n_tokens")
+    # Two runs at a time may have stored a digest twice.
+    return counts.where(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
 def count_tokens(docs: DataFrame, cache_path: str, tokenizer_path: str | None = None, id_col: str = "doc_id",
