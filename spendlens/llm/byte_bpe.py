@@ -224,7 +224,9 @@ def encode_decode(docs: DataFrame, outputs: list[str], ranks_path: str | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         findall, words, bytes_of = _codec(path, pattern)
-        gc.disable()  # the tables hold no cycles, and walking them over and over costs half the time
+        # The tables hold no cycles, and walking them over and over costs half the time.
+        collects = gc.isenabled()
+        gc.disable()
 
         def make(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = [_row(text, findall, words, bytes_of, outputs) for text in batch.column(1).to_pylist()]
@@ -233,7 +235,11 @@ def encode_decode(docs: DataFrame, outputs: list[str], ranks_path: str | None =
                 [batch.column(0), *[pa.array(values, OUTPUTS[name][1]) for name, values in zip(outputs, columns)]],
                 [id_col, *outputs])
 
-        return by_slices(batches, make)
+        try:
+            yield from by_slices(batches, make)
+        finally:
+            if collects:  # the worker serves other jobs later
+                gc.enable()
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = ", ".join([f"`{id_col}` {kind}", *[f"{name} {OUTPUTS[name][0]}" for name in outputs]])
