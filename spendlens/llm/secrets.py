@@ -7,11 +7,12 @@
    substring test allows it.
 2. Other runs of at least ``LEAST_CHARS`` key characters with both letters and digits
    are candidates.
-3. Two first-order Markov models over key characters are trained, one on values that
-   the base patterns found (at most ``SECRETS`` distinct ones, by hash) and one on the
-   identifiers that recur in at most ``ORDINARY`` documents without one (by hash of
-   the id). A model has at most one count per pair of characters, so the table of
-   log-likelihood ratios is a small constant.
+3. Two first-order Markov models over key characters are trained on all documents, one
+   on the distinct values that the base patterns found, and one on the identifiers of
+   documents without any that recur in different texts (copies of a text prove nothing:
+   an identifier recurs if the least and the greatest digest of its texts differ, which
+   tasks add up without keeping texts). A model has at most one count per pair of
+   characters, so the table of log-likelihood ratios is a small constant.
 4. A candidate whose mean log-likelihood ratio reaches ``LEAST_RATIO`` per character
    is a secret as well. Base spans are never dropped; a candidate that overlaps one
    adds none.
@@ -34,8 +35,6 @@ from .common import number_of, table, text_of
 
 KINDS = ("assign", "access", "hex", "random")
 LEAST_CHARS = 20
-SECRETS = 20_000
-ORDINARY = 2_000
 LEAST_RATIO = 0.7
 BACK_OFF = 5.0
 
@@ -84,8 +83,11 @@ def find_matches(docs: DataFrame, keep: list[str]) -> DataFrame:
     for kind in range(len(KINDS)):
         some |= F.coalesce(F.size(f"hits_{kind}") > 0, F.lit(False))
     text = F.col("text") if keep else F.when(some, F.col("text"))
-    return hits.select("row", "doc_id", *others, text.alias("text"),
-                       F.concat(*[_matches(kind) for kind in range(len(KINDS))]).alias("matches"))
+    matched = hits.select("row", "doc_id", *others, text.alias("text"), F.xxhash64("text").alias("same"),
+                          F.col("text").alias("whole"), F.concat(*[_matches(kind) for kind in range(len(KINDS))]).alias("matches"))
+    based = F.exists("matches", lambda m: (m["kind"] < 3) & m["holds"])
+    named = F.regexp_extract_all("whole", F.lit(rf"[A-Za-z_][{_KEY}]{{7,}}"), F.lit(0))
+    return matched.withColumn("names", F.when(~based, F.array_distinct(named))).drop("whole")
 
 
 def locate(found: DataFrame) -> DataFrame:
@@ -121,19 +123,13 @@ def _log_odds(random: dict, ordinary: dict) -> list[float]:
     return [x - y for x, y in zip(rows(random), rows(ordinary))]
 
 
-def train(docs: DataFrame, found: DataFrame, spans: DataFrame, secrets: int = SECRETS,
-          ordinary: int = ORDINARY) -> list[float] | None:
-    known = spans.where(F.col("kind") < 3).select("value").distinct().orderBy(F.xxhash64("value"), "value").limit(secrets)
-    random = _pairs(known)
+def train(found: DataFrame, spans: DataFrame) -> list[float] | None:
+    random = _pairs(spans.where(F.col("kind") < 3).select("value").distinct())
     if not random:
         return None
-    no_base = F.size(F.filter("matches", lambda m: (m["kind"] < 3) & m["holds"])) == 0
-    plain = found.where(no_base).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(ordinary)
-    chosen = docs.join(F.broadcast(plain.distinct()), "doc_id", "left_semi")  # at most ``ordinary`` rows
-    found_names = F.regexp_extract_all("text", F.lit(rf"[A-Za-z_][{_KEY}]{{7,}}"), F.lit(0))
-    # What occurs once may itself be a secret.
-    names = chosen.select("doc_id", F.explode(F.array_distinct(found_names)).alias("value")).groupBy("value").agg(
-        F.countDistinct("doc_id").alias("docs")).where(F.col("docs") > 1)
+    # What occurs in one text only may itself be a secret.
+    names = found.select("same", F.explode("names").alias("value")).groupBy("value").agg(
+        F.min("same").alias("least"), F.max("same").alias("most")).where(F.col("least") < F.col("most"))
     return _log_odds(random, _pairs(names))
 
 
@@ -159,7 +155,7 @@ def scan(docs: DataFrame, least_ratio: float = LEAST_RATIO, keep: list[str] | No
     docs = docs.select("doc_id", text_of().alias("text"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
     found = materialize(find_matches(docs, keep), "secret-matches")
     spans = materialize(locate(found), "secret-spans")
-    odds = train(docs, found, spans)
+    odds = train(found, spans)
     random = spans.where(F.col("kind") == 3)
     random = random.where(F.lit(False)) if odds is None else random.where(ratio(F.col("value"), odds) >= least_ratio)
     fields = F.struct("start", "kind", "end")
@@ -168,7 +164,7 @@ def scan(docs: DataFrame, least_ratio: float = LEAST_RATIO, keep: list[str] | No
     free = F.filter("all", lambda s: (s["kind"] < 3) | ~F.exists(
         "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     per_row = per_row.select("row", base.alias("base"), "all").select("row", free.alias("spans"))
-    joined = found.drop("matches").join(per_row, "row", "left")
+    joined = found.drop("matches", "names", "same").join(per_row, "row", "left")
     more = ["text", *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)]] if keep else []
     return joined.select(
         "doc_id", *more, F.coalesce("spans", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")).alias("spans"),
@@ -203,5 +199,6 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] < 3)
     return found.select(
         "doc_id",
-        *[number_of("spans", k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
-        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+        *[number_of("spans", k).alias(f"n_{name}") for k, name in enumerate(KINDS[:3])],
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+        number_of("spans", 3).alias(f"n_{KINDS[3]}"))
