@@ -6,18 +6,20 @@
    it stands within ``WINDOW`` words of a mention, so a document gives a number of
    pairs that is linear in its mentions.
 3. Pairs, entities, terms and all texts are counted over one population: distinct
-   texts of the whole corpus. A term discloses an entity by its point-wise mutual
-   information relative to what there is to learn:
+   texts of the whole corpus. What a reader of the term still lacks to name the entity
+   is -log2 p(e | t) bits. As few texts prove little, p(e | t) is the lower limit of
+   Wilson's interval at ``LIMIT`` standard errors, the term's ``disclosure``:
 
-       disclosure = log(p(e | t) / p(e)) / -log p(e)
-       p(e | t) = (texts with both + PRIOR p(e)) / (texts with t + PRIOR)
+       n / (n + 1) for a term that occurs in n texts, always with the entity
 
-   It nears 1 for a term that occurs only with the entity, the more texts show it, and
-   is 0 for an unrelated term. ``PRIOR`` texts of no evidence take the place of a least
-   support: a term of one text can be generalised, but takes more texts to be removed.
+   It depends on the texts of the term alone, so the verdict is the same in a small and
+   a large corpus. A term that does not tell at least one bit about the entity
+   (p(e | t) >= 2 p(e)) discloses nothing.
 4. In all documents, with the entity or without it, all occurrences of a term with a
-   disclosure of at least ``GENERALISE`` for any entity are generalised to their shape,
-   and removed from ``REMOVE`` on. Base spans are masked by their kind.
+   disclosure of at least ``GENERALISE`` (at most one bit is lacking) for any entity are
+   generalised to their shape, and removed from ``REMOVE`` on (a third of a bit). So a
+   term of one text can be generalised, and takes four texts to be removed. Base spans
+   are masked by their kind.
 
 Base spans are never dropped for term spans; a term inside a base span adds none.
 Documents with neither stay as they are. Null texts are empty. Repeated rows
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.store import materialize
@@ -43,9 +45,10 @@ from .common import by_slices, number_of, table, text_of
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 10
 LEAST_CHARS = 4
-PRIOR = 1.0
-GENERALISE = 0.8
-REMOVE = 0.95
+LIMIT = 1.0
+GENERALISE = 0.5
+REMOVE = 0.8
+SHAPE_RUN = 3
 FLUSH = 300_000
 FILTER_BITS = 1 << 25
 MAX_WORDS = 500_000
@@ -229,20 +232,37 @@ def _corpus_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield out(counts)
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, prior: float = PRIOR, least: float = GENERALISE) -> DataFrame:
+def lower_limit(both: Column, rows: Column, z: float = LIMIT) -> Column:
+    """Wilson's lower limit of both / rows."""
+    p = both / rows
+    middle = p + z * z / (2 * rows)
+    return (middle - z * F.sqrt(p * (1 - p) / rows + z * z / (4 * rows * rows))) / (1 + z * z / rows)
+
+
+def shape(term: str) -> str:
+    """Letters by their case, with long runs cut: what is left of a generalised term."""
+    out = ""
+    for letter in term:
+        mark = "X" if letter.isupper() else "x"
+        if not out.endswith(mark * SHAPE_RUN):
+            out += mark
+    return f"[{out}]"
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, limit: float = LIMIT, least: float = GENERALISE) -> DataFrame:
     """(entity, term, disclosure) over the distinct texts of the corpus. ``docs``: same, text;
     ``found``: same, pairs of every row."""
     counted = materialize(found.groupBy("same").agg(F.count("*").alias("times")), "pii-texts")
-    n = F.lit(float(max(counted.count(), 2)))
+    n = F.lit(float(max(counted.count(), 1)))
     distinct = found.where(F.size("pairs") > 0).groupBy("same").agg(F.first("pairs").alias("pairs"))
     pairs = materialize(distinct.select("same", F.explode("pairs").alias("p")).select("same", "p.entity", "p.term"), "pii-pairs")
     together = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"))
     entities = pairs.select("entity", "same").distinct().groupBy("entity").agg(F.count("*").alias("mentions"))
-    # Texts never show an entity more often than all of them do.
-    share = F.least(F.col("mentions") / n, 1 - 1 / n)
+    share = F.col("mentions") / n
 
     def disclosure(rows):
-        return F.log((F.col("both") + F.lit(prior) * share) / (rows + F.lit(prior)) / share) / -F.log(share)
+        told = lower_limit(F.col("both").cast("double"), rows.cast("double"), limit)
+        return F.when(told >= 2 * share, told).otherwise(F.lit(0.0))
 
     # A term stands in as many texts as the pair at least; what fails with as few fails with more.
     candidates = materialize(together.join(entities, "entity").where(disclosure(F.col("both")) >= least), "pii-candidates")
@@ -277,7 +297,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if kind < 4:
                     pieces.append(f"[{names[kind].upper()}]")
                 elif degree[text[start:end].lower()] < REMOVE:
-                    pieces.append("[TERM]")
+                    pieces.append(shape(text[start:end]))
                 at = end
             texts.append("".join(pieces) + (text or "")[at:] if spans or more else None)
         return pa.RecordBatch.from_arrays(
@@ -286,14 +306,14 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return by_slices(batches, make)
 
 
-def sanitise(docs: DataFrame, prior: float = PRIOR, least: float = GENERALISE) -> DataFrame:
+def sanitise(docs: DataFrame, limit: float = LIMIT, least: float = GENERALISE) -> DataFrame:
     """doc_id, base spans, all spans as text, and the sanitised text (null where
     nothing was found). Columns used: doc_id, text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn(
         "same", F.xxhash64("text"))
     mentions = materialize(docs.select("same", "text").mapInArrow(_mentions, _MENTIONS), "pii-mentions")
     told = materialize(
-        disclosing_terms(docs, mentions, prior, least).groupBy("term").agg(F.max("disclosure").alias("disclosure")), "pii-told")
+        disclosing_terms(docs, mentions, limit, least).groupBy("term").agg(F.max("disclosure").alias("disclosure")), "pii-told")
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(told.select(F.xxhash64("term").alias("h"))))
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     found = materialize(numbered.mapInArrow(_find(shared), _FOUND), "pii-found")

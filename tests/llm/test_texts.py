@@ -73,16 +73,65 @@ def test_terms_of_an_entity_in_one_text_go_and_copies_count_once(spark):
     found = {r["doc_id"]: r for r in pii.sanitise(docs).collect()}
     for i, term in ((0, "zanzibar"), (100, "quixote"), (149, "quixote")):
         assert term not in found[i]["sanitised"] and "gamma delta" in found[i]["sanitised"]
-        assert "[TERM] [EMAIL]" in found[i]["sanitised"]
+        assert "[xxx] [EMAIL]" in found[i]["sanitised"]
     same = docs.withColumn("same", F.xxhash64("text"))
     pairs = same.selectExpr("same", "case when text like '%@%' then array(named_struct('entity', 1L, 'term', 'gamma'), "
                                     "named_struct('entity', 1L, 'term', if(doc_id = 0, 'zanzibar', 'quixote'))) "
                                     "else array() end as pairs")
     told = {r["term"]: r["disclosure"] for r in pii.disclosing_terms(same, pairs, least=-9.0).collect()}
-    share = 2 / 203
-    import math
     for term, both, texts in (("gamma", 2, 203), ("quixote", 1, 1), ("zanzibar", 1, 1)):
-        assert told[term] == pytest.approx(math.log((both + share) / (texts + 1) / share) / -math.log(share))
+        assert told.get(term, 0.0) == pytest.approx(wilson(both, texts) if wilson(both, texts) >= 2 * 2 / 203 else 0.0)
+
+
+def wilson(both, texts):
+    p = both / texts
+    return (p + 1 / (2 * texts) - (p * (1 - p) / texts + 1 / (4 * texts * texts)) ** 0.5) / (1 + 1 / texts)
+
+
+def plain_term_spans(texts):
+    """Term spans of every text, by the definition."""
+    import re
+    bases, pairs, holding, mentions = {}, Counter(), Counter(), Counter()
+    for text in set(texts):
+        bases[text] = spans = pii.base_spans(text)
+        words = [(m.group().lower(), *m.span()) for m in re.finditer(r"[^\W\d_]+", text) if len(m.group()) >= pii.LEAST_CHARS]
+        holding.update({w[0] for w in words})
+        free = [w for w in words if not any(s < w[2] and w[1] < e for _, s, e in spans)]
+        near = set()
+        for span in spans:
+            name = pii.entity(text, span)
+            before, after = [w for w in free if w[1] < span[2]], [w for w in free if w[1] >= span[2]]
+            near |= {(name, w[0]) for w in before[-pii.WINDOW:] + after[:pii.WINDOW]}
+        pairs.update(near)
+        mentions.update({name for name, _ in near})
+    told = {term for (name, term), n in pairs.items()
+            if wilson(n, holding[term]) >= max(pii.GENERALISE, 2 * mentions[name] / len(bases))}
+    return {text: ",".join(f"term:{m.start()}:{m.end()}" for m in re.finditer(r"[^\W\d_]+", text)
+                           if m.group().lower() in told and not any(s < m.end() and m.start() < e for _, s, e in spans))
+            for text, spans in bases.items()}
+
+
+def test_term_spans_of_the_tables(spark, folder):
+    docs = {r["doc_id"]: r["text"] or "" for r in table(spark, folder, "documents").collect()}
+    want = plain_term_spans(list(docs.values()))
+    got = {r["doc_id"]: ",".join(x for x in r["spans"].split(",") if x.startswith("term"))
+           for r in registry.QUERIES["op1_pii"](spark, folder).collect()}
+    assert got == {i: want[text] for i, text in docs.items()} and any(got.values())
+
+
+@pytest.mark.parametrize("others", [30, 3000])
+def test_verdicts_do_not_depend_on_the_size_of_the_corpus(spark, others):
+    rows = [(i, f"zanzibar with jane@corp.example.org number {i} quixote{'' if i else ' once'}") for i in range(5)]
+    rows += [(10, "once joe@corp.example.org alone"), (11, "here is quixote")]
+    rows += [(100 + i, f"number with alone here text {i}") for i in range(others)]
+    found = {r["doc_id"]: r["sanitised"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # Five texts of five are enough to remove a term, five of six to generalise it, one of two are not.
+    assert found[0] == " with [EMAIL] number 0 [xxx] once" and found[11] == "here is [xxx]"
+    assert found[10] == "once [EMAIL] alone" and found[100] is None
+
+
+def test_shapes():
+    assert [pii.shape(t) for t in ("Zanzibar", "USA", "McDonald", "ab")] == ["[Xxxx]", "[XXX]", "[XxXxxx]", "[xx]"]
 
 
 def test_terms_go_where_the_entity_is_not_and_far_from_it(spark):
@@ -91,7 +140,7 @@ def test_terms_go_where_the_entity_is_not_and_far_from_it(spark):
     rows_in += [(50, f"{common} in ZANZIBAR then"), (51, f"{common} zanzibars"), (52, None)]
     rows_in += [(100 + i, f"{common} {i} here") for i in range(400)]
     found = {r["doc_id"]: r for r in pii.sanitise(spark.createDataFrame(rows_in, "doc_id long, text string")).collect()}
-    assert found[50]["sanitised"] == f"{common} in [TERM] then" and found[50]["base"] == []
+    assert found[50]["sanitised"] == f"{common} in [XXX] then" and found[50]["base"] == []
     assert found[50]["spans"] == f"term:{len(common) + 4}:{len(common) + 12}"
     assert found[3]["spans"].count(",term:") == 2 and "anzibar" not in found[3]["sanitised"]
     assert all(found[i]["spans"] == "" and found[i]["sanitised"] is None for i in (51, 52, 100, 499))
@@ -120,6 +169,24 @@ def test_token_counts_and_cache(spark, hostile, empty, texts):
     assert token_cache.count_tokens(empty, scratch_path(spark, "cache")).count() == 0
 
 
+def test_a_digest_stored_twice_does_not_repeat_documents(spark, hostile, texts):
+    cache = scratch_path(spark, "cache")
+    once = token_cache.count_tokens(hostile, cache).collect()
+    spark.read.parquet(cache).limit(5).write.mode("append").parquet(cache)
+    assert Counter(token_cache.count_tokens(hostile, cache).collect()) == Counter(once) and len(once) == len(texts)
+
+
+def test_contract_columns_come_first(spark, folder):
+    first = {"op3_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+             "op9_secret_scans": "doc_id n_assign n_access n_hex base_sha256 spans",
+             "op1_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+             "op11_line_dedup": "doc_id n_lines n_dropped kept_sha256",
+             "op12_collocations": "lang rank phrase a l r n score",
+             "op13_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256"}
+    for name, columns in first.items():
+        assert registry.QUERIES[name](spark, folder).columns[:len(columns.split())] == columns.split()
+
+
 # ---------------------------------------------------------------- quality rules
 
 def test_rules(hostile, empty, texts):
