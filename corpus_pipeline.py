@@ -3,6 +3,11 @@
 Every stage takes the session, the documents so far and the folder of the tables,
 and returns documents with their columns; the last returns token ids. ``run`` writes
 each stage as Parquet below the folder of ``spark.checkpoint.dir`` and reads it again.
+
+A document is known by its id, or by its text if it has none. Null texts count as empty; empty
+texts are no near duplicates of each other, and texts of any length are processed whole. Repeated
+rows are one document from the near-dedup stage on. Columns that documents do not have are
+dropped at the start, whatever their names; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -21,26 +26,32 @@ from spendlens.sources.store import materialize
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Documents whose id was chosen, a null id like any other. Only ids come from the operator, so
-    texts move at most once."""
-    ids = chosen.select(F.col("doc_id").alias("chosen_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("chosen_id")), "left_semi").select(*COLUMNS)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The columns of documents with ``key``: the id, or for want of one a digest of the text."""
+    return docs.select(*COLUMNS).withColumn("key", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+
+
+def _chosen(keyed: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Documents whose key was chosen. Only keys come from the operator, so texts move at most once."""
+    return keyed.join(chosen.select(F.col("doc_id").alias("key")).distinct(), "key", "left_semi")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier takes for good ones. Without an id, a document goes by its text."""
-    keyed = docs.select("*", F.col("doc_id").alias("own_id")).withColumn(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    good = classify(keyed.drop("own_id"), table(spark, sf_dir, "labels")).where(F.col("predicted") == 1)
-    kept = keyed.join(good.select("doc_id").distinct(), "doc_id", "left_semi")
-    return kept.withColumn("doc_id", F.col("own_id")).select(*COLUMNS)
+    """Documents that the quality classifier takes for good ones."""
+    keyed = _keyed(docs)
+    scored = classify(keyed.drop("doc_id").withColumnRenamed("key", "doc_id"), table(spark, sf_dir, "labels"))
+    return _chosen(keyed, scored.where(F.col("predicted") == 1)).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, 0.8 alike in shingles of five words (the four
-    of op5 bind that query only); documents without an id are all kept."""
-    return _only(docs, near_duplicates(docs, words=5).where("kept"))
+    of op5 bind that query only). Rows of one key are one document as well: of each text that it
+    has, the row with the least language, source and length is kept."""
+    keyed = _keyed(docs)
+    found = near_duplicates(keyed.drop("doc_id").withColumnRenamed("key", "doc_id"), words=5)
+    kept = _chosen(keyed, found.where("kept")).withColumn("same", F.xxhash64("text"))
+    row = F.struct("lang", "source", "n_chars", "doc_id", "text")
+    return kept.groupBy("key", "same").agg(F.min(row).alias("row")).select("row.*").select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
