@@ -311,3 +311,36 @@ def test_pipeline_stages_take_five_words_and_null_ids(spark):
     good = p.quality(spark, nameless, "/root/testdata/sf0.001")
     n = good.where("doc_id is null").count()
     assert good.columns == p.COLUMNS and 0 < n < nameless.where("doc_id is null").count()
+
+
+def test_pipeline_of_hostile_rows(spark, hostile, empty):
+    """Every stage on nulls, empty and long texts, repeated rows, clashing names, and nothing."""
+    import corpus_pipeline as p
+    sf = "/root/testdata/sf0.001"
+    extra = hostile.selectExpr("*", "1 as own_id", "'x' as same", "2 as chosen_id", "'k' as row_key")
+    real = table(spark, sf, "documents").select(*p.COLUMNS).limit(30)
+    for docs in (extra, extra.unionByName(real, allowMissingColumns=True), empty):
+        for name, stage in p.STAGES:
+            out = stage(spark, docs, sf)
+            n, before = out.count(), docs.count()
+            assert n <= before and (n == before or name not in ("secret scans", "byte-level bpe")), name
+            if name != p.STAGES[-1][0]:
+                assert out.columns == p.COLUMNS
+                assert all(r["text"] for r in out.where("length(text) > 0 and text is not null").select("text").collect())
+    through = real
+    for name, stage in p.STAGES:
+        through = stage(spark, through, sf)
+    assert through.where("not round_trip").count() == 0
+
+
+def test_near_dedup_stage_keeps_one_of_repeated_rows(spark):
+    import corpus_pipeline as p
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, f"{text} {i} {' '.join(f'own{i}x{k}' for k in range(60))}", "en") for i in range(20)] * 2
+    rows += [(None, "equal text of nobody at all", "en")] * 3 + [(50, "equal text of nobody at all", "de")]
+    rows += [(60, "", "en"), (61, "", "en"), (62, None, "en"), (70, text, "fr"), (70, text, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "'s' as source", "1L as n_chars")
+    kept = Counter(map(tuple, p.near_dedup(spark, docs, "").select("doc_id", "lang").collect()))
+    assert {i: n for (i, _), n in kept.items() if i is not None and i < 20} == dict.fromkeys(range(20), 1)
+    assert sum(n for (i, _), n in kept.items() if i in (None, 50)) == 1
+    assert kept[60, "en"] == kept[61, "en"] == kept[62, "en"] == 1 and kept[70, "en"] == 1 and (70, "fr") not in kept
