@@ -436,3 +436,14 @@ weekend_spend_m payday_window_spend_m new_merchant_cnt_m repeat_merchant_txn_cnt
     num("active_days_m"), "active_days_m")
 FINAL["rough_unclassified_top"] = FINAL["unclassified_top"].replace("FROM taxed", "FROM ro_taxed")
 FINAL["rough_unclassified_count"] = FINAL["unclassified_top_count"].replace("FROM taxed", "FROM ro_taxed")
+
+# ---------------------------------------------------------------- sources that lack something
+FINAL["taxonomy_no_sources"] = """
+SELECT txn_key, CASE WHEN rule_l1 IS NULL THEN 'UNCLASSIFIED' ELSE 'MERCHANT_RULE' END AS taxonomy_source,
+  coalesce(rule_l1, 'UNCLASSIFIED') AS tax_l1, coalesce(rule_l2, 'UNCLASSIFIED') AS tax_l2, coalesce(rule_l3, 'UNCLASSIFIED') AS tax_l3,
+  CASE WHEN rule_l1 IS NULL THEN 'LOW' ELSE 'HIGH' END AS taxonomy_confidence,
+  CASE WHEN rule_l1 IS NULL THEN 'NONE' ELSE 'L3' END AS taxonomy_match_level, 'NO_SOURCE' AS taxonomy_conflict_flag
+FROM ruled"""
+PRESENT = {"CUST_NUM": "cust", "txn_date": day("dt"), "txn_month": day("mon"), "txn_amount": num("amt")}
+FINAL["output_columns"] = pick(
+    "ev_typed", **same("txn_key"), **{c: PRESENT.get(c, "CAST(NULL AS VARCHAR)") for c in fv.BROAD_OUTPUT_COLUMNS})

@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import fixed_values as fv
 from .functions import sum_money
 from .operators import audit, broad, merchant, merchants, monthly, personas, recurrence, rules, simple, sketches, tags, taxonomy
 from .operators.monthly import MONTH
 from .plans import features, variants
 from .plans.enrichment import References, classify, enrich
 from .plans.pipeline import Targets
-from .sources import add_row_ids, dimension, materialize, retail, scratch_path, stamp, standardize, write_table
+from .sources import add_row_ids, complete_columns, dimension, materialize, retail, scratch_path, stamp, standardize, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -211,6 +212,21 @@ def taxonomy_reconcile(spark, folder):
         "taxonomy_match_level", "taxonomy_conflict_flag")
 
 
+@query("taxonomy_no_sources")
+def taxonomy_no_sources(spark, folder):
+    """Rules alone: the reference frames of both sources are empty."""
+    return classify(named(spark, folder), References.empty(spark)).select(
+        "txn_key", "taxonomy_source", "tax_l1", "tax_l2", "tax_l3", "taxonomy_confidence", "taxonomy_match_level",
+        "taxonomy_conflict_flag")
+
+
+@query("output_columns")
+def output_columns(spark, folder):
+    """All columns that a landed table has to have, out of a source with few of them."""
+    typed = event_card(spark, folder).drop("CURR_DESC")
+    return complete_columns(typed, fv.BROAD_OUTPUT_COLUMNS).select("txn_key", *fv.BROAD_OUTPUT_COLUMNS)
+
+
 @query("taxonomy_audit")
 def taxonomy_audit(spark, folder):
     return taxonomy.coverage(classified(spark, folder)).orderBy(F.desc("count"))
