@@ -43,14 +43,19 @@ def commas(*parts: str) -> str:
     return ",\n  ".join(parts)
 
 
+def known(number: str) -> str:
+    """0 where no amount is known."""
+    return f"coalesce({number}, 0.0::DOUBLE)"
+
+
 def base_sql(source: str) -> str:
     return "SELECT cust, mon,\n  " + commas(
-        "count(*) AS txn_cnt_m", f"{total('amt')} AS spend_amt_m", f"{mean('amt')} AS avg_ticket_m", "max(amt) AS max_ticket_m",
-        "min(amt) AS min_ticket_m", f"coalesce({money_spread('amt')}, 0.0::DOUBLE) AS stddev_ticket_m",
+        "count(*) AS txn_cnt_m", f"{known(total('amt'))} AS spend_amt_m", f"{known(mean('amt'))} AS avg_ticket_m",
+        f"{known('max(amt)')} AS max_ticket_m", f"{known('min(amt)')} AS min_ticket_m", f"coalesce({money_spread('amt')}, 0.0::DOUBLE) AS stddev_ticket_m",
         "quantile_disc(amt, 0.5) AS median_ticket_m", "count(DISTINCT dt) AS active_days_m",
         "count(DISTINCT nm) AS uniq_merchants_m", "count(DISTINCT tax_l1) AS uniq_tax_l1_m",
         "count(DISTINCT tax_l2) AS uniq_tax_l2_m", "count(DISTINCT tax_l3) AS uniq_tax_l3_m",
-        *[f"{total_of(c)} AS {n}_spend_m" for n, c in SPENDS.items()],
+        *[f"{known(total_of(c))} AS {n}_spend_m" for n, c in SPENDS.items()],
         *[f"CAST(sum({c}) AS BIGINT) AS {n}_txn_cnt_m" for n, c in COUNTS.items()],
         "CAST(sum(CASE WHEN novelty = 'FIRST_TIME' THEN 1 ELSE 0 END) AS BIGINT) AS new_merchant_cnt_m",
         "CAST(sum(CASE WHEN novelty = 'REPEAT' THEN 1 ELSE 0 END) AS BIGINT) AS repeat_merchant_txn_cnt_m",
