@@ -116,7 +116,7 @@ SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS txn_ref
        CASE l_returnflag WHEN 'N' THEN 'THB' WHEN 'R' THEN 'USD' END AS curr_desc,
        CASE l_linenumber WHEN 2 THEN '764' WHEN 3 THEN '' END AS curr_cd,
        CASE l_linenumber % 3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' END AS onln,
-       p_type AS mcht_catg, CAST(NULL AS VARCHAR) AS mcht_sub, p_brand AS sic, p_size
+       p_type AS mcht_catg, CAST(NULL AS VARCHAR) AS mcht_sub, p_brand AS sic, p_size, 0 AS copy
 FROM (SELECT *, (CASE WHEN l_partkey % 10 < 5 THEN o_custkey * 7
                       WHEN l_partkey % 10 < 8 THEN o_custkey * 3 + 1
                       ELSE o_custkey + l_partkey * 13 END) % 50 AS idx
@@ -128,7 +128,7 @@ SELECT CAST(event_id AS VARCHAR) AS txn_ref, user_id AS cust, d.mcht_nm, value *
        CAST(ts AS TIMESTAMP) AS ts, CAST(NULL AS VARCHAR) AS txn_desc, CAST(NULL AS VARCHAR) AS curr_desc,
        CAST(NULL AS VARCHAR) AS curr_cd,
        CASE WHEN event_type IN ('click', 'purchase') THEN 'Y' WHEN event_type = 'view' THEN 'N' END AS onln,
-       CAST(NULL AS VARCHAR) AS mcht_catg, CAST(NULL AS VARCHAR) AS mcht_sub, CAST(NULL AS VARCHAR) AS sic
+       CAST(NULL AS VARCHAR) AS mcht_catg, CAST(NULL AS VARCHAR) AS mcht_sub, CAST(NULL AS VARCHAR) AS sic, 0 AS copy
 FROM events JOIN names d ON d.idx = CAST(json_extract_string(props, '$.k') AS BIGINT) % 50"""
 
 
@@ -148,7 +148,7 @@ SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS txn_ref
        CASE WHEN l_partkey % 17 <> 0 AND l_partkey % 19 <> 0 THEN day + to_hours(CAST(l_partkey % 24 AS INTEGER)) END AS ts,
        CAST(NULL AS VARCHAR) AS txn_desc, CASE l_returnflag WHEN 'N' THEN 'THB' WHEN 'R' THEN 'USD' END AS curr_desc,
        CAST(NULL AS VARCHAR) AS curr_cd, CASE l_linenumber % 3 WHEN 0 THEN 'Y' WHEN 1 THEN '0' END AS onln,
-       p_type AS mcht_catg, CASE l_partkey % 3 WHEN 0 THEN 'SUB1' WHEN 1 THEN '' END AS mcht_sub, p_brand AS sic
+       p_type AS mcht_catg, CASE l_partkey % 3 WHEN 0 THEN 'SUB1' WHEN 1 THEN '' END AS mcht_sub, p_brand AS sic, again AS copy
 FROM rough_text t JOIN rough_names d ON d.idx = t.idx
 JOIN (SELECT 0 AS again UNION ALL SELECT 1) ON again = 0 OR l_partkey % 23 = 0"""
 
@@ -253,7 +253,7 @@ taxed_ctes("")
 taxed_ctes("ev_")
 taxed_ctes("ro_")
 
-HISTORY = "PARTITION BY cust, nm ORDER BY dt NULLS FIRST, ts NULLS FIRST, txn_key"
+HISTORY = "PARTITION BY cust, nm ORDER BY dt NULLS FIRST, ts NULLS FIRST, txn_key, copy"
 RUNNING = f"({HISTORY} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
