@@ -1,5 +1,6 @@
 """Properties of the mart, and personas on hand-made rows."""
 
+import datetime
 import math
 
 import pytest
@@ -218,3 +219,26 @@ def test_every_persona_has_a_customer_month(spark):
     df = spark.createDataFrame([(name, *row.values()) for name, row in rows], f"want string, {columns}")
     got = people.add_persona(df).select("want", "primary_persona").collect()
     assert all(r["want"] == r["primary_persona"] for r in got) and len(set(traits)) == 10 == len(fv.PERSONAS) + 1
+
+
+def test_labels_move_to_their_month_once(spark):
+    """Sums by label, then one shuffle of them for both steps by month."""
+    txns = spark.createDataFrame(
+        [(1, datetime.date(2024, 1, 1), l1, l2, "X", amount) for l1, l2, amount in [
+            ("A", "B", 3.0), ("A", "C", 1.0), ("D", "C", 4.0), (None, None, 0.0)]],
+        "CUST_NUM long, txn_month date, tax_l1 string, tax_l2 string, tax_l3 string, txn_amount double")
+    mix = monthly.label_mix(txns)
+    assert mix._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    row = mix.first()
+    assert (row["uniq_tax_l1_m"], row["uniq_tax_l2_m"], row["uniq_tax_l3_m"]) == (2, 2, 1)
+    assert (row["ecosystem_entropy_m"], row["ecosystem_hhi_m"]) == (1.0, 0.5)
+
+
+def test_broad_merchants_are_told_apart_by_short_keys(spark):
+    txns = spark.createDataFrame(
+        [(1, datetime.date(2024, 1, 1), "ab" * 32, 1.0, 0), (1, datetime.date(2024, 1, 1), "ab" * 32, 2.0, 1),
+         (1, datetime.date(2024, 1, 1), "cd" * 32, 3.0, 0)],
+        "CUST_NUM long, txn_month date, merchant_key string, txn_amount double, subscription_candidate_flag int")
+    rows = broad.merchant_rows(txns)
+    assert dict(rows.dtypes)["merchant_key"] == "binary"
+    assert sorted((r["spend"], r["visits"]) for r in rows.collect()) == [(3.0, 1), (3.0, 2)]

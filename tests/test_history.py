@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendlens.operators import merchant, recurrence
-from spendlens.operators.broad import add_text_basic
+from spendlens.operators.broad import add_text_basic, enrich_broad
 from spendlens.operators.history import HISTORY, SLICE, add_history_part, history_cuts
+from spendlens.plans import References, enrich
 from spendlens.sources import standardize
 
 
@@ -87,6 +88,33 @@ def test_histories_without_cuts_have_no_carry_branch(spark):
     assert "Join" not in plan
 
 
+def test_small_histories_are_not_cut(spark):
+    """Cuts that fall into histories of a few rows are dropped, and with them the carry."""
+    rows = [(i % 300, "shell", 1.0, f"2024-01-0{1 + i % 9}") for i in range(900)]
+    txns = transactions(spark, rows)
+    assert history_cuts(txns, lambda sample: sample, 50).count() == 0
+    assert history_cuts(txns, lambda sample: sample, 50, least=1).count() > 3
+    plan = recurrence.add_history(txns, slice_rows=50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+@pytest.mark.parametrize("step", ["main", "broad"])
+def test_rows_move_to_their_history_once_and_narrow(spark, step):
+    """Derived columns are made where the rows arrive, not carried there."""
+    source = spark.createDataFrame(
+        [(i, 1, "makro", 1.0, "2024-01-02") for i in range(20)], "ref int, CUST_NUM bigint, MCHT_NM string, TXN_AMT double, TXN_DT string")
+    df = enrich(source, References.empty(spark), key_columns=["ref"]) if step == "main" else enrich_broad(source, ["ref"])
+    execution = df._jdf.queryExecution()
+    lines = execution.optimizedPlan().toString().splitlines()
+    moved = [below for line, below in zip(lines, lines[1:]) if "RepartitionByExpression" in line]
+    assert len(moved) == 1 and "mcht_nm_norm" in moved[0]
+    assert not any(f" AS {name}#" in moved[0] for name in ("txn_key", "match_text", "txn_month", "txn_amount"))
+    exchanges = [line for line in execution.executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert len([line for line in exchanges if "history_owner" in line]) == 1
+    assert not any("match_text" in line for line in exchanges)
+    assert sorted(r["ref"] for r in df.select("ref").collect()) == list(range(20))
+
+
 def test_cut_histories_have_the_same_last_three(spark):
     txns = add_text_basic(transactions(spark, random_rows(3)))
     whole = plain(recurrence.add_recurrence_last3(txns), LAST3)
