@@ -155,3 +155,17 @@ def test_months_of_a_bucketed_table_are_windowed_without_a_shuffle(spark, folder
     again = write_table(phase2(spark, folder).where("month(txn_month) = 2"), "mart_by_customer", replace_touched=True)
     assert again.count() == mart.count() == phase2(spark, folder).count()
 
+
+
+def test_copies_of_one_row_are_made_in_many_tasks(spark):
+    """Pieces are tiny, so a number of tasks by their size would be one."""
+    df = standardize(spark.range(5000).select(
+        F.lit(1).alias("CUST_NUM"), F.lit("a").alias("MCHT_NM"), F.lit(1.0).alias("TXN_AMT"), F.lit("2024-01-01").alias("TXN_DT")))
+    made = add_row_ids(df, piece=100)
+    assert made.select("txn_row_id").distinct().count() == 5000
+    assert made.select(F.spark_partition_id().alias("task")).distinct().count() > 4
+
+
+def test_stored_tables_are_packed(spark):
+    files = materialize(spark.range(10), "packed").inputFiles()
+    assert files and all(".zstd." in name for name in files)
