@@ -36,8 +36,9 @@ from pyspark.sql import functions as F
 from .common import by_slices, table, text_of
 
 RANKS = "byte_bpe_50k.tiktoken"
-MAX_WORDS = 800_000
-MAX_ARCS = 400_000
+# Workers are used again by other stages, which share an executor's memory with these tables.
+MAX_WORDS = 300_000
+MAX_ARCS = 200_000
 CHUNK = 4096
 LOOK = 6
 FAR = 14

@@ -49,7 +49,7 @@ ROWS = 4
 BANDS = SIZE // ROWS
 NEAR = 0.60
 BLOCK = 1024
-MAX_WORDS = 500_000
+MAX_WORDS = 200_000
 _LOW = np.uint64((1 << 48) - 1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 

@@ -73,3 +73,12 @@ def test_required_literals():
     assert required_literals("abc|x?y|de") == ["abc", "y", "de"]
     assert required_literals("abc|.*") == [""] and required_literals("(?i)abc") == [""]
     assert required_literals("(shell|fuel)") == ["shell", "fuel"]
+
+
+def test_transactions_stay_where_they_are_while_results_are_small(spark):
+    texts = spark.createDataFrame([(t,) for t in TEXTS], "match_text string")
+    table = rules.rule_frame(spark, fv.MERCHANT_RULES)
+    found = rules.add_rules_by_join(texts, table, stored=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert rows(found) == rows(by_theta(texts, table))
