@@ -13,7 +13,7 @@ from spendlens.plans.enrichment import References, enrich
 from spendlens.plans.features import feature_mart
 from spendlens.plans.features import personas as add_personas
 from spendlens import fixed_values as fv
-from spendlens.queries import REGISTRY, SIZE_BOUNDS, labels, phase1, phase2, phase3
+from spendlens.queries import BROAD_TXN_COLUMNS, REGISTRY, SIZE_BOUNDS, labels, phase1, phase2, phase3
 from spendlens.sources import materialize, retail, standardize
 
 KEYS = ["CUST_NUM", "txn_month"]
@@ -242,3 +242,37 @@ def test_broad_merchants_are_told_apart_by_short_keys(spark):
     rows = broad.merchant_rows(txns)
     assert dict(rows.dtypes)["merchant_key"] == "binary"
     assert sorted((r["spend"], r["visits"]) for r in rows.collect()) == [(3.0, 1), (3.0, 2)]
+
+
+def test_broad_labels_are_summed_once(spark):
+    """Distinct labels, the largest one and concentration share the sums by label."""
+    day = datetime.date(2024, 1, 1)
+    txns = spark.createDataFrame(
+        [(1, day, l1, "B", "X", amount) for l1, amount in [("D", 2.0), ("A", 2.0), (None, 4.0)]] + [(2, day, "A", "B", "X", None)],
+        "CUST_NUM long, txn_month date, tax_l1 string, tax_l2 string, tax_l3 string, txn_amount double")
+    mix = monthly.label_mix(txns, [broad.top_label(), *broad.ecosystem_concentration()])
+    assert mix._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    first, second = mix.orderBy("CUST_NUM").collect()
+    assert (first["top"]["tax_l1"], -first["top"]["minus"], first["ecosystem_entropy_m"]) == ("A", 2.0, 1.5)
+    assert first["ecosystem_hhi_m"] == 0.375 and second["top"] is None and second["uniq_tax_l1_m"] == 1
+
+
+def test_merchant_sizes_are_stored_before_the_join(spark):
+    """The rows of customers do not move while there are few merchants."""
+    months = spark.createDataFrame(
+        [(c, datetime.date(2024, 1, 1), m, c) for c in (1, 2) for m in ("x", "y")],
+        "CUST_NUM long, txn_month date, mcht_nm_norm string, visits long")
+    sized = merchants.add_merchant_sizes(months)
+    assert "Exchange hashpartitioning" not in sized._jdf.queryExecution().executedPlan().toString()
+    assert {(r["merchant_global_txn_cnt"], r["merchant_global_cust_cnt"]) for r in sized.collect()} == {(3, 2)}
+
+
+def test_few_columns_are_stored_and_computed(spark, folder):
+    """Transactions are stored without the texts and digests that no month reads, and a query
+    of a mart computes the columns it takes."""
+    unread = {"TXN_DESC", "txn_desc_norm", "match_text", "txn_key", "merchant_tokens", "mcht_nm_raw"}
+    assert not unread & set(phase1(spark, folder).columns)
+    assert not unread & set(BROAD_TXN_COLUMNS)
+    plan = REGISTRY["share_slopes"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "online_share_slope_m" in plan and "premium_spend_m" in plan
+    assert "grocery_spend_m" not in plan and "l1_food_dining_spend_m" not in plan

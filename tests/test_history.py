@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spendlens.operators import merchant, recurrence
 from spendlens.operators.broad import add_text_basic, enrich_broad
-from spendlens.operators.history import HISTORY, SLICE, add_history_part, history_cuts
+from spendlens.operators.history import HISTORY, SLICE, add_history_part, history_cuts, large_owners
 from spendlens.plans import References, enrich
 from spendlens.sources import standardize
 
@@ -115,6 +115,30 @@ def test_rows_move_to_their_history_once_and_narrow(spark, step):
     assert sorted(r["ref"] for r in df.select("ref").collect()) == list(range(20))
 
 
+@pytest.mark.parametrize("step", ["main", "broad"])
+def test_source_is_read_and_cleaned_once(spark, step):
+    """Cuts, texts and rows come from one stored copy, which holds the cleaned texts."""
+    source = spark.createDataFrame(
+        [(i, i % 3, "makro 77", 1.0, "2024-01-02") for i in range(20)],
+        "ref int, CUST_NUM bigint, MCHT_NM string, TXN_AMT double, TXN_DT string")
+    df = enrich(source, References.empty(spark), key_columns=["ref"]) if step == "main" else enrich_broad(source, ["ref"])
+    plan = df.select("merchant_key", "tax_l1", "recurrence_tag")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "LogicalRDD [ref" not in plan
+
+
+def test_a_large_customer_with_many_merchants_is_spread_over_tasks(spark):
+    """No history is cut, so rows go by customer, but for those of the large customer."""
+    txns = transactions(spark, [(1 if i % 2 else i, f"shop {chr(97 + i % 26)}", 1.0, "2024-01-02") for i in range(2000)])
+    large = large_owners(txns, 200)
+    assert [r["history_owner"] for r in large.collect()] == ["1"]
+    assert large_owners(txns, 10_000) is None
+    parts = add_history_part(txns, history_cuts(txns, lambda sample: sample, 10_000), large)
+    one = parts.where("CUST_NUM = 1")
+    assert one.select("history_part").distinct().count() == one.select("merchant_key").distinct().count() == 13
+    assert parts.where("CUST_NUM <> 1 and history_part <> 0").count() == 0
+    assert parts.groupBy(*HISTORY).agg(F.count_distinct("history_part").alias("n")).where("n > 1").count() == 0
+
+
 def test_cut_histories_have_the_same_last_three(spark):
     txns = add_text_basic(transactions(spark, random_rows(3)))
     whole = plain(recurrence.add_recurrence_last3(txns), LAST3)
