@@ -276,3 +276,33 @@ def test_few_columns_are_stored_and_computed(spark, folder):
     plan = REGISTRY["share_slopes"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     assert "online_share_slope_m" in plan and "premium_spend_m" in plan
     assert "grocery_spend_m" not in plan and "l1_food_dining_spend_m" not in plan
+
+
+def test_months_are_joined_where_their_aggregates_left_them(spark):
+    """Missing keys join like any other, apart from defaults, and no aggregate moves again."""
+    day = datetime.date(1970, 1, 1)
+    keys = [(0, day), (None, day), (0, None), (None, None), (1, day)]
+    rows = spark.createDataFrame([(*key, place) for place, key in enumerate(keys)], "CUST_NUM long, txn_month date, a long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = monthly.join_months(
+            monthly.per_month(rows, F.sum("a").alias("a")), monthly.per_month(rows.where("a < 4"), F.max("a").alias("b")))
+        assert both._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        found = {(r["CUST_NUM"], r["txn_month"]): (r["a"], r["b"]) for r in both.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == {key: (place, place if place < 4 else None) for place, key in enumerate(keys)}
+
+
+def test_broad_merchants_move_to_their_month_once(spark):
+    """The largest spends, or the smallest of a month of refunds, come with the sums."""
+    day = datetime.date(2024, 1, 1)
+    spends = {1: [4.0, 3.0, 2.0, 1.0, None], None: [-4.0, -3.0, -2.0, -1.0, None], 2: [None], 3: [5.0, -5.0]}
+    rows = spark.createDataFrame(
+        [(c, day, f"{c}-{i}", spend, 1, 0) for c, of in spends.items() for i, spend in enumerate(of)],
+        "CUST_NUM long, txn_month date, merchant_key string, spend double, visits long, is_recurring int")
+    found = broad.merchant_intelligence(rows, SIZE_BOUNDS)
+    shares = found.select("CUST_NUM", "top3_merchant_share_m")
+    assert shares._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r[0]: r[1] for r in shares.collect()} == {1: 0.9, None: 0.9, 2: 0.0, 3: 0.0}
+    assert {r["CUST_NUM"]: r["new_merchant_cnt_m"] for r in found.collect()} == {1: 5, None: 5, 2: 1, 3: 2}
