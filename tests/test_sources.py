@@ -1,16 +1,18 @@
 """Reading, checking and writing tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from spendlens.operators import taxonomy, trends
+from spendlens.operators import rules, taxonomy, trends
 from spendlens.operators.broad import standardize_lenient
 from spendlens.operators.personas import add_persona, add_persona_shift, add_tenure
 from spendlens.plans.enrichment import References
 from spendlens.plans.pipeline import Targets, run_all
 from spendlens.queries import SIZE_BOUNDS, phase2, references
 from spendlens.sources import (
-    add_row_ids, append_audit, materialize, read_transactions, retail, scratch_path, standardize, write_table)
+    add_row_ids, append_audit, materialize, read_transactions, retail, scratch_path, standardize, temporaries, write_table)
 
 DDL = "CUST_NUM int, MCHT_NM string, TXN_AMT string, TXN_DT string"
 
@@ -169,3 +171,30 @@ def test_copies_of_one_row_are_made_in_many_tasks(spark):
 def test_stored_tables_are_packed(spark):
     files = materialize(spark.range(10), "packed").inputFiles()
     assert files and all(".zstd." in name for name in files)
+
+
+def test_stored_on_the_way_is_deleted_and_so_are_shuffles(spark):
+    """Results of an earlier scope and kept frames stay; the setting of the session comes back."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    spark.conf.set(name, "false")
+    before = materialize(spark.range(3), "before")
+    with temporaries():
+        way = materialize(spark.range(4), "way")
+        with temporaries():
+            inner = materialize(way, "inner", keep=True)
+        kept = materialize(way.join(inner, "id").groupBy("id").count(), "kept", keep=True)
+        path = way.inputFiles()[0]
+    assert spark.conf.get(name) == "false"
+    spark.conf.unset(name)
+    assert before.count() == 3 and inner.count() == 4 and kept.count() == 4
+    assert not os.path.exists(path.removeprefix("file://"))
+
+
+def test_texts_of_one_profile_share_its_number(spark):
+    """Rows move with the number of their profile, not with the text."""
+    texts = spark.createDataFrame([("a mart",), ("b mart",), ("zzz",)], "match_text string")
+    profile = texts.select("match_text", F.when(F.col("match_text") != "zzz", F.array(F.lit("x"))).alias("rule_hits"))
+    numbers, profiles = rules.store_profiles(profile)
+    assert profiles.count() == 2 and set(profiles.columns) == {"rule_hits", "profile_id"}
+    found = {r.match_text: r.rule_hits for r in rules.join_profiles(numbers, profiles).collect()}
+    assert found == {"a mart": ["x"], "b mart": ["x"], "zzz": None}
