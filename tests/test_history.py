@@ -115,6 +115,20 @@ def test_rows_move_to_their_history_once_and_narrow(spark, step):
     assert sorted(r["ref"] for r in df.select("ref").collect()) == list(range(20))
 
 
+def test_rows_of_a_broad_run_are_laid_out_by_month_while_narrow(spark):
+    """A written run moves the same narrow rows once more, and the write does not move them again."""
+    rows = [(i, i % 3, f"makro {i % 2}", float(i), f"2024-0{1 + i % 4}-0{1 + i % 5}") for i in range(60)] + [(60, None, None, None, None)]
+    source = spark.createDataFrame(rows, "ref int, CUST_NUM bigint, MCHT_NM string, TXN_AMT double, TXN_DT string")
+    df = enrich_broad(source, ["ref"], by_month=True)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    moved = [below for line, below in zip(lines, lines[1:]) if "RebalancePartitions" in line]
+    assert len(moved) == 1 and "prev_txn_dt_same_merchant" in moved[0]
+    assert not any(f" AS {name}#" in moved[0] for name in ("txn_key", "merchant_key", "match_text", "tax_l1"))
+    plain_df = enrich_broad(source, ["ref"])
+    assert df.columns and set(df.columns) == set(plain_df.columns)
+    assert sorted(map(str, df.select(*plain_df.columns).collect())) == sorted(map(str, plain_df.collect()))
+
+
 @pytest.mark.parametrize("step", ["main", "broad"])
 def test_source_is_read_and_cleaned_once(spark, step):
     """Cuts, texts and rows come from one stored copy, which holds the cleaned texts."""

@@ -190,6 +190,21 @@ def test_stored_on_the_way_is_deleted_and_so_are_shuffles(spark):
     assert not os.path.exists(path.removeprefix("file://"))
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in files.mkString(",").split(",") if "/shuffle_" in name}
+
+
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_written_tables_are_packed_and_leave_no_shuffle_files(spark, tmp_path, kind):
+    rows = spark.range(100).select("id", F.to_date(F.lit("2024-01-01")).alias("txn_month"))
+    before = shuffle_files(spark)
+    stored = write_table(rows, "packed_months" if kind == "table" else str(tmp_path / "months"))
+    assert shuffle_files(spark) <= before
+    assert stored.inputFiles() and all(".zstd." in name for name in stored.inputFiles())
+    assert stored.count() == 100
+
+
 def test_texts_of_one_profile_share_its_number(spark):
     """Rows move with the number of their profile, not with the text."""
     texts = spark.createDataFrame([("a mart",), ("b mart",), ("zzz",)], "match_text string")
