@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spendlens.operators import merchant, recurrence
 from spendlens.operators.broad import add_text_basic, enrich_broad
-from spendlens.operators.history import HISTORY, SLICE, add_history_part, history_cuts, large_owners
+from spendlens.operators.history import HISTORY, NARROW, SLICE, add_history_part, history_cuts, large_owners
 from spendlens.plans import References, enrich
 from spendlens.sources import standardize
 
@@ -192,6 +192,30 @@ def test_slices_of_a_history_are_shuffled_apart(spark, all_keys):
     assert "history_part" in detail
 
 
+def test_narrow_rows_move_once_for_their_state_and_themselves(spark):
+    """Both sides of the join read one shuffle of the rows, whether their keys are texts or bytes;
+    histories without cuts, which it holds as well, come out as ever."""
+    txns = transactions(spark, random_rows(4, 300) + [(5, "lotus", 10.0 + i, f"2024-01-0{1 + i}") for i in range(5)])
+    columns = ["merchant_visit_cnt", "prev_txn_dt_merchant", "std_interval_merchant", "amt_cv_merchant"]
+
+    def found(df):
+        return sorted(map(str, df.select("txn_key", *columns).collect()))
+
+    narrow = txns.select(*sorted(NARROW))
+    stored = narrow.withColumns({key: F.unhex(key) for key in ("txn_key", "merchant_key")})
+    whole = found(recurrence.add_history(txns))
+    for rows in (narrow, stored):
+        cut = recurrence.add_history(rows, slice_rows=20)
+        assert history_cuts(rows, lambda sample: sample, 20).count() > 0
+        if rows is stored:
+            cut = cut.withColumn("txn_key", F.lower(F.hex("txn_key")))
+        cut = cut.select("txn_key", *columns)
+        assert sorted(map(str, cut.collect())) == whole
+        final = cut._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        moves = [line for line in final.splitlines() if "Exchange hashpartitioning(history_owner" in line]
+        assert sorted("ReusedExchange" in line for line in moves) == [False, True]
+
+
 def close(got, want):
     assert (got is None) == (want is None)
     assert want is None or math.isclose(got, want, rel_tol=1e-9, abs_tol=1e-6)
