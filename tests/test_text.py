@@ -175,3 +175,16 @@ def test_channel_and_geography(spark):
     ddl = "ONLN_FLAG string, names_app int, CURR_DESC string, TXN_CURR_CD string, channel string, geo string"
     for row in tags.add_channel_geo(spark.createDataFrame(rows, ddl)).collect():
         assert (row["channel_tag"], row["geo_tag"]) == (row["channel"], row["geo"])
+
+
+def test_texts_with_nothing_to_replace_are_only_tested(spark):
+    """One test for all steps together decides; what it lets through no step would change."""
+    rows = ["", " ", "a b", "a  b", "a\tb", " a ", "a br", "br 7 b", "brown", "a th", "th a", "x 12345", "x 1234", "a*b", "a # b",
+            "hat yai", "hat  yai", "smooth", "kiosk", "a kiosk12", "\u00a0a", "12345 th", "LOTUS TH ", "chiangmai", None]
+    df = spark.createDataFrame([(text,) for text in rows], "t string")
+    plain = F.lower(F.trim(F.coalesce("t", F.lit(""))))
+    for pattern, replacement in fv.CLEANUP_STEPS:
+        plain = F.regexp_replace(plain, pattern, replacement)
+    cleaned = df.select(clean_text(F.col("t")).alias("new"), F.trim(plain).alias("old"))
+    assert all(row["new"] == row["old"] for row in cleaned.collect())
+    assert "RLIKE" in df.select(clean_text(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
